@@ -1,8 +1,10 @@
 """Queries of this subpackage, and the SQL for those that SQL can express."""
 
 from skyloom.llm.mixing import op10_mixing
+from skyloom.llm.url_graph import op1_url_graph
 
 QUERIES = {
+    "op1_url_graph": op1_url_graph,
     "op10_mixing": op10_mixing,
 }
 
