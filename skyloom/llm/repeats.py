@@ -54,17 +54,19 @@ def dealt(docs: DataFrame, total: int, bundle: int = BUNDLE) -> DataFrame:
     return docs.withColumn("bundle", F.pmod(F.xxhash64(F.lit(7), "doc_id"), F.lit(n)))
 
 
-def ask(bundles: DataFrame, names: Callable[[list], np.ndarray], total: int, part: int = PART, exact: bool = False) -> DataFrame:
+def ask(bundles: DataFrame, names: Callable[[list], np.ndarray], total: int, part: int = PART, exact: bool = False, before: bool = False, extra: str | None = None) -> DataFrame:
     """bundles(bundle, doc_id, text) -> bundle, part, bits: bits of the bundle's sorted distinct names, part by part, packed.
 
-    names: of a list of (doc_id, text), any number of names. exact: compare all 64 bits.
+    names: of a list of (doc_id, text), any number of names; with `extra`, of (doc_id, (text, that column)). exact: compare
+    all 64 bits. before: a bit tells whether a bundle of a smaller number has the name, not just any other.
     """
     parts = max(1, -(-total // part))
 
     def collect(t):
         import pyarrow as pa
 
-        got = names(list(zip(t.column("doc_id").to_pylist(), t.column("text").to_pylist(), strict=True)))
+        texts = t.column("text").to_pylist()
+        got = names(list(zip(t.column("doc_id").to_pylist(), zip(texts, t.column(extra).to_pylist(), strict=True) if extra else texts, strict=True)))
         got = np.unique(got if exact else narrowed(got, total))
         owner = part_of(got, parts)
         edge = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1], True]) if len(owner) else np.zeros(1, np.int64)
@@ -75,13 +77,16 @@ def ask(bundles: DataFrame, names: Callable[[list], np.ndarray], total: int, par
     def answer(t):
         import pyarrow as pa
 
+        t = t.sort_by("bundle")
         lists = [unsqueeze(b) for b in t.column("names").to_pylist()]
         size = np.array([len(x) for x in lists])
         every = np.concatenate(lists)
         order = np.argsort(every, kind="stable")
         same = every[order][1:] == every[order][:-1]
         twice = np.zeros(len(every), bool)
-        twice[order[1:][same]] = twice[order[:-1][same]] = True
+        twice[order[1:][same]] = True
+        if not before:
+            twice[order[:-1][same]] = True
         ends = np.cumsum(size)
         return pa.table({"bundle": t.column("bundle").cast(pa.int64()), "part": t.column("part").cast(pa.int64()), "bits": pa.array([zlib.compress(np.packbits(twice[b - n : b]).tobytes(), 1) for n, b in zip(size, ends, strict=True)], pa.binary())})
 
