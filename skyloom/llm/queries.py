@@ -5,6 +5,7 @@ from skyloom.llm.mixing import op10_mixing
 from skyloom.llm.multi_index import op9_multi_index
 from skyloom.llm.packing import op5_packing
 from skyloom.llm.suffix_dedup import op7_suffix_dedup
+from skyloom.llm.toxicity import op8_toxicity
 from skyloom.llm.url_graph import op1_url_graph
 
 QUERIES = {
@@ -12,6 +13,7 @@ QUERIES = {
     "op3_jaccard": op3_jaccard,
     "op5_packing": op5_packing,
     "op7_suffix_dedup": op7_suffix_dedup,
+    "op8_toxicity": op8_toxicity,
     "op9_multi_index": op9_multi_index,
     "op10_mixing": op10_mixing,
 }
