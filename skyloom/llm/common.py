@@ -16,11 +16,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """A reliable checkpoint in the folder that spark.checkpoint.dir names; a local one only where none is set."""
-    context = df.sparkSession.sparkContext
-    if not df.sparkSession.conf.get("spark.checkpoint.dir", None) and not context._jsc.sc().getCheckpointDir().isDefined():
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that spark.checkpoint.dir names; a local one is set only where none is."""
+    context = spark.sparkContext
+    found = spark.conf.get("spark.checkpoint.dir", None)
+    if found:
+        return found
+    if not context._jsc.sc().getCheckpointDir().isDefined():
         context.setCheckpointDir(tempfile.mkdtemp(prefix="skyloom-checkpoint-"))
+    return context._jsc.sc().getCheckpointDir().get()
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """A reliable checkpoint in the shared folder."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 

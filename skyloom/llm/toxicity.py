@@ -164,9 +164,9 @@ def score(docs: DataFrame, model: Model, name: str = "score") -> DataFrame:
     return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField(name, DoubleType())]))
 
 
-def reject(docs: DataFrame, labels: DataFrame, cut: float = CUT) -> DataFrame:
-    """docs without those predicted toxic."""
-    return score(docs, fit(docs, labels), "__score").filter(F.col("__score") < cut).drop("__score")
+def reject(docs: DataFrame, labels: DataFrame, cut: float = CUT, source: DataFrame | None = None) -> DataFrame:
+    """docs without those predicted toxic. source: where the labelled texts are, if not in docs."""
+    return score(docs, fit(docs if source is None else source, labels), "__score").filter(F.col("__score") < cut).drop("__score")
 
 
 def op8_toxicity(spark, sf_dir):
