@@ -60,7 +60,7 @@ def decl_to_dms(decl: Column) -> Column:
 
 
 def hms_to_ra(h: Column, m: Column, s: Column) -> Column:
-    """Degrees. A negative part makes all negative; parts of mixed sign are an error."""
+    """Degrees. A leading negative part makes all negative; a negative part after a positive one is an error."""
     return _joined(h, m, s) * 15
 
 
