@@ -24,19 +24,37 @@ PART = 16 << 20
 
 
 def squeeze(sorted_names: np.ndarray) -> bytes:
-    """Differences of sorted names, byte plane by byte plane, deflated."""
-    d = np.diff(sorted_names, prepend=np.uint64(0))
-    return zlib.compress(np.ascontiguousarray(d.view(np.uint8).reshape(-1, 8).T).tobytes(), 1)
+    """Differences of sorted names that share low zero bits, as byte planes; only the top one is worth deflating."""
+    import zstandard
 
-
-def unsqueeze(blob: bytes) -> np.ndarray:
-    planes = np.frombuffer(zlib.decompress(blob), np.uint8).reshape(8, -1)
-    return np.cumsum(np.ascontiguousarray(planes.T).view(np.uint64).ravel(), dtype=np.uint64)
+    low = np.uint64(0) if not len(sorted_names) else np.bitwise_or.reduce(sorted_names)
+    shift = int(low & (~low + np.uint64(1))).bit_length() - 1 if low else 0
+    d = np.diff(sorted_names >> np.uint64(shift), prepend=np.uint64(0))
+    width = max(1, (int(d[1:].max()) if len(d) > 1 else 0).bit_length() + 7 >> 3)
+    first, d = int(d[0]) if len(d) else 0, d[1:]
+    planes = np.ascontiguousarray(d.view(np.uint8).reshape(-1, 8)[:, :width].T) if len(d) else np.zeros((width, 0), np.uint8)
+    return bytes([shift, width]) + first.to_bytes(8, "little") + (len(d) + 1 if len(sorted_names) else 0).to_bytes(8, "little") + planes[:-1].tobytes() + zstandard.ZstdCompressor(1).compress(planes[-1].tobytes())
 
 
-def narrowed(names: np.ndarray, total: int) -> np.ndarray:
-    """Names with only as many leading bits as keep chance meetings below one in a thousand names."""
-    bits = min(64, max(40, int(total).bit_length() + 11))
+def unsqueeze(blob: bytes) -> np.ndarray:
+    import zstandard
+
+    shift, width, first, n = blob[0], blob[1], int.from_bytes(blob[2:10], "little"), int.from_bytes(blob[10:18], "little")
+    if not n:
+        return np.zeros(0, np.uint64)
+    raw = (width - 1) * (n - 1)
+    bytes_ = np.zeros((n, 8), np.uint8)
+    if n > 1:
+        bytes_[1:, : width - 1] = np.frombuffer(blob, np.uint8, raw, 18).reshape(width - 1, n - 1).T
+        bytes_[1:, width - 1] = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob[18 + raw :], max_output_size=n), np.uint8)
+    d = bytes_.view(np.uint64).ravel()
+    d[0] = first
+    return np.cumsum(d, dtype=np.uint64) << np.uint64(shift)
+
+
+def narrowed(names: np.ndarray, total: int, spare: int = 11) -> np.ndarray:
+    """Names with only as many leading bits as keep a chance meeting of one with any other below 2**-spare or so."""
+    bits = min(64, max(40, int(total).bit_length() + spare))
     return names >> np.uint64(64 - bits) << np.uint64(64 - bits)
 
 
@@ -50,24 +68,45 @@ def volume(docs: DataFrame) -> int:
 
 
 def dealt(docs: DataFrame, total: int, bundle: int = BUNDLE) -> DataFrame:
+    """docs with the bundle of each, by a hash of doc_id."""
     n = max(1, -(-total // bundle))
     return docs.withColumn("bundle", F.pmod(F.xxhash64(F.lit(7), "doc_id"), F.lit(n)))
 
 
-def ask(bundles: DataFrame, names: Callable[[list], np.ndarray], total: int, part: int = PART, exact: bool = False, before: bool = False, extra: str | None = None) -> DataFrame:
-    """bundles(bundle, doc_id, text) -> bundle, part, bits: bits of the bundle's sorted distinct names, part by part, packed.
+def ranged(docs: DataFrame, total: int, bundle: int = BUNDLE) -> DataFrame:
+    """docs with the bundle of each, bundles being ascending ranges of doc_id, null last.
 
-    names: of a list of (doc_id, text), any number of names; with `extra`, of (doc_id, (text, that column)). exact: compare
-    all 64 bits. before: a bit tells whether a bundle of a smaller number has the name, not just any other.
+    The driver gets one bound for each bundle; a row finds its own in two steps of as many comparisons as the root of that.
+    """
+    n = max(1, -(-total // bundle))
+    bounds = docs.agg(F.percentile_approx("doc_id", [i / n for i in range(1, n)], 100_000)).first()[0] if n > 1 else None
+    bounds = sorted(set(bounds or []))
+    step = max(1, int(len(bounds) ** 0.5))
+    groups = [bounds[i : i + step] for i in range(0, len(bounds), step)]
+    if not groups:
+        return docs.withColumn("bundle", F.lit(0).cast("long"))
+    lit = lambda xs: F.array(*[F.lit(x).cast("long") for x in xs])
+    key = F.coalesce(F.col("doc_id"), F.lit((1 << 63) - 1))
+    below = lambda xs: F.size(F.filter(xs, lambda x: x < key))
+    g = F.greatest(below(lit([x[0] for x in groups])), F.lit(1))
+    return docs.withColumn("bundle", ((g - 1) * step + below(F.element_at(F.array(*[lit(x) for x in groups]), g))).cast("long"))
+
+
+def ask(bundles: DataFrame, names: Callable, total: int, part: int = PART, spare: int = 11, before: bool = False, beside: DataFrame | None = None) -> DataFrame:
+    """bundles(bundle, ...) -> bundle, part, bits: bits of the bundle's sorted distinct names, part by part, packed.
+
+    names: of a table of a bundle's rows (and one of its rows of `beside`, if given), any number of names, told apart by
+    the bits that `narrowed` keeps. A bit tells whether another bundle has the name or, with before, one of a smaller number.
     """
     parts = max(1, -(-total // part))
 
-    def collect(t):
+    def collect(t, extra=None):
         import pyarrow as pa
 
-        texts = t.column("text").to_pylist()
-        got = names(list(zip(t.column("doc_id").to_pylist(), zip(texts, t.column(extra).to_pylist(), strict=True) if extra else texts, strict=True)))
-        got = np.unique(got if exact else narrowed(got, total))
+        none = pa.table({"part": pa.array([], pa.int64()), "bundle": pa.array([], pa.int64()), "names": pa.array([], pa.binary())})
+        if not t.num_rows:
+            return none
+        got = np.unique(narrowed(names(t) if extra is None else names(t, extra), total, spare))
         owner = part_of(got, parts)
         edge = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1], True]) if len(owner) else np.zeros(1, np.int64)
         which = [int(owner[a]) for a in edge[:-1]]
@@ -81,41 +120,57 @@ def ask(bundles: DataFrame, names: Callable[[list], np.ndarray], total: int, par
         lists = [unsqueeze(b) for b in t.column("names").to_pylist()]
         size = np.array([len(x) for x in lists])
         every = np.concatenate(lists)
-        order = np.argsort(every, kind="stable")
-        same = every[order][1:] == every[order][:-1]
-        twice = np.zeros(len(every), bool)
-        twice[order[1:][same]] = True
-        if not before:
-            twice[order[:-1][same]] = True
+        del lists
+        order = np.argsort(every)
+        edge = np.flatnonzero(np.r_[True, every[order[1:]] != every[order[:-1]]])
+        times = np.diff(np.r_[edge, len(every)])
+        del every
+        twice = np.zeros(len(order), bool)
+        if before:
+            number = np.repeat(np.arange(len(size), dtype=np.int32), size)[order]
+            twice[order] = number > np.repeat(np.minimum.reduceat(number, edge), times)
+        else:
+            twice[order] = np.repeat(times > 1, times)
         ends = np.cumsum(size)
         return pa.table({"bundle": t.column("bundle").cast(pa.int64()), "part": t.column("part").cast(pa.int64()), "bits": pa.array([zlib.compress(np.packbits(twice[b - n : b]).tobytes(), 1) for n, b in zip(size, ends, strict=True)], pa.binary())})
 
-    asked = bundles.groupBy("bundle").applyInArrow(collect, "part long, bundle long, names binary")
+    schema = "part long, bundle long, names binary"
+    if beside is None:
+        asked = bundles.groupBy("bundle").applyInArrow(lambda t: collect(t), schema)
+    else:
+        asked = bundles.groupBy("bundle").cogroup(beside.groupBy("bundle")).applyInArrow(lambda t, extra: collect(t, extra), schema)
     return asked.groupBy("part").applyInArrow(answer, "bundle long, part long, bits binary")
 
 
 class Answers:
-    """A bundle's answers, looked up by name."""
-
-    def __init__(self, names: np.ndarray, table, total: int, part: int = PART, exact: bool = False):
-        self.total, self.exact = total, exact
-        got = np.unique(names if exact else narrowed(names, total))
-        owner = part_of(got, max(1, -(-total // part)))
-        self.repeated = np.zeros(0, np.uint64)
-        found = []
+    """A bundle's answers, in one sort of its names.
+
+    yes: for each name, the answer. `least` gives a minimum over the bundle's equal names, `often` whether there are any.
+    """
+
+    def __init__(self, names: np.ndarray, table, total: int, part: int = PART, spare: int = 11):
+        short = narrowed(names, total, spare)
+        self.order = np.argsort(short)
+        short = short[self.order]
+        self.edge = np.flatnonzero(np.r_[True, short[1:] != short[:-1]]) if len(short) else np.zeros(0, np.int64)
+        self.times = np.diff(np.r_[self.edge, len(short)])
+        owner = part_of(short[self.edge], max(1, -(-total // part)))
+        yes = np.zeros(len(self.edge), bool)
         for p, bits in zip(table.column("part").to_pylist(), table.column("bits").to_pylist(), strict=True):
-            own = got[np.searchsorted(owner, p) : np.searchsorted(owner, p, "right")]
-            found.append(own[np.unpackbits(np.frombuffer(zlib.decompress(bits), np.uint8), count=len(own)).astype(bool)])
-        if found:
-            self.repeated = np.sort(np.concatenate(found))
-
-    def __call__(self, names: np.ndarray) -> np.ndarray:
-        """For each name, whether another bundle has it."""
-        names = names if self.exact else narrowed(names, self.total)
-        if not len(self.repeated):
-            return np.zeros(len(names), bool)
-        at = np.minimum(np.searchsorted(self.repeated, names), len(self.repeated) - 1)
-        return self.repeated[at] == names
+            lo, hi = np.searchsorted(owner, p), np.searchsorted(owner, p, "right")
+            yes[lo:hi] = np.unpackbits(np.frombuffer(zlib.decompress(bits), np.uint8), count=hi - lo).astype(bool)
+        self.yes = self._back(yes)
+
+    def _back(self, of_group: np.ndarray) -> np.ndarray:
+        out = np.empty(len(self.order), of_group.dtype)
+        out[self.order] = np.repeat(of_group, self.times)
+        return out
+
+    def often(self) -> np.ndarray:
+        return self._back(self.times > 1)
+
+    def least(self, of_name: np.ndarray) -> np.ndarray:
+        return self._back(np.minimum.reduceat(of_name[self.order], self.edge)) if len(self.order) else of_name
 
 
 def answered(bundles: DataFrame, answers: DataFrame, use: Callable, schema: str) -> DataFrame:

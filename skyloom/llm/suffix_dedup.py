@@ -12,7 +12,7 @@ be told apart to that depth, so the blockwise construction becomes:
    time, each suffix against the documents before its own. Documents are cut into ranges of doc_id, so that all a bucket
    needs to know is the first range that has a name.
 
-No suffix travels with its text: a name takes a few bytes, and each once for each bundle of documents, so neither a
+Texts travel deflated and once: all four uses of them are the same exchange. No suffix travels with its text: a name takes a few bytes, and each once for each bundle of documents, so neither a
 passage that a third of all documents share nor a large group of copies gathers in one task. Whole copies of a
 document with a smaller doc_id are found first by digest and need no third step. Memory is bounded by a bundle or a
 part of fixed size.
@@ -38,7 +38,10 @@ LENGTH = 50
 #: A perfect difference set: every difference modulo PERIOD occurs once.
 PERIOD, COVER = 31, (1, 5, 11, 24, 25, 27)
 LAST = (1 << 63) - 1
-RANGE = 6 << 20
+#: Bits by which suffix names exceed what their number takes; the chance of one false meeting stays below a percent.
+SPARE = 30
+#: Bytes of text for a bundle and for a part of the name space: a task may have a name for every byte of a bundle.
+BUNDLE, PART = 4 << 20, 8 << 20
 _K = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3)]
 
 
@@ -69,10 +72,9 @@ class Joined:
 
     def reach(self, tied: np.ndarray) -> np.ndarray:
         """Suffixes, long enough, that have one of the sampled positions `tied` less than PERIOD ahead."""
-        mark = np.zeros(len(self.data) + 1, np.int32)
-        np.add.at(mark, np.maximum(tied - PERIOD + 1, self.start[np.searchsorted(self.start, tied, "right") - 1]), 1)
-        np.add.at(mark, tied + 1, -1)
-        found = np.flatnonzero(np.cumsum(mark) > 0)
+        n = len(self.data) + 1
+        first = np.maximum(tied - PERIOD + 1, self.start[np.searchsorted(self.start, tied, "right") - 1])
+        found = np.flatnonzero(np.cumsum(np.bincount(first, minlength=n) - np.bincount(tied + 1, minlength=n)) > 0)
         doc = np.searchsorted(self.start, found, "right") - 1
         return found[found + self.length <= self.start[doc] + self.size[doc]]
 
@@ -118,128 +120,152 @@ def _parcels(texts: list[bytes], size: int = 2 << 20):
 
 
 def copies(docs: DataFrame) -> DataFrame:
-    """bundle, part (-1), bits: the doc_ids of whole copies of documents with smaller doc_ids, as the answers' rows are."""
+    """bundle, part (-1), bits: doc_id and digest of whole copies of documents with smaller doc_ids, in the form of answers."""
     digest = docs.filter(F.col("doc_id").isNotNull()).select("doc_id", "bundle", F.md5(F.coalesce("text", F.lit(""))).alias("digest"))
     least = digest.groupBy("digest").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).filter("low < high")
     found = digest.join(least, "digest").filter("doc_id > low").select("bundle", "doc_id", "digest").distinct()
     return found.select("bundle", F.lit(-1).cast("long").alias("part"), F.concat(F.hex("doc_id"), F.lit(" "), "digest").cast("binary").alias("bits"))
 
 
-OUT = "doc_id long, text_key long, n_bytes long, n_removed long, spans array<struct<start:long,end:long>>, kept_sha256 string, text string, runs binary"
+def packed(docs: DataFrame) -> DataFrame:
+    """docs(bundle, doc_id, text, text_key) with text deflated, so that exchanges and what waits for them are small."""
 
+    def run(batches):
+        import pyarrow as pa
+        import zstandard
+
+        pack = zstandard.ZstdCompressor(3)
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([b.column("bundle"), b.column("doc_id").cast(pa.int64()), b.column("text_key"), pa.array([pack.compress(t) for t in _bytes(b.column("text").to_pylist())], pa.binary())], names=["bundle", "doc_id", "text_key", "packed"])
+
+    return docs.select("bundle", "doc_id", "text_key", "text").mapInArrow(run, "bundle long, doc_id long, text_key long, packed binary")
+
+
+def _unpacked(t) -> list[bytes]:
+    import zstandard
+
+    unpack = zstandard.ZstdDecompressor()
+    return [unpack.decompress(p) for p in t.column("packed").to_pylist()]
+
+
+def _are_copies(ids: list, raw: list[bytes], answers, length: int) -> list[bool]:
+    own = {b for p, b in zip(answers.column("part").to_pylist(), answers.column("bits").to_pylist(), strict=True) if p == -1}
+    return [bool(own) and len(b) >= length and i is not None and f"{i & (1 << 64) - 1:X} {hashlib.md5(b).hexdigest()}".encode() in own for i, b in zip(ids, raw, strict=True)]
+
+
+OUT = "doc_id long, text_key long, bundle long, n_bytes long, n_removed long, spans array<struct<start:long,end:long>>, kept_sha256 string, runs binary"
+
+
+def _out(ids, keys, bundles, rows):
+    """Rows of (n_bytes, n_removed, spans, kept_sha256, runs) as a table."""
+    import pyarrow as pa
 
-def first_pass(docs: DataFrame, length: int, total: int) -> DataFrame:
-    """A row for each document: final, or with text and the runs of suffixes that have long ties."""
-    bundles = repeats.dealt(docs.select("doc_id", "text", F.xxhash64("text").alias("text_key")), total)
+    kinds = [pa.int64(), pa.int64(), pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])), pa.string(), pa.binary()]
+    columns = zip(*rows, strict=True) if rows else [()] * len(kinds)
+    return pa.table([pa.array(ids, pa.int64()), pa.array(keys, pa.int64()), pa.array(bundles, pa.int64()), *(pa.array(c, k) for c, k in zip(columns, kinds, strict=True))], names=[x.split()[0] for x in OUT.split(", ")])
 
-    def names(pairs):
-        texts = _bytes(t for _, t in pairs)
-        return np.concatenate([np.zeros(0, np.uint64), *(np.unique(Joined(texts[s], length).sample()[1]) for s in _parcels(texts))])
+
+def first_pass(bundles: DataFrame, whole: DataFrame, length: int, total: int) -> DataFrame:
+    """A row for each document: final, or with the runs of its suffixes that have long ties."""
+
+    def sampled(t, answers):
+        ids, raw = t.column("doc_id").to_pylist(), _unpacked(t)
+        gone = _are_copies(ids, raw, answers, length)
+        parts = [(s, Joined([b"" if c else b for b, c in zip(raw[s], gone[s], strict=True)], length)) for s in _parcels(raw)]
+        return ids, raw, gone, parts, [j.sample() for _, j in parts]
+
+    def names(t, answers):
+        return np.concatenate([np.zeros(0, np.uint64), *(x for _, x in sampled(t, answers)[-1])])
 
     def use(t, answers):
-        import pyarrow as pa
         import pyarrow.compute as pc
 
-        ids, texts = t.column("doc_id").to_pylist(), t.column("text").to_pylist()
-        raw = _bytes(texts)
-        own = answers.filter(pc.equal(answers.column("part"), -1)).column("bits").to_pylist()
-        whole = set(own)
-        is_copy = [len(b) >= length and i is not None and f"{i & (1 << 64) - 1:X} {hashlib.md5(b).hexdigest()}".encode() in whole for i, b in zip(ids, raw, strict=True)]
-        parts = [(s, Joined([b"" if c else b for b, c in zip(raw[s], is_copy[s], strict=True)], length)) for s in _parcels(raw)]
-        samples = [j.sample() for _, j in parts]
+        if not t.num_rows:
+            return _out([], [], [], [])
+        ids, raw, gone, parts, samples = sampled(t, answers)
         every = np.concatenate([np.zeros(0, np.uint64), *(x for _, x in samples)])
-        # the question also had the copies' names
-        asked = np.concatenate([np.zeros(0, np.uint64), *(Joined(raw[s], length).sample()[1] for s, _ in parts)]) if any(is_copy) else every
-        elsewhere = repeats.Answers(asked, answers.filter(pc.not_equal(answers.column("part"), -1)), total)
-        short = repeats.narrowed(every, total)
-        order = np.argsort(short, kind="stable")
-        same = short[order][1:] == short[order][:-1]
-        tied = elsewhere(every)
-        tied[order[1:][same]] = tied[order[:-1][same]] = True
+        got = repeats.Answers(every, answers.filter(pc.not_equal(answers.column("part"), -1)), total, PART)
+        tied = got.yes | got.often()
         out, at = [], 0
         for (s, j), (where, x) in zip(parts, samples, strict=True):
             reach = j.reach(where[tied[at : at + len(x)]])
             at += len(x)
-            doc = np.searchsorted(j.start, reach, "right") - 1
-            edge = np.searchsorted(doc, np.arange(len(j.size) + 1))
+            edge = np.searchsorted(np.searchsorted(j.start, reach, "right") - 1, np.arange(len(j.size) + 1))
             for k in range(len(j.size)):
-                i = s.start + k
-                n = len(raw[i])
-                here = reach[edge[k] : edge[k + 1]] - j.start[k]
-                if is_copy[i]:
-                    out.append((n, n, [{"start": 0, "end": n}], hashlib.sha256(b"").hexdigest(), None, None))
+                b, here = raw[s.start + k], reach[edge[k] : edge[k + 1]] - j.start[k]
+                if gone[s.start + k]:
+                    out.append((len(b), len(b), [{"start": 0, "end": len(b)}], hashlib.sha256(b"").hexdigest(), None))
                 elif len(here):
-                    out.append((n, 0, None, None, raw[i].decode("utf-8", "surrogatepass"), _runs(here).astype("<i8").tobytes()))
+                    out.append((len(b), 0, None, None, _runs(here).astype("<i8").tobytes()))
                 else:
-                    out.append((n, 0, [], hashlib.sha256(raw[i]).hexdigest(), None, None))
-        cols = list(zip(*out, strict=True))
-        spans = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
-        kinds = [pa.int64(), pa.int64(), spans, pa.string(), pa.string(), pa.binary()]
-        return pa.table([pa.array(ids, pa.int64()), t.column("text_key").cast(pa.int64()), *(pa.array(c, k) for c, k in zip(cols, kinds, strict=True))], names=[x.split()[0] for x in OUT.split(", ")])
+                    out.append((len(b), 0, [], hashlib.sha256(b).hexdigest(), None))
+        return _out(ids, t.column("text_key").to_pylist(), t.column("bundle").to_pylist(), out)
 
-    asked = repeats.ask(bundles, names, total)
-    return repeats.answered(bundles, asked.unionByName(copies(bundles)), use, OUT)
+    asked = repeats.ask(bundles, names, total, PART, beside=whole)
+    return repeats.answered(bundles, asked.unionByName(whole), use, OUT)
 
 
-def second_pass(pending: DataFrame, length: int, total: int) -> DataFrame:
-    """pending(bundle, doc_id, text, text_key, runs), bundles being ascending ranges of doc_id -> final rows."""
+def second_pass(bundles: DataFrame, found: DataFrame, length: int, total: int) -> DataFrame:
+    """Documents and their rows of the first pass, bundles being ascending ranges of doc_id -> final rows."""
 
-    def keys(texts, runs):
-        """Keys of all suffixes in the runs, their documents and positions."""
-        got = []
+    def keyed(t, rows):
+        """Of documents with runs, in ascending order: row numbers, texts, and their suffixes' keys, documents and positions."""
+        runs = {(i, k): r for i, k, r in zip(*(rows.column(c).to_pylist() for c in ("doc_id", "text_key", "runs")), strict=True) if r is not None}
+        ids, keys = t.column("doc_id").to_pylist(), t.column("text_key").to_pylist()
+        at = sorted((n for n, key in enumerate(zip(ids, keys, strict=True)) if key in runs), key=lambda n: (ids[n] is None, ids[n]) if ids[n] is not None else (True, 0))
+        own = [runs[ids[n], keys[n]] for n in at]
+        texts = _unpacked(t.take(at)) if at else []
+        got = [(np.zeros(0, np.uint64), np.zeros(0, np.int32), np.zeros(0, np.int32))]
         for s in _parcels(texts):
             j = Joined(texts[s], length)
-            each = [_positions(np.frombuffer(r, "<i8").reshape(-1, 2)) for r in runs[s]]
-            at = np.concatenate(each)
+            each = [_positions(np.frombuffer(r, "<i8").reshape(-1, 2)) for r in own[s]]
+            where = np.concatenate(each)
             doc = np.repeat(np.arange(s.start, s.stop), [len(x) for x in each])
-            got.append((names_at(j.data, at + j.start[doc - s.start], length) if len(at) else np.zeros(0, np.uint64), doc, at))
-        return [np.concatenate(x) for x in zip(*got, strict=True)]
-
-    def names(rows):
-        return keys(_bytes(t for _, (t, _) in rows), [r for _, (_, r) in rows])[0]
+            got.append((names_at(j.data, where + j.start[doc - s.start], length) if len(where) else got[0][0], doc.astype(np.int32), where.astype(np.int32)))
+        return at, texts, *(np.concatenate(x) for x in zip(*got, strict=True))
 
-    def use(t, answers):
-        import pyarrow as pa
-
-        t = t.sort_by("doc_id")  # nulls last
-        ids, raw, runs = t.column("doc_id").to_pylist(), _bytes(t.column("text").to_pylist()), t.column("runs").to_pylist()
-        key, doc, at = keys(raw, runs)
-        earlier = repeats.Answers(key, answers, total, exact=True)(key)
-        number = np.array([LAST if i is None else i for i in ids], np.int64)
-        _, first, which = np.unique(key, return_index=True, return_inverse=True)  # documents ascend, so the first is the least
-        gone = earlier | (number[doc] > number[doc[first]][which])
-        edge = np.searchsorted(doc, np.arange(len(raw) + 1))
-        out = []
-        for k, b in enumerate(raw):
-            starts = at[edge[k] : edge[k + 1]][gone[edge[k] : edge[k + 1]]]
-            spans = []
-            for a, z in _runs(starts).tolist():
-                z += length - 1
-                if spans and a <= spans[-1][1]:
-                    spans[-1][1] = z
-                else:
-                    spans.append([a, z])
-            kept = b"".join(b[a:z] for a, z in zip([0, *(z for _, z in spans)], [*(a for a, _ in spans), len(b)], strict=True))
-            out.append((len(b), len(b) - len(kept), [{"start": a, "end": z} for a, z in spans], hashlib.sha256(kept).hexdigest(), None, None))
-        cols = list(zip(*out, strict=True))
-        spans = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
-        kinds = [pa.int64(), pa.int64(), spans, pa.string(), pa.string(), pa.binary()]
-        return pa.table([pa.array(ids, pa.int64()), t.column("text_key").cast(pa.int64()), *(pa.array(c, k) for c, k in zip(cols, kinds, strict=True))], names=[x.split()[0] for x in OUT.split(", ")])
+    def use(t, beside):
+        import pyarrow.compute as pc
 
-    asked = repeats.ask(pending, names, total, exact=True, before=True, extra="runs")
-    return repeats.answered(pending, asked, use, OUT)
+        if not t.num_rows:
+            return _out([], [], [], [])
+        rows = beside.filter(pc.is_null(beside.column("part")))
+        at, texts, key, doc, where = keyed(t, rows)
+        final = {}
+        if at:
+            ids = t.column("doc_id").to_pylist()
+            got = repeats.Answers(key, beside.filter(pc.is_valid(beside.column("part"))), total, PART, SPARE)
+            number = np.array([LAST if ids[n] is None else ids[n] for n in at], np.int64)
+            gone = got.yes | (number[doc] > number[got.least(doc)])  # documents ascend, so the least row has the least doc_id
+            edge = np.searchsorted(doc, np.arange(len(texts) + 1))
+            for k, b in enumerate(texts):
+                starts = where[edge[k] : edge[k + 1]][gone[edge[k] : edge[k + 1]]]
+                spans = []
+                for a, z in _runs(starts).tolist():
+                    z += length - 1
+                    if spans and a <= spans[-1][1]:
+                        spans[-1][1] = z
+                    else:
+                        spans.append([a, z])
+                kept = b"".join(b[a:z] for a, z in zip([0, *(z for _, z in spans)], [*(a for a, _ in spans), len(b)], strict=True))
+                final[at[k]] = (len(b), len(b) - len(kept), [{"start": a, "end": z} for a, z in spans], hashlib.sha256(kept).hexdigest(), None)
+        done = {(r["doc_id"], r["text_key"]): tuple(r[c] for c in ("n_bytes", "n_removed", "spans", "kept_sha256", "runs")) for r in rows.filter(pc.is_null(rows.column("runs"))).to_pylist()}
+        ids, keys = t.column("doc_id").to_pylist(), t.column("text_key").to_pylist()
+        return _out(ids, keys, t.column("bundle").to_pylist(), [final[n] if n in final else done[ids[n], keys[n]] for n in range(len(ids))])
+
+    asked = repeats.ask(bundles, lambda t, rows: keyed(t, rows)[2], total, PART, SPARE, before=True, beside=found)
+    return repeats.answered(bundles, found.unionByName(asked, allowMissingColumns=True), use, OUT)
 
 
 def find(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """docs(doc_id, text) -> doc_id, text_key (xxhash64 of text), n_bytes, n_removed, spans (removed, maximal), kept_sha256."""
     if length < PERIOD + 7:
         raise ValueError(f"length must be at least {PERIOD + 7}")
-    found = cut(first_pass(docs, length, repeats.volume(docs)))
-    left = found.filter(F.col("runs").isNotNull())
-    total = repeats.volume(left)
-    ranged = cut(left.select("doc_id", "text", "text_key", "runs").repartitionByRange(max(1, -(-total // RANGE)), F.col("doc_id").asc_nulls_last()).withColumn("bundle", F.spark_partition_id().cast("long")))
-    columns = ("doc_id", "text_key", "n_bytes", "n_removed", "spans", "kept_sha256")
-    return found.filter(F.col("runs").isNull()).select(*columns).unionByName(second_pass(ranged, length, total).select(*columns))
+    total = repeats.volume(docs)
+    bundles = repeats.ranged(docs.select("doc_id", "text", F.xxhash64("text").alias("text_key")), total, BUNDLE)
+    dealt = packed(bundles)
+    found = first_pass(dealt, cut(copies(bundles)), length, total).repartition("bundle")
+    return cut(second_pass(dealt, found, length, total).select("doc_id", "text_key", "n_bytes", "n_removed", "spans", "kept_sha256"))
 
 
 def remove(docs: DataFrame, length: int = LENGTH) -> DataFrame:
@@ -247,6 +273,8 @@ def remove(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     spans = cut(find(docs, length).filter("n_removed > 0").select(F.col("doc_id").alias("__d"), F.col("text_key").alias("__k"), "spans").distinct())
     marked = docs.join(spans.withColumnRenamed("spans", "__spans"), F.col("doc_id").eqNullSafe(F.col("__d")) & (F.xxhash64("text") == F.col("__k")), "left")
 
+    columns = docs.columns
+
     def cut_out(batches):
         import pyarrow as pa
 
@@ -259,9 +287,9 @@ def remove(docs: DataFrame, length: int = LENGTH) -> DataFrame:
                 kept.append((t, bool(spans) and not t))
             i = batch.schema.get_field_index("text")
             batch = batch.set_column(i, "text", pa.array([t for t, _ in kept], pa.string()))
-            yield batch.filter(pa.array([not gone for _, gone in kept], pa.bool_())).select(docs.columns)
+            yield batch.filter(pa.array([not gone for _, gone in kept], pa.bool_())).select(columns)
 
-    return marked.select(*docs.columns, "__spans").mapInArrow(cut_out, docs.schema)
+    return marked.select(*columns, "__spans").mapInArrow(cut_out, docs.schema)
 
 
 def op7_suffix_dedup(spark, sf_dir):
