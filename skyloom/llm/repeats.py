@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 BUNDLE = 12 << 20
 #: Bytes of text for each part of the name space.
 PART = 16 << 20
+MOST_BOUNDS = 4096
 
 
 def squeeze(sorted_names: np.ndarray) -> bytes:
@@ -73,23 +74,32 @@ def dealt(docs: DataFrame, total: int, bundle: int = BUNDLE) -> DataFrame:
     return docs.withColumn("bundle", F.pmod(F.xxhash64(F.lit(7), "doc_id"), F.lit(n)))
 
 
-def ranged(docs: DataFrame, total: int, bundle: int = BUNDLE) -> DataFrame:
+def ranged(docs: DataFrame, total: int, bundle: int = BUNDLE, most: int = MOST_BOUNDS) -> DataFrame:
     """docs with the bundle of each, bundles being ascending ranges of doc_id, null last.
 
-    The driver gets one bound for each bundle; a row finds its own in two steps of as many comparisons as the root of that.
+    The driver gets at most `most` quantiles of doc_id, whatever the size; a row finds its own in two steps of as many
+    comparisons as the root of that. Beyond so many bundles, the ranges between quantiles are cut evenly.
     """
     n = max(1, -(-total // bundle))
-    bounds = docs.agg(F.percentile_approx("doc_id", [i / n for i in range(1, n)], 100_000)).first()[0] if n > 1 else None
-    bounds = sorted(set(bounds or []))
-    step = max(1, int(len(bounds) ** 0.5))
-    groups = [bounds[i : i + step] for i in range(0, len(bounds), step)]
-    if not groups:
+    coarse = min(n, most)
+    parts = -(-n // coarse)
+    found = docs.agg(F.percentile_approx("doc_id", [i / coarse for i in range(coarse + 1)], 100_000)).first()[0] if n > 1 else None
+    bounds = sorted({b for b in found or [] if b is not None})
+    if len(bounds) < 2:
         return docs.withColumn("bundle", F.lit(0).cast("long"))
+    low, high = bounds[:-1], bounds[1:]
+    step = max(1, int(len(low) ** 0.5))
+    groups = [low[i : i + step] for i in range(0, len(low), step)]
     lit = lambda xs: F.array(*[F.lit(x).cast("long") for x in xs])
     key = F.coalesce(F.col("doc_id"), F.lit((1 << 63) - 1))
     below = lambda xs: F.size(F.filter(xs, lambda x: x < key))
     g = F.greatest(below(lit([x[0] for x in groups])), F.lit(1))
-    return docs.withColumn("bundle", ((g - 1) * step + below(F.element_at(F.array(*[lit(x) for x in groups]), g))).cast("long"))
+    out = docs.withColumn("bundle", F.greatest(F.lit(0), (g - 1) * step + below(F.element_at(F.array(*[lit(x) for x in groups]), g)) - 1).cast("long"))
+    if parts == 1:
+        return out
+    ends = lambda xs: F.element_at(F.flatten(F.array(*[lit(xs[i : i + step]) for i in range(0, len(xs), step)])), (F.col("bundle") + 1).cast("int")).cast("double")
+    share = F.least(F.lit(1.0), F.greatest(F.lit(0.0), (key.cast("double") - ends(low)) / (ends(high) - ends(low))))
+    return out.withColumn("bundle", F.col("bundle") * parts + F.least(F.lit(parts - 1), F.floor(share * parts)))
 
 
 def ask(bundles: DataFrame, names: Callable, total: int, part: int = PART, spare: int = 11, before: bool = False, beside: DataFrame | None = None) -> DataFrame:

@@ -5,7 +5,7 @@ import zlib
 import numpy as np
 import pytest
 
-from skyloom.llm import jaccard, media, near_copies, packing, quality, suffix_dedup, token_counts, toxicity
+from skyloom.llm import jaccard, media, near_copies, packing, quality, repeats, suffix_dedup, token_counts, toxicity
 from skyloom.llm.shingles import Classes, Words, product_links, shingle_set
 
 SCHEMA = "doc_id long, text string, source string, size string, bundle int, part string"
@@ -120,12 +120,29 @@ def found(df):
 
 
 def test_suffix_dedup_is_exact(spark, corpus, monkeypatch):
-    monkeypatch.setattr("skyloom.llm.repeats.BUNDLE", 1 << 14)
+    monkeypatch.setattr("skyloom.llm.suffix_dedup.BUNDLE", 1 << 13)
+    monkeypatch.setattr("skyloom.llm.suffix_dedup.PART", 1 << 14)
     rows = list(enumerate(corpus)) + [(0, corpus[0]), (None, corpus[1]), (2, corpus[9])]
     got, key = found(suffix_dedup.find(table(spark, [t for _, t in rows], [i for i, _ in rows])))
     assert got == sorted(brute_removed(rows), key=key)
 
 
+@pytest.mark.parametrize("most", [4096, 3, 1])
+def test_ranges_ascend(spark, most):
+    ids = [*range(0, 300, 3), 10**12, 10**12, -5, None]
+    rows = repeats.ranged(table(spark, ["x" * 10] * len(ids), ids), 1000, 100, most).collect()
+    got = sorted((r.doc_id is None, r.doc_id or 0, r.bundle) for r in rows)
+    assert [b for *_, b in got] == sorted(b for *_, b in got) and len({b for *_, b in got}) > (1 if most == 1 else 3)
+    assert len({r.bundle for r in rows if r.doc_id == 10**12}) == 1
+
+
+def test_names_survive_packing():
+    rng = np.random.default_rng(0)
+    for n in (0, 1, 2, 1000):
+        x = np.unique(repeats.narrowed(rng.integers(0, 1 << 64, n, np.uint64, endpoint=False), 1 << 20))
+        assert (repeats.unsqueeze(repeats.squeeze(x)) == x).all()
+
+
 def test_suffix_dedup_of_nothing(spark):
     assert suffix_dedup.find(table(spark, [])).count() == 0
     assert suffix_dedup.remove(table(spark, [])).count() == 0
