@@ -437,7 +437,7 @@ def substituted(spark, sf_dir):
 # -- tables and headers -----------------------------------------------------------------------------------------------
 
 
-@query(f"WITH m AS ({M}), p AS (SELECT *, CASE WHEN xtrsrc % 13 = 0 THEN 360.0 ELSE 10.0 END AS er FROM m WHERE xtrsrc % 17 <> 0) SELECT xtrsrc, er AS error_radius, ROUND(SQRT(100 + er * er) / 3600, 9) AS uew, CAST(FLOOR(decl) AS INTEGER) AS zone, ROUND(ra * COS(RADIANS(decl)), 6) AS racosdecl, CAST(0 AS INTEGER) AS extract_type FROM p")
+@query(f"WITH m AS ({M}), p AS (SELECT *, CASE WHEN xtrsrc % 13 = 0 THEN CAST(360 AS DOUBLE) ELSE CAST(10 AS DOUBLE) END AS er FROM m WHERE xtrsrc % 17 <> 0) SELECT xtrsrc, er AS error_radius, ROUND(SQRT(100 + er * er) / 3600, 9) AS uew, CAST(FLOOR(decl) AS INTEGER) AS zone, ROUND(ra * COS(RADIANS(decl)), 6) AS racosdecl, CAST(0 AS INTEGER) AS extract_type FROM p")
 def prepared_measurements(spark, sf_dir):
     inf = float("inf")
     m = fx.measurements(spark, sf_dir).drop("uew", "uns").withColumns({
