@@ -50,9 +50,9 @@ RUNNING = f"""m AS ({M}), s AS (SELECT *, COUNT(*) OVER w AS n, AVG(f_int) OVER
  CASE WHEN n = 1 THEN 0 ELSE n / (n - 1) * (w0 * w2 - w1 * w1) / w0 END AS eta_int FROM s)"""
 
 
-@query(f"WITH {RUNNING} SELECT xtrsrc, source, band, n, ROUND(v_int, 6) AS v_int, ROUND(eta_int, 2) AS eta_int FROM v")
+@query(f"WITH {RUNNING} SELECT xtrsrc, source, band, n, ROUND(v_int, 6) AS v_int, ROUND(eta_int, 6) AS eta_int FROM v")
 def running_variability(spark, sf_dir):
-    return rounded(lc.running_metrics(fx.measurements(spark, sf_dir)).select("xtrsrc", "source", "band", "n", "v_int", "eta_int"), v_int=6, eta_int=2)
+    return rounded(lc.running_metrics(fx.measurements(spark, sf_dir)).select("xtrsrc", "source", "band", "n", "v_int", "eta_int"), v_int=6, eta_int=6)
 
 
 BEST = f"""{RUNNING}, l AS (SELECT source, band, MAX(ts) AS ts FROM v GROUP BY ALL), b AS (SELECT v.*, ROW_NUMBER() OVER (PARTITION BY v.source ORDER BY f_int DESC, xtrsrc DESC) AS k FROM v JOIN l USING (source, band, ts)),
@@ -105,11 +105,11 @@ def frequency_bands(spark, sf_dir):
     return fx.read(spark, sf_dir, "events").select(F.col("event_type").alias("band")).distinct()
 
 
-@query(f"WITH {RUNNING}, f AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY source, band ORDER BY ts DESC, xtrsrc DESC) AS k FROM v) SELECT source, band, n, ROUND(v_int, 6) AS v_int, ROUND(eta_int, 2) AS eta_int FROM f WHERE k = 1 AND v_int > 0.4")
+@query(f"WITH {RUNNING}, f AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY source, band ORDER BY ts DESC, xtrsrc DESC) AS k FROM v) SELECT source, band, n, ROUND(v_int, 6) AS v_int, ROUND(eta_int, 6) AS eta_int FROM f WHERE k = 1 AND v_int > 0.4")
 def final_variability(spark, sf_dir):
     v = lc.running_metrics(fx.measurements(spark, sf_dir))
     k = F.row_number().over(Window.partitionBy("source", "band").orderBy(F.col("ts").desc(), F.col("xtrsrc").desc()))
-    return rounded(v.withColumn("k", k).filter("k = 1 AND v_int > 0.4").select("source", "band", "n", "v_int", "eta_int"), v_int=6, eta_int=2)
+    return rounded(v.withColumn("k", k).filter("k = 1 AND v_int > 0.4").select("source", "band", "n", "v_int", "eta_int"), v_int=6, eta_int=6)
 
 
 # -- association ------------------------------------------------------------------------------------------------------
