@@ -4,7 +4,7 @@
 2. Rows that can link agree on at least one block of columns whose number follows from the sizes (shingles.Classes).
    Each row's blocks are hashed; only hashes that another bundle has, too, leave the bundle (repeats), so almost all of
    the matrix is never multiplied. A common line spreads over many blocks and makes none of them alike by itself.
-3. Rows that share block hashes hang on the least of them; what hangs together is a cluster. A cluster's rows are cut
+3. Pairs that share too few block hashes for their sizes are discarded (near_pairs); what still hangs together is a cluster. A cluster's rows are cut
    into row blocks of ROWS documents, and every pair of row blocks is multiplied in one task, overlaps accumulating
    over column blocks and pairs being discarded below the bounds of their sizes. The task returns a spanning forest of
    its links, never all pairs.
@@ -28,6 +28,8 @@ from skyloom.llm.shingles import Classes, Words, product_links, shingle_set
 
 WORDS, PERCENT = 3, 90
 ROWS = 384
+#: Keys up to which a signature's pairs are counted one by one.
+COMMON = 16
 
 
 def key_of(s: np.ndarray) -> int:
@@ -38,7 +40,7 @@ def key_of(s: np.ndarray) -> int:
 
 
 def features(docs: DataFrame, words: int, percent: int, total: int) -> DataFrame:
-    """doc_id, n, key for each document; sigs and text for the first of each set in a bundle if others share a block of it."""
+    """doc_id, n, key for each document; sigs (with class and bound) and text for the first of each set in a bundle if others share a block of it."""
     bundles = repeats.dealt(docs.select("doc_id", "text"), total)
 
     def rows(texts):
@@ -48,41 +50,62 @@ def features(docs: DataFrame, words: int, percent: int, total: int) -> DataFrame
             key = key_of(s)
             first = len(s) > 0 and key not in met
             met.add(key)
-            yield len(s), key, kinds.signatures(s) if first else np.zeros(0, np.uint64)
+            yield len(s), key, kinds.blocks(s if first else s[:0])
 
-    def names(pairs):
-        return np.concatenate([np.zeros(0, np.uint64), *(sig for _, _, sig in rows([t for _, t in pairs]))])
+    def names(t):
+        return np.concatenate([np.zeros(0, np.uint64), *(b[0] for _, _, b in rows(t.column("text").to_pylist()))])
 
     def use(t, answers):
         import pyarrow as pa
 
         texts = t.column("text").to_pylist()
         got = list(rows(texts))
-        every = np.concatenate([np.zeros(0, np.uint64), *(sig for _, _, sig in got)])
-        elsewhere = repeats.Answers(every, answers, total)(every)
-        # a name that the bundle itself has twice
-        short = repeats.narrowed(every, total)
-        _, back, times = np.unique(short, return_inverse=True, return_counts=True)
-        keep = elsewhere | (times[back] > 1)
-        ends = np.cumsum([len(sig) for _, _, sig in got])
-        sigs = [sig[keep[e - len(sig) : e]].view(np.int64) for (_, _, sig), e in zip(got, ends, strict=True)]
+        every = np.concatenate([np.zeros(0, np.uint64), *(b[0] for _, _, b in got)])
+        found = repeats.Answers(every, answers, total)
+        keep = found.yes | found.often()  # or the bundle itself has it twice
+        at, kept = 0, []
+        for _, _, (sig, kind, need) in got:
+            own = keep[at : at + len(sig)]
+            at += len(sig)
+            kept.append((sig[own].view(np.int64), kind[own], need[own]))
         return pa.table({
             "doc_id": t.column("doc_id").cast(pa.int64()),
             "n": pa.array([n for n, _, _ in got], pa.int64()),
             "key": pa.array([k for _, k, _ in got], pa.int64()),
-            "sigs": pa.array(sigs, pa.list_(pa.int64())),
-            "text": pa.array([x if len(s) else None for x, s in zip(texts, sigs, strict=True)], pa.string()),
+            "sigs": pa.array([x[0] for x in kept], pa.list_(pa.int64())),
+            "kinds": pa.array([x[1] for x in kept], pa.list_(pa.int32())),
+            "needs": pa.array([x[2] for x in kept], pa.list_(pa.int32())),
+            "text": pa.array([x if len(s[0]) else None for x, s in zip(texts, kept, strict=True)], pa.string()),
         })
 
-    return repeats.answered(bundles, repeats.ask(bundles, names, total), use, "doc_id long, n long, key long, sigs array<long>, text string")
+    return repeats.answered(bundles, repeats.ask(bundles, names, total), use, "doc_id long, n long, key long, sigs array<long>, kinds array<int>, needs array<int>, text string")
+
+
+def near_pairs(shared: DataFrame, common: int = COMMON) -> DataFrame:
+    """a, b: pairs of keys whose components hold those of all links, with few that do not link.
+
+    Linked sets share at least `need` signatures of a class. A signature that at most `common` keys have gives pairs, which
+    are counted. With h commoner ones at a key, a pair stays if its count and the smaller h reach the bound. A pair that
+    shares none but common signatures has as many as the bound at both keys; among such keys each hangs on the least one.
+    """
+    sig = shared.select("key", F.explode(F.arrays_zip("sigs", "kinds", "needs")).alias("s")).select(F.col("s.sigs").alias("sig"), "key", F.col("s.kinds").alias("kind"), F.col("s.needs").alias("need")).distinct()
+    sizes = sig.groupBy("sig").agg(F.count("*").alias("m")).filter("m > 1")
+    met = cut(sig.join(sizes, "sig"))
+    often = met.filter(F.col("m") > common).groupBy("key", "kind").agg(F.count("*").alias("h"))
+    rows = met.join(often, ["key", "kind"], "left").withColumn("h", F.coalesce("h", F.lit(0)))
+    few = rows.filter(F.col("m") <= common).groupBy("sig", "kind").agg(F.array_sort(F.collect_list(F.struct("key", "need", "h"))).alias("ks"))
+    pairs = few.select("kind", F.explode(F.expr("flatten(transform(ks, (x, i) -> transform(slice(ks, i + 2, size(ks)), y -> struct(x.key as a, y.key as b, greatest(x.need, y.need) as need, least(x.h, y.h) as h))))")).alias("p")).select("kind", "p.*")
+    counted = pairs.groupBy("a", "b", "kind").agg(F.count("*").alias("n"), F.first("need").alias("need"), F.first("h").alias("h")).filter("n + h >= need").select("a", "b")
+    many = rows.filter((F.col("m") > common) & (F.col("h") >= F.col("need"))).select("sig", "key")
+    least = many.groupBy("sig").agg(F.min("key").alias("a"))
+    hung = many.join(least, "sig").filter("a < key").select("a", F.col("key").alias("b"))
+    return counted.unionByName(hung).distinct()
 
 
 def links(found: DataFrame, words: int, percent: int, rows: int = ROWS) -> DataFrame:
     """a, b: keys of linked sets; their components are those of all links."""
     shared = found.filter(F.size("sigs") > 0)
-    sig = shared.select(F.explode("sigs").alias("sig"), "key").distinct()
-    least = sig.groupBy("sig").agg(F.min("key").alias("a"), F.max("key").alias("z")).filter("a < z").drop("z")
-    near = sig.join(least, "sig").filter("a < key").select("a", F.col("key").alias("b")).distinct()
+    near = near_pairs(shared)
     clusters = cut(components(cut(near)))
     sizes = clusters.groupBy("component").agg(F.ceil(F.count("*") / rows).cast("long").alias("blocks"))
     members = clusters.join(sizes, "component").select(F.col("node").alias("key"), "component", "blocks", F.pmod(F.xxhash64(F.lit(3), "node"), F.col("blocks")).alias("own"))

@@ -11,7 +11,7 @@ from skyloom.llm.pretoken import mixed
 class Words:
     """64-bit hashes of words, kept for those met so far."""
 
-    def __init__(self, keep: int = 500_000):
+    def __init__(self, keep: int = 200_000):
         self.keep, self.known = keep, {}
 
     def __call__(self, words: list[bytes]) -> np.ndarray:
@@ -63,9 +63,13 @@ class Classes:
             found.append(c)
         return found
 
-    def signatures(self, s: np.ndarray) -> np.ndarray:
-        """A hash for each block with elements. Where so many blocks are empty that the equal ones could all be, for those too."""
-        found = []
+    def blocks(self, s: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Signatures, and for each its class and the least number of that class's that any set linked with s shares.
+
+        There is one for each block with elements. Where so many blocks are empty that the equal ones could all be,
+        the empty ones have signatures, too.
+        """
+        found, classes, needs = [], [], []
         for c in self.of(len(s)) if len(s) else []:
             d = self.differ(c)
             if d == 0:
@@ -74,11 +78,22 @@ class Classes:
             block = ((s >> np.uint64(32)) * np.uint64(p)) >> np.uint64(32)  # s is sorted, so block is
             edge = np.flatnonzero(np.r_[True, block[1:] != block[:-1]])
             total = np.add.reduceat(mixed(s), edge)
-            found.append(mixed(mixed(total + block[edge] * np.uint64(0xD6E8FEB86659FD93)) + np.uint64(c)))
-            if len(edge) <= d:
+            own = [mixed(mixed(total + block[edge] * np.uint64(0xD6E8FEB86659FD93)) + np.uint64(c))]
+            need = len(edge) - d  # p - d are equal, of which p - len(edge) may be empty
+            if need < 1:
                 none = np.setdiff1d(np.arange(p, dtype=np.uint64), block[edge])
-                found.append(mixed(mixed(none + np.uint64(0x1234567)) + np.uint64(c)))
-        return np.concatenate(found) if found else np.zeros(0, np.uint64)
+                own.append(mixed(mixed(none + np.uint64(0x1234567)) + np.uint64(c)))
+                need = p - d
+            found += own
+            n = sum(map(len, own))
+            classes.append(np.full(n, c, np.int32))
+            needs.append(np.full(n, need, np.int32))
+        if not found:
+            return np.zeros(0, np.uint64), np.zeros(0, np.int32), np.zeros(0, np.int32)
+        return np.concatenate(found), np.concatenate(classes), np.concatenate(needs)
+
+    def signatures(self, s: np.ndarray) -> np.ndarray:
+        return self.blocks(s)[0]
 
 
 def product_links(sets: list[np.ndarray], percent: int, columns: int = 4096) -> list[tuple[int, int]]:
