@@ -45,3 +45,18 @@ def word_count(text: Column) -> Column:
 def parts_for(total: int, each: int, least: int = 1) -> int:
     """How many parts of about `each` units a total makes."""
     return max(least, -(-int(total) // each))
+
+
+def give_back() -> None:
+    """In a Python worker: hands freed memory back to the system, since workers outlive their tasks and stages."""
+    import ctypes
+    import gc
+
+    import pyarrow as pa
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass

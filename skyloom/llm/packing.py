@@ -19,7 +19,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skyloom.llm.common import table
+from skyloom.llm.common import give_back, table
 
 WINDOW = 1024
 END_ID = 0
@@ -127,6 +127,7 @@ def pack(docs: DataFrame, tokenizer: str | None = None, window: int = WINDOW, en
 
         from skyloom.llm.pretoken import ByteBpe, parcels
 
+        give_back()
         bpe, packer = ByteBpe(path), Packer(window, open_most, TaskContext.get().partitionId() << 32)
         kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64()]
         names = [x.split()[0] for x in SCHEMA.split(", ")]
@@ -145,6 +146,8 @@ def pack(docs: DataFrame, tokenizer: str | None = None, window: int = WINDOW, en
                 yield rows()
         packer.empty(True)
         yield rows()
+        del bpe, packer
+        give_back()
 
     return docs.select("doc_id", "text").mapInArrow(run, SCHEMA)
 

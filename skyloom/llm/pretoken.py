@@ -19,7 +19,7 @@ LETTER, NUMBER, SPACE, OTHER, BREAK = 1, 2, 3, 4, 0
 #: Code points that \s matches (the Unicode White_Space property).
 WHITE = (9, 10, 11, 12, 13, 32, 133, 160, 5760, *range(8192, 8203), 8232, 8233, 8239, 8287, 12288)
 _MULT = 0x9E3779B97F4A7C15 | 1
-_STEP = 1 << 20
+_STEP = 1 << 19
 
 
 @cache
@@ -121,7 +121,7 @@ class ByteBpe:
     pre-tokens not kept reach it. When `keep` pre-tokens are kept, all are forgotten.
     """
 
-    def __init__(self, path: str, keep: int = 600_000):
+    def __init__(self, path: str, keep: int = 200_000):
         import tiktoken
 
         with open(path, encoding="utf-8") as f:

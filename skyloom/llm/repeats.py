@@ -18,6 +18,8 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from skyloom.llm.common import give_back
+
 BUNDLE = 12 << 20
 #: Bytes of text for each part of the name space.
 PART = 16 << 20
@@ -126,6 +128,7 @@ def ask(bundles: DataFrame, names: Callable, total: int, part: int = PART, spare
     def answer(t):
         import pyarrow as pa
 
+        give_back()
         t = t.sort_by("bundle")
         lists = [unsqueeze(b) for b in t.column("names").to_pylist()]
         size = np.array([len(x) for x in lists])
@@ -185,4 +188,9 @@ class Answers:
 
 def answered(bundles: DataFrame, answers: DataFrame, use: Callable, schema: str) -> DataFrame:
     """use(table of the bundle's documents, table of its answers) -> table, for each bundle."""
-    return bundles.groupBy("bundle").cogroup(answers.groupBy("bundle")).applyInArrow(use, schema)
+
+    def run(left, right):
+        give_back()
+        return use(left, right)
+
+    return bundles.groupBy("bundle").cogroup(answers.groupBy("bundle")).applyInArrow(run, schema)

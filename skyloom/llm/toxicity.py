@@ -89,7 +89,7 @@ def dictionary(own: list[list[bytes]], other: list[list[bytes]], size: int = GRA
 class Meter:
     """A window's distance: bytes with the ordinary dictionary less bytes with the toxic one."""
 
-    def __init__(self, toxic: bytes, plain: bytes, size: int = GRAM, keep: int = 400_000):
+    def __init__(self, toxic: bytes, plain: bytes, size: int = GRAM, keep: int = 200_000):
         import zstandard as z
 
         def compressor(raw: bytes):
