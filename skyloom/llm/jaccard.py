@@ -40,7 +40,7 @@ def key_of(s: np.ndarray) -> int:
 
 
 def features(docs: DataFrame, words: int, percent: int, total: int) -> DataFrame:
-    """doc_id, n, key for each document; sigs (with class and bound) and text for the first of each set in a bundle if others share a block of it."""
+    """doc_id, n, key for each document; sigs (with class, bound and side) and text for the first of each set in a bundle if others share a block of it."""
     bundles = repeats.dealt(docs.select("doc_id", "text"), total)
 
     def rows(texts):
@@ -64,10 +64,10 @@ def features(docs: DataFrame, words: int, percent: int, total: int) -> DataFrame
         found = repeats.Answers(every, answers, total)
         keep = found.yes | found.often()  # or the bundle itself has it twice
         at, kept = 0, []
-        for _, _, (sig, kind, need) in got:
+        for _, _, (sig, kind, need, side) in got:
             own = keep[at : at + len(sig)]
             at += len(sig)
-            kept.append((sig[own].view(np.int64), kind[own], need[own]))
+            kept.append((sig[own].view(np.int64), kind[own], need[own], side[own]))
         return pa.table({
             "doc_id": t.column("doc_id").cast(pa.int64()),
             "n": pa.array([n for n, _, _ in got], pa.int64()),
@@ -75,28 +75,34 @@ def features(docs: DataFrame, words: int, percent: int, total: int) -> DataFrame
             "sigs": pa.array([x[0] for x in kept], pa.list_(pa.int64())),
             "kinds": pa.array([x[1] for x in kept], pa.list_(pa.int32())),
             "needs": pa.array([x[2] for x in kept], pa.list_(pa.int32())),
+            "sides": pa.array([x[3] for x in kept], pa.list_(pa.int32())),
             "text": pa.array([x if len(s[0]) else None for x, s in zip(texts, kept, strict=True)], pa.string()),
         })
 
-    return repeats.answered(bundles, repeats.ask(bundles, names, total), use, "doc_id long, n long, key long, sigs array<long>, kinds array<int>, needs array<int>, text string")
+    return repeats.answered(bundles, repeats.ask(bundles, names, total), use, "doc_id long, n long, key long, sigs array<long>, kinds array<int>, needs array<int>, sides array<int>, text string")
 
 
 def near_pairs(shared: DataFrame, common: int = COMMON) -> DataFrame:
     """a, b: pairs of keys whose components hold those of all links, with few that do not link.
 
-    Linked sets share at least `need` signatures of a class. A signature that at most `common` keys have gives pairs, which
-    are counted. With h commoner ones at a key, a pair stays if its count and the smaller h reach the bound. A pair that
-    shares none but common signatures has as many as the bound at both keys; among such keys each hangs on the least one.
+    Linked sets share at least `need` signatures of a class: the larger one's if both or neither have signatures of empty
+    blocks (side > 0), else that of the set which has none (Classes.blocks). A signature that at most `common` keys have
+    gives pairs, which are counted. With h commoner ones at a key (f of blocks with elements, all that count where only
+    one set has the others), a pair stays if its count and the smaller h or f reach the bound. A pair that shares none but
+    common signatures has as many as the bound at both keys; among such keys each hangs on the least one. The bound of a
+    key with side > 0 may be its partner's, so it hangs by any common block with elements.
     """
-    sig = shared.select("key", F.explode(F.arrays_zip("sigs", "kinds", "needs")).alias("s")).select(F.col("s.sigs").alias("sig"), "key", F.col("s.kinds").alias("kind"), F.col("s.needs").alias("need")).distinct()
+    sig = shared.select("key", F.explode(F.arrays_zip("sigs", "kinds", "needs", "sides")).alias("s")).select(F.col("s.sigs").alias("sig"), "key", F.col("s.kinds").alias("kind"), F.col("s.needs").alias("need"), F.col("s.sides").alias("side")).distinct()
     sizes = sig.groupBy("sig").agg(F.count("*").alias("m")).filter("m > 1")
     met = cut(sig.join(sizes, "sig"))
-    often = met.filter(F.col("m") > common).groupBy("key", "kind").agg(F.count("*").alias("h"))
-    rows = met.join(often, ["key", "kind"], "left").withColumn("h", F.coalesce("h", F.lit(0)))
-    few = rows.filter(F.col("m") <= common).groupBy("sig", "kind").agg(F.array_sort(F.collect_list(F.struct("key", "need", "h"))).alias("ks"))
-    pairs = few.select("kind", F.explode(F.expr("flatten(transform(ks, (x, i) -> transform(slice(ks, i + 2, size(ks)), y -> struct(x.key as a, y.key as b, greatest(x.need, y.need) as need, least(x.h, y.h) as h))))")).alias("p")).select("kind", "p.*")
+    often = met.filter(F.col("m") > common).groupBy("key", "kind").agg(F.count("*").alias("h"), F.count(F.when(F.col("side") < 2, 1)).alias("f"))
+    rows = met.join(often, ["key", "kind"], "left").withColumns({"h": F.coalesce("h", F.lit(0)), "f": F.coalesce("f", F.lit(0))})
+    few = rows.filter(F.col("m") <= common).groupBy("sig", "kind").agg(F.array_sort(F.collect_list(F.struct("key", "need", "h", "f", "side"))).alias("ks"))
+    alike = "(x.side > 0) = (y.side > 0)"
+    need, h = f"if({alike}, greatest(x.need, y.need), if(x.side > 0, y.need, x.need))", f"if({alike}, least(x.h, y.h), least(x.f, y.f))"
+    pairs = few.select("kind", F.explode(F.expr(f"flatten(transform(ks, (x, i) -> transform(slice(ks, i + 2, size(ks)), y -> struct(x.key as a, y.key as b, {need} as need, {h} as h))))")).alias("p")).select("kind", "p.*")
     counted = pairs.groupBy("a", "b", "kind").agg(F.count("*").alias("n"), F.first("need").alias("need"), F.first("h").alias("h")).filter("n + h >= need").select("a", "b")
-    many = rows.filter((F.col("m") > common) & (F.col("h") >= F.col("need"))).select("sig", "key")
+    many = rows.filter((F.col("m") > common) & ((F.col("h") >= F.col("need")) | (F.col("side") == 1))).select("sig", "key")
     least = many.groupBy("sig").agg(F.min("key").alias("a"))
     hung = many.join(least, "sig").filter("a < key").select("a", F.col("key").alias("b"))
     return counted.unionByName(hung).distinct()

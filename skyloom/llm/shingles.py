@@ -63,13 +63,15 @@ class Classes:
             found.append(c)
         return found
 
-    def blocks(self, s: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Signatures, and for each its class and the least number of that class's that any set linked with s shares.
+    def blocks(self, s: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Signatures, and for each its class, the least number of that class's that s shares with a linked set, and a side.
 
         There is one for each block with elements. Where so many blocks are empty that the equal ones could all be,
-        the empty ones have signatures, too.
+        the empty ones have signatures, too. Side 0 is a set that has none of those; of a set that has them, 1 is a block
+        with elements and 2 an empty one. The number holds with linked sets that do alike; where only one of the two has
+        signatures of empty blocks, that of the other holds for both, since they share none of these.
         """
-        found, classes, needs = [], [], []
+        found, classes, needs, sides = [], [], [], []
         for c in self.of(len(s)) if len(s) else []:
             d = self.differ(c)
             if d == 0:
@@ -79,18 +81,21 @@ class Classes:
             edge = np.flatnonzero(np.r_[True, block[1:] != block[:-1]])
             total = np.add.reduceat(mixed(s), edge)
             own = [mixed(mixed(total + block[edge] * np.uint64(0xD6E8FEB86659FD93)) + np.uint64(c))]
+            side = np.zeros(len(edge), np.int32)
             need = len(edge) - d  # p - d are equal, of which p - len(edge) may be empty
             if need < 1:
                 none = np.setdiff1d(np.arange(p, dtype=np.uint64), block[edge])
                 own.append(mixed(mixed(none + np.uint64(0x1234567)) + np.uint64(c)))
                 need = p - d
+                side = np.r_[side + 1, np.full(len(none), 2, np.int32)]
             found += own
+            sides.append(side)
             n = sum(map(len, own))
             classes.append(np.full(n, c, np.int32))
             needs.append(np.full(n, need, np.int32))
         if not found:
-            return np.zeros(0, np.uint64), np.zeros(0, np.int32), np.zeros(0, np.int32)
-        return np.concatenate(found), np.concatenate(classes), np.concatenate(needs)
+            return np.zeros(0, np.uint64), np.zeros(0, np.int32), np.zeros(0, np.int32), np.zeros(0, np.int32)
+        return np.concatenate(found), np.concatenate(classes), np.concatenate(needs), np.concatenate(sides)
 
     def signatures(self, s: np.ndarray) -> np.ndarray:
         return self.blocks(s)[0]

@@ -60,6 +60,21 @@ def test_jaccard_join_is_exact(spark, corpus, words, percent):
     assert got == brute_components(corpus, words, percent)
 
 
+def test_jaccard_join_of_tiny_sets_is_exact(spark):
+    """Of two linked tiny sets, only one may have signatures of empty blocks."""
+    rng = random.Random(7)
+    texts, common = [], [f"c{i}" for i in range(40)]
+    for _ in range(250):
+        words = [f"w{rng.randrange(1 << 40)}" for _ in range(rng.randint(8, 16))]
+        if rng.random() < 0.3:  # some shingles that many sets have
+            words[:6] = common[(at := rng.randrange(3)) : at + 6]
+        texts += [" ".join(words), " ".join([*words, "more"])]
+        if rng.random() < 0.3:
+            texts.append(" ".join([*words, "yet", "others"]))
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.join(table(spark, texts), 5, 80).collect()}
+    assert got == brute_components(texts, 5, 80)
+
+
 def test_jaccard_join_of_nothing_and_of_repeated_rows(spark):
     assert jaccard.join(table(spark, [])).count() == 0
     rows = jaccard.join(table(spark, ["a b c d", "a b c d", None, None], [7, 7, 9, None])).collect()
