@@ -1,10 +1,12 @@
 """Embedding near-duplicates through an inverted multi-index.
 
 The halves of the unit vectors get a codebook each, fitted by k-means on a bounded sample (`sample` rows, the first by a
-hash of vec_id); the pairs of their centroids are the cells of a product grid, and every vector is filed under its own.
+hash of the vector, equal ones once); the pairs of their centroids are the cells of a product grid, and every vector is filed under its own.
 A vector's query visits cells by ascending sum of its two distances to the cell's centroids (multi-sequence order) and
-is compared in double precision with all that is filed there. How many cells are visited follows from the sample: the
-least number by which `recall` of the links found there by brute force are reached.
+is compared in double precision with all that is filed there. How many cells are visited is measured: QUERIES of the
+sample's vectors, or all of the sample if fewer than LINKED of those have links, are compared with all distinct vectors.
+It is the least number by which `recall` of a query's links are reached, as a mean over the queries that have links.
+Where MOST_CELLS do not reach that, or too few queries have links to tell, every vector is compared with all others.
 
 Equal vectors are one entry with a multiplicity. A cell's entries and visitors are cut into blocks of ROWS; each pair of
 blocks is one task's work, which returns a count for each visitor and a spanning forest of the links, never the pairs.
@@ -35,6 +37,8 @@ RECALL = 0.995
 BOOKS, PER_CELL = (4, 512), 16
 ROWS = 1024
 MOST_CELLS = 256
+#: Vectors whose links are all found to set the number of cells, and the least number of them that must have some.
+QUERIES, LINKED = 2048, 100
 
 
 def unit(values) -> np.ndarray | None:
@@ -63,7 +67,7 @@ def kmeans(x: np.ndarray, k: int, rounds: int = 12, seed: int = 1) -> np.ndarray
 
 class Index:
     def __init__(self, first: np.ndarray, second: np.ndarray, cells: int):
-        self.first, self.second, self.cells = first, second, cells
+        self.first, self.second, self.cells, self.recall = first, second, cells, None
         self.half, self.dim = first.shape[1], first.shape[1] + second.shape[1]
 
     def order(self, x: np.ndarray, cells: int) -> np.ndarray:
@@ -83,10 +87,60 @@ class Index:
         return self.order(x, 1)[:, 0]
 
 
-def fit(vectors: DataFrame, cosine: float = COSINE, sample: int = SAMPLE, recall: float = RECALL) -> Index | None:
-    n = vectors.count()
-    rows = vectors.orderBy(F.xxhash64(F.lit(11), "vec_id"), "vec_id").limit(sample).select("embedding").collect()
-    got = [u for u in (unit(r[0]) for r in rows) if u is not None]
+def keyed(vectors: DataFrame) -> DataFrame:
+    """vec_id, key (of the vector's value; null if it links with nothing), vec."""
+
+    def run(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            raw = [None if u is None else u.tobytes() for u in map(unit, batch.column(1).to_pylist())]
+            keys = [None if r is None else hashlib.md5(r).hexdigest() for r in raw]
+            yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.array(keys, pa.string()), pa.array(raw, pa.binary())], names=["vec_id", "key", "vec"])
+
+    return vectors.mapInArrow(run, "vec_id long, key string, vec binary")
+
+
+def reached(entries: DataFrame, index: Index, queries: np.ndarray, cosine: float, most: int) -> tuple[int, np.ndarray]:
+    """How many of the queries have links among all entries, and the mean share of a query's links by 1, 2, ... `most` cells."""
+    seed = entries.sparkSession.sparkContext.broadcast((index, queries, np.concatenate([index.order(queries[a : a + 512], most) for a in range(0, len(queries), 512)]).astype(np.int32)))
+
+    def run(batches):
+        import pyarrow as pa
+
+        own, q, order = seed.value
+        for batch in batches:
+            vecs = [np.frombuffer(v, np.float64) for v in batch.column(0).to_pylist()]
+            vecs = [v for v in vecs if len(v) == own.dim]
+            for at in range(0, len(vecs), 512):
+                y = np.stack(vecs[at : at + 512])
+                home = own.home(y).astype(np.int32)
+                ranks = {}
+                for lo in range(0, len(q), 512):
+                    i, j = np.nonzero(q[lo : lo + 512] @ y.T >= cosine)
+                    other = (q[lo + i] != y[j]).any(1)
+                    i, j = i[other] + lo, j[other]
+                    for c in range(0, len(i), 4096):
+                        seen = order[i[c : c + 4096]] == home[j[c : c + 4096]][:, None]
+                        pairs = i[c : c + 4096].astype(np.int64) * (most + 1) + np.where(seen.any(1), seen.argmax(1), most)
+                        for p, n in zip(*(x.tolist() for x in np.unique(pairs, return_counts=True)), strict=True):
+                            ranks[p] = ranks.get(p, 0) + n
+                yield pa.RecordBatch.from_arrays([pa.array([p // (most + 1) for p in ranks], pa.int64()), pa.array([p % (most + 1) for p in ranks], pa.int64()), pa.array(list(ranks.values()), pa.int64())], names=["q", "rank", "n"])
+
+    met = cut(entries.select("vec").mapInArrow(run, "q long, rank long, n long").groupBy("q", "rank").agg(F.sum("n").alias("n")))
+    totals = met.groupBy("q").agg(F.sum("n").alias("all"))
+    found = met.join(totals, "q").groupBy("rank").agg(F.sum(F.col("n") / F.col("all")).alias("share")).collect()
+    share = np.zeros(most + 1)
+    for r in found:
+        share[r["rank"]] = r["share"]
+    return round(share.sum()), np.cumsum(share)[:most] / max(share.sum(), 1e-9)
+
+
+def fit(entries: DataFrame, cosine: float = COSINE, sample: int = SAMPLE, recall: float = RECALL, queries: int = QUERIES) -> Index | None:
+    """The index of distinct vectors entries(key, vec); None where all are to be compared with all."""
+    n = entries.count()
+    rows = entries.orderBy(F.xxhash64(F.lit(11), "key"), "key").limit(sample).select("vec").collect()
+    got = [np.frombuffer(r[0], np.float64) for r in rows]
     if not got:
         return None
     dims, counts = np.unique([len(u) for u in got], return_counts=True)
@@ -97,42 +151,37 @@ def fit(vectors: DataFrame, cosine: float = COSINE, sample: int = SAMPLE, recall
     half = x.shape[1] // 2
     index = Index(kmeans(x[:, :half], k), kmeans(x[:, half:], k), 1)
     most = min(MOST_CELLS, len(index.first) * len(index.second))
-    home = index.home(x)
-    ranks = []
-    for a in range(0, min(len(x), 4096), 512):
-        q = x[a : a + 512]
-        i, j = np.nonzero(q @ x.T >= cosine)
-        other = i + a != j
-        i, j = i[other], j[other]
-        seen = index.order(q, most)[i] == home[j][:, None]
-        ranks.append(np.where(seen.any(1), seen.argmax(1), most))
-    ranks = np.sort(np.concatenate(ranks)) if ranks else np.zeros(0)
-    index.cells = min(most, max(8, int(ranks[min(len(ranks) - 1, int(np.ceil(recall * len(ranks))))]) + 1)) if len(ranks) else min(most, 16)
+    linked, shares = reached(entries, index, x[:queries], cosine, most)
+    if linked < LINKED and len(x) > queries:
+        linked, shares = reached(entries, index, x, cosine, most)
+    enough = np.flatnonzero(shares >= recall)
+    if not len(enough) or (linked < LINKED and len(got) < n):
+        return None
+    index.cells = min(most, max(8, int(enough[0]) + 1))
+    index.recall = float(shares[index.cells - 1])
     return index
 
 
-def filed(vectors: DataFrame, index: Index | None) -> DataFrame:
-    """vec_id, key (of the vector's value; null if it links with nothing), cell, visits, vec."""
-    seed = vectors.sparkSession.sparkContext.broadcast(index)
+def filed(entries: DataFrame, index: Index | None) -> DataFrame:
+    """entries with cell, visits."""
+    seed = entries.sparkSession.sparkContext.broadcast(index)
 
     def run(batches):
         import pyarrow as pa
 
         own = seed.value
         for batch in batches:
-            units = [unit(v) for v in batch.column(1).to_pylist()]
-            usual = [i for i, u in enumerate(units) if u is not None and own is not None and len(u) == own.dim]
-            cells = [None if u is None else -len(u) for u in units]
-            visits = [None if c is None else [c] for c in cells]
+            units = [np.frombuffer(v, np.float64) for v in batch.column("vec").to_pylist()]
+            usual = [i for i, u in enumerate(units) if own is not None and len(u) == own.dim]
+            cells = [-len(u) for u in units]
+            visits = [[c] for c in cells]
             for at in range(0, len(usual), 512):
                 some = usual[at : at + 512]
                 for i, v in zip(some, own.order(np.stack([units[i] for i in some]), own.cells).tolist(), strict=True):
                     cells[i], visits[i] = v[0], v
-            raw = [None if u is None else u.tobytes() for u in units]
-            keys = [None if r is None else hashlib.md5(r).hexdigest() for r in raw]
-            yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.array(keys, pa.string()), pa.array(cells, pa.int64()), pa.array(visits, pa.list_(pa.int64())), pa.array(raw, pa.binary())], names=["vec_id", "key", "cell", "visits", "vec"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cells, pa.int64()), pa.array(visits, pa.list_(pa.int64()))], names=[*batch.schema.names, "cell", "visits"])
 
-    return vectors.mapInArrow(run, "vec_id long, key string, cell long, visits array<long>, vec binary")
+    return entries.mapInArrow(run, "key string, low long, times long, vec binary, cell long, visits array<long>")
 
 
 def compare(cosine: float):
@@ -171,9 +220,9 @@ def compare(cosine: float):
 def near_duplicates(vectors: DataFrame, cosine: float = COSINE, sample: int = SAMPLE, recall: float = RECALL, rows: int = ROWS) -> DataFrame:
     """vec_id, n_links, component_id, kept for every row of vectors(vec_id, embedding)."""
     vectors = vectors.select("vec_id", "embedding")
-    all_ = cut(filed(vectors, fit(vectors, cosine, sample, recall)))
-    entries = all_.filter(F.col("key").isNotNull()).groupBy("key").agg(F.min("vec_id").alias("low"), F.count("*").alias("times"), F.first("cell").alias("cell"), F.first("visits").alias("visits"), F.first("vec").alias("vec"))
-    entries = cut(entries.withColumn("id", F.xxhash64("key")))
+    all_ = cut(keyed(vectors))
+    distinct = cut(all_.filter(F.col("key").isNotNull()).groupBy("key").agg(F.min("vec_id").alias("low"), F.count("*").alias("times"), F.first("vec").alias("vec")))
+    entries = cut(filed(distinct, fit(distinct, cosine, sample, recall)).withColumn("id", F.xxhash64("key")))
     blocks = lambda n: F.ceil(F.col(n) / rows).cast("long")
     visits = entries.select("id", "times", "vec", F.explode("visits").alias("cell"))
     sizes = entries.groupBy("cell").agg(F.count("*").alias("m")).join(visits.groupBy("cell").agg(F.count("*").alias("v")), "cell").select("cell", blocks("m").alias("ms"), blocks("v").alias("vs"))

@@ -84,6 +84,22 @@ def test_multi_sequence_order():
     assert np.allclose(np.take_along_axis(total.reshape(20, -1), index.order(x, 9), 1), want)
 
 
+def test_one_large_group_does_not_set_the_cells(spark):
+    """A third of the rows are near copies of one vector; the pairs of others need many more cells."""
+    rng = np.random.default_rng(6)
+    group = rng.normal(size=64) + 1e-4 * rng.normal(size=(1200, 64))
+    ones = rng.normal(size=(1200, 64))
+    twins = ones + 0.46 * rng.normal(size=ones.shape)
+    x = np.concatenate([group, ones, twins])
+    got = {r.vec_id: r.n_links for r in multi_index.near_duplicates(vectors(spark, [(i, r.tolist()) for i, r in enumerate(x)])).collect()}
+    u = x.astype(np.float32).astype(float)
+    u /= np.linalg.norm(u, axis=1)[:, None]
+    near = u @ u.T >= 0.9
+    np.fill_diagonal(near, False)
+    want = near.sum(1)[1200:]
+    assert sum(got[1200 + i] for i in range(len(want))) >= 0.985 * want.sum() > 0
+
+
 def test_no_vectors(spark):
     assert multi_index.near_duplicates(vectors(spark, [])).count() == 0
     one = multi_index.near_duplicates(vectors(spark, [(1, [1.0, 0.0]), (1, [1.0, 0.0]), (None, [1.0, 0.0])])).collect()
