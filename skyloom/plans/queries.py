@@ -321,11 +321,12 @@ def extracted_sources(spark, sf_dir):
     """Each vector's 64 values as weak structure under a planted source, found again."""
     from skyloom.imaging import frames
 
-    x, y = (F.col("pos") / 32).cast("int"), F.col("pos") % 32
-    bump = 60 * F.exp(-((x - 15) * (x - 15) + (y - 17) * (y - 17)) / 6.0)
-    base = fx.read(spark, sf_dir, "embeddings").filter("vec_id % 50 = 0").select(F.col("vec_id").alias("image"), "embedding", F.explode(F.sequence(F.lit(0), F.lit(1023))).alias("pos"))
-    px = base.select("image", "pos", (F.element_at("embedding", (F.col("pos") * 37 % 64 + 1).cast("int")) * 5 + bump).cast("double").alias("v"))
-    images = px.groupBy("image").agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "v"))), lambda s: s["v"]).alias("pixels")).select("image", F.lit(32).alias("nx"), F.lit(32).alias("ny"), "pixels")
+    def pixel(pos):
+        x, y = (pos / 32).cast("int"), pos % 32
+        bump = 60 * F.exp(-((x - 15) * (x - 15) + (y - 17) * (y - 17)) / 6.0)
+        return (F.element_at("embedding", (pos * 37 % 64 + 1).cast("int")) * 5 + bump).cast("double")
+
+    images = fx.read(spark, sf_dir, "embeddings").filter("embedding is not null").select(F.col("vec_id").alias("image"), F.lit(32).alias("nx"), F.lit(32).alias("ny"), F.transform(F.sequence(F.lit(0), F.lit(1023)), pixel).alias("pixels"))
     found = frames.extract(images, (2.0, 2.0, 0.0), tile=(16, 16))
     return found.select("image", "n", r("x", 3).alias("x"), r("y", 3).alias("y"), r("peak", 2).alias("peak"))
 

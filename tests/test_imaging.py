@@ -102,3 +102,10 @@ def test_images_as_rows(spark):
     assert [(r.image, r.n) for r in frames.forced(images, wanted, (2.5, 2.0, 0.3)).collect()] == [(0, 7)]
     both = frames.combined(spark.createDataFrame([("g", 1.0, [1.0, 2.0]), ("g", 3.0, [3.0, 4.0])], "key string, freq_eff double, pixels array<double>"), "key").first()
     assert (both.freq_low, both.freq_high, both.pixels) == (1.0, 3.0, [2.0, 3.0])
+
+
+def test_extracted_sources_of_every_vector(spark):
+    from skyloom.plans import queries
+
+    every = {r.vec_id for r in spark.read.parquet("/root/testdata/sf0.001/embeddings.parquet").select("vec_id").collect()}
+    assert {r.image for r in queries.extracted_sources(spark, "/root/testdata/sf0.001").collect()} == every
