@@ -40,8 +40,8 @@ def key_of(s: np.ndarray) -> int:
 
 
 def features(docs: DataFrame, words: int, percent: int, total: int) -> DataFrame:
-    """doc_id, n, key for each document; sigs (with class, bound and side) and text for the first of each set in a bundle if others share a block of it."""
-    bundles = repeats.dealt(docs.select("doc_id", "text"), total)
+    """doc_id, text_key, n, key for each document; sigs (with class, bound and side) and text for the first of each set in a bundle if others share a block of it."""
+    bundles = repeats.dealt(docs.select("doc_id", "text", F.xxhash64("text").alias("text_key")), total)
 
     def rows(texts):
         hashes, kinds, met = Words(), Classes(percent), set()
@@ -70,6 +70,7 @@ def features(docs: DataFrame, words: int, percent: int, total: int) -> DataFrame
             kept.append((sig[own].view(np.int64), kind[own], need[own], side[own]))
         return pa.table({
             "doc_id": t.column("doc_id").cast(pa.int64()),
+            "text_key": t.column("text_key"),
             "n": pa.array([n for n, _, _ in got], pa.int64()),
             "key": pa.array([k for _, k, _ in got], pa.int64()),
             "sigs": pa.array([x[0] for x in kept], pa.list_(pa.int64())),
@@ -79,7 +80,7 @@ def features(docs: DataFrame, words: int, percent: int, total: int) -> DataFrame
             "text": pa.array([x if len(s[0]) else None for x, s in zip(texts, kept, strict=True)], pa.string()),
         })
 
-    return repeats.answered(bundles, repeats.ask(bundles, names, total), use, "doc_id long, n long, key long, sigs array<long>, kinds array<int>, needs array<int>, sides array<int>, text string")
+    return repeats.answered(bundles, repeats.ask(bundles, names, total), use, "doc_id long, text_key long, n long, key long, sigs array<long>, kinds array<int>, needs array<int>, sides array<int>, text string")
 
 
 def near_pairs(shared: DataFrame, common: int = COMMON) -> DataFrame:
@@ -128,10 +129,15 @@ def links(found: DataFrame, words: int, percent: int, rows: int = ROWS) -> DataF
     return sent.groupBy("component", "i", "j").applyInArrow(multiply, "a long, b long")
 
 
+def grouped(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, rows: int = ROWS) -> tuple[DataFrame, DataFrame]:
+    """doc_id, text_key (xxhash64 of text), n, key (of the set) for every row of docs; and node, component of keys with links."""
+    found = cut(features(docs, words, percent, repeats.volume(docs)))
+    return found, cut(components(cut(links(found, words, percent, rows))))
+
+
 def join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, rows: int = ROWS) -> DataFrame:
     """doc_id, n_shingles, component_id (least doc_id that links reach) for every row of docs(doc_id, text)."""
-    found = cut(features(docs, words, percent, repeats.volume(docs)))
-    groups = cut(components(cut(links(found, words, percent, rows))))
+    found, groups = grouped(docs, words, percent, rows)
     whole = found.filter("n > 0").groupBy("key").agg(F.min("doc_id").alias("low")).join(groups, F.col("key") == F.col("node"), "left").select("key", "low", F.coalesce("component", "key").alias("component"))
     least = whole.groupBy("component").agg(F.min("low").alias("component_id"))
     by_key = cut(whole.join(least, "component").select("key", "component_id"))

@@ -15,7 +15,7 @@ and running sums over blocks are taken in two levels, so that no task holds a so
 seed, so reruns agree.
 
 Defined results: a null text has 0 words. A document with 0 words is taken as its block is, which adds nothing. Rows
-that share a doc_id are taken together. Null doc_ids hash alike and are taken together. An empty table gives no rows.
+that share a doc_id are taken together; rows without one are told apart by their texts. An empty table gives no rows.
 Columns of the input are kept as they are; working columns begin with `__mix_`.
 """
 
@@ -33,8 +33,8 @@ SHARE = 1.5
 MOST = 2
 BLOCK_DOCS = 256
 SHARD_WORDS = 2_000_000
-#: Quotas up to this many blocks are sampled draw by draw, larger ones from the normal law with the same mean and variance.
-EXACT_DRAWS = 4096
+#: Draws that are made from one array.
+CHUNK = 4096
 SUPER = 1024
 SEED = 20
 
@@ -60,14 +60,15 @@ def targets(sources: DataFrame, weights=WEIGHTS, share: float = SHARE, most: int
 
 
 def _left_half(seed: int) -> str:
-    """SQL for the left child's vector of a node (lo, mid, hi, q, room, total): hypergeometric given what is left of both."""
-    u = f"(pmod(xxhash64({seed}, lo, hi, a.i, {{}}), 9007199254740992) + 0.5) / 9007199254740992D"
-    drawn = f"aggregate(sequence(1L, k), 0L, (x, i) -> x + if({u.format('i')} * (a.t - i + 1) < a.c - x, 1L, 0L))"
-    mean = "(a.c * (k / a.t))"
-    var = f"({mean} * (1D - k / a.t) * ((a.t - a.c) / greatest(1D, a.t - 1D)))"
-    normal = f"cast(round({mean} + sqrt(greatest(0D, {var})) * sqrt(-2D * ln({u.format('-1L')})) * cos(2D * pi() * {u.format('-2L')})) as bigint)"
-    bounded = f"least(least(k, a.c), greatest(greatest(0L, a.c - (a.t - k)), {normal}))"
-    x = f"case when k = 0 or a.c = 0 then 0L when k = a.t then a.c when k <= {EXACT_DRAWS} then {drawn} else {bounded} end"
+    """SQL for the left child's vector of a node (lo, mid, hi, q, room, total): hypergeometric given what is left of both.
+
+    A source's k blocks are drawn one after the other, each left with the chance that is left; CHUNK of them at a time,
+    so that no array grows with k.
+    """
+    u = f"(pmod(xxhash64({seed}, lo, hi, a.i, i), 9007199254740992) + 0.5) / 9007199254740992D"
+    one = f"x + if({u} * (a.t - i + 1) < a.c - x, 1L, 0L)"
+    drawn = f"aggregate(sequence(0L, (k - 1) div {CHUNK}), 0L, (y, j) -> aggregate(sequence(j * {CHUNK} + 1, least(k, (j + 1) * {CHUNK})), y, (x, i) -> {one}))"
+    x = f"case when k = 0 or a.c = 0 then 0L when k = a.t then a.c else {drawn} end"
     step = f"transform(array({x}), x -> named_struct('c', a.c - x, 't', a.t - k, 'i', a.i + 1L, 'o', array_append(a.o, x)))[0]"
     return f"aggregate(q, named_struct('c', room, 't', total, 'i', 0L, 'o', cast(array() as array<bigint>)), (a, k) -> {step}, a -> a.o)"
 
@@ -91,13 +92,14 @@ def split(root: DataFrame, shards: int, seed: int = SEED) -> DataFrame:
 
 def plan(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: int = MOST, block_docs: int = BLOCK_DOCS, shard_words: int = SHARD_WORDS, seed: int = SEED) -> DataFrame:
     """docs(doc_id, text, source, ...) with __mix_size, __mix_source_size, __mix_target, __mix_taken and __mix_draws, an array of (pass, shard), one for each time the document is taken."""
-    sized = docs.withColumn("__mix_size", word_count(F.col("text")))
-    units = cut(sized.select("doc_id", "source", F.col("__mix_size").alias("size")))
+    unit = F.when(F.col("doc_id").isNull(), F.xxhash64(F.lit(seed), "text")).otherwise(F.xxhash64(F.lit(seed), "doc_id"))
+    sized = docs.withColumns({"__mix_size": word_count(F.col("text")), "__mix_unit": unit})
+    units = cut(sized.select(F.col("__mix_unit").alias("unit"), "source", F.col("__mix_size").alias("size")))
     sources = cut(targets(units.groupBy("source").agg(F.sum("size").alias("words"), F.count("*").alias("docs")), weights, share, most)
         .withColumn("nb", F.ceil(F.col("docs") / block_docs).cast("long"))
         .withColumn("base", F.when(F.col("words") > 0, F.least(F.lit(most), F.floor(F.col("target") / F.greatest("words", F.lit(1))))).otherwise(0).cast("long"))
         .withColumn("extra", F.when(F.col("words") > 0, F.col("target") - F.col("base") * F.col("words")).otherwise(0.0)))
-    block = F.pmod(F.xxhash64(F.lit(seed), "doc_id"), F.col("nb"))
+    block = F.pmod("unit", F.col("nb"))
 
     dealt = units.join(sources.select(F.col("source").alias("s"), "n", "nb"), F.col("source").eqNullSafe(F.col("s"))).withColumn("block", block)
     blocks = dealt.groupBy("n", "block").agg(F.sum("size").alias("words")).withColumn("super", F.expr(f"block div {SUPER}"))
@@ -129,22 +131,22 @@ def plan(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: int = MOS
     )
     # documents of the cut blocks: at most one block for each source
     cuts = blocks.filter("cut").select("n", "block", "rest")
-    order = Window.partitionBy("n", "block").orderBy(F.xxhash64(F.lit(seed + 1), "doc_id"), "doc_id")
+    order = Window.partitionBy("n", "block").orderBy(F.xxhash64(F.lit(seed + 1), "unit"), "unit")
     chosen = (
         dealt.join(cuts, ["n", "block"])
-        .groupBy("n", "block", "doc_id")
+        .groupBy("n", "block", "unit")
         .agg(F.sum("size").alias("w"), F.first("rest").alias("rest"))
         .withColumn("upto", F.sum("w").over(order))
         .filter((F.col("upto") <= F.col("rest")) | ((F.col("upto") - F.col("w") < F.col("rest")) & (F.col("rest") - (F.col("upto") - F.col("w")) > F.col("upto") - F.col("rest"))))
-        .select(F.col("n").alias("__mix_cn"), F.col("doc_id").alias("__mix_cd"), F.lit(True).alias("__mix_chosen"))
+        .select(F.col("n").alias("__mix_cn"), F.col("unit").alias("__mix_cd"), F.lit(True).alias("__mix_chosen"))
     )
     decided = cut(blocks.join(drawn, ["n", "block"], "left").select(F.col("n").alias("__mix_bn"), F.col("block").alias("__mix_block"), F.col("base").alias("__mix_base"), F.col("cut").alias("__mix_cut"), F.col("draws").alias("__mix_all")))
     by_source = sources.select(F.col("source").alias("__mix_source"), F.col("n").alias("__mix_n"), F.col("nb").alias("__mix_nb"), F.col("words").alias("__mix_source_size"), F.col("target").alias("__mix_target"))
     out = (
         sized.join(by_source, F.col("source").eqNullSafe(F.col("__mix_source")))
-        .withColumn("__mix_b", F.pmod(F.xxhash64(F.lit(seed), "doc_id"), F.col("__mix_nb")))
+        .withColumn("__mix_b", F.pmod("__mix_unit", F.col("__mix_nb")))
         .join(decided, (F.col("__mix_n") == F.col("__mix_bn")) & (F.col("__mix_b") == F.col("__mix_block")))
-        .join(cut(chosen), (F.col("__mix_n") == F.col("__mix_cn")) & F.col("doc_id").eqNullSafe(F.col("__mix_cd")), "left")
+        .join(cut(chosen), (F.col("__mix_n") == F.col("__mix_cn")) & (F.col("__mix_unit") == F.col("__mix_cd")), "left")
         .withColumn("__mix_draws", F.coalesce(F.expr("filter(__mix_all, x -> x.pass < __mix_base or not __mix_cut or __mix_chosen is not null)"), F.expr("cast(array() as array<struct<pass:bigint,shard:bigint>>)")))
         .withColumn("__mix_taken", F.col("__mix_size") * F.size("__mix_draws"))
     )

@@ -10,8 +10,8 @@ Where MOST_CELLS do not reach that, or too few queries have links to tell, every
 
 Equal vectors are one entry with a multiplicity. A cell's entries and visitors are cut into blocks of ROWS; each pair of
 blocks is one task's work, which returns a count for each visitor and a spanning forest of the links, never the pairs.
-So a group of near copies of any size is spread over as many tasks as it has pairs of blocks. What the driver gets is
-the sample; what is sent to all tasks is the codebooks, 2 * books * dimension / 2 numbers.
+So a group of near copies of any size is spread over as many tasks as it has pairs of blocks. A link that only one of
+its ends finds counts for both. What the driver gets is the sample; what is sent to all tasks is the codebooks, 2 * books * dimension / 2 numbers.
 
 Defined results: vectors that are null or zero, or hold null or non-finite components, link with nothing. Vectors whose
 dimension is not the sample's commonest are compared with all of their own dimension. Odd dimensions split unevenly.
@@ -185,7 +185,11 @@ def filed(entries: DataFrame, index: Index | None) -> DataFrame:
 
 
 def compare(cosine: float):
-    """For one block of a cell's entries and one of its visitors: a row for each visitor with links, and forest edges."""
+    """For one block of a cell's entries and one of its visitors: a row for each vector with links, and forest edges.
+
+    A visitor counts each link that it finds. Its partner counts the link here, too, unless it visits the visitor's own
+    cell and so finds it itself; both ends of a link count it once.
+    """
 
     def run(t):
         import pyarrow as pa
@@ -193,13 +197,24 @@ def compare(cosine: float):
         sides = np.array(t.column("visitor").to_pylist())
         ids = np.array(t.column("id").to_pylist(), np.int64)
         times = np.array(t.column("times").to_pylist(), np.int64)
+        home = np.array(t.column("home").to_pylist(), np.int64)
         vecs = np.stack([np.frombuffer(v, np.float64) for v in t.column("vec").to_pylist()])
         q, m = np.flatnonzero(sides), np.flatnonzero(~sides)
         near = vecs[q] @ vecs[m].T >= cosine
         near &= ids[q][:, None] != ids[m][None, :]
         links = near @ times[m]
         hit = np.flatnonzero(links)
+        met = np.flatnonzero(near.any(0))
+        visits = [set(v) for v in t.column("visits").take(m[met]).to_pylist()]
+        cells, own = np.unique(home[q[hit]], return_inverse=True)
+        back = np.zeros(len(m), np.int64)
+        for k, c in enumerate(cells.tolist()):
+            unseen = met[[c not in v for v in visits]]
+            if len(unseen):
+                some = hit[own == k]
+                back[unseen] += times[q[some]] @ near[np.ix_(some, unseen)]
         out = [(int(ids[q[i]]), None, int(links[i])) for i in hit]
+        out += [(int(ids[m[i]]), None, int(back[i])) for i in np.flatnonzero(back)]
         place = {int(v): i for i, v in enumerate(np.unique(ids))}
         root = np.arange(len(place))
         mine, theirs = np.array([place[int(v)] for v in ids[q]], np.int64), np.array([place[int(v)] for v in ids[m]], np.int64)
@@ -224,11 +239,12 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, sample: int = SA
     distinct = cut(all_.filter(F.col("key").isNotNull()).groupBy("key").agg(F.min("vec_id").alias("low"), F.count("*").alias("times"), F.first("vec").alias("vec")))
     entries = cut(filed(distinct, fit(distinct, cosine, sample, recall)).withColumn("id", F.xxhash64("key")))
     blocks = lambda n: F.ceil(F.col(n) / rows).cast("long")
-    visits = entries.select("id", "times", "vec", F.explode("visits").alias("cell"))
+    visits = entries.select("id", "times", "vec", F.col("cell").alias("home"), F.explode("visits").alias("cell"))
+    filed_ = entries.select("id", "times", "vec", F.col("cell").alias("home"), "visits", "cell")
     sizes = entries.groupBy("cell").agg(F.count("*").alias("m")).join(visits.groupBy("cell").agg(F.count("*").alias("v")), "cell").select("cell", blocks("m").alias("ms"), blocks("v").alias("vs"))
     sizes = cut(sizes)
-    spread = lambda df, own, other, i, j, who: df.join(sizes, "cell").select("cell", F.pmod(F.xxhash64(F.lit(5), "id"), F.col(own)).alias(i), F.explode(F.expr(f"sequence(0L, {other} - 1)")).alias(j), F.lit(who).alias("visitor"), "id", "times", "vec")
-    both = spread(entries, "ms", "vs", "i", "j", False).unionByName(spread(visits, "vs", "ms", "j", "i", True))
+    spread = lambda df, own, other, i, j, who: df.join(sizes, "cell").select("cell", F.pmod(F.xxhash64(F.lit(5), "id"), F.col(own)).alias(i), F.explode(F.expr(f"sequence(0L, {other} - 1)")).alias(j), F.lit(who).alias("visitor"), "id", "times", "vec", "home", "visits")
+    both = spread(filed_, "ms", "vs", "i", "j", False).unionByName(spread(visits.withColumn("visits", F.lit(None).cast("array<bigint>")), "vs", "ms", "j", "i", True))
     found = cut(both.groupBy("cell", "i", "j").applyInArrow(compare(cosine), "id long, other long, links long"))
     links = found.filter("links > 0").groupBy("id").agg(F.sum("links").alias("links"))
     groups = cut(components(found.filter("other is not null").select(F.col("id").alias("a"), F.col("other").alias("b"))))

@@ -10,8 +10,10 @@ path starts with the rule's path; the longest rule wins. Urls without a rule get
 * A host without (reversed) links keeps its own seed. After `rounds` power iterations a host is blocked where its
   distrust reaches `threshold` and exceeds its trust.
 
-Pages are reduced to (host, counts) and (host, host, links) before any join, so that a host with a third of all pages
-weighs one row; html is read once, for its hrefs.
+Pages are reduced to (host, counts) and (host, host, links) before the walks, so that a host with a third of all pages
+weighs one row there; html is read once, for its hrefs. Where pages meet what is known of their hosts, hosts with more
+than a 1,000th of all pages (fewer than 1,000, whatever the size) are broadcast and only the rest is joined by host, so
+that no task gets more than a 1,000th of the pages for one host.
 
 Defined results: a null url, or one without ://, has empty host and path; empty hosts have neither rules nor links and
 are allowed. Repeated pages count as often as they occur. Null html has no links. An empty table gives no rows.
@@ -30,6 +32,7 @@ RULES = (("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.
 DAMPING = 0.85
 ROUNDS = 12
 THRESHOLD = 0.5
+HOT = 1000
 #: Absolute and scheme-relative targets.
 HREF = r"""(?i)\bhref\s*=\s*["']?\s*((?:[a-z][a-z0-9+.-]*:)?//[^"'\s>]+)"""
 
@@ -58,12 +61,27 @@ def rule_table(spark, rules) -> DataFrame:
     return spark.range(1).select(F.explode(F.array(*rows) if rows else empty).alias("r")).select("r.*")
 
 
-def ruled(urls: DataFrame, rules: DataFrame) -> DataFrame:
+def known(urls: DataFrame, hosts: DataFrame, hot: DataFrame) -> DataFrame:
+    """urls with the columns of hosts(host, ...), null where there are none. hot(host): hosts with many urls, under HOT of them."""
+    cold = urls.join(F.broadcast(hot), "host", "left_anti").join(hosts.join(F.broadcast(hot), "host", "left_anti"), "host", "left")
+    few = F.broadcast(hot.join(hosts, "host", "left"))
+    return cold.unionByName(urls.join(few, "host").select(cold.columns))
+
+
+def many(urls: DataFrame) -> DataFrame:
+    """host: those with more than a HOT-th of all urls."""
+    counts = cut(urls.groupBy("host").agg(F.count("*").alias("n")))
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    return cut(counts.filter(F.col("n") * HOT > total).select("host"))
+
+
+def ruled(urls: DataFrame, rules: DataFrame, hot: DataFrame | None = None) -> DataFrame:
     """urls(host, path, ...) with rule and action, null where none fits. Rules are joined to distinct hosts, not to pages."""
+    hot = many(urls) if hot is None else hot
     hosts = urls.select("host").distinct().withColumn("suffix", F.explode(suffixes(F.col("host"))))
     by_host = hosts.join(rules, "suffix").groupBy("host").agg(F.collect_list(F.struct(F.length("rule").alias("n"), "rule", "action", "start")).alias("__rules"))
     fit = F.array_max(F.filter(F.coalesce(F.col("__rules"), F.array().cast("array<struct<n:int,rule:string,action:string,start:string>>")), lambda r: F.startswith(F.col("path"), r["start"])))
-    return urls.join(by_host, "host", "left").withColumn("__fit", fit).withColumns({"rule": F.col("__fit.rule"), "action": F.col("__fit.action")}).drop("__rules", "__fit")
+    return known(urls, by_host, hot).withColumn("__fit", fit).withColumns({"rule": F.col("__fit.rule"), "action": F.col("__fit.action")}).drop("__rules", "__fit")
 
 
 def links(pages: DataFrame) -> DataFrame:
@@ -103,14 +121,15 @@ def propagate(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, roun
 def judge(pages: DataFrame, rules=RULES, damping: float = DAMPING, rounds: int = ROUNDS, threshold: float = THRESHOLD) -> DataFrame:
     """page_id, host, path, rule, verdict, trust, distrust for every row of pages(page_id, url, html)."""
     urls = pages.select("page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
-    found = ruled(urls, rule_table(pages.sparkSession, rules))
+    hot = many(urls)
+    found = ruled(urls, rule_table(pages.sparkSession, rules), hot)
     counts = cut(found.groupBy("host").agg(F.avg(F.when(F.col("action") == "allow", 1.0).otherwise(0.0)).alias("trust"), F.avg(F.when(F.col("action") == "block", 1.0).otherwise(0.0)).alias("distrust")))
     edges = cut(links(pages))
     ends = reduce(DataFrame.unionByName, [counts, *(edges.select(F.col(c).alias("host"), F.lit(0.0).alias("trust"), F.lit(0.0).alias("distrust")) for c in ("from", "to"))])
     seeds = ends.groupBy("host").agg(F.max("trust").alias("trust"), F.max("distrust").alias("distrust"))
     scores = cut(propagate(edges, seeds, damping, rounds).join(counts.select("host"), "host", "left_semi"))
     by_graph = F.when((F.col("distrust") >= threshold) & (F.col("distrust") > F.col("trust")), "block").otherwise("allow")
-    return found.join(scores, "host", "left").select("page_id", "host", "path", "rule", F.coalesce("action", by_graph).alias("verdict"), F.coalesce("trust", F.lit(0.0)).alias("trust"), F.coalesce("distrust", F.lit(0.0)).alias("distrust"))
+    return known(found, scores, hot).select("page_id", "host", "path", "rule", F.coalesce("action", by_graph).alias("verdict"), F.coalesce("trust", F.lit(0.0)).alias("trust"), F.coalesce("distrust", F.lit(0.0)).alias("distrust"))
 
 
 def op1_url_graph(spark, sf_dir):

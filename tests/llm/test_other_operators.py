@@ -100,6 +100,22 @@ def test_one_large_group_does_not_set_the_cells(spark):
     assert sum(got[1200 + i] for i in range(len(want))) >= 0.985 * want.sum() > 0
 
 
+def test_both_ends_count_a_link(spark, monkeypatch):
+    """However few cells are visited, links are those of an undirected graph: each found pair counts at both ends."""
+    rng = np.random.default_rng(8)
+    centres = rng.normal(size=(150, 16))
+    x = np.concatenate([c + 0.3 * rng.normal(size=(8, 16)) for c in centres]).astype("f4")
+    index = multi_index.Index(multi_index.kmeans(x[:, :8].astype(float), 24), multi_index.kmeans(x[:, 8:].astype(float), 24), 2)
+    monkeypatch.setattr(multi_index, "fit", lambda *a: index)
+    got = {r.vec_id: r.n_links for r in multi_index.near_duplicates(vectors(spark, [(i, [float(v) for v in r]) for i, r in enumerate(x)]), rows=64).collect()}
+    u = x.astype(float) / np.linalg.norm(x.astype(float), axis=1)[:, None]
+    visits = index.order(u, 2)
+    sees = (visits[:, :, None] == visits[:, 0][None, None, :]).any(1)
+    near = (u @ u.T >= 0.9) & (sees | sees.T)
+    np.fill_diagonal(near, False)
+    assert [got[i] for i in range(len(x))] == near.sum(1).tolist() and (near & ~sees).any()
+
+
 def test_no_vectors(spark):
     assert multi_index.near_duplicates(vectors(spark, [])).count() == 0
     one = multi_index.near_duplicates(vectors(spark, [(1, [1.0, 0.0]), (1, [1.0, 0.0]), (None, [1.0, 0.0])])).collect()
@@ -159,6 +175,29 @@ def test_mix_takes_what_targets_ask(spark):
     assert mixed.columns == docs.columns and mixed.count() == sum(len(r["__mix_draws"]) for r in rows)
 
 
+def test_left_half_follows_the_hypergeometric_law(spark, monkeypatch):
+    """Draws over several chunks: mean and variance of many nodes, and the same result for any chunk."""
+    monkeypatch.setattr(mixing, "CHUNK", 16)
+    rows = spark.range(3000).selectExpr("id as lo", "id + 2 as hi", "id + 1 as mid", "array(40L, 100L, 60L) as q", "200L as total", "100L as room")
+    from pyspark.sql import functions as F
+
+    got = np.array([r[0] for r in rows.select(F.expr(mixing._left_half(20))).collect()])
+    assert (got.sum(1) == 100).all() and (got >= 0).all() and (got <= [40, 100, 60]).all()
+    for i, k in enumerate((40, 100, 60)):
+        var = 100 * k / 200 * (1 - k / 200) * 100 / 199
+        assert abs(got[:, i].mean() - k / 2) < 4 * (var / 3000) ** 0.5 and abs(got[:, i].var() / var - 1) < 0.12
+    monkeypatch.setattr(mixing, "CHUNK", 7)
+    assert (np.array([r[0] for r in rows.select(F.expr(mixing._left_half(20))).collect()]) == got).all()
+
+
+def test_rows_without_ids_are_mixed_one_by_one(spark):
+    docs = spark.createDataFrame([(None, f"w{i} " * 10, "s") for i in range(600)] + [(i, "x " * 10, "t") for i in range(600)], "doc_id long, text string, source string")
+    rows = mixing.plan(docs, block_docs=32).collect()
+    want = {r.source: r["__mix_target"] for r in rows}
+    for s in want:
+        assert abs(sum(r["__mix_taken"] for r in rows if r.source == s) - want[s]) <= 10
+
+
 def test_splitting_tree_is_exact_and_even(spark):
     q = [5, 0, 1000, 37, 20000]
     rows = mixing.split(spark.createDataFrame([(q,)], "q array<bigint>"), 7).collect()

@@ -108,6 +108,15 @@ def test_one_of_each(spark, corpus):
     assert near_copies.one_of_each(table(spark, ["a b", "a b"], [1, 1])).count() == 1
 
 
+def test_one_of_each_where_ids_repeat_or_are_missing(spark):
+    """A text goes, not its namesakes; null ids come last; texts without words stay."""
+    a, b, c = "one two three four five six", "seven eight nine ten eleven twelve", "some other words of a third text"
+    rows = [(1, a), (5, a), (5, b), (None, b), (None, c), (7, c), (8, None), (8, ""), (None, None), (9, " "), (5, b)]
+    kept = near_copies.one_of_each(table(spark, [t for _, t in rows], [i for i, _ in rows])).collect()
+    assert sorted(map(str, ((r.doc_id, r.text) for r in kept))) == sorted(map(str, [(1, a), (5, b), (7, c), (8, None), (8, ""), (None, None), (9, " ")]))
+    assert near_copies.one_of_each(table(spark, [])).count() == 0
+
+
 # -- suffix-array dedup ---------------------------------------------------------------------------------------------------
 
 
@@ -187,7 +196,7 @@ def ids_of(text):
 
 def test_packing_round_trip(spark, corpus):
     texts = [*corpus, "it's 12 o'clock!!  \n\n don't\tstop <|endoftext|> 中文 \u2003 x ", "'ll 've're 's"]
-    rows = packing.pack(table(spark, texts), open_most=8).collect()
+    rows = packing.pack(table(spark, texts)).collect()
     pieces, sequences = {}, {}
     for r in rows:
         pieces.setdefault(r.doc_id, []).append(r)
@@ -215,8 +224,34 @@ def test_sum_of_squares_rule():
     for n, size in enumerate((6, 4, 3, 3)):
         p.add(n, np.arange(size, dtype="<u4"))
     assert p.levels[10] == 0 and len(p.done) == 2  # 6 + 4 closed a window
-    p.empty(True)
-    assert sum(r[2] for r in p.done) == 16
+    p.finish()
+    assert sum(r[2] for r in p.done) == 16 and not p.levels.any()
+
+
+def test_packing_places_by_brute_force_sums_of_squares():
+    """Every placement is one of those after which the sum of squares is least; leftovers are powers of two."""
+    rng = random.Random(1)
+    p = packing.Packer(32)
+    for n in range(400):
+        size = rng.choice([1, 2, 3, 5, 8, 13, 21, 30])
+        before, closed = p.levels.copy(), p.next
+        p.add(n, np.arange(size, dtype="<u4"))
+        ways = []
+        for level in range(33 - size):
+            if level == 0 or before[level]:
+                after = before.copy()
+                after[level] -= level > 0
+                after[level + size] += level + size < 32
+                ways.append((int((after**2).sum()), after.tolist()))
+        least = min(w for w, _ in ways)
+        assert p.levels.tolist() in [a for w, a in ways if w == least] and p.next - closed <= 1
+    at = len(p.done)
+    p.finish()
+    sizes = {}
+    for r in p.done[at:]:
+        sizes[r[5]] = sizes.get(r[5], 0) + r[2]
+    assert all(n & (n - 1) == 0 for n in sizes.values())
+    assert sum(r[2] for r in p.done) == sum(len(range(r[1], r[1] + r[2])) for r in p.done) and len({(r[0], i) for r in p.done for i in range(r[1], r[1] + r[2])}) == sum(r[2] for r in p.done)
 
 
 # -- toxicity, quality ------------------------------------------------------------------------------------------------------
