@@ -1,17 +1,20 @@
 """Interleaved document sequences: ordered text and media-reference structs, with payloads resolved by digest.
 
 `interleave` parses each page's HTML into an array of parts in document order. A part is text, or a media reference with
-its digest, caption (the figcaption of its figure, else the alt text) and size; `position` counts parts from 0, so what
-a caption belongs to stays known however payloads are fetched. `resolve` explodes the references, joins a media store on
-the digest and keeps (doc_id, position): payloads never enter the arrays.
+its src, its digest (of a src `sha256:...`), caption (the figcaption of its figure, else the alt text) and size;
+`position` counts parts from 0, so what a caption belongs to stays known however payloads are fetched. `resolve` explodes
+the references, joins a media store on the digest and keeps (doc_id, position): payloads never enter the arrays.
 
 The store holds each distinct payload once, as an 8-bit greyscale PNG of rows of 192 samples. Payloads are combined by
 digest before and after the one exchange that deals them, so a payload that a third of all documents share is one row;
 what is derived from stored bytes is derived once for each digest, and only that is joined to the references.
 
-Defined results: null HTML has no parts; a null text is the empty payload, padded to one row. Unclosed and unknown tags
-are read as browsers do, near enough; script and style are skipped. References without a stored payload keep null
-columns. Repeated rows give repeated sequences. An empty table gives no rows.
+Defined results: null HTML has no parts; a null text is the empty payload, padded to one row. A block tag, opening or
+closing, and a media tag end a part of text; other tags do not. White space in a part is collapsed, parts without any
+text are left out. What is in script, style, title and template is skipped, up to the closing tag. A caption ends at
+</figcaption>, at </figure>, at the next figure or at the page's end, whichever comes first; it belongs to all media of
+its figure, and where there are none it is text. References without a digest or stored payload keep null columns.
+Repeated rows give repeated sequences. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -28,8 +31,10 @@ from pyspark.sql import functions as F
 from skyloom.llm.common import table
 
 ROW = 192
-PARTS = "array<struct<position:int,kind:string,text:string,digest:string,caption:string,bytes:bigint>>"
-BLOCK = {"p", "div", "li", "h1", "h2", "h3", "h4", "h5", "h6", "br", "article", "section", "tr", "figure", "ul", "ol", "table", "footer", "nav"}
+PARTS = "array<struct<position:int,kind:string,text:string,src:string,digest:string,caption:string,bytes:bigint>>"
+BLOCK = {"p", "div", "li", "h1", "h2", "h3", "h4", "h5", "h6", "br", "article", "section", "tr", "figure", "ul", "ol", "table", "footer", "nav", "header", "main", "aside", "blockquote", "pre", "body", "head", "html", "hr", "td", "th"}
+SKIPPED = ("script", "style", "title", "template")
+MEDIA = ("img", "video", "audio", "source")
 SIGNATURE = b"\x89PNG\r\n\x1a\n"
 
 
@@ -38,56 +43,73 @@ class Parts(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.parts, self.words, self.skip, self.caption, self.figure = [], [], 0, None, None
 
+    def add(self, kind, **fields):
+        self.parts.append({"position": len(self.parts), "kind": kind} | dict.fromkeys(("text", "src", "digest", "caption", "bytes")) | fields)
+
     def flush(self):
+        if self.caption is not None:
+            self.caption.append(" ")
         text = " ".join("".join(self.words).split())
         self.words = []
         if text:
-            self.parts.append({"position": len(self.parts), "kind": "text", "text": text, "digest": None, "caption": None, "bytes": None})
+            self.add("text", text=text)
+
+    def end_caption(self):
+        if self.caption is None:
+            return
+        text, self.caption = " ".join("".join(self.caption).split()), None
+        for i in self.figure or []:
+            self.parts[i]["caption"] = text
+        if not self.figure and text:
+            self.add("text", text=text)
 
     def handle_starttag(self, tag, attrs):
         a = dict(attrs)
-        if tag in ("script", "style"):
+        if tag in SKIPPED:
             self.skip += 1
         elif tag == "figcaption":
+            self.end_caption()
             self.flush()
             self.caption = []
-        elif tag in ("img", "video", "audio", "source") and (a.get("src") or "").startswith("sha256:"):
+        elif tag in MEDIA and a.get("src"):
             self.flush()
-            size = a.get("data-bytes") or ""
-            self.parts.append({"position": len(self.parts), "kind": "media", "text": None, "digest": a["src"][7:], "caption": a.get("alt"), "bytes": int(size) if size.isdigit() else None})
+            size, src = a.get("data-bytes") or "", a["src"]
+            self.add("media", src=src, digest=src[7:] if src.startswith("sha256:") else None, caption=a.get("alt"), bytes=int(size) if size.isdigit() and size.isascii() else None)
             if self.figure is not None:
                 self.figure.append(len(self.parts) - 1)
         elif tag in BLOCK:
+            if tag == "figure":
+                self.end_caption()
             self.flush()
             if tag == "figure":
                 self.figure = []
 
     def handle_startendtag(self, tag, attrs):
-        self.handle_starttag(tag, attrs)
+        if tag not in SKIPPED:
+            self.handle_starttag(tag, attrs)
 
     def handle_endtag(self, tag):
-        if tag in ("script", "style"):
+        if tag in SKIPPED:
             self.skip = max(0, self.skip - 1)
-        elif tag == "figcaption" and self.caption is not None:
-            text, self.caption = " ".join("".join(self.caption).split()), None
-            for i in self.figure or []:
-                self.parts[i]["caption"] = text
+        elif tag == "figcaption":
+            self.end_caption()
         elif tag in BLOCK:
-            self.flush()
             if tag == "figure":
+                self.end_caption()
                 self.figure = None
+            self.flush()
 
     def handle_data(self, data):
-        if self.caption is not None:
-            self.caption.append(data)
-        elif not self.skip:
-            self.words.append(data)
+        if self.skip:
+            return
+        (self.words if self.caption is None else self.caption).append(data)
 
 
 def parts_of(html: str | None) -> list[dict]:
     parser = Parts()
     parser.feed(html or "")
     parser.close()
+    parser.end_caption()
     parser.flush()
     return parser.parts
 
@@ -98,7 +120,7 @@ def interleave(pages: DataFrame) -> DataFrame:
     def run(batches):
         import pyarrow as pa
 
-        kind = pa.list_(pa.struct([("position", pa.int32()), ("kind", pa.string()), ("text", pa.string()), ("digest", pa.string()), ("caption", pa.string()), ("bytes", pa.int64())]))
+        kind = pa.list_(pa.struct([("position", pa.int32()), ("kind", pa.string()), ("text", pa.string()), ("src", pa.string()), ("digest", pa.string()), ("caption", pa.string()), ("bytes", pa.int64())]))
         for batch in batches:
             yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.array([parts_of(h) for h in batch.column(1).to_pylist()], kind)], names=["doc_id", "parts"])
 
@@ -106,8 +128,8 @@ def interleave(pages: DataFrame) -> DataFrame:
 
 
 def resolve(sequences: DataFrame, store: DataFrame) -> DataFrame:
-    """doc_id, position, digest, caption, bytes of each media reference, with the store's other columns."""
-    refs = sequences.select("doc_id", F.explode("parts").alias("part")).filter("part.kind = 'media'").select("doc_id", "part.position", "part.digest", "part.caption", "part.bytes")
+    """doc_id, n_parts, position, src, digest, caption, bytes of each media reference, with the store's other columns."""
+    refs = sequences.select("doc_id", F.size("parts").alias("n_parts"), F.explode(F.filter("parts", lambda p: p["kind"] == "media")).alias("part")).select("doc_id", "n_parts", "part.position", "part.src", "part.digest", "part.caption", "part.bytes")
     return refs.join(store, "digest", "left")
 
 
@@ -153,7 +175,7 @@ def feature_of(samples: bytes) -> str:
 
 
 def pages_of(docs: DataFrame) -> DataFrame:
-    """doc_id, html: each document as a page whose figure refers to the document's payload."""
+    """doc_id, html: each document as a page: a paragraph for each line, and after the first a figure of its payload."""
 
     def run(batches):
         import pyarrow as pa
@@ -162,7 +184,9 @@ def pages_of(docs: DataFrame) -> DataFrame:
             pages = []
             for t in batch.column(1).to_pylist():
                 n, p = payload(t)
-                pages.append(f'<article><p>{escape(f"{n} bytes")}</p><figure><img src="sha256:{hashlib.sha256(p).hexdigest()}" data-bytes="{n}"><figcaption>text as samples</figcaption></figure></article>')
+                first, *rest = (t or "").split("\n")
+                figure = f'<figure><img src="sha256:{hashlib.sha256(p).hexdigest()}" alt="" data-bytes="{n}"><figcaption>{n} bytes as samples</figcaption></figure>'
+                pages.append(f"<article><p>{escape(first)}</p>{figure}{''.join(f'<p>{escape(x)}</p>' for x in rest)}</article>")
             yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.array(pages, pa.string())], names=["doc_id", "html"])
 
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, html string")
@@ -206,4 +230,4 @@ def read_back(store: DataFrame) -> DataFrame:
 def op2_media(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     found = resolve(interleave(pages_of(docs)), read_back(store_of(docs)))
-    return found.select("doc_id", F.col("bytes").alias("n_bytes"), "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "position", "caption")
+    return found.select("doc_id", F.col("bytes").alias("n_bytes"), "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "position", "n_parts", "caption")

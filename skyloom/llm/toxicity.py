@@ -149,7 +149,9 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", toxic_rows: in
 
 
 def score(docs: DataFrame, model: Model, name: str = "score") -> DataFrame:
-    """docs with one more column, the score of text."""
+    """docs with one more column, the score of text; a column of that name in docs is an error."""
+    if name in docs.columns:
+        raise ValueError(f"docs has a column {name} already")
     toxic, plain, of = model.toxic, model.plain, model.score
 
     def run(batches):
@@ -165,8 +167,11 @@ def score(docs: DataFrame, model: Model, name: str = "score") -> DataFrame:
 
 
 def reject(docs: DataFrame, labels: DataFrame, cut: float = CUT, source: DataFrame | None = None) -> DataFrame:
-    """docs without those predicted toxic. source: where the labelled texts are, if not in docs."""
-    return score(docs, fit(docs if source is None else source, labels), "__score").filter(F.col("__score") < cut).drop("__score")
+    """docs without those predicted toxic, columns as given. source: where the labelled texts are, if not in docs."""
+    name = "__score"
+    while name in docs.columns:
+        name += "_"
+    return score(docs, fit(docs if source is None else source, labels), name).filter(F.col(name) < cut).select(docs.columns)
 
 
 def op8_toxicity(spark, sf_dir):

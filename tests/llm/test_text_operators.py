@@ -1,6 +1,9 @@
 import hashlib
+import math
 import random
 import zlib
+from collections import Counter
+from functools import cache
 
 import numpy as np
 import pytest
@@ -292,6 +295,101 @@ def test_toxicity_edges(spark):
     assert toxicity.score(docs, none).filter("score >= 0.7").count() == 0
 
 
+def test_toxicity_matches_plain_dictionaries_distances_and_threshold(spark):
+    """A second implementation without counters, caches or early exits."""
+    import zstandard as z
+
+    docs, labels, truth = labelled(spark)
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    learn = {i: t for i, _, t in truth if zlib.crc32(str(i).encode()) % 3 != 1}
+    model = toxicity.fit(docs, labels)
+    split = {y: toxicity.apart([texts[i] for i in sorted(learn) if learn[i] == y]) for y in (1, 0)}
+
+    def plain_dictionary(own, other):
+        n = 6
+        has = lambda group, g: sum(any(g in w for w in d) for d in group)
+        least, every = max(3, len(own) // 80, int(len(own) ** 0.5 / 3)), {w[i : i + n] for d in own for w in d for i in range(len(w) - n + 1)}
+        typical = {g for g in every if (k := has(own, g)) >= least and k * len(other) >= 20 * (has(other, g) + 0.5) * len(own)}
+        parts = Counter()
+        for d in own:
+            mine = set()
+            for w in d:
+                i = 0
+                while i + n <= len(w):
+                    if w[i : i + n] in typical:
+                        j = i
+                        while w[j + 1 : j + 1 + n] in typical:
+                            j += 1
+                        mine.add(w[i : j + n])
+                        i = j
+                    i += 1
+            parts.update(mine)
+        out = b""
+        for p in sorted(parts, key=lambda p: (-parts[p], p)):
+            if p not in out and len(out) + len(p) < 32768:
+                out = p + b"\xff" + out
+        return out
+
+    toxic, plain = plain_dictionary(split[1], split[0]), plain_dictionary(split[0], split[1])
+    assert toxic and (model.toxic, model.plain) == (toxic, plain)
+
+    def size(raw, data):
+        p = z.ZstdCompressionParameters.from_level(1, strategy=z.STRATEGY_FAST, min_match=6, window_log=17, hash_log=16, write_checksum=0, write_content_size=0, write_dict_id=0, format=z.FORMAT_ZSTD1_MAGICLESS)
+        return len(z.ZstdCompressor(compression_params=p, dict_data=z.ZstdCompressionDict(raw.rjust(8, b"\0"), dict_type=z.DICT_TYPE_RAWCONTENT)).compress(data))
+
+    def distance(t, a, b):
+        each = sorted(size(b, b" " + w + b" " + bytes(64)) - size(a, b" " + w + b" " + bytes(64)) for w in t.lower().encode().split())
+        return sum(d for d in each[-2:] if d > 0)
+
+    first = plain_dictionary(split[1][::2], split[0][::2]), plain_dictionary(split[0][::2], split[1][::2])
+    seen = [[distance(b"".join(d).decode(), *first) for d in split[y][1::2]] for y in (1, 0)]
+    cost = lambda t: sum(d < t for d in seen[0]) / len(seen[0]) + 10 * sum(d >= t for d in seen[1]) / len(seen[1])
+    ways = [t for t in range(1, max(seen[0] + seen[1]) + 2) if cost(t) == min(map(cost, range(1, max(seen[0] + seen[1]) + 2)))]
+    assert model.limit == ways[len(ways) // 2]
+    scored = {r.doc_id: r.score for r in toxicity.score(docs, model).collect()}
+    for i in range(0, 400, 3):
+        d = distance(texts[i], toxic, plain)
+        assert scored[i] == pytest.approx(1 / (1 + math.exp(-(math.log(0.7 / 0.3) + d - (model.limit - 0.5)))), abs=1e-12)
+
+
+def test_toxicity_keeps_columns_of_its_own_names(spark):
+    docs, labels, _ = labelled(spark)
+    odd = docs.limit(5).selectExpr("doc_id", "text", "source", "1 as __score", "2 as label")
+    kept = toxicity.reject(odd, labels, source=docs)
+    assert kept.columns == odd.columns and all(r["__score"] == 1 for r in kept.collect())
+    with pytest.raises(ValueError):
+        toxicity.score(docs.withColumnRenamed("size", "score"), toxicity.fit(docs, labels))
+
+
+def test_quality_posteriors_match_plain_sums(spark):
+    """Strengths, rates and posteriors from loops over rows."""
+    rng = random.Random(4)
+    rows = [(i, rng.choice(["a", "b", "c", None]), rng.choice(["x", "y", "z", None]), rng.random() ** 2) for i in range(300)] + [(900, "lone", "x", 0.9), (900, "lone", "x", 0.9)]
+    got = sorted((r.doc_id, r.host_rate, r.path_rate, r.posterior) for r in quality.posteriors(spark.createDataFrame(rows, "doc_id long, host string, path string, p double")).collect())
+    rate = sum(r[3] for r in rows) / len(rows)
+
+    def weight(groups):  # (n, s, above)
+        some = [g for g in groups if g[0] >= 2]
+        spread = sum(n * (s / n - a) ** 2 for n, s, a in some)
+        between = (spread - sum(a * (1 - a) for _, _, a in some)) / sum(n for n, _, _ in some)
+        whole = sum(n * a * (1 - a) for n, _, a in some) / sum(n for n, _, _ in some)
+        return min(1e6, max(1.0, whole / between - 1)) if between > 0 else 1e6
+
+    of = lambda key: {k: (sum(1 for r in rows if key(r) == k), sum(r[3] for r in rows if key(r) == k)) for k in map(key, rows)}
+    hosts, paths = of(lambda r: r[1]), of(lambda r: (r[1], r[2]))
+    k = weight([(n, s, rate) for n, s in hosts.values()])
+    above = {h: (k * rate + s) / (k + n) for h, (n, s) in hosts.items()}
+    m = weight([(n, s, above[h]) for (h, _), (n, s) in paths.items()])
+    want = []
+    for i, h, q, p in rows:
+        n, s = paths[h, q]
+        path = (m * above[h] + s - p) / (m + n - 1)
+        odds = sum(math.log(max(x, 1e-6) / max(1 - x, 1e-6)) for x in (p, path)) - math.log(rate / (1 - rate))
+        want.append((i, above[h], path, 1 / (1 + math.exp(-odds))))
+    for a, b in zip(got, sorted(want), strict=True):
+        assert a == pytest.approx(b, rel=1e-9)
+
+
 def test_quality_shrinks_sparse_sites(spark):
     p = spark.createDataFrame([(i, "big", "a", 0.9 if i % 10 else 0.1) for i in range(200)] + [(900, "tiny", None, 0.1), (901, None, "a", 0.5)], "doc_id long, host string, path string, p double")
     out = {r.doc_id: r for r in quality.posteriors(p).collect()}
@@ -312,50 +410,106 @@ def test_quality_of_whole_tables(spark):
 # -- token counts, media ------------------------------------------------------------------------------------------------------
 
 
-def test_token_counts_match_plain_dynamic_programming(spark, corpus):
-    import public_tokenizers
+def plain_segmentation(word, names, taken):
+    """Pieces of the best segmentation, by trying every last piece; fewer tokens, then the latest start, win ties."""
+    total = math.log(sum(taken.values()) + len(names))
+    score = {p: math.log(taken.get(p, 0) + 1) - total for p in names}
+    unknown = min(score.values()) - 10
+    best = [(0.0, 0, [])]
+    for end in range(1, len(word) + 1):
+        n = len(word[end - 1].encode())
+        ways = [(best[end - 1][0] + unknown * n, -best[end - 1][1] - n, end - 1, [*best[end - 1][2], word[end - 1]])]
+        ways += [(best[s][0] + score[word[s:end]], -best[s][1] - 1, s, [*best[s][2], word[s:end]]) for s in range(end - 1, max(0, end - 20) - 1, -1) if word[s:end] in score]
+        w = max(ways, key=lambda w: w[:2])
+        best.append((w[0], -w[1], w[3]))
+    return best[-1][1], best[-1][2]
 
-    pieces = token_counts.Pieces(public_tokenizers.path(token_counts.MODEL))
 
-    def plain(word):
-        best = [(0.0, 0)]
-        for end in range(1, len(word) + 1):
-            n = len(word[end - 1].encode())
-            ways = [(best[end - 1][0] + pieces.unknown * n, best[end - 1][1] + n)]
-            ways += [(best[s][0] + pieces.score[word[s:end]], best[s][1] + 1) for s in range(end) if word[s:end] in pieces.score]
-            best.append(max(ways, key=lambda w: (w[0], -w[1])))
-        return best[-1][1]
+def test_token_counts_match_plain_training_and_dynamic_programming(spark, corpus):
+    import public_tokenizers
 
-    texts = [t if t is None or len(t) < 5000 else t[:5000] for t in corpus]
-    got = {r.doc_id: (r.n_words, r.n_tokens) for r in token_counts.count_tokens(table(spark, texts), keep=50).collect()}
-    cache = {}
+    names = token_counts.vocabulary(public_tokenizers.path(token_counts.MODEL))
+    texts = [t if t is None or len(t) < 5000 else t[:5000] for t in corpus] + ["a\u00a0b \ud55c\uae00 x" + "y" * 40]
+    words = Counter(w.decode() for t in texts for w in (t or "").encode().split())
+    taken = {}
+    for _ in range(2):
+        now = Counter()
+        for w, n in words.items():
+            for p in plain_segmentation("▁" + w, names, taken)[1]:
+                if p in names_set(names):
+                    now[p] += n
+        taken = now
+    docs = table(spark, texts)
+    trained = token_counts.train(docs, names, 2)
+    assert trained == dict(taken)
+    got = {r.doc_id: (r.n_words, r.n_tokens) for r in token_counts.count_tokens(docs, keep=50, taken=trained).collect()}
+    cache = {w: plain_segmentation("▁" + w, names, taken)[0] for w in words}
     for i, t in enumerate(texts):
-        words = [w.decode() for w in (t or "").encode().split()]
-        for w in words:
-            cache.setdefault(w, plain("▁" + w))
-        assert got[i] == (len(words), sum(cache[w] for w in words))
+        own = [w.decode() for w in (t or "").encode().split()]
+        assert got[i] == (len(own), sum(cache[w] for w in own))
     assert token_counts.count_tokens(table(spark, [])).count() == 0
 
 
-def test_media_round_trip(spark, corpus):
-    docs = table(spark, corpus)
-    rows = {r.doc_id: r for r in media.resolve(media.interleave(media.pages_of(docs)), media.read_back(media.store_of(docs))).collect()}
+@cache
+def _names_set(names):
+    return set(names)
+
+
+def names_set(names):
+    return _names_set(tuple(names))
+
+
+def test_media_round_trip(spark, corpus, tmp_path):
+    """op2_media itself, over documents written as a table."""
+    table(spark, corpus).write.parquet(str(tmp_path / "documents.parquet"))
+    rows = {r.doc_id: r for r in media.op2_media(spark, str(tmp_path)).collect()}
     assert len(rows) == len(corpus)
     for i, t in enumerate(corpus):
         b = (t or "").encode()
         p = b + b" " * (-len(b) % 192 if b else 192)
         r = rows[i]
-        assert (r.bytes, r.payload_bytes, r.payload_sha256, r.tail_crc32) == (len(b), len(p), hashlib.sha256(p).hexdigest(), zlib.crc32(p[-16:]))
+        assert (r.n_bytes, r.payload_bytes, r.payload_sha256, r.tail_crc32) == (len(b), len(p), hashlib.sha256(p).hexdigest(), zlib.crc32(p[-16:]))
+        lines = (t or "").split("\n")
+        assert r.position == (1 if lines[0].split() else 0) and r.n_parts == 1 + sum(1 for x in lines if x.split()) and r.caption == f"{len(b)} bytes as samples"
     assert rows[46].media_sha256 == rows[47].media_sha256
-    assert media.store_of(table(spark, [])).count() == 0
+    assert media.store_of(table(spark, [])).count() == 0 and media.interleave(media.pages_of(table(spark, []))).count() == 0
 
 
 def test_parts_stay_in_order():
     html = "<script>no</script><p>one &amp; two<figure><img src='sha256:ab' alt=x><figcaption>cap <b>t</b></figcaption></figure>three<img src='http://x'><img src=sha256:cd alt='y' data-bytes=5>"
     parts = media.parts_of(html)
-    assert [(p["position"], p["kind"]) for p in parts] == [(0, "text"), (1, "media"), (2, "text"), (3, "media")]
-    assert parts[0]["text"] == "one & two" and parts[1]["caption"] == "cap t" and parts[3]["caption"] == "y" and parts[3]["bytes"] == 5
-    assert media.parts_of(None) == []
+    assert [(p["position"], p["kind"]) for p in parts] == [(0, "text"), (1, "media"), (2, "text"), (3, "media"), (4, "media")]
+    assert parts[0]["text"] == "one & two" and parts[1]["caption"] == "cap t" and parts[3]["src"] == "http://x" and parts[3]["digest"] is None
+    assert parts[4]["digest"] == "cd" and parts[4]["caption"] == "y" and parts[4]["bytes"] == 5 and media.parts_of(None) == []
+
+
+@pytest.mark.parametrize(("html", "want"), [
+    ("<figure><img src=a><figcaption>cap</figure>tail text", ["m:cap", "tail text"]),
+    ("<figure><img src=a><figcaption>cap", ["m:cap"]),
+    ("before<figcaption>lone caption</figcaption>after", ["before", "lone caption", "after"]),
+    ("<figcaption>open caption<p>more", ["open caption more"]),
+    ("<figure><img src=a><img src=b><figcaption>both</figcaption></figure>x", ["m:both", "m:both", "x"]),
+    ("<figure><img src=a alt=A></figure><figure><figcaption>none</figcaption></figure>", ["m:A", "none"]),
+    ("<figure><img src=a><figcaption>one<figure><img src=b></figure>", ["m:one", "m:None"]),
+    ("<style>p{}</style><title>t</title>a<img>b<br>c<video src=v></video>", ["ab", "c", "m:None"]),
+    ("<p>a<p>b</p>  </p>\n<div> </div>c&nbsp;d", ["a", "b", "c d"]),
+])
+def test_unclosed_and_lone_tags(html, want):
+    assert [p["text"] if p["kind"] == "text" else f"m:{p['caption']}" for p in media.parts_of(html)] == want
+
+
+def test_parts_of_real_pages_match_a_plain_split(spark):
+    """Every page of the table: text between block tags, by cutting out what is skipped and splitting at tags."""
+    import html as h
+    import re
+
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet").selectExpr("page_id as doc_id", "html")
+    got = {r.doc_id: [p.text for p in r.parts] for r in media.interleave(pages).collect()}
+    blocks = "|".join(sorted(media.BLOCK, key=len, reverse=True))
+    for r in pages.collect():
+        t = re.sub(r"(?is)<(script|style|title|template)\b.*?</\1\s*>|<!--.*?-->|<!doctype[^>]*>", "", r.html or "")
+        pieces = re.split(rf"(?i)</?(?:{blocks})\b[^>]*>", t)
+        assert got[r.doc_id] == [x for x in (" ".join(h.unescape(re.sub(r"<[^>]*>", "", p)).split()) for p in pieces) if x]
 
 
 def test_unresolved_reference(spark):
