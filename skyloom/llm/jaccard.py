@@ -4,8 +4,9 @@
 2. Rows that can link agree on at least one block of columns whose number follows from the sizes (shingles.Classes).
    Each row's blocks are hashed; only hashes that another bundle has, too, leave the bundle (repeats), so almost all of
    the matrix is never multiplied. A common line spreads over many blocks and makes none of them alike by itself.
-3. Pairs that share too few block hashes for their sizes are discarded (near_pairs); what still hangs together is a cluster. A cluster's rows are cut
-   into row blocks of ROWS documents, and every pair of row blocks is multiplied in one task, overlaps accumulating
+3. Pairs that share too few block hashes for their sizes are discarded (near_pairs); what still hangs together is a
+   cluster. A cluster's rows are cut
+   into row blocks of ROWS documents, or fewer long ones, and every pair of row blocks is multiplied in one task, overlaps accumulating
    over column blocks and pairs being discarded below the bounds of their sizes. The task returns a spanning forest of
    its links, never all pairs.
 4. Components of the forests' edges are those of all links, since a pair left out is joined through others.
@@ -28,6 +29,8 @@ from skyloom.llm.shingles import Classes, Words, product_links, shingle_set
 
 WORDS, PERCENT = 3, 90
 ROWS = 384
+#: Shingles that a row block is meant to hold at most.
+SHINGLES = 400_000
 #: Keys up to which a signature's pairs are counted one by one.
 COMMON = 16
 
@@ -114,7 +117,8 @@ def links(found: DataFrame, words: int, percent: int, rows: int = ROWS) -> DataF
     shared = found.filter(F.size("sigs") > 0)
     near = near_pairs(shared)
     clusters = cut(components(cut(near)))
-    sizes = clusters.groupBy("component").agg(F.ceil(F.count("*") / rows).cast("long").alias("blocks"))
+    lengths = shared.groupBy("key").agg(F.first("n").alias("n"))
+    sizes = clusters.join(lengths, F.col("key") == F.col("node")).groupBy("component").agg(F.greatest(F.ceil(F.count("*") / rows), F.ceil(F.sum("n") / SHINGLES)).cast("long").alias("blocks"))
     members = clusters.join(sizes, "component").select(F.col("node").alias("key"), "component", "blocks", F.pmod(F.xxhash64(F.lit(3), "node"), F.col("blocks")).alias("own"))
     texts = shared.groupBy("key").agg(F.first("text").alias("text"))
     sent = members.join(texts, "key").withColumn("other", F.explode(F.expr("sequence(0L, blocks - 1)"))).select("component", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "key", "text")

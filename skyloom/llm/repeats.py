@@ -163,11 +163,12 @@ class Answers:
 
     def __init__(self, names: np.ndarray, table, total: int, part: int = PART, spare: int = 11):
         short = narrowed(names, total, spare)
-        self.order = np.argsort(short)
+        self.order = np.argsort(short).astype(np.int32)  # a bundle has far fewer than 2**31 names
         short = short[self.order]
-        self.edge = np.flatnonzero(np.r_[True, short[1:] != short[:-1]]) if len(short) else np.zeros(0, np.int64)
-        self.times = np.diff(np.r_[self.edge, len(short)])
-        owner = part_of(short[self.edge], max(1, -(-total // part)))
+        self.edge = np.flatnonzero(np.r_[True, short[1:] != short[:-1]]).astype(np.int32) if len(short) else np.zeros(0, np.int32)
+        self.times = np.diff(np.r_[self.edge, np.int32(len(short))])
+        owner = part_of(short[self.edge], max(1, -(-total // part))).astype(np.int32)
+        del short
         yes = np.zeros(len(self.edge), bool)
         for p, bits in zip(table.column("part").to_pylist(), table.column("bits").to_pylist(), strict=True):
             lo, hi = np.searchsorted(owner, p), np.searchsorted(owner, p, "right")

@@ -45,14 +45,17 @@ BUNDLE, PART = 4 << 20, 8 << 20
 _K = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3)]
 
 
-def names_at(data: bytes, at: np.ndarray, depth: int) -> np.ndarray:
+def names_at(data: bytes, at: np.ndarray, depth: int, step: int = 1 << 18) -> np.ndarray:
     """A 64-bit name of the depth >= 8 bytes at each position."""
     words = np.ndarray(len(data) - 7, np.uint64, data, strides=(1,))
-    out = np.zeros(len(at), np.uint64)
-    for k, off in enumerate([*range(0, depth - 7, 8), *([depth - 8] if depth % 8 else [])]):
-        out = (out ^ words[at + off]) * _K[k % 8]
-        out ^= out >> np.uint64(29)
-    return mixed(out)
+    names = np.empty(len(at), np.uint64)
+    for a in range(0, len(at), step):  # bounds what is held besides
+        some, out = at[a : a + step], np.uint64(0)
+        for k, off in enumerate([*range(0, depth - 7, 8), *([depth - 8] if depth % 8 else [])]):
+            out = (out ^ words[some + off]) * _K[k % 8]
+            out ^= out >> np.uint64(29)
+        names[a : a + step] = mixed(out)
+    return names
 
 
 class Joined:
@@ -222,6 +225,7 @@ def second_pass(bundles: DataFrame, found: DataFrame, length: int, total: int) -
             where = np.concatenate(each)
             doc = np.repeat(np.arange(s.start, s.stop), [len(x) for x in each])
             got.append((names_at(j.data, where + j.start[doc - s.start], length) if len(where) else got[0][0], doc.astype(np.int32), where.astype(np.int32)))
+            del j, each, where, doc
         return at, texts, *(np.concatenate(x) for x in zip(*got, strict=True))
 
     def use(t, beside):
