@@ -23,14 +23,16 @@ def shared_folder(spark: SparkSession) -> str:
     if found:
         return found
     if not context._jsc.sc().getCheckpointDir().isDefined():
+        if not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="skyloom-checkpoint-"))
     return context._jsc.sc().getCheckpointDir().get()
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """A reliable checkpoint in the shared folder."""
+def cut(df: DataFrame, parts: int | None = None) -> DataFrame:
+    """A reliable checkpoint in the shared folder, in at most `parts` files: a table of ids needs far fewer than the shuffle before it."""
     shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+    return (df if parts is None else df.coalesce(parts)).checkpoint(eager=True)
 
 
 def ascii_lower(c: Column) -> Column:

@@ -5,10 +5,9 @@
    Each row's blocks are hashed; only hashes that another bundle has, too, leave the bundle (repeats), so almost all of
    the matrix is never multiplied. A common line spreads over many blocks and makes none of them alike by itself.
 3. Pairs that share too few block hashes for their sizes are discarded (near_pairs); what still hangs together is a
-   cluster. A cluster's rows are cut
-   into row blocks of ROWS documents, or fewer long ones, and every pair of row blocks is multiplied in one task, overlaps accumulating
-   over column blocks and pairs being discarded below the bounds of their sizes. The task returns a spanning forest of
-   its links, never all pairs.
+   cluster. A cluster's rows are cut into row blocks of ROWS documents, or fewer long ones, and every pair of row blocks
+   is multiplied in one task, overlaps accumulating over column blocks and pairs being discarded below the bounds of
+   their sizes. The task returns a spanning forest of its links, never all pairs.
 4. Components of the forests' edges are those of all links, since a pair left out is joined through others.
 
 Everything is exact but for 64-bit hash collisions. Defined results: null and empty texts, and texts of white space, have
@@ -23,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skyloom.llm import repeats
-from skyloom.llm.common import cut, table
+from skyloom.llm.common import cut, parts_for, table
 from skyloom.llm.components import components
 from skyloom.llm.shingles import Classes, Words, product_links, shingle_set
 
@@ -86,7 +85,7 @@ def features(docs: DataFrame, words: int, percent: int, total: int) -> DataFrame
     return repeats.answered(bundles, repeats.ask(bundles, names, total), use, "doc_id long, text_key long, n long, key long, sigs array<long>, kinds array<int>, needs array<int>, sides array<int>, text string")
 
 
-def near_pairs(shared: DataFrame, common: int = COMMON) -> DataFrame:
+def near_pairs(shared: DataFrame, common: int = COMMON, parts: int | None = None) -> DataFrame:
     """a, b: pairs of keys whose components hold those of all links, with few that do not link.
 
     Linked sets share at least `need` signatures of a class: the larger one's if both or neither have signatures of empty
@@ -98,7 +97,7 @@ def near_pairs(shared: DataFrame, common: int = COMMON) -> DataFrame:
     """
     sig = shared.select("key", F.explode(F.arrays_zip("sigs", "kinds", "needs", "sides")).alias("s")).select(F.col("s.sigs").alias("sig"), "key", F.col("s.kinds").alias("kind"), F.col("s.needs").alias("need"), F.col("s.sides").alias("side")).distinct()
     sizes = sig.groupBy("sig").agg(F.count("*").alias("m")).filter("m > 1")
-    met = cut(sig.join(sizes, "sig"))
+    met = cut(sig.join(sizes, "sig"), parts)
     often = met.filter(F.col("m") > common).groupBy("key", "kind").agg(F.count("*").alias("h"), F.count(F.when(F.col("side") < 2, 1)).alias("f"))
     rows = met.join(often, ["key", "kind"], "left").withColumns({"h": F.coalesce("h", F.lit(0)), "f": F.coalesce("f", F.lit(0))})
     few = rows.filter(F.col("m") <= common).groupBy("sig", "kind").agg(F.array_sort(F.collect_list(F.struct("key", "need", "h", "f", "side"))).alias("ks"))
@@ -112,11 +111,11 @@ def near_pairs(shared: DataFrame, common: int = COMMON) -> DataFrame:
     return counted.unionByName(hung).distinct()
 
 
-def links(found: DataFrame, words: int, percent: int, rows: int = ROWS) -> DataFrame:
+def links(found: DataFrame, words: int, percent: int, rows: int = ROWS, parts: int | None = None) -> DataFrame:
     """a, b: keys of linked sets; their components are those of all links."""
     shared = found.filter(F.size("sigs") > 0)
-    near = near_pairs(shared)
-    clusters = cut(components(cut(near)))
+    near = near_pairs(shared, parts=parts)
+    clusters = cut(components(near), parts)
     lengths = shared.groupBy("key").agg(F.first("n").alias("n"))
     sizes = clusters.join(lengths, F.col("key") == F.col("node")).groupBy("component").agg(F.greatest(F.ceil(F.count("*") / rows), F.ceil(F.sum("n") / SHINGLES)).cast("long").alias("blocks"))
     members = clusters.join(sizes, "component").select(F.col("node").alias("key"), "component", "blocks", F.pmod(F.xxhash64(F.lit(3), "node"), F.col("blocks")).alias("own"))
@@ -135,8 +134,10 @@ def links(found: DataFrame, words: int, percent: int, rows: int = ROWS) -> DataF
 
 def grouped(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, rows: int = ROWS) -> tuple[DataFrame, DataFrame]:
     """doc_id, text_key (xxhash64 of text), n, key (of the set) for every row of docs; and node, component of keys with links."""
-    found = cut(features(docs, words, percent, repeats.volume(docs)))
-    return found, cut(components(cut(links(found, words, percent, rows))))
+    total = repeats.volume(docs)
+    parts = parts_for(total, 8 << 20, 8)
+    found = cut(features(docs, words, percent, total), parts)
+    return found, cut(components(links(found, words, percent, rows, parts)), parts)
 
 
 def join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, rows: int = ROWS) -> DataFrame:
@@ -144,7 +145,7 @@ def join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, rows: int
     found, groups = grouped(docs, words, percent, rows)
     whole = found.filter("n > 0").groupBy("key").agg(F.min("doc_id").alias("low")).join(groups, F.col("key") == F.col("node"), "left").select("key", "low", F.coalesce("component", "key").alias("component"))
     least = whole.groupBy("component").agg(F.min("low").alias("component_id"))
-    by_key = cut(whole.join(least, "component").select("key", "component_id"))
+    by_key = whole.join(least, "component").select("key", "component_id")
     return found.select("doc_id", "n", "key").join(by_key, "key", "left").select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
 
 

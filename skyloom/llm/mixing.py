@@ -26,7 +26,7 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from skyloom.llm.common import cut, table, word_count
+from skyloom.llm.common import cut, parts_for, table, word_count
 
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
@@ -95,10 +95,11 @@ def plan(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: int = MOS
     unit = F.when(F.col("doc_id").isNull(), F.xxhash64(F.lit(seed), "text")).otherwise(F.xxhash64(F.lit(seed), "doc_id"))
     sized = docs.withColumns({"__mix_size": word_count(F.col("text")), "__mix_unit": unit})
     units = cut(sized.select(F.col("__mix_unit").alias("unit"), "source", F.col("__mix_size").alias("size")))
+    parts = parts_for(units.count(), 1_000_000, 8)
     sources = cut(targets(units.groupBy("source").agg(F.sum("size").alias("words"), F.count("*").alias("docs")), weights, share, most)
         .withColumn("nb", F.ceil(F.col("docs") / block_docs).cast("long"))
         .withColumn("base", F.when(F.col("words") > 0, F.least(F.lit(most), F.floor(F.col("target") / F.greatest("words", F.lit(1))))).otherwise(0).cast("long"))
-        .withColumn("extra", F.when(F.col("words") > 0, F.col("target") - F.col("base") * F.col("words")).otherwise(0.0)))
+        .withColumn("extra", F.when(F.col("words") > 0, F.col("target") - F.col("base") * F.col("words")).otherwise(0.0)), parts)
     block = F.pmod("unit", F.col("nb"))
 
     dealt = units.join(sources.select(F.col("source").alias("s"), "n", "nb"), F.col("source").eqNullSafe(F.col("s"))).withColumn("block", block)
@@ -113,9 +114,9 @@ def plan(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: int = MOS
         .withColumn("cut", ~F.col("full") & (F.col("before") < F.col("extra")))
         .select("n", "block", "nb", "base", "full", "cut", (F.col("extra") - F.col("before")).alias("rest"))
     )
-    blocks = cut(blocks)
+    blocks = cut(blocks, parts)
     extra_draws = blocks.filter(F.col("full") | F.col("cut")).groupBy("n").agg((F.max("block") + 1).alias("more"))
-    quotas = cut(sources.join(extra_draws, "n", "left").select("n", "nb", "target", (F.col("base") * F.col("nb") + F.coalesce("more", F.lit(0))).alias("k")))
+    quotas = cut(sources.join(extra_draws, "n", "left").select("n", "nb", "target", (F.col("base") * F.col("nb") + F.coalesce("more", F.lit(0))).alias("k")), parts)
     words = quotas.agg(F.sum("target")).first()[0] or 0.0
     shards = max(1, math.ceil(words / shard_words))
 
@@ -140,13 +141,13 @@ def plan(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: int = MOS
         .filter((F.col("upto") <= F.col("rest")) | ((F.col("upto") - F.col("w") < F.col("rest")) & (F.col("rest") - (F.col("upto") - F.col("w")) > F.col("upto") - F.col("rest"))))
         .select(F.col("n").alias("__mix_cn"), F.col("unit").alias("__mix_cd"), F.lit(True).alias("__mix_chosen"))
     )
-    decided = cut(blocks.join(drawn, ["n", "block"], "left").select(F.col("n").alias("__mix_bn"), F.col("block").alias("__mix_block"), F.col("base").alias("__mix_base"), F.col("cut").alias("__mix_cut"), F.col("draws").alias("__mix_all")))
+    decided = cut(blocks.join(drawn, ["n", "block"], "left").select(F.col("n").alias("__mix_bn"), F.col("block").alias("__mix_block"), F.col("base").alias("__mix_base"), F.col("cut").alias("__mix_cut"), F.col("draws").alias("__mix_all")), parts)
     by_source = sources.select(F.col("source").alias("__mix_source"), F.col("n").alias("__mix_n"), F.col("nb").alias("__mix_nb"), F.col("words").alias("__mix_source_size"), F.col("target").alias("__mix_target"))
     out = (
         sized.join(by_source, F.col("source").eqNullSafe(F.col("__mix_source")))
         .withColumn("__mix_b", F.pmod("__mix_unit", F.col("__mix_nb")))
         .join(decided, (F.col("__mix_n") == F.col("__mix_bn")) & (F.col("__mix_b") == F.col("__mix_block")))
-        .join(cut(chosen), (F.col("__mix_n") == F.col("__mix_cn")) & (F.col("__mix_unit") == F.col("__mix_cd")), "left")
+        .join(cut(chosen, parts), (F.col("__mix_n") == F.col("__mix_cn")) & (F.col("__mix_unit") == F.col("__mix_cd")), "left")
         .withColumn("__mix_draws", F.coalesce(F.expr("filter(__mix_all, x -> x.pass < __mix_base or not __mix_cut or __mix_chosen is not null)"), F.expr("cast(array() as array<struct<pass:bigint,shard:bigint>>)")))
         .withColumn("__mix_taken", F.col("__mix_size") * F.size("__mix_draws"))
     )

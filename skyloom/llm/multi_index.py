@@ -27,7 +27,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skyloom.llm.common import cut, table
+from skyloom.llm.common import cut, parts_for, table
 from skyloom.llm.components import components
 
 COSINE = 0.9
@@ -236,21 +236,22 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, sample: int = SA
     """vec_id, n_links, component_id, kept for every row of vectors(vec_id, embedding)."""
     vectors = vectors.select("vec_id", "embedding")
     all_ = cut(keyed(vectors))
-    distinct = cut(all_.filter(F.col("key").isNotNull()).groupBy("key").agg(F.min("vec_id").alias("low"), F.count("*").alias("times"), F.first("vec").alias("vec")))
-    entries = cut(filed(distinct, fit(distinct, cosine, sample, recall)).withColumn("id", F.xxhash64("key")))
+    parts = parts_for(all_.count(), 20_000, 8)
+    distinct = cut(all_.filter(F.col("key").isNotNull()).groupBy("key").agg(F.min("vec_id").alias("low"), F.count("*").alias("times"), F.first("vec").alias("vec")), parts)
+    entries = cut(filed(distinct, fit(distinct, cosine, sample, recall)).withColumn("id", F.xxhash64("key")), parts)
     blocks = lambda n: F.ceil(F.col(n) / rows).cast("long")
     visits = entries.select("id", "times", "vec", F.col("cell").alias("home"), F.explode("visits").alias("cell"))
     filed_ = entries.select("id", "times", "vec", F.col("cell").alias("home"), "visits", "cell")
     sizes = entries.groupBy("cell").agg(F.count("*").alias("m")).join(visits.groupBy("cell").agg(F.count("*").alias("v")), "cell").select("cell", blocks("m").alias("ms"), blocks("v").alias("vs"))
-    sizes = cut(sizes)
+    sizes = cut(sizes, parts)
     spread = lambda df, own, other, i, j, who: df.join(sizes, "cell").select("cell", F.pmod(F.xxhash64(F.lit(5), "id"), F.col(own)).alias(i), F.explode(F.expr(f"sequence(0L, {other} - 1)")).alias(j), F.lit(who).alias("visitor"), "id", "times", "vec", "home", "visits")
     both = spread(filed_, "ms", "vs", "i", "j", False).unionByName(spread(visits.withColumn("visits", F.lit(None).cast("array<bigint>")), "vs", "ms", "j", "i", True))
-    found = cut(both.groupBy("cell", "i", "j").applyInArrow(compare(cosine), "id long, other long, links long"))
+    found = cut(both.groupBy("cell", "i", "j").applyInArrow(compare(cosine), "id long, other long, links long"), parts)
     links = found.filter("links > 0").groupBy("id").agg(F.sum("links").alias("links"))
-    groups = cut(components(found.filter("other is not null").select(F.col("id").alias("a"), F.col("other").alias("b"))))
+    groups = cut(components(found.filter("other is not null").select(F.col("id").alias("a"), F.col("other").alias("b"))), parts)
     whole = entries.select("id", "key", "low", "times").join(groups, F.col("id") == F.col("node"), "left").withColumn("component", F.coalesce("component", "id")).drop("node")
     least = whole.groupBy("component").agg(F.min("low").alias("component_id"))
-    by_key = cut(whole.join(links, "id", "left").join(least, "component").select("key", (F.coalesce("links", F.lit(0)) + F.col("times") - 1).alias("n"), "component_id"))
+    by_key = whole.join(links, "id", "left").join(least, "component").select("key", (F.coalesce("links", F.lit(0)) + F.col("times") - 1).alias("n"), "component_id")
     return (
         all_.select("vec_id", "key")
         .join(by_key, "key", "left")

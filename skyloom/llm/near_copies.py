@@ -26,7 +26,7 @@ def one_of_each(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) ->
     keys = found.filter("n > 0").groupBy("key").agg(F.min(place).alias("low"), F.count("*").alias("rows"))
     whole = keys.join(groups, F.col("key") == F.col("node"), "left").select("key", "low", "rows", F.coalesce("component", "key").alias("component"))
     first = whole.groupBy("component").agg(F.min("low").alias("first"), F.sum("rows").alias("all")).filter("all > 1")
-    copies = cut(found.select("doc_id", "text_key", "key").join(cut(whole.join(first, "component").select("key", "first")), "key").filter(place != F.col("first")).select(F.col("doc_id").alias("__d"), F.col("text_key").alias("__k")))
+    copies = cut(found.select("doc_id", "text_key", "key").join(whole.join(first, "component").select("key", "first"), "key").filter(place != F.col("first")).select(F.col("doc_id").alias("__d"), F.col("text_key").alias("__k")))
     same = F.col("doc_id").eqNullSafe(F.col("__d"))
     if repeated:  # else the doc_id alone names a row, and texts need not be hashed again
         same = same & (F.xxhash64("text") == F.col("__k"))
