@@ -30,7 +30,7 @@ from skyloom.llm.common import cut, table
 
 MODEL = "piece_bpe_32k.model"
 MARK = "▁"
-ROUNDS = 3
+ROUNDS = 2
 
 
 def vocabulary(path: str) -> list[str]:
