@@ -15,6 +15,10 @@ def parser() -> argparse.ArgumentParser:
         q.add_argument("--analysis", type=float, default=3.0)
         q.add_argument("--fdr", type=float)
         q.add_argument("--force-beam", action="store_true")
+        q.add_argument("--bmaj", type=float, help="half axis of the beam in pixels, instead of the headers'")
+        q.add_argument("--bmin", type=float)
+        q.add_argument("--bpa", type=float, default=0.0)
+        q.add_argument("--fixed", nargs="*", metavar="X,Y", help="fit at these pixels only")
         q.add_argument("--out")
     return p
 
@@ -29,8 +33,13 @@ def main(args: list[str] | None = None, spark=None) -> int:
     spark = spark or SparkSession.builder.appName("skyloom").getOrCreate()
     if a.command == "find":
         images = batch.images_of(spark, a.path)
-        beam = images.select("beam_smaj_pix", "beam_smin_pix", "beam_pa_rad").first()
-        out = frames.extract(images, tuple(beam), a.detection, a.analysis, force_beam=a.force_beam, alpha=a.fdr)
+        beam = (a.bmaj, a.bmin or a.bmaj, a.bpa) if a.bmaj else None
+        if a.fixed:
+            wanted = [(float(x), float(y)) for x, y in (q.split(",") for q in a.fixed)]
+            requests = images.select("image").crossJoin(spark.createDataFrame([(i, x, y) for i, (x, y) in enumerate(wanted)], "n int, x double, y double"))  # a user's list
+            out = frames.forced(images, requests, beam)
+        else:
+            out = frames.extract(images, beam, a.detection, a.analysis, force_beam=a.force_beam, alpha=a.fdr)
         out = batch.on_sky(out, images, 0.0).select("image", "ra", "decl", "f_peak", "f_int")
     else:
         state, measured = batch.run(spark, a.path, detection=a.detection, analysis=a.analysis, force_beam=a.force_beam)
@@ -38,7 +47,8 @@ def main(args: list[str] | None = None, spark=None) -> int:
     if a.out:
         out.write.mode("overwrite").option("header", True).csv(a.out)
     else:
-        out.show(1000, truncate=False)
+        for row in out.toLocalIterator():
+            print(*row, sep=", ")
     return 0
 
 

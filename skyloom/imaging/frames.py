@@ -8,6 +8,17 @@ from pyspark.sql import functions as F
 
 FOUND = "image long, n int, x double, y double, peak double, peak_err double, flux double, flux_err double, major double, minor double, theta double, significance double, chisq double, reduced_chisq double, fitted boolean"
 NAMES = [c.split()[0] for c in FOUND.split(", ")]
+BEAM = ("beam_smaj_pix", "beam_smin_pix", "beam_pa_rad")
+
+
+def _columns(beam) -> list[str]:
+    return ["image", "nx", "ny", "pixels", *(BEAM if beam is None else ())]
+
+
+def _beam(row, beam):
+    from skyloom.imaging.kernels import Beam
+
+    return Beam(*(beam or (getattr(row, c) for c in BEAM)))
 
 
 def _row(image, n, f):
@@ -15,43 +26,61 @@ def _row(image, n, f):
     return (image, n, float(s.x), float(s.y), float(s.peak), float(s.errors["peak"]), float(s.flux), float(s.errors["flux"]), float(s.major), float(s.minor), float(s.theta), f.significance, f.chi, f.reduced, s.fitted)
 
 
-def extract(images: DataFrame, beam: tuple[float, float, float], detection: float = 8.0, analysis: float = 3.0, tile: tuple[int, int] = (32, 32), margin: int = 0, blend: bool = False, force_beam: bool = False, alpha: float | None = None) -> DataFrame:
+def extract(images: DataFrame, beam: tuple[float, float, float] | None = None, detection: float = 8.0, analysis: float = 3.0, tile: tuple[int, int] = (32, 32), margin: int = 0, blend: bool = False, force_beam: bool = False, alpha: float | None = None) -> DataFrame:
     """images(image, nx, ny, pixels) -> the sources found in each; with alpha, at the false-discovery threshold.
 
-    An image is one row and is worked on by itself, so tasks need the memory of one image at a time.
+    Without a beam for all, each image has its own in columns BEAM. An image is one row and is worked on by itself, so
+    tasks need the memory of one image at a time.
     """
 
     def run(batches):
         import pandas as pd
 
-        from skyloom.imaging.kernels import Beam, Finder
+        from skyloom.imaging.kernels import Finder
 
         for batch in batches:
             rows = []
             for r in batch.itertuples():
-                finder = Finder(np.asarray(r.pixels, float).reshape(r.nx, r.ny), Beam(*beam), tile, margin)
+                finder = Finder(np.asarray(r.pixels, float).reshape(r.nx, r.ny), _beam(r, beam), tile, margin)
                 found = finder.extract(detection, analysis, blend, force_beam) if alpha is None else finder.false_discovery(alpha)
                 rows += [_row(r.image, i, f) for i, f in enumerate(found)]
             yield pd.DataFrame(rows, columns=NAMES)
 
-    return images.select("image", "nx", "ny", "pixels").mapInPandas(run, FOUND)
+    return images.select(*_columns(beam)).mapInPandas(run, FOUND)
 
 
-def forced(images: DataFrame, requests: DataFrame, beam: tuple[float, float, float], box: float = 10.0, tile: tuple[int, int] = (32, 32)) -> DataFrame:
+def forced(images: DataFrame, requests: DataFrame, beam: tuple[float, float, float] | None = None, box: float = 10.0, tile: tuple[int, int] = (32, 32)) -> DataFrame:
     """Fits at requests(image, n, x, y); positions outside or masked give no row."""
 
     def run(image, wanted):
         import pandas as pd
 
-        from skyloom.imaging.kernels import Beam, Finder
+        from skyloom.imaging.kernels import Finder
 
         rows = []
         for r in image.itertuples():
-            finder = Finder(np.asarray(r.pixels, float).reshape(r.nx, r.ny), Beam(*beam), tile)
+            finder = Finder(np.asarray(r.pixels, float).reshape(r.nx, r.ny), _beam(r, beam), tile)
             rows += [_row(r.image, q.n, f) for q in wanted.itertuples() if (f := finder.fit_at(q.x, q.y, box)) is not None]
         return pd.DataFrame(rows, columns=NAMES)
 
-    return images.groupBy("image").cogroup(requests.groupBy("image")).applyInPandas(run, FOUND)
+    return images.select(*_columns(beam)).groupBy("image").cogroup(requests.groupBy("image")).applyInPandas(run, FOUND)
+
+
+def flux_at(images: DataFrame, positions: DataFrame, n: int = 1) -> DataFrame:
+    """image, id, flux: the largest pixel within n of each of positions(image, id, x, y), by the kernel; no background is taken off."""
+
+    def run(image, wanted):
+        import pandas as pd
+
+        from skyloom.imaging.kernels import largest_near
+
+        rows = []
+        for r in image.itertuples():
+            data = np.asarray(r.pixels, float).reshape(r.nx, r.ny)
+            rows += [(r.image, q.id, largest_near(data, q.x, q.y, n)) for q in wanted.itertuples()]
+        return pd.DataFrame(rows, columns=["image", "id", "flux"])
+
+    return images.select("image", "nx", "ny", "pixels").groupBy("image").cogroup(positions.groupBy("image")).applyInPandas(run, "image long, id long, flux double")
 
 
 def clipped_rms(images: DataFrame, sigma: float = 3.0, fraction: float = 4.0) -> DataFrame:

@@ -104,8 +104,9 @@ class State:
     def new(cls, spark: SparkSession) -> State:
         return cls(empty(spark, "runningcatalog"), empty(spark, "runningcatalog_flux"), empty(spark, "assocxtrsource"), empty(spark, "assocskyrgn"), empty(spark, "newsource"))
 
-    def settled(self) -> State:
-        return replace(self, **{k: cut(getattr(self, k)) for k in ("runcat", "flux", "assoc", "skyrgn", "newsource")})
+    def settled(self, *names: str) -> State:
+        """With the lineage of the named tables cut, or of all."""
+        return replace(self, **{k: cut(getattr(self, k)) for k in names or ("runcat", "flux", "assoc", "skyrgn", "newsource")})
 
 
 def flux_after(edges: DataFrame, flux: DataFrame) -> DataFrame:
@@ -149,11 +150,12 @@ def distinct_founders(forks: DataFrame) -> None:
         raise ValueError(f"measurement {twice[0][0]} would found more than one source")
 
 
-def associate(state: State, measured: DataFrame, radius: float, de_ruiter: float = DE_RUITER, dataset: int = 1, across: bool = False, skyrgn: int | None = None, regions: DataFrame | None = None, limits: DataFrame | None = None, margin: float = 3.0) -> State:
+def associate(state: State, measured: DataFrame, radius: float, de_ruiter: float = DE_RUITER, dataset: int = 1, across: bool = False, skyrgn: int | None = None, regions: DataFrame | None = None, limits: DataFrame | None = None) -> State:
     """The state after one image's blind measurements (xtrsrc, band, stokes, ra, decl, uew, uns, f_peak, f_int and errors).
 
     skyrgn is the image's field; regions(skyrgn, centre_ra, centre_decl, xtr_radius) are all fields of the dataset. limits
-    (image, low, high), if given, are earlier images of the field with their flux limits, for new-source events.
+    (image, skyrgn, low, high), if given, are earlier good images of the band with their flux limits: a source that is not
+    matched is new if the most sensitive of those that cover one of its fields should have shown it.
     """
     measured = cut(measured)
     active = state.runcat.filter(~F.col("mon_src"))
@@ -188,8 +190,10 @@ def associate(state: State, measured: DataFrame, radius: float, de_ruiter: float
         links = links.unionByName(_as(own, links))
         if regions is not None:
             links = links.unionByName(_as(memberships(fresh.select(F.col("xtrsrc").alias("runcat"), "ra", "decl"), regions.filter(F.col("skyrgn") != skyrgn)), links))
-    if limits is not None:
-        events = events.unionByName(_as(new_sources(fresh.crossJoin(F.broadcast(limits.orderBy("low", "high", "image").limit(1)))), events))
+        if limits is not None:
+            fields = cut(links.join(fresh.select(F.col("xtrsrc").alias("runcat")), "runcat", "left_semi").select(F.col("runcat").alias("xtrsrc"), "skyrgn"))
+            covered = fresh.select("xtrsrc", "f_peak").join(fields, "xtrsrc").join(limits, "skyrgn")
+            events = events.unionByName(_as(new_sources(best_limits(covered)), events))
     return State(runcat, flux, assoc, links, events).settled()
 
 
@@ -198,7 +202,7 @@ def memberships(sources: DataFrame, regions: DataFrame) -> DataFrame:
     far = with_position(sources, "ra", "decl", "s_")
     near = with_position(regions, "centre_ra", "centre_decl", "c_")
     d = g.chord_deg(F.col("s_x") - F.col("c_x"), F.col("s_y") - F.col("c_y"), F.col("s_z") - F.col("c_z"))
-    return zone_join(near, far, "centre_decl", F.col("xtr_radius"), "s_zone", d < F.col("xtr_radius")).select("runcat", "skyrgn", d.alias("distance_deg"))
+    return zone_join(near, far, "centre_decl", F.col("xtr_radius"), "s_zone", d < F.col("xtr_radius"), ra="centre_ra", far_ra="ra").select("runcat", "skyrgn", d.alias("distance_deg"))
 
 
 def new_sources(unmatched: DataFrame) -> DataFrame:
@@ -212,8 +216,14 @@ def best_limits(pairs: DataFrame) -> DataFrame:
     return pairs.withColumn("__n", F.row_number().over(order)).filter("__n = 1").drop("__n")
 
 
-def null_detections(sources: DataFrame, seen: DataFrame, links: DataFrame, skyrgn: int, expiration: int = 10) -> DataFrame:
-    """Sources linked to the field that this image (seen: its runcats) did not show, unless forced fits have expired."""
+def null_detections(sources: DataFrame, seen: DataFrame, links: DataFrame, skyrgn: int, expiration: int = 10, founded: DataFrame | None = None, ts=None) -> DataFrame:
+    """Sources linked to the field that this image (seen: its runcats) did not show, unless forced fits have expired.
+
+    founded(runcat, ts) are times of the sources' first measurements: only those before this image's ts count, so that a
+    source found in another band of the same time step is not asked for.
+    """
+    if founded is not None:
+        sources = sources.join(founded.filter(F.col("ts") < F.lit(ts)).select("runcat"), "runcat", "left_semi")
     return sources.filter((F.col("forcedfits_count") < expiration) & ~F.col("mon_src")).join(links.filter(F.col("skyrgn") == skyrgn), "runcat", "left_semi").join(seen, "runcat", "left_anti").select("runcat", "wm_ra", "wm_decl")
 
 
@@ -224,7 +234,20 @@ def associate_forced(state: State, fits: DataFrame) -> State:
     assoc = state.assoc.unionByName(_as(rows.withColumns({"type": F.lit(7), "distance_arcsec": F.lit(0.0), "r": F.lit(0.0)}), state.assoc))
     hit = rows.select("runcat", F.lit(1).alias("__hit")).distinct()
     runcat = state.runcat.join(hit, "runcat", "left").withColumn("forcedfits_count", F.col("forcedfits_count") + F.coalesce("__hit", F.lit(0))).select(state.runcat.columns)
-    return replace(state, runcat=runcat, flux=flux, assoc=assoc).settled()
+    return replace(state, runcat=runcat, flux=flux, assoc=assoc).settled("runcat", "flux", "assoc")
+
+
+def linked_back(monitors: DataFrame, fits: DataFrame) -> DataFrame:
+    """monitors(id, runcat, ...) with the source that the first fit (ff_monitor, xtrsrc) of each founded."""
+    new = fits.groupBy(F.col("ff_monitor").alias("id")).agg(F.min("xtrsrc").alias("__new"))
+    return monitors.join(new, "id", "left").withColumn("runcat", F.coalesce("runcat", "__new")).select(monitors.columns)
+
+
+def inconsistencies(rows: DataFrame, key: str, image: str, zone: str | None = None) -> DataFrame:
+    """problem, n: rows whose id, image, or all of id, image and zone are 0; a sound table has none of each."""
+    tests = {"id": F.col(key) == 0, "image": F.col(image) == 0, "all": (F.col(key) == 0) & (F.col(image) == 0) & (F.lit(True) if zone is None else F.col(zone) == 0)}
+    counts = rows.agg(*(F.count_if(t).alias(n) for n, t in tests.items()))
+    return counts.select(F.explode(F.array(*(F.struct(F.lit(n).alias("problem"), F.col(n).alias("n")) for n in tests))).alias("x")).select("x.*")
 
 
 def associate_monitored(state: State, fits: DataFrame, dataset: int = 1) -> State:
@@ -236,4 +259,4 @@ def associate_monitored(state: State, fits: DataFrame, dataset: int = 1) -> Stat
     assoc = state.assoc.unionByName(_as(rows.withColumns({"distance_arcsec": F.lit(0.0), "r": F.lit(0.0)}), state.assoc))
     hit = old.groupBy("runcat").agg(F.count("*").alias("__hit"))
     runcat = state.runcat.join(hit, "runcat", "left").withColumn("datapoints", F.col("datapoints") + F.coalesce("__hit", F.lit(0))).select(state.runcat.columns)
-    return replace(state, runcat=runcat.unionByName(_as(_founded(fresh, dataset, True), runcat)), flux=flux, assoc=assoc).settled()
+    return replace(state, runcat=runcat.unionByName(_as(_founded(fresh, dataset, True), runcat)), flux=flux, assoc=assoc).settled("runcat", "flux", "assoc")

@@ -60,6 +60,13 @@ def get_or_create_regions(images: DataFrame, regions: DataFrame) -> DataFrame:
     return regions.unionByName(new.withColumn("skyrgn", (F.row_number().over(Window.orderBy(*key)) + top).cast("long")).select("skyrgn", *key))
 
 
+def sky_fields(images: DataFrame, regions: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """images(centre_ra, centre_decl, xtr_radius, ...) with skyrgn, and the regions, new ones included."""
+    key = ["centre_ra", "centre_decl", "xtr_radius"]
+    after = get_or_create_regions(images.select(*key), regions.select("skyrgn", *key))
+    return images.join(after, key), after
+
+
 def newest_by_band(images: DataFrame, n: int) -> DataFrame:
     """Each band's last n images."""
     order = Window.partitionBy("band").orderBy(F.col("ts").desc(), F.col("image").desc())

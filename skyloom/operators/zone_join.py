@@ -1,21 +1,46 @@
-"""Positional joins: a theta join on the sky as an equi-join on declination strips with residual predicates."""
+"""Positional joins: a theta join on the sky as an equi-join on cells of about a degree, with residual predicates."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from skyloom.functions import geometry as g
+
+#: Degrees by which a reach is widened against rounding.
+SLACK = 1e-6
+
 
 def strips(decl: Column, radius: Column) -> Column:
     """Every one-degree strip that a cap of this radius touches."""
     return F.sequence(F.floor(decl - radius).cast("int"), F.floor(decl + radius).cast("int"))
 
 
-def zone_join(near: DataFrame, far: DataFrame, decl: str, radius: Column, zone: str, residual: Column, how: str = "inner") -> DataFrame:
-    """near rows with the far rows in reach. A far row has one zone, so a pair meets once and needs no distinct.
+def cells(strip: Column) -> Column:
+    """How many cells of right ascension a strip has: as many as its longer edge has degrees."""
+    edge = F.when(strip < 0, strip + 1).otherwise(strip)
+    return F.greatest(F.lit(1), F.ceil(360 * F.cos(F.radians(F.least(F.abs(edge), F.lit(90)))))).cast("int")
+
+
+def cell(strip: Column, ra: Column) -> Column:
+    n = cells(strip)
+    return F.pmod(F.floor(ra / 360 * n).cast("int"), n)
+
+
+def reached(strip: Column, ra: Column, decl: Column, radius: Column) -> Column:
+    """The cells of a strip that a cap may touch, once each, over right ascension 0 if need be."""
+    n, reach = cells(strip), g.alpha_inflate(radius + SLACK, decl) + SLACK
+    low = F.floor((ra - reach) / 360 * n).cast("int")
+    high = F.least(F.floor((ra + reach) / 360 * n).cast("int"), low + n - 1)
+    return F.transform(F.sequence(low, high), lambda c: F.pmod(c, n))
+
+
+def zone_join(near: DataFrame, far: DataFrame, decl: str, radius: Column, zone: str, residual: Column, how: str = "inner", ra: str = "ra", far_ra: str = "wm_ra") -> DataFrame:
+    """near rows with the far rows in reach. A far row lies in one cell, so a pair meets once and needs no distinct.
 
-    Without the strips Spark would plan a product of both sides; with them it hashes on the strip, and the residual is
-    part of the join.
+    near is the side that is exploded over strips and cells; the residual is part of the join. Without cells Spark would
+    plan a product of both sides; with strips alone all pairs of a strip, of which there are 180, would meet.
     """
-    spread = near.withColumn("__strip", F.explode(strips(F.col(decl), radius)))
-    return spread.join(far, (F.col("__strip") == F.col(zone)) & residual, how).drop("__strip")
+    spread = near.withColumn("__strip", F.explode(strips(F.col(decl), radius))).withColumn("__cell", F.explode(reached(F.col("__strip"), F.col(ra), F.col(decl), radius)))
+    placed = far.withColumn("__far_cell", cell(F.col(zone), F.col(far_ra)))
+    return spread.join(placed, (F.col("__strip") == F.col(zone)) & (F.col("__cell") == F.col("__far_cell")) & residual, how).drop("__strip", "__cell", "__far_cell")

@@ -1,4 +1,4 @@
-"""Images to catalogue: read, check, extract, place on the sky, associate in order of time and frequency, summarise."""
+"""Images to catalogue: read, check, extract, associate in order of time and frequency, force fits, summarise."""
 
 from __future__ import annotations
 
@@ -13,56 +13,146 @@ from skyloom.operators import association as a
 from skyloom.operators import images as im
 from skyloom.operators import lightcurves as lc
 from skyloom.plans.state import Snapshots, cut
-from skyloom.sources import fits
+from skyloom.sources import fits, tables
 
 log = logging.getLogger(__name__)
 #: Defaults of a job.
-DEFAULTS = {"detection": 8.0, "analysis": 3.0, "tile": (32, 32), "margin": 0, "radius": 0.1, "de_ruiter": a.DE_RUITER, "sys_err_arcsec": 10.0, "rms_low": 0.0, "rms_high": 100.0, "force_beam": False}
+DEFAULTS = {"detection": 8.0, "analysis": 3.0, "tile": (32, 32), "margin": 0, "radius": 0.1, "de_ruiter": a.DE_RUITER, "sys_err_arcsec": 10.0, "rms_low": 0.0, "rms_high": 100.0, "force_beam": False, "new_source_sigma": 3.0, "expiration": 10, "box_in_beams": 4.0, "bandwidth_max": 0.0, "history": 100, "history_sigma": 5.0, "monitors": (), "dataset": 1}
+#: Where the numbers of an image's measurements begin, by how they were made: blind, at null detections, at monitors.
+BLIND, NULL, MONITOR, IMAGE = 0, 500_000, 900_000, 1_000_000
+WCS = ("crpix1", "crpix2", "crval1", "crval2", "deltax", "deltay", "crota2")
 
 
 def images_of(spark: SparkSession, path: str) -> DataFrame:
-    """Rows of metadata and pixels, numbered by time and frequency."""
+    """Rows of metadata and pixels, numbered by time and frequency. Only metadata are ordered; pixels stay where they are."""
     read = cut(fits.read_images(spark, path))
     meta = fits.metadata(read)
-    both = read.select("path", "nx", "ny", "pixels").join(meta, "path")
-    return cut(both.withColumn("image", F.row_number().over(Window.orderBy("taustart_ts", "freq_eff", "path")).cast("long")))  # a row an image: metadata decide the order
+    order = Window.orderBy("taustart_ts", "freq_eff", "path")  # a short row an image
+    numbered = cut(meta.withColumn("image", F.row_number().over(order).cast("long")))
+    return cut(read.select("path", "nx", "ny", "pixels").join(F.broadcast(numbered) if im._few(numbered) else numbered, "path"))
 
 
 def checked(images: DataFrame, low: float, high: float) -> DataFrame:
-    """images with rms and the first reason to set one aside, or null."""
-    rms = frames.clipped_rms(images.filter(~F.exists("pixels", F.isnan)))
-    return images.join(rms, "image", "left").withColumn("reason", im.first_reason(im.nan_reason(F.col("pixels")), im.flat_reason(F.col("pixels")), im.rms_reason(F.col("rms"), low, high), im.beam_reason(F.col("beam_smaj_pix"), F.col("beam_smin_pix"))))
+    """images with rms_qc and the first reason to set one aside, or null, by what its telescope is held to.
 
+    All: flat. AARTFAAC and unknown telescopes: NaN. LOFAR and unknown ones: noise, beam.
+    """
+    rms = frames.clipped_rms(images.filter(~F.exists("pixels", F.isnan))).withColumnRenamed("rms", "rms_qc")
+    telescope = F.upper(F.coalesce("telescope", F.lit("")))
+    lofar, aartfaac = ~(telescope == "AARTFAAC"), ~(telescope == "LOFAR")
+    reasons = (im.flat_reason(F.col("pixels")), F.when(aartfaac, im.nan_reason(F.col("pixels"))), F.when(lofar, im.rms_reason(F.col("rms_qc"), low, high)), F.when(lofar, im.beam_reason(F.col("beam_smaj_pix"), F.col("beam_smin_pix"))))
+    return images.join(rms, "image", "left").withColumn("reason", im.first_reason(*reasons))
 
-def on_sky(found: DataFrame, images: DataFrame, sys_err_arcsec: float) -> DataFrame:
+
+def _wcs() -> dict:
+    """Pixels are counted from 0 in arrays and from 1 in headers."""
+    return {"crpix1": F.col("crpix1") - 1, "crpix2": F.col("crpix2") - 1, "crval1": F.col("crval1"), "crval2": F.col("crval2"), "cdelt1": F.col("deltax"), "cdelt2": F.col("deltay"), "crota2": F.col("crota2")}
+
+
+def on_sky(found: DataFrame, images: DataFrame, sys_err_arcsec: float, first: int = BLIND) -> DataFrame:
     """Found sources as measurements: sky position of the pixel, its error from the fit's and a systematic one."""
-    w = {"crpix1": F.col("crpix1") - 1, "crpix2": F.col("crpix2") - 1, "crval1": F.col("crval1"), "crval2": F.col("crval2"), "cdelt1": F.col("deltax"), "cdelt2": F.col("deltay"), "crota2": F.lit(0.0)}
-    ra, decl = g.sky_of_pixel(F.col("x"), F.col("y"), w)
-    rows = found.join(images.select("image", "taustart_ts", "freq_eff", "crpix1", "crpix2", "crval1", "crval2", "deltax", "deltay"), "image")
+    band = F.col("band") if "band" in images.columns else F.format_string("%.0f", "freq_eff")
+    ra, decl = g.sky_of_pixel(F.col("x"), F.col("y"), _wcs())
+    rows = found.join(images.select("image", "taustart_ts", band.alias("band"), *WCS), "image")
     err = F.sqrt(F.pow(F.lit(sys_err_arcsec / 3600), 2) + F.pow(F.abs("deltax") * F.col("major") * F.col("peak_err") / F.col("peak"), 2))
-    return rows.select((F.col("image") * 1_000_000 + F.col("n")).alias("xtrsrc"), "image", F.col("taustart_ts").alias("ts"), F.format_string("%.0f", "freq_eff").alias("band"), F.lit(1).alias("stokes"), ra.alias("ra"), decl.alias("decl"), err.alias("uew"), err.alias("uns"), F.col("peak").alias("f_peak"), F.col("peak_err").alias("f_peak_err"), F.col("flux").alias("f_int"), F.col("flux_err").alias("f_int_err"))
+    return rows.select((F.col("image") * IMAGE + F.col("n") + first).alias("xtrsrc"), "image", "n", F.col("taustart_ts").alias("ts"), F.col("band").cast("string").alias("band"), F.lit(1).alias("stokes"), ra.alias("ra"), decl.alias("decl"), err.alias("uew"), err.alias("uns"), F.col("peak").alias("f_peak"), F.col("peak_err").alias("f_peak_err"), F.col("flux").alias("f_int"), F.col("flux_err").alias("f_int_err"))
+
+
+def placed(images: DataFrame, bandwidth_max: float) -> tuple[DataFrame, DataFrame]:
+    """images with skyrgn and band, and the fields. Bands are made in order, so frequencies, a pair an image, are dealt on the driver."""
+    spark = images.sparkSession
+    none = spark.createDataFrame([], "skyrgn long, centre_ra double, centre_decl double, xtr_radius double")
+    meta, regions = im.sky_fields(images.drop("pixels"), none)
+    ordered = images.select("image", "freq_eff", "freq_bw").orderBy("image").collect()
+    _, bands = im.get_or_create_bands(spark, [], [(r["freq_eff"], r["freq_bw"] or 0.0) for r in ordered], bandwidth_max)
+    band = spark.createDataFrame([(r["image"], b) for r, b in zip(ordered, bands, strict=True)], "image long, band long")
+    return cut(meta.join(band, "image")), cut(regions)
+
+
+def requests_at(positions: DataFrame, image: DataFrame) -> DataFrame:
+    """positions(key, ra, decl) as fits to ask for: image, n, x, y, key. One image's positions, so one order numbers them."""
+    x, y = g.pixel_of_sky(F.col("ra"), F.col("decl"), _wcs())
+    rows = positions.crossJoin(F.broadcast(image.select("image", *WCS)))  # one row
+    return cut(rows.select("image", "key", x.alias("x"), y.alias("y")).withColumn("n", F.row_number().over(Window.orderBy("key")).cast("int")))
+
+
+def forced_fits(images: DataFrame, meta: DataFrame, requests: DataFrame, settings: dict, first: int) -> DataFrame:
+    """Measurements at requested positions, with the request's key."""
+    box = settings["box_in_beams"] * (meta.agg(F.max("beam_smaj_pix")).first()[0] or 1.0)
+    made = frames.forced(images, requests.select("image", "n", "x", "y"), None, box, settings["tile"])
+    return on_sky(made, meta, settings["sys_err_arcsec"], first).join(requests.select("n", "key"), "n").drop("n", "image", "ts")
+
+
+def time_step(state: a.State, images: DataFrame, meta: DataFrame, measured: DataFrame, founded: DataFrame, monitors: DataFrame, regions: DataFrame, limits: DataFrame, one, settings: dict) -> tuple[a.State, DataFrame, DataFrame]:
+    """One image through all steps: association and new sources, fits at null detections and at monitors.
+
+    one: the image's row of metadata. Returns the state, all measurements made (with ts) and the monitors.
+    """
+    image = one["image"]
+    pick = lambda df: df.filter(F.col("image") == image)
+    own = pick(measured).drop("image", "n", "ts")
+    across = bool(one["across"])
+    after = a.associate(state, own, settings["radius"], settings["de_ruiter"], settings["dataset"], across, one["skyrgn"], regions, limits)
+    stamped = lambda df: df.select(*(c for c in own.columns)).withColumn("ts", F.lit(one["taustart_ts"]))
+    made = stamped(own)
+    seen = after.assoc.join(own.select("xtrsrc"), "xtrsrc", "left_semi").select("runcat").distinct()
+    lost = a.null_detections(after.runcat, seen, after.skyrgn, one["skyrgn"], settings["expiration"], founded, one["taustart_ts"])
+    wanted = requests_at(lost.select(F.col("runcat").alias("key"), F.col("wm_ra").alias("ra"), F.col("wm_decl").alias("decl")), pick(meta))
+    if not wanted.isEmpty():
+        fitted = cut(forced_fits(pick(images), pick(meta), wanted, settings, NULL))
+        after = a.associate_forced(after, fitted.withColumnRenamed("key", "runcat"))
+        made = made.unionByName(stamped(fitted))
+    if settings["monitors"]:
+        asked = requests_at(monitors.select(F.col("id").alias("key"), "ra", "decl"), pick(meta))
+        watched = cut(forced_fits(pick(images), pick(meta), asked, settings, MONITOR).withColumnRenamed("key", "ff_monitor").join(monitors.select(F.col("id").alias("ff_monitor"), "runcat"), "ff_monitor"))
+        after = a.associate_monitored(after, watched, settings["dataset"])
+        monitors = cut(a.linked_back(monitors, watched.filter("runcat is null")))
+        made = made.unionByName(stamped(watched))
+    return after, cut(made), monitors
 
 
 def run(spark: SparkSession, path: str, snapshots: str | None = None, **settings) -> tuple[a.State, DataFrame]:
-    """The catalogue after all images that path names, and the measurements. A failed image is logged and left out."""
+    """The catalogue after all images that path names, and the measurements.
+
+    Images set aside are kept with their reason (table `rejection` of the snapshots), so is one at which a step failed.
+    """
     p = DEFAULTS | settings
     images = cut(checked(images_of(spark, path), p["rms_low"], p["rms_high"]))
     good = images.filter(F.col("reason").isNull())
-    beam = good.select("beam_smaj_pix", "beam_smin_pix", "beam_pa_rad").first()
-    measured = cut(on_sky(frames.extract(good, tuple(beam) if beam else (2.0, 2.0, 0.0), p["detection"], p["analysis"], p["tile"], p["margin"], force_beam=p["force_beam"]), good, p["sys_err_arcsec"]))
+    meta, regions = placed(good, p["bandwidth_max"])
+    odd = im.historical_rms(meta.select("image", "band", F.col("taustart_ts").alias("ts"), "rms_qc"), p["history"], p["history_sigma"]).filter("rejected").select("image")
+    meta = cut(meta.join(odd, "image", "left_anti").withColumn("across", a.crosses_meridian(F.col("centre_ra"), F.col("centre_decl"), F.col("xtr_radius"))))
+    rejected = images.filter("reason is not null").select("image", "reason").unionByName(odd.withColumn("reason", F.lit("rms unlike the band's history")))
+    measured = cut(on_sky(frames.extract(good.join(meta.select("image"), "image", "left_semi"), None, p["detection"], p["analysis"], p["tile"], p["margin"], force_beam=p["force_beam"]), meta, p["sys_err_arcsec"]))
     state, store = a.State.new(spark), Snapshots(spark, snapshots) if snapshots else None
-    for (image,) in good.select("image").orderBy("image").collect():  # one id an image; each moves the catalogue
+    monitors = cut(tables.monitor_rows(spark.createDataFrame([tuple(map(float, m)) for m in p["monitors"]], "ra double, decl double"), p["dataset"]))
+    beyond = p["detection"] + p["new_source_sigma"]
+    made, failed = None, []
+    for one in meta.select("image", "band", "skyrgn", "taustart_ts", "across").orderBy("image").collect():  # a short row an image; each moves the catalogue
+        earlier = meta.filter((F.col("band") == one["band"]) & (F.col("taustart_ts") < F.lit(one["taustart_ts"])))
+        limits = earlier.select("image", "skyrgn", (F.col("rms_qc") * beyond).alias("low"), (F.col("rms_qc") * beyond).alias("high"))
+        founded = made.select("xtrsrc", "ts").join(state.assoc.select("runcat", "xtrsrc"), "xtrsrc").groupBy("runcat").agg(F.min("ts").alias("ts")) if made is not None else spark.createDataFrame([], "runcat long, ts timestamp")
         try:
-            state = a.associate(state, measured.filter(F.col("image") == image).drop("image", "ts"), p["radius"], p["de_ruiter"])
-        except Exception:
-            log.exception("image %s failed", image)
+            state, rows, monitors = time_step(state, good, meta, measured, founded, monitors, regions, limits, one, p)
+        except Exception as e:
+            log.exception("image %s failed", one["image"])
+            failed.append((one["image"], f"failed: {type(e).__name__}"))
             continue
+        made = rows if made is None else cut(made.unionByName(rows))
         if store:
-            store.write({"runningcatalog": state.runcat, "runningcatalog_flux": state.flux, "assocxtrsource": state.assoc})
-    return state, measured
+            store.write({"runningcatalog": state.runcat, "runningcatalog_flux": state.flux, "assocxtrsource": state.assoc, "assocskyrgn": state.skyrgn, "newsource": state.newsource, "monitor": monitors})
+    made = measured.drop("image", "n").limit(0) if made is None else made
+    if store:
+        rejected = rejected.unionByName(spark.createDataFrame(failed, "image long, reason string"))
+        store.write({"runningcatalog": state.runcat, "runningcatalog_flux": state.flux, "assocxtrsource": state.assoc, "assocskyrgn": state.skyrgn, "newsource": state.newsource, "monitor": monitors, "image": tables.image_rows(meta, p["dataset"]), "rejected": rejected, "varmetric": variability(state, made).withColumnRenamed("source", "runcat")})
+    return state, made
 
 
 def variability(state: a.State, measured: DataFrame) -> DataFrame:
-    """A row a source: variability of its brightest last band."""
+    """A row a source: variability of its brightest last band, and its first measurement's new-source event, if any."""
     rows = state.assoc.select(F.col("runcat").alias("source"), "xtrsrc", "v_int", "eta_int").join(measured.select("xtrsrc", "ts", "band", "f_int"), "xtrsrc")
-    return lc.variability(rows)
+    events = state.newsource.groupBy(F.col("runcat").alias("source")).agg(F.min("trigger_xtrsrc").alias("newsource"))
+    return lc.variability(rows, events)
+
+
+__all__ = ["DEFAULTS", "checked", "images_of", "on_sky", "run", "time_step", "variability"]

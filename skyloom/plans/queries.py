@@ -75,10 +75,10 @@ def last_associations_any_band(spark, sf_dir):
     return lc.last_by_band(lc.running_metrics(fx.measurements(spark, sf_dir)), strict=True).select("source", "band", "xtrsrc")
 
 
-@query(f"WITH m AS ({M}) SELECT source AS runcat, ts, band, stokes, xtrsrc, f_int, f_int_err FROM m WHERE source % 7 = 0")
+@query(f"WITH m AS ({M}) SELECT source AS runcat, ts, band, stokes, xtrsrc, f_int, f_int_err FROM m")
 def lightcurve(spark, sf_dir):
     m = fx.measurements(spark, sf_dir)
-    return lc.lightcurve(m.select(F.col("source").alias("runcat"), "xtrsrc"), m, m.filter("source % 7 = 0").select(F.col("source").alias("runcat")).distinct())
+    return lc.lightcurve(m.select(F.col("source").alias("runcat"), "xtrsrc"), m, m.select(F.col("source").alias("runcat")).distinct())
 
 
 @query("SELECT user_id, event_type, COUNT(*) AS n, ROUND(MEDIAN(CASE WHEN event_id % 11 <> 0 THEN value END), 6) AS med FROM events GROUP BY ALL")
@@ -177,7 +177,7 @@ def unmatched_measurements(spark, sf_dir):
 
 
 LIMITS = f"""m AS ({M}), g AS (SELECT day, band, DATEDIFF('day', DATE '2024-01-01', day) * 10 + LENGTH(band) AS image, AVG(f_int) / 50 AS rms_min, AVG(f_int) / 20 AS rms_max FROM m GROUP BY ALL),
- n AS (SELECT * FROM m WHERE day = DATE '{fx.NEW_FROM}' AND xtrsrc % 3 = 0), j AS (SELECT n.xtrsrc, n.f_peak, g.image, g.rms_min * 9 AS low, g.rms_max * 9 AS high FROM n JOIN g ON n.band = g.band AND g.day < n.day),
+ n AS (SELECT * FROM m WHERE day = DATE '{fx.NEW_FROM}'), j AS (SELECT n.xtrsrc, n.f_peak, g.image, g.rms_min * 9 AS low, g.rms_max * 9 AS high FROM n JOIN g ON n.band = g.band AND g.day < n.day),
  b AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY xtrsrc ORDER BY low, high, image) AS k FROM j)"""
 
 
@@ -185,7 +185,7 @@ LIMITS = f"""m AS ({M}), g AS (SELECT day, band, DATEDIFF('day', DATE '2024-01-0
 def new_source_events(spark, sf_dir):
     m = fx.measurements(spark, sf_dir)
     g_ = m.groupBy("day", "band").agg(F.avg("f_int").alias("x")).select("day", "band", (F.datediff("day", F.lit("2024-01-01").cast("date")) * 10 + F.length("band")).cast("long").alias("image"), (F.col("x") / 50 * 9).alias("low"), (F.col("x") / 20 * 9).alias("high"))
-    n = m.filter((F.col("day") == F.lit(fx.NEW_FROM).cast("date")) & (F.col("xtrsrc") % 3 == 0))
+    n = m.filter(F.col("day") == F.lit(fx.NEW_FROM).cast("date"))
     pairs = n.join(g_.withColumnRenamed("day", "before"), "band").filter(F.col("before") < F.col("day"))
     return a.new_sources(a.best_limits(pairs.select("xtrsrc", "f_peak", "image", "low", "high")))
 
@@ -220,9 +220,10 @@ def regions_get_or_create(spark, sf_dir):
     return im.get_or_create_regions(c, there)
 
 
-@query(f"WITH m AS ({M}) SELECT CAST(SUM(CASE WHEN xtrsrc = 0 THEN 1 ELSE 0 END) AS BIGINT) AS id_zero, CAST(SUM(CASE WHEN source IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS no_source, COUNT(*) AS n FROM m")
+@query(f"WITH m AS ({M}), q AS (SELECT xtrsrc % 7 AS id, source % 5 AS image, CAST(FLOOR(decl) AS INTEGER) % 3 AS zone FROM m) SELECT 'id' AS problem, COUNT(*) AS n FROM q WHERE id = 0 UNION ALL SELECT 'image', COUNT(*) FROM q WHERE image = 0 UNION ALL SELECT 'all', COUNT(*) FROM q WHERE id = 0 AND image = 0 AND zone = 0")
 def consistency(spark, sf_dir):
-    return fx.measurements(spark, sf_dir).agg(F.count_if(F.col("xtrsrc") == 0).alias("id_zero"), F.count_if(F.col("source").isNull()).alias("no_source"), F.count("*").alias("n"))
+    q = fx.measurements(spark, sf_dir).select((F.col("xtrsrc") % 7).alias("id"), (F.col("source") % 5).alias("image"), (g.zone(F.col("decl")) % 3).alias("zone"))
+    return a.inconsistencies(q, "id", "image", "zone")
 
 
 @query(f"WITH m AS ({M}), t AS (SELECT source, MIN(xtrsrc) AS newsource FROM m GROUP BY ALL) SELECT t.source, t.newsource, ROUND(f_int / (1 + t.source % 5), 6) AS sigma_rms_min, ROUND(f_int / (2 + t.source % 5), 6) AS sigma_rms_max FROM t JOIN m ON m.xtrsrc = t.newsource")
@@ -304,8 +305,10 @@ def combined_images(spark, sf_dir):
 
 @query("SELECT vec_id AS image, ROUND(LIST_MAX(LIST_TRANSFORM([19, 20, 21, 27, 28, 29, 35, 36, 37], lambda i: CAST(embedding[i] AS DOUBLE))), 6) AS flux FROM embeddings")
 def flux_at_pixel(spark, sf_dir):
-    at = [2 * 8 + 2 + dx * 8 + dy for dx in range(3) for dy in range(3)]
-    return fx.read(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("image"), r(F.array_max(F.array(*[F.element_at("embedding", i + 1).cast("double") for i in at]))).alias("flux"))
+    from skyloom.imaging import frames
+
+    p = fx.read(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("image"), F.lit(8).alias("nx"), F.lit(8).alias("ny"), F.transform("embedding", lambda v: v.cast("double")).alias("pixels"))
+    return frames.flux_at(p, p.select("image", F.lit(0).cast("long").alias("id"), F.lit(3).alias("x"), F.lit(3).alias("y"))).select("image", r("flux").alias("flux"))
 
 
 @query()
@@ -411,14 +414,52 @@ def frames_of_reference(spark, sf_dir):
     return fx.measurements(spark, sf_dir).select("xtrsrc", r(lon).alias("gal_l"), r(lat).alias("gal_b"), r(ra).alias("ra_j2000"), r(d).alias("decl_j2000"))
 
 
-@query(f"WITH m AS ({M}) SELECT xtrsrc, ROUND(ra, 5) AS ra, ROUND(decl, 5) AS decl FROM m WHERE ra BETWEEN 170 AND 190 AND decl BETWEEN 20 AND 40")
+WCS_SQL = f"""m AS ({M}), p AS (SELECT *, COS(RADIANS(decl)) * SIN(RADIANS(ra - 180)) AS l, SIN(RADIANS(decl)) * COS(RADIANS(30)) - COS(RADIANS(decl)) * SIN(RADIANS(30)) * COS(RADIANS(ra - 180)) AS q,
+ SIN(RADIANS(decl)) * SIN(RADIANS(30)) + COS(RADIANS(decl)) * COS(RADIANS(30)) * COS(RADIANS(ra - 180)) AS n FROM m WHERE ra BETWEEN 170 AND 190 AND decl BETWEEN 20 AND 40), t AS (SELECT *, DEGREES(l / n) AS u, DEGREES(q / n) AS v FROM p)"""
+
+
+@query(f"WITH {WCS_SQL} SELECT xtrsrc, ROUND((u * COS(RADIANS(12)) + v * SIN(RADIANS(12))) / -0.02 + 512, 4) AS x, ROUND((v * COS(RADIANS(12)) - u * SIN(RADIANS(12))) / 0.02 + 512, 4) AS y, ROUND(ra, 5) AS ra, ROUND(decl, 5) AS decl FROM t")
 def wcs_round_trip(spark, sf_dir):
     w = {"crpix1": F.lit(512.0), "crpix2": F.lit(512.0), "crval1": F.lit(180.0), "crval2": F.lit(30.0), "cdelt1": F.lit(-0.02), "cdelt2": F.lit(0.02), "crota2": F.lit(12.0)}
     m = fx.measurements(spark, sf_dir).filter("ra BETWEEN 170 AND 190 AND decl BETWEEN 20 AND 40")
     x, y = g.pixel_of_sky(F.col("ra"), F.col("decl"), w, "TAN")
     p = m.select("xtrsrc", x.alias("x"), y.alias("y"))
     ra, d = g.sky_of_pixel(F.col("x"), F.col("y"), w, "TAN")
-    return p.select("xtrsrc", r(ra, 5).alias("ra"), r(d, 5).alias("decl"))
+    return p.select("xtrsrc", r("x", 4).alias("x"), r("y", 4).alias("y"), r(ra, 5).alias("ra"), r(d, 5).alias("decl"))
+
+
+@query("WITH e AS (SELECT event_id, EPOCH_US(ts) / 86400e6 + 40587 AS mjd, CAST(user_id % 360 AS DOUBLE) AS ra, CAST(user_id % 80 AS DOUBLE) AS decl FROM events), t AS (SELECT *, (mjd - 51544.5) / 36525 AS c FROM e), u AS (SELECT *, RADIANS(280.46061837 + 360.98564736629 * (mjd - 51544.5) + 0.000387933 * c * c - c * c * c / 38710000 + 6.9 - ra) AS h, RADIANS(decl) AS d, RADIANS(52.9) AS p FROM t) SELECT event_id, ROUND(DEGREES(ASIN(SIN(d) * SIN(p) + COS(d) * COS(p) * COS(h))), 4) AS alt, ROUND(SIN(d) * COS(p) - COS(d) * SIN(p) * COS(h), 6) AS north, ROUND(-COS(d) * SIN(h), 6) AS east FROM u")
+def horizontal_positions(spark, sf_dir):
+    alt, az = clock.altaz(clock.mjd(F.col("ts")), (F.col("user_id") % 360).cast("double"), (F.col("user_id") % 80).cast("double"), F.lit(52.9), F.lit(6.9))
+    e = fx.read(spark, sf_dir, "events").select("event_id", alt.alias("alt"), az.alias("az"))
+    return e.select("event_id", r("alt", 4).alias("alt"), r(F.cos(F.radians("alt")) * F.cos(F.radians("az"))).alias("north"), r(F.cos(F.radians("alt")) * F.sin(F.radians("az"))).alias("east"))
+
+
+@query("SELECT event_id, ROUND(value * EXP(-LN(2) * (((COS(0.3) * (event_id % 7 - 3) + SIN(0.3) * (event_id % 5 - 2)) / 2) ** 2 + ((COS(0.3) * (event_id % 5 - 2) - SIN(0.3) * (event_id % 7 - 3)) / 3) ** 2)), 6) AS flux FROM events")
+def gaussian_profile(spark, sf_dir):
+    k, d = F.col("event_id"), lambda x: F.lit(float(x))
+    return fx.read(spark, sf_dir, "events").select("event_id", r(g.gaussian(F.col("value"), d(3), d(2), d(3), d(2), d(0.3), (k % 7).cast("double"), (k % 5).cast("double"))).alias("flux"))
+
+
+@query("SELECT event_id, CASE WHEN value < (1 + event_id % 9) * 10 * 0.8 THEN 'rms too low' WHEN value > (1 + event_id % 9) * 10 * 1.6 THEN 'rms too high' END AS reason FROM events")
+def noise_reasons(spark, sf_dir):
+    return fx.read(spark, sf_dir, "events").select("event_id", im.noise_reason(F.col("value"), (1 + F.col("event_id") % 9) * 10.0, 0.8, 1.6).alias("reason"))
+
+
+@query("SELECT s_suppkey AS id, ROUND((2 + s_suppkey % 4) / 2.0 / SQRT((0.01 * SIN(RADIANS(s_suppkey % 90))) ** 2 + (0.02 * COS(RADIANS(s_suppkey % 90))) ** 2), 6) AS smaj, ROUND(1.5 / 2 / SQRT((0.01 * COS(RADIANS(s_suppkey % 90))) ** 2 + (0.02 * SIN(RADIANS(s_suppkey % 90))) ** 2), 6) AS smin, ROUND(RADIANS(s_suppkey % 90), 8) AS pa FROM supplier")
+def beams_in_pixels(spark, sf_dir):
+    k = F.col("s_suppkey")
+    smaj, smin, pa = fits.beam_pixels((2.0 + k % 4), F.lit(1.5), (k % 90).cast("double"), F.lit(0.01), F.lit(0.02))
+    return fx.read(spark, sf_dir, "supplier").select(k.alias("id"), r(smaj).alias("smaj"), r(smin).alias("smin"), r(pa, 8).alias("pa"))
+
+
+@query("SELECT s_suppkey AS id, CASE WHEN s_suppkey % 3 > 0 THEN TIMESTAMP '2024-01-01 00:00:00' END AS start, CASE WHEN s_suppkey % 3 = 2 THEN CAST(60 + s_suppkey % 60 AS DOUBLE) ELSE 0 END AS tau FROM supplier")
+def observation_times(spark, sf_dir):
+    k = F.col("s_suppkey")
+    end = F.concat(F.lit("2024-01-01T00:01:"), F.lpad((k % 60).cast("string"), 2, "0"))
+    h = F.when(k % 3 == 0, F.create_map(F.lit("OBJECT"), F.lit("x"))).when(k % 3 == 1, F.create_map(F.lit("DATE-OBS"), F.lit("2024-01-01T00:00:00; a comment"))).otherwise(F.create_map(F.lit("DATE-OBS"), F.lit("2024-01-01T00:00:00"), F.lit("END_UTC"), end))
+    s = fx.read(spark, sf_dir, "supplier").select(k.alias("id"), h.alias("h"))
+    return s.select("id", fits.start_time(F.col("h")).cast("timestamp_ntz").alias("start"), fits.duration(F.col("h")).alias("tau"))
 
 
 @query("WITH e AS (SELECT event_id, value AS a, 1 + event_id % 3 AS s, 2.0 + event_id % 5 AS b, 0.5 AS t FROM events) SELECT event_id, ROUND(a + b, 6) AS sum, ROUND(SQRT(s * s + t * t), 6) AS sum_err, ROUND(a * b, 6) AS product, ROUND(SQRT((s * b) ** 2 + (t * a) ** 2), 6) AS product_err, ROUND(a / b, 6) AS ratio, ROUND(SQRT((s / b) ** 2 + (t * a / (b * b)) ** 2), 6) AS ratio_err, ROUND(LN(b), 6) AS log, ROUND(t / b, 6) AS log_err FROM e")
@@ -428,11 +469,13 @@ def uncertain_values(spark, sf_dir):
     return e.select("event_id", *(r(v[f]).alias(k + s) for k, v in parts.items() for f, s in (("value", ""), ("error", "_err"))))
 
 
-@query("WITH e AS (SELECT event_id, CASE WHEN event_id % 5 = 0 THEN CAST('Infinity' AS DOUBLE) WHEN event_id % 7 = 0 THEN CAST('NaN' AS DOUBLE) ELSE CAST(event_id AS DOUBLE) END AS v FROM events) SELECT event_id, ROUND(CASE WHEN ISNAN(v) THEN 0 WHEN ISINF(v) THEN -1 ELSE v END, 6) AS v FROM e")
+@query("WITH e AS (SELECT event_id, CASE WHEN event_id % 5 = 0 THEN CAST('Infinity' AS DOUBLE) WHEN event_id % 7 = 0 THEN CAST('NaN' AS DOUBLE) ELSE CAST(event_id AS DOUBLE) END AS v FROM events) SELECT event_id, CASE WHEN ISINF(v) THEN 'Infinity' WHEN ISNAN(v) THEN 'NaN' ELSE CAST(CAST(v AS BIGINT) AS VARCHAR) END AS inf, ROUND(CASE WHEN ISNAN(v) THEN 0 WHEN ISINF(v) THEN -1 ELSE v END, 6) AS nan FROM e")
 def substituted(spark, sf_dir):
     e = F.col("event_id")
     v = F.when(e % 5 == 0, float("inf")).when(e % 7 == 0, float("nan")).otherwise(e.cast("double"))
-    return fx.read(spark, sf_dir, "events").select("event_id", v.alias("v")).select("event_id", r(F.when(F.abs("v") == float("inf"), -1.0).otherwise(st.substitute_nan(F.col("v")))).alias("v"))
+    rows = fx.read(spark, sf_dir, "events").select("event_id", v.alias("v")).withColumns({"inf": st.substitute_inf(F.col("v")), "nan": st.substitute_nan(F.col("v"))})
+    whole = F.when(F.col("inf").isin("Infinity", "NaN"), F.col("inf")).otherwise(F.col("inf").cast("double").cast("bigint").cast("string"))
+    return rows.select("event_id", whole.alias("inf"), F.when(F.abs("nan") == float("inf"), -1.0).otherwise(F.round("nan", 6)).alias("nan"))
 
 
 # -- tables and headers -----------------------------------------------------------------------------------------------
@@ -465,11 +508,44 @@ def good_images(spark, sf_dir):
     return tables.good_images(i, tables.unreject(bad, i.filter("image % 3 = 0"))).select("image", "band")
 
 
-@query("SELECT o_custkey AS dataset, o_orderpriority AS description, COUNT(*) AS runs, COUNT(*) - 1 AS last_rerun FROM orders GROUP BY ALL")
+@query("SELECT o_orderkey AS id, o_orderpriority AS description, CAST(ROW_NUMBER() OVER (PARTITION BY o_custkey, o_orderpriority ORDER BY o_orderdate, o_orderkey) - 1 AS INTEGER) AS rerun FROM orders")
 def dataset_reruns(spark, sf_dir):
-    o = fx.read(spark, sf_dir, "orders")
-    k = F.row_number().over(Window.partitionBy("o_custkey", "o_orderpriority").orderBy("o_orderdate", "o_orderkey")) - 1
-    return o.select(F.col("o_custkey").alias("dataset"), F.col("o_orderpriority").alias("description"), k.alias("rerun")).groupBy("dataset", "description").agg(F.count("*").alias("runs"), F.max("rerun").cast("long").alias("last_rerun"))
+    o = fx.read(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"), "o_custkey", F.col("o_orderpriority").alias("description"), F.col("o_orderdate").alias("process_start_ts"))
+    return tables.with_reruns(o, ("o_custkey", "description")).select("id", "description", "rerun")
+
+
+@query("SELECT o_orderkey AS id, CASE WHEN o_orderkey = 7 THEN o_orderdate + INTERVAL 1 DAY END AS process_end_ts FROM orders")
+def dataset_ended(spark, sf_dir):
+    o = fx.read(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"), "o_orderdate", F.lit(None).cast("timestamp").alias("process_end_ts"))
+    return tables.ended(o, 7, (F.col("o_orderdate") + F.expr("interval 1 day")).cast("timestamp")).select("id", F.col("process_end_ts").cast("timestamp_ntz"))
+
+
+@query("SELECT 'image' AS name, COUNT(*) AS n FROM orders WHERE o_custkey % 3 <> 1 UNION ALL SELECT 'dataset', 2 UNION ALL SELECT 'rejection', COUNT(*) FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE o_custkey % 3 <> 1 UNION ALL SELECT 'runningcatalog', COUNT(*) FROM customer WHERE c_custkey % 3 <> 1 UNION ALL SELECT 'newsource', COUNT(*) FROM orders WHERE o_custkey % 3 <> 1")
+def dataset_deleted(spark, sf_dir):
+    """Sets 0, 1, 2 of images (orders) and sources (customers): what is left without set 1."""
+    o, c = fx.read(spark, sf_dir, "orders"), fx.read(spark, sf_dir, "customer")
+    left = tables.without_dataset({
+        "dataset": spark.range(3), "image": o.select(F.col("o_orderkey").alias("id"), (F.col("o_custkey") % 3).alias("dataset")), "rejection": fx.read(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("image")),
+        "runningcatalog": c.select(F.col("c_custkey").alias("runcat"), (F.col("c_custkey") % 3).alias("dataset")), "newsource": o.select(F.col("o_custkey").alias("runcat")),
+    }, 1)
+    out = None
+    for name, df in left.items():
+        one = df.agg(F.count("*").alias("n")).select(F.lit(name).alias("name"), "n")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+@query("SELECT ROW_NUMBER() OVER (ORDER BY ra, decl) AS id, ra, decl FROM (SELECT DISTINCT CAST(c_nationkey AS DOUBLE) AS ra, CAST(c_custkey % 4 AS DOUBLE) AS decl FROM customer)")
+def monitors_stored(spark, sf_dir):
+    c = fx.read(spark, sf_dir, "customer").select(F.col("c_nationkey").cast("double").alias("ra"), (F.col("c_custkey") % 4).cast("double").alias("decl"))
+    return tables.monitor_rows(c).select("id", "ra", "decl")
+
+
+@query("SELECT s_suppkey AS id, CAST(1 AS BIGINT) AS dataset, s_nationkey AS band, ROUND((2 + s_suppkey % 3) * 0.01, 8) AS rb_smaj, ROUND(1.5 * 0.01, 8) AS rb_smin, ROUND(DEGREES(CAST(s_suppkey % 3 AS DOUBLE)), 8) AS rb_pa FROM supplier")
+def image_rows(spark, sf_dir):
+    k = F.col("s_suppkey")
+    i = fx.read(spark, sf_dir, "supplier").select(k.alias("image"), F.col("s_nationkey").alias("band"), F.lit(1).alias("skyrgn"), F.lit(300.0).alias("tau_time"), F.lit(6e7).alias("freq_eff"), F.lit(1e6).alias("freq_bw"), F.lit("2024-01-01").cast("timestamp").alias("taustart_ts"), (2.0 + k % 3).alias("beam_smaj_pix"), F.lit(1.5).alias("beam_smin_pix"), (k % 3).cast("double").alias("beam_pa_rad"), F.lit(-0.01).alias("deltax"), F.lit(0.01).alias("deltay"), F.lit(1.0).alias("rms_qc"), F.lit("x").alias("url"))
+    return rounded(tables.image_rows(i).select("id", "dataset", "band", "rb_smaj", "rb_smin", "rb_pa"), rb_smaj=8, rb_smin=8, rb_pa=8)
 
 
 @query("SELECT s_suppkey AS image, CASE WHEN s_suppkey % 3 = 0 THEN CAST(60000000 + s_suppkey AS DOUBLE) WHEN s_suppkey % 3 = 1 THEN CAST(70000000 AS DOUBLE) END AS freq_eff, CASE WHEN s_suppkey % 3 = 0 THEN 1e6 WHEN s_suppkey % 3 = 1 THEN CAST(195312.5 AS DOUBLE) END AS freq_bw, CASE WHEN s_suppkey % 2 = 0 THEN CAST(0.5 AS DOUBLE) ELSE CAST(0.25 AS DOUBLE) END AS bmaj FROM supplier")
@@ -495,10 +571,25 @@ def closest_object(spark, sf_dir):
     return tables.closest(fx.measurements(spark, sf_dir).select("xtrsrc", F.col("ra").alias("x"), F.col("decl").alias("y")), 180, 10).select("xtrsrc")
 
 
-@query(f"WITH m AS ({M}) SELECT xtrsrc, PRINTF('%.6f', ra) || ', ' || PRINTF('%.6f', decl) || ', ' || PRINTF('%.6f', f_int) AS value FROM m WHERE xtrsrc % 10 = 0")
+@query(f"WITH m AS ({M}) SELECT PRINTF('%.6f', ra) || ', ' || PRINTF('%.6f', decl) || ', ' || PRINTF('%.6f', CAST(xtrsrc AS DOUBLE)) || ', ' || PRINTF('%.6f', f_int) AS value FROM m")
 def csv_text(spark, sf_dir):
-    m = fx.measurements(spark, sf_dir).filter("xtrsrc % 10 = 0")
-    return m.select("xtrsrc", F.concat_ws(", ", *(F.format_string("%.6f", c) for c in ("ra", "decl", "f_int"))).alias("value"))
+    return tables.csv_lines(fx.measurements(spark, sf_dir).withColumn("id", F.col("xtrsrc").cast("double")), ("ra", "decl", "id", "f_int"))
+
+
+@query(f"WITH m AS ({M}) SELECT CAST(xtrsrc AS VARCHAR) || ', POINT, ' || PRINTF('%.6f', ra) || ', ' || PRINTF('%.6f', decl) || ', ' || PRINTF('%.4e', f_int) AS value FROM m")
+def sky_model_text(spark, sf_dir):
+    return tables.sky_model_lines(fx.measurements(spark, sf_dir))
+
+
+@query(f"WITH m AS ({M}) SELECT 'ellipse(' || PRINTF('%.6f', ra) || ', ' || PRINTF('%.6f', decl) || ', ' || PRINTF('%.4f', CAST(2 + xtrsrc % 3 AS DOUBLE)) || '\", ' || PRINTF('%.4f', CAST(1 AS DOUBLE)) || '\", ' || PRINTF('%.2f', CAST(xtrsrc % 180 AS DOUBLE)) || ')' AS value FROM m")
+def region_text(spark, sf_dir):
+    k = F.col("xtrsrc")
+    return tables.region_lines(fx.measurements(spark, sf_dir).withColumns({"semimajor": (2 + k % 3).cast("double"), "semiminor": F.lit(1.0), "pa": (k % 180).cast("double")}))
+
+
+@query(f"WITH m AS ({M}) SELECT PRINTF('%d: RA %.5f Dec %.5f, peak %.4f +- %.4f, flux %.4f +- %.4f, %.1f sigma', xtrsrc, ra, decl, f_peak, f_peak_err, f_int, f_int_err, CAST(xtrsrc % 90 AS DOUBLE) + 0.3) AS value FROM m")
+def summary_text(spark, sf_dir):
+    return tables.summary_lines(fx.measurements(spark, sf_dir).withColumn("det_sigma", (F.col("xtrsrc") % 90) + 0.3))
 
 
 @query("SELECT c_custkey AS id, CAST(c_nationkey AS DOUBLE) AS ra, CAST(c_nationkey - 10 AS DOUBLE) AS decl FROM customer")
@@ -515,13 +606,118 @@ def false_discovery(spark, sf_dir):
     return k.filter(F.col("p") <= 0.05 * F.col("i") / F.col("n")).groupBy("band").agg(r(F.min("z")).alias("threshold"), F.count("*").alias("accepted"))
 
 
-@query()
+# -- the state machine ------------------------------------------------------------------------------------------------
+
+TURN = lambda x: f"CAST(CAST({x} + 180 AS DECIMAL(11,8)) % 360 AS DOUBLE)"
+ZERO = f"""m AS ({M}), i AS (SELECT *, CAST((359996 + (xtrsrc % 5) * 2) % 360000 AS DOUBLE) / 1000 AS a FROM m WHERE day = DATE '{fx.NEW_FROM}'),
+ c AS (SELECT source AS runcat, 1 + source % 3 AS n, CAST((359996 + (source % 5) * 2) % 360000 AS DOUBLE) / 1000 AS wa, MIN(decl) AS wd FROM m GROUP BY source),
+ j AS (SELECT *, {TURN("a")} - {TURN("wa")} AS dra, n / (0.003 * 0.003) AS w0, 1 / (uew * uew) AS w FROM i, c WHERE ABS(decl - wd) <= {RADIUS}),
+ k AS (SELECT *, SQRT((dra * COS(RADIANS((decl + wd) / 2))) ** 2 / (uew * uew + 0.003 * 0.003) + (decl - wd) ** 2 / (uns * uns + 0.003 * 0.003)) AS r FROM j),
+ t AS (SELECT *, (w0 * {TURN("wa")} + w * {TURN("a")}) / (w0 + w) - 180 AS turned FROM k WHERE r < {a.DE_RUITER})"""
+
+
+@query(f"WITH {ZERO}, u AS (SELECT *, CASE WHEN turned < 0 AND turned > -8e-14 THEN 0 WHEN turned < 0 THEN turned + 360 ELSE turned END AS wm FROM t) SELECT runcat, xtrsrc, ROUND(r, 4) AS r, ROUND(wm, 6) AS new_wm_ra, ROUND(wm * (w0 + w) / (n + 1), 2) AS new_avg_wra FROM u")
+def association_over_zero(spark, sf_dir):
+    """Sources and measurements on both sides of right ascension 0."""
+    m = fx.measurements(spark, sf_dir)
+    at = lambda c: ((359996 + (F.col(c) % 5) * 2) % 360000).cast("double") / 1000
+    v = F.lit(0.003) * F.lit(0.003)
+    cat = m.groupBy(F.col("source").alias("runcat")).agg(F.min("decl").alias("wm_decl")).withColumns({"datapoints": (1 + F.col("runcat") % 3).cast("long"), "wm_ra": at("runcat"), "wm_uew": F.lit(0.003), "wm_uns": F.lit(0.003), "avg_weight_ra": 1 / v, "avg_weight_decl": 1 / v, "avg_wra": at("runcat") / v, "avg_wdecl": F.col("wm_decl") / v})
+    one = m.filter(F.col("day") == F.lit(fx.NEW_FROM).cast("date")).withColumn("ra", at("xtrsrc"))
+    return rounded(a.candidates(one, cat, RADIUS, across=True).select("runcat", "xtrsrc", "r", "new_wm_ra", "new_avg_wra"), r=4, new_wm_ra=6, new_avg_wra=2)
+
+
+#: One image a week: a source's measurements of the week as one, their mean.
+WEEKS = f"m AS ({M}), w AS (SELECT source, DATEDIFF('day', DATE '2024-01-01', day) // 7 AS week, MIN(xtrsrc) AS xtrsrc, AVG(ra) AS ra, AVG(decl) AS decl, AVG(f_int) AS f_int FROM m GROUP BY ALL)"
+
+
+def _means(m: DataFrame, *by) -> DataFrame:
+    """Measurements of groups, as means with fixed errors."""
+    return m.groupBy(*by).agg(F.min("xtrsrc").alias("xtrsrc"), F.avg("ra").alias("ra"), F.avg("decl").alias("decl"), F.avg("f_int").alias("f_int"), F.avg("f_int").alias("f_peak")).withColumns({"band": F.lit("all"), "stokes": F.lit(1), "uew": F.lit(0.005), "uns": F.lit(0.005), "f_int_err": F.lit(2.0), "f_peak_err": F.lit(2.0)})
+
+
+@query(f"WITH {WEEKS} SELECT ARG_MIN(xtrsrc, week) AS runcat, COUNT(*) AS datapoints, ROUND(AVG(ra), 6) AS wm_ra, ROUND(AVG(decl), 6) AS wm_decl, COUNT(*) AS f_datapoints, ROUND(AVG(f_int), 6) AS avg_f_int FROM w GROUP BY source")
 def association_loop(spark, sf_dir):
-    """Images one after the other through the whole state machine: the first three days' views of some sources."""
-    m = fx.measurements(spark, sf_dir).filter("band = 'view' AND source % 10 = 0")
+    """All weeks, one image after the other, through the whole state machine."""
+    m = _means(fx.measurements(spark, sf_dir), "source", F.floor(F.datediff("day", F.lit("2024-01-01").cast("date")) / 7).alias("week"))
     state = a.State.new(spark)
-    for day in ("2024-01-01", "2024-01-02", "2024-01-03"):
-        one = m.filter(F.col("day") == F.lit(day).cast("date"))
-        one = one.withColumn("k", F.row_number().over(Window.partitionBy("source").orderBy("xtrsrc"))).filter("k = 1").drop("k")
-        state = a.associate(state, one, RADIUS)
-    return state.runcat.join(state.flux.select("runcat", "f_datapoints", "avg_f_int"), "runcat").select("runcat", "datapoints", r("wm_ra").alias("wm_ra"), r("wm_decl").alias("wm_decl"), "f_datapoints", r("avg_f_int").alias("avg_f_int"))
+    for week in range(5):
+        state = a.associate(state, m.filter(F.col("week") == week).drop("week", "source"), RADIUS)
+    both = state.runcat.join(state.flux.select("runcat", "f_datapoints", "avg_f_int"), "runcat")
+    return rounded(both.select("runcat", "datapoints", "wm_ra", "wm_decl", "f_datapoints", "avg_f_int"), wm_ra=6, wm_decl=6, avg_f_int=6)
+
+
+#: A source as one measurement, and as one for even and one for odd ids, apart in declination.
+HALVES = f"m AS ({M}), one AS (SELECT source, MIN(xtrsrc) * 10 AS x1, AVG(decl) AS decl, AVG(f_int) AS f FROM m GROUP BY source), two AS (SELECT source, MIN(xtrsrc) * 10 + 1 AS x2, AVG(decl) + (xtrsrc % 2) / 100.0 AS decl, AVG(f_int) AS f, COUNT(*) OVER (PARTITION BY source) AS k FROM m GROUP BY source, xtrsrc % 2)"
+
+
+def _halves(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    m = fx.measurements(spark, sf_dir)
+    one = _means(m, "source").withColumn("xtrsrc", F.col("xtrsrc") * 10)
+    two = _means(m, "source", (F.col("xtrsrc") % 2).alias("odd")).withColumns({"xtrsrc": F.col("xtrsrc") * 10 + 1, "decl": F.col("decl") + F.col("odd") / 100.0})
+    return one.drop("source"), two.drop("source", "odd")
+
+
+@query(f"WITH {HALVES} SELECT CASE WHEN k = 1 THEN x1 ELSE x2 END AS runcat, x1 AS xtrsrc, CASE WHEN k = 1 THEN 4 ELSE 6 END AS type FROM one JOIN two USING (source) UNION ALL SELECT CASE WHEN k = 1 THEN x1 ELSE x2 END, x2, CASE WHEN k = 1 THEN 3 ELSE 2 END FROM one JOIN two USING (source)")
+def association_forks(spark, sf_dir):
+    """One source, then two measurements of it: both become sources of their own, with its history."""
+    one, two = _halves(spark, sf_dir)
+    return a.associate(a.associate(a.State.new(spark), one, RADIUS), two, RADIUS).assoc.select("runcat", "xtrsrc", "type")
+
+
+@query(f"WITH {HALVES} SELECT CASE WHEN k = 1 THEN x1 ELSE x2 END AS runcat, CAST(2 AS BIGINT) AS datapoints, ROUND((one.decl + two.decl) / 2, 6) AS wm_decl, CAST(2 AS BIGINT) AS f_datapoints, ROUND((one.f + two.f) / 2, 6) AS avg_f_int FROM one JOIN two USING (source)")
+def association_forked_catalogue(spark, sf_dir):
+    one, two = _halves(spark, sf_dir)
+    state = a.associate(a.associate(a.State.new(spark), one, RADIUS), two, RADIUS)
+    return rounded(state.runcat.join(state.flux.select("runcat", "f_datapoints", "avg_f_int"), "runcat").select("runcat", "datapoints", "wm_decl", "f_datapoints", "avg_f_int"), wm_decl=6, avg_f_int=6)
+
+
+@query(f"WITH {HALVES} SELECT x2 AS runcat, x2 AS xtrsrc, 4 AS type FROM two UNION ALL SELECT x2, x1, 3 FROM one JOIN two USING (source)")
+def association_merges(spark, sf_dir):
+    """Two sources, then one measurement of both: each takes it."""
+    one, two = _halves(spark, sf_dir)
+    return a.associate(a.associate(a.State.new(spark), two, RADIUS), one, RADIUS).assoc.select("runcat", "xtrsrc", "type")
+
+
+@query(f"WITH {HALVES} SELECT x1 AS runcat, CAST(1 AS BIGINT) AS datapoints, CAST(CASE WHEN source % 2 = 0 THEN 1 ELSE 0 END AS BIGINT) AS forcedfits_count, CAST(CASE WHEN source % 2 = 0 THEN 2 ELSE 1 END AS BIGINT) AS f_datapoints, ROUND(CASE WHEN source % 2 = 0 THEN (f + 1.5) / 2 ELSE f END, 6) AS avg_f_int, CASE WHEN source % 2 = 0 THEN 7 ELSE 4 END AS last_type FROM one")
+def forced_associations(spark, sf_dir):
+    """Forced fits of half of the sources: fluxes and counts grow, positions and datapoints do not."""
+    m = fx.measurements(spark, sf_dir)
+    one, _ = _halves(spark, sf_dir)
+    state = a.associate(a.State.new(spark), one, RADIUS)
+    again = m.filter("source % 2 = 0").groupBy("source").agg((F.min("xtrsrc") * 10).alias("runcat")).drop("source")
+    fits_ = again.select("runcat", (F.col("runcat") + 5).alias("xtrsrc"), F.lit("all").alias("band"), F.lit(1).alias("stokes"), *(F.lit(v).alias(c) for c, v in (("f_peak", 1.5), ("f_int", 1.5), ("f_peak_err", 2.0), ("f_int_err", 2.0))))
+    state = a.associate_forced(state, fits_)
+    last = state.assoc.groupBy("runcat").agg(F.max_by("type", "xtrsrc").alias("last_type"))
+    rows = state.runcat.select("runcat", "datapoints", "forcedfits_count").join(state.flux.select("runcat", "f_datapoints", "avg_f_int"), "runcat").join(last, "runcat")
+    return rounded(rows, avg_f_int=6)
+
+
+@query("SELECT CAST(c_custkey AS BIGINT) AS id, c_custkey * 10 AS runcat, CAST(2 AS BIGINT) AS datapoints, TRUE AS mon_src, ROUND(c_acctbal + 0.5, 6) AS avg_f_int, 8 AS first_type, 9 AS last_type FROM customer")
+def monitored_associations(spark, sf_dir):
+    """Two fits at every customer's place: the first founds the source and is linked back, the second extends it."""
+    c = fx.read(spark, sf_dir, "customer")
+    monitors = c.select(F.col("c_custkey").alias("id"), F.lit(None).cast("long").alias("runcat"))
+    at = lambda k: c.select((F.col("c_custkey") * 10 + k).alias("xtrsrc"), F.col("c_custkey").alias("ff_monitor"), (F.col("c_nationkey") * 10.0).alias("ra"), F.lit(10.0).alias("decl"), F.lit(0.01).alias("uew"), F.lit(0.01).alias("uns"), F.lit("all").alias("band"), F.lit(1).alias("stokes"), *((F.col("c_acctbal") + k).alias(x) for x in ("f_peak", "f_int")), F.lit(1.0).alias("f_peak_err"), F.lit(1.0).alias("f_int_err"))
+    state, first = a.State.new(spark), at(0)
+    state = a.associate_monitored(state, first.join(monitors.select(F.col("id").alias("ff_monitor"), "runcat"), "ff_monitor"))
+    monitors = a.linked_back(monitors, first)
+    state = a.associate_monitored(state, at(1).join(monitors.select(F.col("id").alias("ff_monitor"), "runcat"), "ff_monitor"))
+    ends = state.assoc.groupBy("runcat").agg(F.min_by("type", "xtrsrc").alias("first_type"), F.max_by("type", "xtrsrc").alias("last_type"))
+    rows = monitors.join(state.runcat.select("runcat", "datapoints", "mon_src"), "runcat").join(state.flux.select("runcat", "avg_f_int"), "runcat").join(ends, "runcat")
+    return rounded(rows, avg_f_int=6)
+
+
+FIELDS = f"""{SPOTS}, w AS (SELECT source AS runcat, MIN(xtrsrc) AS xtrsrc, AVG(ra) AS ra, AVG(decl) AS decl, AVG(f_int) AS f_peak FROM m GROUP BY ALL),
+ l AS (SELECT xtrsrc, f_peak, 3 AS skyrgn FROM w UNION ALL SELECT xtrsrc, f_peak, skyrgn FROM w, s WHERE skyrgn <> 3 AND DEGREES(2 * ASIN({CHORD} / 2)) < xtr_radius),
+ g AS (SELECT n_nationkey * 10 + r_regionkey AS image, n_nationkey AS skyrgn, CAST(r_regionkey * 40 + n_nationkey % 3 AS DOUBLE) AS low, CAST(r_regionkey * 40 + 60 AS DOUBLE) AS high FROM nation, region),
+ b AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY xtrsrc ORDER BY low, high, image) AS k FROM l JOIN g USING (skyrgn))"""
+
+
+@query(f"WITH {FIELDS} SELECT xtrsrc AS runcat, xtrsrc AS trigger_xtrsrc, CAST(image AS BIGINT) AS previous_limits_image, CAST(CASE WHEN f_peak > high THEN 1 ELSE 0 END AS INTEGER) AS newsource_type FROM b WHERE k = 1 AND f_peak > low")
+def new_sources_by_field(spark, sf_dir):
+    """Sources that are not matched, against earlier images of every field that covers them, in the state machine."""
+    m = _means(fx.measurements(spark, sf_dir), "source").drop("source")
+    n, region = fx.read(spark, sf_dir, "nation"), fx.read(spark, sf_dir, "region")
+    limits = n.crossJoin(region).select((F.col("n_nationkey") * 10 + F.col("r_regionkey")).cast("long").alias("image"), F.col("n_nationkey").cast("long").alias("skyrgn"), (F.col("r_regionkey") * 40 + F.col("n_nationkey") % 3).cast("double").alias("low"), (F.col("r_regionkey") * 40 + 60).cast("double").alias("high"))  # 25 by 5 rows
+    return a.associate(a.State.new(spark), m, RADIUS, skyrgn=3, regions=fx.skyregions(spark, sf_dir), limits=limits).newsource.select("runcat", "trigger_xtrsrc", "previous_limits_image", "newsource_type")

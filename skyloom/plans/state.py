@@ -13,6 +13,8 @@ def cut(df: DataFrame) -> DataFrame:
     """A reliable checkpoint in the folder that spark.checkpoint.dir names; a local one only where none is set."""
     context = df.sparkSession.sparkContext
     if not df.sparkSession.conf.get("spark.checkpoint.dir", None) and not context._jsc.sc().getCheckpointDir().isDefined():
+        if not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="skyloom-state-"))
     return df.checkpoint(eager=True)
 
@@ -48,4 +50,7 @@ class Snapshots:
 
     def read(self, name: str, version: int | None = None) -> DataFrame:
         v = self.version() if version is None else version
-        return self.spark.read.schema(schema(name) if name in DDL else None).parquet(f"{self.root}/v{v}/{name}") if v else empty(self.spark, name)
+        if not v:
+            return empty(self.spark, name)
+        reader = self.spark.read.schema(schema(name)) if name in DDL else self.spark.read
+        return reader.parquet(f"{self.root}/v{v}/{name}")

@@ -11,6 +11,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from skyloom.functions import geometry as g
+
 BLOCK, CARD = 2880, 80
 DTYPES = {8: ">u1", 16: ">i2", 32: ">i4", 64: ">i8", -32: ">f4", -64: ">f8"}
 SCHEMA = "path string, header map<string,string>, history string, nx int, ny int, pixels array<double>"
@@ -146,6 +148,15 @@ def start_time(h: Column) -> Column:
     return F.try_to_timestamp(F.split(text(h, "DATE-OBS"), ";")[0])
 
 
+def end_time(h: Column) -> Column:
+    return F.try_to_timestamp(F.split(text(h, "END_UTC"), ";")[0])
+
+
+def duration(h: Column) -> Column:
+    """Seconds from start to end of the observation; 0 where one of them is not known."""
+    return F.coalesce((F.unix_micros(end_time(h)) - F.unix_micros(start_time(h))) / 1e6, F.lit(0.0))
+
+
 def beam_pixels(smaj: Column, smin: Column, pa: Column, dx: Column, dy: Column) -> tuple[Column, Column, Column]:
     """Half axes in pixels and angle in radians from full axes in degrees, along the pixel steps that the axes lie on."""
     t = F.radians(pa)
@@ -155,16 +166,21 @@ def beam_pixels(smaj: Column, smin: Column, pa: Column, dx: Column, dy: Column)
 
 
 def metadata(images: DataFrame) -> DataFrame:
-    """path and the columns that every image must have; a missing or non-square pixel size is an error."""
+    """path and the columns that every image must have; a missing one or a pixel that is not square is an error."""
     h = F.col("header")
     freq, width = frequency(h)
     bmaj, bmin, bpa = beam_degrees(h, F.col("history"))
     dx, dy = number(h, "CDELT1"), number(h, "CDELT2")
     square = F.when(F.abs(F.abs(dx) - F.abs(dy)) < 1e-7, dx).otherwise(F.raise_error(F.concat(F.lit("pixels are not square in "), F.col("path"))).cast("double"))
     smaj, smin, t = beam_pixels(bmaj, bmin, bpa, dx, dy)
+    must = lambda c, name: F.coalesce(c, F.raise_error(F.concat(F.lit(f"no {name} in "), F.col("path"))).cast(c_type(name)))
+    c_type = lambda name: "timestamp" if name == "start time" else "double"
+    w = {"crpix1": number(h, "CRPIX1"), "crpix2": number(h, "CRPIX2"), "crval1": number(h, "CRVAL1"), "crval2": number(h, "CRVAL2"), "cdelt1": dx, "cdelt2": dy, "crota2": F.coalesce(number(h, "CROTA2"), F.lit(0.0))}
+    ra, decl = g.sky_of_pixel(F.col("nx") / 2, F.col("ny") / 2, w)
     return images.select(
-        "path", F.col("path").alias("url"), square.alias("deltax"), dy.alias("deltay"), freq.alias("freq_eff"), width.alias("freq_bw"), start_time(h).alias("taustart_ts"), F.coalesce(number(h, "INTEGRAT"), F.lit(0.0)).alias("tau_time"),
+        "path", F.col("path").alias("url"), square.alias("deltax"), dy.alias("deltay"), must(freq, "frequency").alias("freq_eff"), width.alias("freq_bw"), must(start_time(h), "start time").alias("taustart_ts"), duration(h).alias("tau_time"),
         smaj.alias("beam_smaj_pix"), smin.alias("beam_smin_pix"), t.alias("beam_pa_rad"), number(h, "CRVAL1").alias("crval1"), number(h, "CRVAL2").alias("crval2"), number(h, "CRPIX1").alias("crpix1"), number(h, "CRPIX2").alias("crpix2"),
+        w["crota2"].alias("crota2"), must(ra, "reference position").alias("centre_ra"), decl.alias("centre_decl"), (F.least("nx", "ny") / 2 * F.abs(dx)).alias("xtr_radius"), text(h, "TELESCOP").alias("telescope"),
     )
 
 

@@ -111,6 +111,58 @@ def closest(found: DataFrame, x: float, y: float) -> DataFrame:
     return found.agg(F.min_by(F.struct("xtrsrc", "x", "y"), F.struct(d, "xtrsrc")).alias("o")).select("o.*")
 
 
+def summary_lines(found: DataFrame) -> DataFrame:
+    """A line for people for each source: position, peak and total flux with errors, significance."""
+    return found.select(F.format_string("%s: RA %.5f Dec %.5f, peak %.4f +- %.4f, flux %.4f +- %.4f, %.1f sigma", F.col("xtrsrc").cast("string"), "ra", "decl", "f_peak", "f_peak_err", "f_int", "f_int_err", "det_sigma").alias("value"))
+
+
+# -- datasets, images, monitors -----------------------------------------------------------------------------------------
+
+
+def with_reruns(datasets: DataFrame, by=("description",), order=("process_start_ts", "id")) -> DataFrame:
+    """datasets with rerun: how many of the same description came before."""
+    from pyspark.sql import Window
+
+    return datasets.withColumn("rerun", (F.row_number().over(Window.partitionBy(*by).orderBy(*order)) - 1).cast("int"))
+
+
+def ended(datasets: DataFrame, dataset: int, ts: Column) -> DataFrame:
+    """datasets with the end time of one set."""
+    return datasets.withColumn("process_end_ts", F.when(F.col("id") == dataset, ts).otherwise(F.col("process_end_ts")))
+
+
+def image_rows(meta: DataFrame, dataset: int = 1) -> DataFrame:
+    """Rows to store of images(image, band, skyrgn, metadata): beam axes from pixels to degrees, its angle from radians."""
+    step = F.abs("deltax")
+    return meta.select(F.col("image").alias("id"), F.lit(dataset).cast("long").alias("dataset"), "band", "skyrgn", "tau_time", "freq_eff", "freq_bw", "taustart_ts", (F.col("beam_smaj_pix") * step).alias("rb_smaj"), (F.col("beam_smin_pix") * step).alias("rb_smin"), F.degrees("beam_pa_rad").alias("rb_pa"), "deltax", "deltay", "rms_qc", "url")
+
+
+def monitor_rows(positions: DataFrame, dataset: int = 1, first: int = 1) -> DataFrame:
+    """Monitors to store of positions(ra, decl), each position once, numbered by it."""
+    from pyspark.sql import Window
+
+    place = Window.orderBy("ra", "decl")  # a list that a user writes
+    return positions.select("ra", "decl").distinct().select((F.row_number().over(place) + (first - 1)).cast("long").alias("id"), F.lit(dataset).cast("long").alias("dataset"), F.lit(None).cast("long").alias("runcat"), "ra", "decl", F.lit(None).cast("string").alias("name"))
+
+
+def without_dataset(tables: dict[str, DataFrame], dataset: int) -> dict[str, DataFrame]:
+    """The tables without a dataset: its own rows, and those of its images and sources. Tables without such a column stay."""
+    images = tables["image"].filter(F.col("dataset") == dataset).select(F.col("id").alias("image")) if "image" in tables else None
+    runcats = tables["runningcatalog"].filter(F.col("dataset") == dataset).select("runcat") if "runningcatalog" in tables else None
+    out = {}
+    for name, df in tables.items():
+        if name == "dataset":
+            df = df.filter(F.col("id") != dataset)
+        elif "dataset" in df.columns:
+            df = df.filter(F.col("dataset") != dataset)
+        elif "image" in df.columns and images is not None:
+            df = df.join(images, "image", "left_anti")
+        elif "runcat" in df.columns and runcats is not None:
+            df = df.join(runcats, "runcat", "left_anti")
+        out[name] = df
+    return out
+
+
 # -- rejections -------------------------------------------------------------------------------------------------------
 
 

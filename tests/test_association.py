@@ -1,4 +1,5 @@
 import math
+from datetime import datetime
 
 import numpy as np
 import pytest
@@ -66,7 +67,7 @@ def test_rhombus_is_an_error(spark):
 
 def test_new_sources_and_fields(spark):
     regions = spark.createDataFrame([(1, 50.0, 10.0, 5.0), (2, 52.0, 10.0, 5.0), (3, 120.0, 10.0, 5.0)], "skyrgn long, centre_ra double, centre_decl double, xtr_radius double")
-    limits = spark.createDataFrame([(70, 1.0, 4.0), (71, 2.0, 9.0)], "image long, low double, high double")
+    limits = spark.createDataFrame([(70, 1, 1.0, 4.0), (71, 2, 2.0, 9.0), (72, 3, 0.1, 0.2)], "image long, skyrgn long, low double, high double")
     s = step(a.State.new(spark), spark, [(1, 50, 10, 5.0), (2, 51, 10, 3.0), (3, 51, 11, 0.5)], skyrgn=1, regions=regions, limits=limits)
     assert sorted((r.runcat, r.newsource_type, r.previous_limits_image) for r in s.newsource.collect()) == [(1, 1, 70), (2, 0, 70)]
     assert sorted((r.runcat, r.skyrgn, r.distance_deg is None) for r in s.skyrgn.collect()) == [(i, k, k == 1) for i in (1, 2, 3) for k in (1, 2)]
@@ -83,6 +84,26 @@ def test_null_detections_expire_and_reset(spark):
     assert step(s, spark, [(20, 50, 10, 5.0)]).runcat.first().forcedfits_count == 0
 
 
+def test_a_source_of_this_time_step_is_no_null_detection(spark):
+    s = step(a.State.new(spark), spark, [(1, 50, 10, 5.0), (2, 60, 10, 5.0)], skyrgn=1)
+    founded = spark.sql("SELECT 1L AS runcat, TIMESTAMP '2024-01-01' AS ts UNION ALL SELECT 2L, TIMESTAMP '2024-01-02'")
+    lost = a.null_detections(s.runcat, s.runcat.select("runcat").limit(0), s.skyrgn, 1, founded=founded, ts=datetime(2024, 1, 2))
+    assert [r.runcat for r in lost.collect()] == [1]
+
+
+def test_cells_lose_no_pair(spark):
+    """The cell join against a plain product, over poles, right ascension 0, and radii from small to very large."""
+    rng = np.random.default_rng(3)
+    spots = [(i, float(ra), float(d)) for i, (ra, d) in enumerate(zip(rng.uniform(0, 360, 400), np.degrees(np.arcsin(rng.uniform(-1, 1, 400))), strict=True))]
+    spots += [(900, 0.0, 0.0), (901, 359.999, 0.0), (902, 0.001, 89.95), (903, 180.0, -90.0), (904, 360.0, 45.0)]
+    fields = [(1, 0.0, 0.0, 3.0), (2, 359.5, 44.0, 2.0), (3, 10.0, 89.0, 4.0), (4, 200.0, -88.0, 20.0), (5, 120.0, 30.0, 60.0), (6, 0.0005, 0.0, 0.01)]
+    near = spark.createDataFrame(fields, "skyrgn long, centre_ra double, centre_decl double, xtr_radius double")
+    got = {(r.runcat, r.skyrgn) for r in a.memberships(spark.createDataFrame(spots, "runcat long, ra double, decl double"), near).collect()}
+    unit = lambda ra, d: np.array([np.cos(np.radians(d)) * np.cos(np.radians(ra)), np.cos(np.radians(d)) * np.sin(np.radians(ra)), np.sin(np.radians(d))])
+    want = {(i, k) for i, ra, d in spots for k, cr, cd, radius in fields if np.degrees(2 * np.arcsin(np.linalg.norm(unit(ra, d) - unit(cr, cd)) / 2)) < radius}
+    assert got == want and len(want) > 60
+
+
 def test_monitored_positions_stay_out_of_blind_association(spark):
     fit = lambda i, run: shots(spark, [(i, 50, 10, 1.0)]).selectExpr("*", f"CAST({run} AS LONG) AS runcat")
     s = a.associate_monitored(a.State.new(spark), fit(1, "NULL"))
