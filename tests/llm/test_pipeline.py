@@ -1,3 +1,6 @@
+import random
+from collections import Counter
+
 import pytest
 
 import corpus_pipeline
@@ -29,3 +32,61 @@ def test_stage_order():
 def test_stages_take_empty_tables(spark, stage):
     docs = spark.read.parquet(f"{SF}/documents.parquet").limit(0)
     assert stage(spark, docs, SF).count() == 0
+
+
+def test_stages_and_run_match_brute_force(spark, tmp_path):
+    """Near duplicates, repeated passages and the packed ids of a small corpus, from plain loops; labels teach nothing here."""
+    from test_text_operators import brute_components, ids_of
+
+    from skyloom.llm import mixing
+
+    rng = random.Random(11)
+    words = ["".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 7))) for _ in range(300)]
+    text = lambda n: " ".join(rng.choice(words) for _ in range(n))
+    shared = text(40)
+    rows = [(i, text(rng.randint(5, 60))) for i in range(40)]
+    rows += [(40, rows[3][1] + " more"), (41, rows[5][1]), (42, shared + " " + text(20)), (43, text(20) + " " + shared), (44, None), (45, ""), (46, None), (3, text(9)), (47, "\u00e9" * 60), (48, "x" + "\u00e9" * 60), (2, rows[2][1]), (None, rows[1][1]), (None, text(12)), (49, text(6000))]
+    docs = spark.createDataFrame([(i, t, "en", f"s{n % 3}" if n % 7 else None, 1, "a") for n, (i, t) in enumerate(rows)], "doc_id long, text string, lang string, source string, n_chars long, bundle string")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    stage = {n: f for n, f in corpus_pipeline.STAGES}
+    assert stage["toxicity"](spark, docs, str(tmp_path)).count() == len(rows)
+
+    distinct = list(dict.fromkeys(rows))
+    order = lambda i, t: (i is None, i or 0, 0 if t is None else spark.sql(f"SELECT xxhash64('{t}')").first()[0])
+    groups = {}
+    for n, (size, c) in brute_components([t for _, t in distinct], 5, 80).items():
+        groups.setdefault((c, 0) if size else (n, 1), []).append(distinct[n])
+    kept = [min(g, key=lambda r: order(*r)) if len(g) > 1 else g[0] for g in groups.values()]
+    key = lambda rs: sorted(map(repr, rs))
+    after = stage["near duplicates"](spark, docs, str(tmp_path))
+    assert key((r.doc_id, r.text) for r in after.collect()) == key(kept) and len(kept) < len(distinct)
+
+    raw = [(i, t, (t or "").encode()) for i, t in kept]
+    first = {}
+    for i, _, b in sorted((r for r in raw if r[0] is not None), key=lambda r: r[0]):
+        for p in range(len(b) - 49):
+            first.setdefault(b[p : p + 50], i)
+    want = []
+    for i, t, b in raw:
+        gone = bytearray(len(b))
+        for p in range(len(b) - 49):
+            if b[p : p + 50] in first and (i is None or first[b[p : p + 50]] < i):
+                gone[p : p + 50] = b"\1" * 50
+        left = bytes(x for x, y in zip(b, gone, strict=True) if not y).decode("utf-8", "ignore") if any(gone) else t
+        if left or not any(gone):
+            want.append((i, left))
+    out = stage["repeated passages"](spark, after, str(tmp_path))
+    assert key((r.doc_id, r.text) for r in out.collect()) == key(want) and out.columns == docs.columns
+
+    source = {(r.doc_id, r.text): r.source for r in out.collect()}
+    taken = {}
+    for r in mixing.plan(spark.createDataFrame([(i, t, source[i, t]) for i, t in want], "doc_id long, text string, source string")).collect():
+        taken[r.doc_id, r.text] = len(r["__mix_draws"])
+    expect = Counter()
+    for (i, t), n in taken.items():
+        expect[i] += n * len(ids_of(t))
+    got = Counter()
+    for r in corpus_pipeline.run(spark, str(tmp_path)).collect():
+        got[r.doc_id] += r.length
+    assert got == Counter({i: n for i, n in expect.items() if n})
