@@ -6,7 +6,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-FOUND = "image long, n int, x double, y double, peak double, peak_err double, flux double, flux_err double, major double, minor double, theta double, significance double, chisq double, reduced_chisq double, fitted boolean"
+FOUND = "image long, n int, x double, y double, peak double, peak_err double, flux double, flux_err double, major double, minor double, theta double, significance double, chisq double, reduced_chisq double, fitted boolean, major_dc double, major_dc_err double, minor_dc double, minor_dc_err double, theta_dc double, failed_dc int"
 NAMES = [c.split()[0] for c in FOUND.split(", ")]
 BEAM = ("beam_smaj_pix", "beam_smin_pix", "beam_pa_rad")
 
@@ -21,9 +21,14 @@ def _beam(row, beam):
     return Beam(*(beam or (getattr(row, c) for c in BEAM)))
 
 
-def _row(image, n, f):
+def _row(image, n, f, beam):
+    from skyloom.imaging.kernels import deconvolution_errors, deconvolved
+
     s = f.shape
-    return (image, n, float(s.x), float(s.y), float(s.peak), float(s.errors["peak"]), float(s.flux), float(s.errors["flux"]), float(s.major), float(s.minor), float(s.theta), f.significance, f.chi, f.reduced, s.fitted)
+    own, theirs = (s.major, s.minor, float(np.degrees(s.theta))), (beam.major, beam.minor, float(np.degrees(beam.theta)))
+    major, minor, angle, failed = deconvolved(*own, theirs)
+    e = deconvolution_errors(*own, theirs, (s.errors["major"], s.errors["minor"], float(np.degrees(s.errors["theta"]))))
+    return (image, n, float(s.x), float(s.y), float(s.peak), float(s.errors["peak"]), float(s.flux), float(s.errors["flux"]), float(s.major), float(s.minor), float(s.theta), f.significance, f.chi, f.reduced, s.fitted, major, e[0], minor, e[1], float(np.radians(angle)), failed)
 
 
 def extract(images: DataFrame, beam: tuple[float, float, float] | None = None, detection: float = 8.0, analysis: float = 3.0, tile: tuple[int, int] = (32, 32), margin: int = 0, blend: bool = False, force_beam: bool = False, alpha: float | None = None) -> DataFrame:
@@ -43,7 +48,7 @@ def extract(images: DataFrame, beam: tuple[float, float, float] | None = None, d
             for r in batch.itertuples():
                 finder = Finder(np.asarray(r.pixels, float).reshape(r.nx, r.ny), _beam(r, beam), tile, margin)
                 found = finder.extract(detection, analysis, blend, force_beam) if alpha is None else finder.false_discovery(alpha)
-                rows += [_row(r.image, i, f) for i, f in enumerate(found)]
+                rows += [_row(r.image, i, f, finder.beam) for i, f in enumerate(found)]
             yield pd.DataFrame(rows, columns=NAMES)
 
     return images.select(*_columns(beam)).mapInPandas(run, FOUND)
@@ -60,7 +65,7 @@ def forced(images: DataFrame, requests: DataFrame, beam: tuple[float, float, flo
         rows = []
         for r in image.itertuples():
             finder = Finder(np.asarray(r.pixels, float).reshape(r.nx, r.ny), _beam(r, beam), tile)
-            rows += [_row(r.image, q.n, f) for q in wanted.itertuples() if (f := finder.fit_at(q.x, q.y, box)) is not None]
+            rows += [_row(r.image, q.n, f, finder.beam) for q in wanted.itertuples() if (f := finder.fit_at(q.x, q.y, box)) is not None]
         return pd.DataFrame(rows, columns=NAMES)
 
     return images.select(*_columns(beam)).groupBy("image").cogroup(requests.groupBy("image")).applyInPandas(run, FOUND)

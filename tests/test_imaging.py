@@ -86,6 +86,12 @@ def test_deconvolution_undoes_convolution():
     assert k.deconvolved(3, 2, 30, (4, 3, 30))[3] == 2
 
 
+def test_deconvolution_errors_follow_the_measured_ones():
+    along, across = k.deconvolution_errors(5.0, 4.0, 0.0, (3.0, 3.0, 0.0), (0.01, 0.02, 0.0))
+    assert abs(along - 0.01 * 5 / 4) < 1e-4 and abs(across - 0.02 * 4 / 7**0.5) < 1e-3
+    assert k.deconvolution_errors(5.0, 4.0, 0.0, (3.0, 3.0, 0.0), (float("inf"), 0.0, 0.0)) == (float("inf"), float("inf"))
+
+
 def test_background_and_interpolation():
     image = sky([], noise=1.0) + np.linspace(0, 50, 128)[:, None]
     f = k.Finder(image, BEAM, (16, 16))

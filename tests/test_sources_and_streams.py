@@ -170,3 +170,50 @@ def test_stream_replay_equals_batch(spark, tmp_path):
     q.stop()
     want = {r.ts: r.urls for r in im.group_per_timestep(spark.read.parquet(str(tmp_path / "in"))).collect()}
     assert all(want[t] == urls for t, urls in seen.items()) and len(seen) >= 4 and handler.failed == failures
+
+
+def test_frames_become_image_rows(spark):
+    image = np.arange(6.0).reshape(2, 3)  # indexed [x, y]
+    raw = fits.render(image, {"TELESCOP": "T", "DATE-OBS": "2024-01-01T00:00:00", "END_UTC": "2024-01-01T00:00:02", "RESTFRQ": 5e7})
+    cards = raw[: fits.parse_header(raw)[2]].decode("ascii")
+    frames = spark.createDataFrame([("e", c, image.T.astype("<f4").tobytes()) for c in (cards, cards[: cards.index("END  ")])], "endpoint string, cards string, data binary")
+    for row in ts.image_rows(frames).collect():
+        assert row.pixels == image.ravel().tolist() and (row.nx, row.ny) == (2, 3)
+        assert row.path == "memory://T_2024-01-01 00:00:00_2.0_5.0E7_1000000.0" and row.ts == datetime.datetime(2024, 1, 1)
+    assert ts.image_rows(frames.limit(0)).collect() == []
+
+
+def test_emulated_stream_through_groups(spark, tmp_path):
+    found = []
+    rows = ts.image_rows(ts.emulated(spark, 3, 8)).select("ts", "nx", F.size("pixels").alias("n"))
+    q = rows.writeStream.foreachBatch(lambda b, n: found.extend(b.collect())).option("checkpointLocation", str(tmp_path / "c")).start()
+    try:
+        for _ in range(60):
+            if len(found) >= 3 or not q.isActive:
+                break
+            q.awaitTermination(1)
+    finally:
+        q.stop()
+    assert len(found) >= 3 and {(r.nx, r.n) for r in found} == {(8, 64)}
+
+
+def test_stateful_groups_keep_late_images(spark, tmp_path):
+    day = lambda d: datetime.datetime(2024, 1, d)
+    batches = [[("a", day(1), "u2", 2.0), ("a", day(1), "u1", 1.0)], [("a", day(1), "u0", 0.5), ("a", day(2), "v", 1.0), ("b", day(9), "w", 1.0)], [("a", day(1), "late", 1.0)], [("a", day(3), "x", 1.0)]]
+    schema, home = "station string, ts timestamp, url string, freq_eff double", str(tmp_path / "in")
+    for i, rows in enumerate(batches):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(home)
+        stream = ts.groups_kept(spark.readStream.schema(schema).parquet(home))
+        q = stream.writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start(str(tmp_path / "out"))
+        q.awaitTermination()
+    found = sorted(((r.station, r.ts.day, r.urls) for r in spark.read.parquet(str(tmp_path / "out")).collect()), key=str)
+    feed = ((t, u) for rows in batches for s, t, u, f in sorted(rows, key=lambda r: (r[1], r[3])) if s == "a")
+    assert found == sorted((("a", t.day, ["u0", "u1", "u2"] if t.day == 1 and "late" not in g else g) for t, g in ts.merged(feed)), key=str)
+    assert ("a", 1, ["late"]) in found and not any(s == "b" for s, *_ in found)
+
+
+def test_a_restarted_stream_skips_batches_done(spark, tmp_path):
+    batch, seen = spark.createDataFrame([(1, ["u"])], "ts int, images array<string>"), []
+    for number in (0, 0, 1):
+        ts.Steps(lambda t, images: seen.append(t), marker=str(tmp_path / "done"))(batch, number)
+    assert seen == [1, 1]
