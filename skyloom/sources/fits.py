@@ -143,9 +143,29 @@ def beam_degrees(h: Column, history: Column) -> tuple[Column, Column, Column]:
     return tuple(F.coalesce(number(h, k), found(k)) for k in ("BMAJ", "BMIN", "BPA"))
 
 
+#: Fixed value: days of a year, for dates written as a fraction of one.
+YEAR_DAYS = 365.242199
+#: Time systems that are zones; any other counts as UTC.
+ZONE = r"^(Africa|America|Antarctica|Asia|Atlantic|Australia|Etc|Europe|Indian|Pacific)/\S+$"
+
+
+def _written_start(h: Column) -> Column:
+    """DATE-OBS as written: what stands in quotes before a semicolon, a date and time, or a year with a fraction."""
+    raw = text(h, "DATE-OBS")
+    part = F.split(raw, ";")[0]
+    plain = F.when(raw.contains(";"), F.coalesce(F.nullif(F.regexp_extract(part, '"([^"]*)"', 1), F.lit("")), part)).otherwise(raw)
+    year = F.when(F.trim(raw).rlike(r"^\d{4}\.\d*$"), raw.try_cast("double"))
+    begin = F.make_timestamp(F.floor(year).cast("int"), F.lit(1), F.lit(1), F.lit(0), F.lit(0), F.lit(0))
+    return F.when(year.isNotNull(), F.timestamp_micros(F.unix_micros(begin) + F.round((year - F.floor(year)) * YEAR_DAYS * 86_400e6).cast("long"))).otherwise(F.try_to_timestamp(plain))
+
+
 def start_time(h: Column) -> Column:
-    """DATE-OBS up to a semicolon, as a timestamp in UTC; null where there is none."""
-    return F.try_to_timestamp(F.split(text(h, "DATE-OBS"), ";")[0])
+    """DATE-OBS as a timestamp in UTC, from the zone that TIMESYS names if it names one; null where there is no date.
+
+    A zone of a known area and unknown place is an error.
+    """
+    zone = text(h, "TIMESYS")
+    return F.when(zone.rlike(ZONE), F.to_utc_timestamp(_written_start(h), zone)).otherwise(_written_start(h))
 
 
 def end_time(h: Column) -> Column:
@@ -153,8 +173,8 @@ def end_time(h: Column) -> Column:
 
 
 def duration(h: Column) -> Column:
-    """Seconds from start to end of the observation; 0 where one of them is not known."""
-    return F.coalesce((F.unix_micros(end_time(h)) - F.unix_micros(start_time(h))) / 1e6, F.lit(0.0))
+    """Seconds from start to end of the observation, both as written; 0 where one of them is not known."""
+    return F.coalesce((F.unix_micros(end_time(h)) - F.unix_micros(_written_start(h))) / 1e6, F.lit(0.0))
 
 
 def beam_pixels(smaj: Column, smin: Column, pa: Column, dx: Column, dy: Column) -> tuple[Column, Column, Column]:

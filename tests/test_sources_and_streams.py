@@ -217,3 +217,19 @@ def test_a_restarted_stream_skips_batches_done(spark, tmp_path):
     for number in (0, 0, 1):
         ts.Steps(lambda t, images: seen.append(t), marker=str(tmp_path / "done"))(batch, number)
     assert seen == [1, 1]
+
+
+def test_start_times(spark):
+    at = datetime.datetime
+    cases = [
+        ({"DATE-OBS": "2012-08-08T20:58:40.3", "END_UTC": "2012-08-08T20:58:41.3"}, at(2012, 8, 8, 20, 58, 40, 300000), 1.0),
+        ({"DATE-OBS": 'x "2012-08-08T20:58:40";rest', "TIMESYS": "UTC"}, at(2012, 8, 8, 20, 58, 40), 0.0),
+        ({"DATE-OBS": "2012-08-08T20:00:00", "END_UTC": "2012-08-08T20:00:05", "TIMESYS": "Europe/Amsterdam"}, at(2012, 8, 8, 18), 5.0),
+        ({"DATE-OBS": "2012-08-08T20:00:00", "TIMESYS": "LOCAL"}, at(2012, 8, 8, 20), 0.0),
+        ({"DATE-OBS": "2005.5"}, at(2005, 1, 1) + datetime.timedelta(365.242199 / 2), 0.0),
+        ({"DATE-OBS": "yesterday"}, None, 0.0),
+        ({}, None, 0.0),
+    ]
+    rows = spark.createDataFrame([(i, h) for i, (h, *_) in enumerate(cases)], "i int, h map<string,string>")
+    found = rows.select(fits.start_time(F.col("h")).alias("start"), fits.duration(F.col("h")).alias("tau")).orderBy("i").collect()
+    assert [(r.start, r.tau) for r in found] == [(s, t) for _, s, t in cases]
