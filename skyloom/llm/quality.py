@@ -1,7 +1,8 @@
 """Quality by hierarchical empirical Bayes.
 
 1. Evidence. A logistic model of a text's shape (SHAPE) gives each document a probability of good quality. It is fitted
-   on at most `rows` labelled rows that are not held out, the first by a hash of doc_id.
+   on at most `rows` labelled rows that are not held out, the first by a hash of doc_id; only their shapes, one for each
+   doc_id, reach the driver.
 2. Sites. Hosts, and paths within hosts, get posterior rates from grouped sums of that evidence. Each level is shrunk
    toward the one above: rate = (strength * rate above + sum) / (strength + n). A level's strength is the moment estimate
    of the beta prior from the spread of its groups' means; a site with few documents stays near its host, a sparse host
@@ -21,9 +22,10 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType
 
 from skyloom.llm.common import cut, table
-from skyloom.llm.toxicity import held_out
+from skyloom.llm.toxicity import held_out, labelled
 
 ROWS = 6000
 KEEP = 0.5
@@ -79,10 +81,10 @@ class Logistic:
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", rows: int = ROWS) -> Logistic | None:
     own = labels.filter(~held_out("doc_id") & F.col(label).isin(0, 1)).select(F.col("doc_id").alias("__id"), F.col(label).alias("__y")).dropDuplicates(["__id"])
     chosen = own.orderBy(F.xxhash64(F.lit(17), "__id"), "__id").limit(rows)
-    got = docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("__id")).select("__id", "text", "__y").toPandas().sort_values(["__id", "text"])  # at most `rows` ids
-    if got["__y"].nunique() < 2:
+    got = labelled(docs, chosen, shape, ArrayType(DoubleType()))
+    if len({r["__y"] for r in got}) < 2:
         return None
-    return Logistic(np.array([shape(t) for t in got.text]), got["__y"].to_numpy(float))
+    return Logistic(np.array([r["x"] for r in got]), np.array([float(r["__y"]) for r in got]))
 
 
 def evidence(docs: DataFrame, model: Logistic | None) -> DataFrame:

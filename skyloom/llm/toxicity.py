@@ -7,8 +7,8 @@ one makes it. A document's distance is the sum of its `top` largest positive one
 separates labelled documents that the dictionaries of a first fit have not seen; the final dictionaries come from all
 of the sample.
 
-The fit is on the driver, on at most `toxic_rows` and `plain_rows` labelled rows, the first by a hash of doc_id; near
-copies, told by their least hashes of long words, count once. Scoring reads every whole text, and words met before are looked up.
+The fit is on the driver, on the distinct windows (made in tasks) of at most `toxic_rows` and `plain_rows` labelled rows,
+the first by a hash of doc_id, one row for each doc_id; near copies, told by their least hashes of long words, count once. Scoring reads every whole text, and words met before are looked up.
 
 Defined results: a null or empty text has distance 0. Repeated rows score alike. Without labelled rows of both classes
 dictionaries are empty and no document is predicted toxic. doc_id, lang and source are no inputs of a score. An empty
@@ -23,6 +23,7 @@ from collections import Counter
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BinaryType, DataType, DoubleType, StructField, StructType
 
 from skyloom.llm.common import table
 
@@ -43,17 +44,26 @@ def windows(text: str | None) -> list[bytes]:
     return found
 
 
-def apart(texts: list[str]) -> list[list[bytes]]:
-    """Each text's distinct padded windows; one text of those with the same four least hashes of long windows."""
+def padded(text: str | None) -> list[bytes]:
+    """A text's distinct windows between blanks, sorted."""
+    return sorted({b" " + w + b" " for w in windows(text)})
+
+
+def unlike(docs: list[list[bytes]]) -> list[list[bytes]]:
+    """One document, given as its padded windows, of those with the same four least hashes of long windows."""
     kept = {}
-    for t in texts:
-        own = {b" " + w + b" " for w in windows(t)}
+    for own in docs:
         if own:
             long = [w for w in own if len(w) > 9] or own
-            kept.setdefault(tuple(sorted(map(zlib.crc32, long))[:4]), sorted(own))
+            kept.setdefault(tuple(sorted(map(zlib.crc32, long))[:4]), own)
     return list(kept.values())
 
 
+def apart(texts: list[str]) -> list[list[bytes]]:
+    """Each text's distinct padded windows; one text of those that are near copies."""
+    return unlike([padded(t) for t in texts])
+
+
 def grams(doc: list[bytes], size: int) -> set[bytes]:
     return {w[i : i + size] for w in doc for i in range(len(w) - size + 1)}
 
@@ -120,8 +130,10 @@ def threshold(toxic: list[int], plain: list[int]) -> int:
 
 
 class Model:
-    def __init__(self, toxic: list[str], plain: list[str]):
-        a, b = apart(toxic), apart(plain)
+    """From documents of both classes, each given as its padded windows."""
+
+    def __init__(self, toxic: list[list[bytes]], plain: list[list[bytes]]):
+        a, b = unlike(toxic), unlike(plain)
         self.limit = 2 * TOP
         if len(a) >= 8 and len(b) >= 8:
             first = Meter(dictionary(a[::2], b[::2]), dictionary(b[::2], a[::2]))
@@ -138,14 +150,33 @@ def held_out(doc_id):
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
+def labelled(docs: DataFrame, chosen: DataFrame, of, kind: DataType) -> list[dict]:
+    """__id, __y, x = of(text), of the Spark type `kind`, in order of __id: a row for each of chosen(__id, __y) that docs has.
+
+    x is made in tasks, so no text reaches the driver; of rows that share a doc_id the greatest x counts, so there are
+    never more rows than chosen ones.
+    """
+
+    def run(batches):
+        import pyarrow as pa
+
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([of(t) for t in b.column(2).to_pylist()], type_)], names=["__id", "__y", "x"])
+
+    from pyspark.sql.pandas.types import to_arrow_type
+
+    type_ = to_arrow_type(kind)
+    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("__id")).select("__id", "__y", "text")
+    made = rows.mapInArrow(run, StructType([*rows.schema.fields[:2], StructField("x", kind)]))
+    return sorted(made.groupBy("__id", "__y").agg(F.max("x").alias("x")).toArrow().to_pylist(), key=lambda r: r["__id"])
+
+
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", toxic_rows: int = TOXIC_ROWS, plain_rows: int = PLAIN_ROWS) -> Model:
     """A model from labels(doc_id, 0/1) of rows that are not held out."""
     own = labels.filter(~held_out("doc_id") & F.col("doc_id").isNotNull()).select(F.col("doc_id").alias("__id"), F.col(label).alias("__y"))
     pick = lambda y, n: own.filter(F.col("__y") == y).dropDuplicates(["__id"]).orderBy(F.xxhash64(F.lit(13), "__id"), "__id").limit(n)
-    chosen = pick(1, toxic_rows).unionByName(pick(0, plain_rows))
-    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("__id")).filter(F.col("text").isNotNull()).select("__id", "text", "__y").toPandas()  # at most toxic_rows + plain_rows ids
-    rows = rows.sort_values(["__id", "text"])
-    return Model(rows.text[rows["__y"] == 1].tolist(), rows.text[rows["__y"] == 0].tolist())
+    rows = labelled(docs, pick(1, toxic_rows).unionByName(pick(0, plain_rows)), padded, ArrayType(BinaryType()))
+    return Model(*([r["x"] for r in rows if r["__y"] == y] for y in (1, 0)))
 
 
 def score(docs: DataFrame, model: Model, name: str = "score") -> DataFrame:
@@ -161,8 +192,6 @@ def score(docs: DataFrame, model: Model, name: str = "score") -> DataFrame:
         for batch in batches:
             yield batch.append_column(name, pa.array([of(meter.distance(t)) for t in batch.column("text").to_pylist()], pa.float64()))
 
-    from pyspark.sql.types import DoubleType, StructField, StructType
-
     return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField(name, DoubleType())]))
 
 

@@ -295,6 +295,19 @@ def test_toxicity_edges(spark):
     assert toxicity.score(docs, none).filter("score >= 0.7").count() == 0
 
 
+def test_labelled_rows_one_for_each_doc_id(spark):
+    """However many rows share a labelled doc_id, the driver gets one, and no text."""
+    from pyspark.sql.types import ArrayType, BinaryType, DoubleType
+
+    docs = spark.createDataFrame([(1, f"w{i}") for i in range(300)] + [(2, None), (3, "b a b"), (4, "not chosen"), (None, "x")], "doc_id long, text string")
+    chosen = spark.createDataFrame([(1, 1), (2, 0), (3, 0), (9, 1)], "__id long, __y int")
+    got = toxicity.labelled(docs, chosen, toxicity.padded, ArrayType(BinaryType()))
+    assert [(r["__id"], r["__y"], r["x"]) for r in got] == [(1, 1, [b" w99 "]), (2, 0, []), (3, 0, [b" a ", b" b "])]
+    shapes = toxicity.labelled(docs, chosen, quality.shape, ArrayType(DoubleType()))
+    assert [r["__id"] for r in shapes] == [1, 2, 3] and shapes[1]["x"] == quality.shape(None)
+    assert toxicity.labelled(docs.limit(0), chosen, quality.shape, ArrayType(DoubleType())) == []
+
+
 def test_toxicity_matches_plain_dictionaries_distances_and_threshold(spark):
     """A second implementation without counters, caches or early exits."""
     import zstandard as z
