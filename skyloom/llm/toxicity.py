@@ -8,7 +8,8 @@ separates labelled documents that the dictionaries of a first fit have not seen;
 of the sample.
 
 The fit is on the driver, on the distinct windows (made in tasks) of at most `toxic_rows` and `plain_rows` labelled rows,
-the first by a hash of doc_id, one row for each doc_id; near copies, told by their least hashes of long words, count once. Scoring reads every whole text, and words met before are looked up.
+the first by a hash of doc_id, one row for each doc_id; near copies, told by their least hashes of long words, count
+once. Scoring reads every whole text, and words met before are looked up.
 
 Defined results: a null or empty text has distance 0. Repeated rows score alike. Without labelled rows of both classes
 dictionaries are empty and no document is predicted toxic. doc_id, lang and source are no inputs of a score. An empty
@@ -23,7 +24,7 @@ from collections import Counter
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, BinaryType, DataType, DoubleType, StructField, StructType
+from pyspark.sql.types import BinaryType, DataType, DoubleType, StructField, StructType
 
 from skyloom.llm.common import table
 
@@ -175,8 +176,9 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", toxic_rows: in
     """A model from labels(doc_id, 0/1) of rows that are not held out."""
     own = labels.filter(~held_out("doc_id") & F.col("doc_id").isNotNull()).select(F.col("doc_id").alias("__id"), F.col(label).alias("__y"))
     pick = lambda y, n: own.filter(F.col("__y") == y).dropDuplicates(["__id"]).orderBy(F.xxhash64(F.lit(13), "__id"), "__id").limit(n)
-    rows = labelled(docs, pick(1, toxic_rows).unionByName(pick(0, plain_rows)), padded, ArrayType(BinaryType()))
-    return Model(*([r["x"] for r in rows if r["__y"] == y] for y in (1, 0)))
+    joined = lambda t: b"\n".join(padded(t))  # noqa: E731  # no window holds a line's end; an array would take twice the bytes
+    rows = labelled(docs, pick(1, toxic_rows).unionByName(pick(0, plain_rows)), joined, BinaryType())
+    return Model(*([r["x"].split(b"\n") for r in rows if r["__y"] == y and r["x"]] for y in (1, 0)))
 
 
 def score(docs: DataFrame, model: Model, name: str = "score") -> DataFrame:
