@@ -1,5 +1,6 @@
 """Queries of this subpackage, and the SQL for those that SQL can express."""
 
+from skyloom.llm import warc
 from skyloom.llm.jaccard import op3_jaccard
 from skyloom.llm.media import op2_media
 from skyloom.llm.mixing import op10_mixing
@@ -10,6 +11,7 @@ from skyloom.llm.suffix_dedup import op7_suffix_dedup
 from skyloom.llm.token_counts import op6_token_counts
 from skyloom.llm.toxicity import op8_toxicity
 from skyloom.llm.url_graph import op1_url_graph
+from skyloom.llm.warc import op13_warc
 
 QUERIES = {
     "op1_url_graph": op1_url_graph,
@@ -22,6 +24,7 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_multi_index": op9_multi_index,
     "op10_mixing": op10_mixing,
+    "op13_warc": op13_warc,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op13_warc": warc.ORACLE_SQL}
