@@ -6,6 +6,7 @@ from skyloom.llm.media import op2_media
 from skyloom.llm.mixing import op10_mixing
 from skyloom.llm.multi_index import op9_multi_index
 from skyloom.llm.packing import op5_packing
+from skyloom.llm.periodic import op12_periodic
 from skyloom.llm.quality import op4_quality
 from skyloom.llm.suffix_dedup import op7_suffix_dedup
 from skyloom.llm.token_counts import op6_token_counts
@@ -24,6 +25,7 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_multi_index": op9_multi_index,
     "op10_mixing": op10_mixing,
+    "op12_periodic": op12_periodic,
     "op13_warc": op13_warc,
 }
 
