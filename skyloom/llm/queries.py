@@ -1,7 +1,8 @@
 """Queries of this subpackage, and the SQL for those that SQL can express."""
 
-from skyloom.llm import warc
+from skyloom.llm import lexical, warc
 from skyloom.llm.jaccard import op3_jaccard
+from skyloom.llm.lexical import op11_lexical
 from skyloom.llm.media import op2_media
 from skyloom.llm.mixing import op10_mixing
 from skyloom.llm.multi_index import op9_multi_index
@@ -25,8 +26,9 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_multi_index": op9_multi_index,
     "op10_mixing": op10_mixing,
+    "op11_lexical": op11_lexical,
     "op12_periodic": op12_periodic,
     "op13_warc": op13_warc,
 }
 
-ORACLE_SQL: dict[str, str] = {"op13_warc": warc.ORACLE_SQL}
+ORACLE_SQL: dict[str, str] = {"op11_lexical": lexical.ORACLE_SQL, "op13_warc": warc.ORACLE_SQL}
