@@ -7,6 +7,7 @@ the next State. Images follow each other in time; within one everything is joins
 from __future__ import annotations
 
 from dataclasses import dataclass, replace
+from functools import cache
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -14,16 +15,26 @@ from pyspark.sql import functions as F
 from skyloom.functions import geometry as g
 from skyloom.functions import statistics as st
 from skyloom.operators.zone_join import zone_join
-from skyloom.plans.state import cut, empty
+from skyloom.plans.schemas import schema
+from skyloom.plans.state import cut, cut_all, empty
 
 DE_RUITER = 5.68
 FLUXES = ("f_peak", "f_int")
 MEANS = tuple(n.format(f) for f in FLUXES for n in ("avg_{}", "avg_{}_sq", "avg_{}_weight", "avg_weighted_{}", "avg_weighted_{}_sq"))
 
 
-def with_position(df: DataFrame, ra: str, decl: str, prefix: str = "") -> DataFrame:
+# Columns are made once and used for every image: making them costs a call into the JVM each, which is what a small step's
+# time would go into.
+
+
+@cache
+def _position(ra: str, decl: str, prefix: str) -> dict[str, Column]:
     x, y, z = g.cartesian(F.col(ra), F.col(decl))
-    return df.withColumns({f"{prefix}zone": g.zone(F.col(decl)), f"{prefix}x": x, f"{prefix}y": y, f"{prefix}z": z})
+    return {f"{prefix}zone": g.zone(F.col(decl)), f"{prefix}x": x, f"{prefix}y": y, f"{prefix}z": z}
+
+
+def with_position(df: DataFrame, ra: str, decl: str, prefix: str = "") -> DataFrame:
+    return df.withColumns(_position(ra, decl, prefix))
 
 
 def crosses_meridian(centre_ra: Column, centre_decl: Column, radius: Column) -> Column:
@@ -40,6 +51,14 @@ def candidates(measured: DataFrame, catalogue: DataFrame, radius: float, de_ruit
     """
     near = with_position(measured, "ra", "decl", "m_")
     far = with_position(catalogue, "wm_ra", "wm_decl", "c_")
+    test, r, distance = _near(radius, de_ruiter, across)
+    edges = zone_join(near, far, "decl", F.lit(radius), "c_zone", test)
+    return moved(edges.withColumns({"r": r, "distance_arcsec": distance}), across).drop("m_zone", "m_x", "m_y", "m_z", "c_zone", "c_x", "c_y", "c_z")
+
+
+@cache
+def _near(radius: float, de_ruiter: float, across: bool) -> tuple[Column, Column, Column]:
+    """Whether a pair is near enough, its De Ruiter radius, and its distance in arcseconds."""
     box = F.abs(F.col("wm_decl") - F.col("decl")) <= radius
     if not across:
         reach = g.alpha_inflate(F.lit(radius), F.col("decl"))
@@ -47,13 +66,16 @@ def candidates(measured: DataFrame, catalogue: DataFrame, radius: float, de_ruit
     dot = F.col("m_x") * F.col("c_x") + F.col("m_y") * F.col("c_y") + F.col("m_z") * F.col("c_z")
     cone = dot > F.cos(F.radians(F.lit(radius)))
     r = g.de_ruiter(g.ra_difference(F.col("ra"), F.col("wm_ra"), across), F.col("decl"), F.col("wm_decl"), F.col("uew"), F.col("wm_uew"), F.col("uns"), F.col("wm_uns"))
-    edges = zone_join(near, far, "decl", F.lit(radius), "c_zone", box & cone & (r < de_ruiter))
-    distance = 3600 * g.chord_deg(F.col("m_x") - F.col("c_x"), F.col("m_y") - F.col("c_y"), F.col("m_z") - F.col("c_z"))
-    return moved(edges.withColumns({"r": r, "distance_arcsec": distance}), across).drop("m_zone", "m_x", "m_y", "m_z", "c_zone", "c_x", "c_y", "c_z")
+    return box & cone & (r < de_ruiter), r, 3600 * g.chord_deg(F.col("m_x") - F.col("c_x"), F.col("m_y") - F.col("c_y"), F.col("m_z") - F.col("c_z"))
 
 
 def moved(edges: DataFrame, across: bool = False) -> DataFrame:
     """new_* columns: position averages with the measurement added."""
+    return edges.withColumns(_moved(across))
+
+
+@cache
+def _moved(across: bool) -> dict[str, Column]:
     n = F.col("datapoints")
     w, v = st.weight(F.col("uew")), st.weight(F.col("uns"))
     wra, wde = n * F.col("avg_weight_ra") + w, n * F.col("avg_weight_decl") + v
@@ -64,10 +86,10 @@ def moved(edges: DataFrame, across: bool = False) -> DataFrame:
     else:
         ra = (n * F.col("avg_wra") + F.col("ra") * w) / wra
         avg_wra = st.grown(n, F.col("avg_wra"), F.col("ra") * w)
-    return edges.withColumns({
+    return {
         "new_wm_ra": ra, "new_wm_decl": (n * F.col("avg_wdecl") + F.col("decl") * v) / wde, "new_wm_uew": F.sqrt(1 / wra), "new_wm_uns": F.sqrt(1 / wde),
         "new_avg_wra": avg_wra, "new_avg_wdecl": st.grown(n, F.col("avg_wdecl"), F.col("decl") * v), "new_avg_weight_ra": wra / (n + 1), "new_avg_weight_decl": wde / (n + 1),
-    })
+    }
 
 
 def prune(edges: DataFrame) -> DataFrame:
@@ -106,48 +128,86 @@ class State:
 
     def settled(self, *names: str) -> State:
         """With the lineage of the named tables cut, or of all."""
-        return replace(self, **{k: cut(getattr(self, k)) for k in names or ("runcat", "flux", "assoc", "skyrgn", "newsource")})
+        names = names or TABLES
+        return replace(self, **dict(zip(names, cut_all(*(getattr(self, k) for k in names)), strict=True)))
 
 
-def flux_after(edges: DataFrame, flux: DataFrame) -> DataFrame:
-    """edges(runcat, band, stokes, f_*) with the flux averages that they lead to, and f_datapoints."""
-    old = flux.select("runcat", "band", "stokes", F.col("f_datapoints").alias("__n"), *(F.col(c).alias(f"__{c}") for c in MEANS))
-    joined = edges.join(old, ["runcat", "band", "stokes"], "left")
+TABLES = ("runcat", "flux", "assoc", "skyrgn", "newsource")
+
+
+@cache
+def _grown() -> dict[str, Column]:
     out = {}
     for f in FLUXES:
         x, w = F.col(f), st.weight(F.col(f"{f}_err"))
         for name, value in ((f"avg_{f}", x), (f"avg_{f}_sq", x * x), (f"avg_{f}_weight", w), (f"avg_weighted_{f}", w * x), (f"avg_weighted_{f}_sq", w * x * x)):
             out[name] = st.grown(F.col("__n"), F.col(f"__{name}"), value)
     out["f_datapoints"] = (F.coalesce("__n", F.lit(0)) + 1).cast("long")
-    return joined.withColumns(out).drop("__n", *(f"__{c}" for c in MEANS))
+    return out
 
 
-def metrics(df: DataFrame) -> DataFrame:
+def flux_after(edges: DataFrame, flux: DataFrame) -> DataFrame:
+    """edges(runcat, band, stokes, f_*) with the flux averages that they lead to, and f_datapoints."""
+    old = flux.selectExpr("runcat", "band", "stokes", "f_datapoints AS __n", *(f"{c} AS __{c}" for c in MEANS))
+    return edges.join(old, ["runcat", "band", "stokes"], "left").withColumns(_grown()).drop("__n", *(f"__{c}" for c in MEANS))
+
+
+def flux_of_first(measured: DataFrame) -> DataFrame:
+    """measured(runcat, band, stokes, f_*) with the averages of one measurement."""
+    return measured.selectExpr("*", "CAST(NULL AS BIGINT) AS __n", *(f"CAST(NULL AS DOUBLE) AS __{c}" for c in MEANS)).withColumns(_grown()).drop("__n", *(f"__{c}" for c in MEANS))
+
+
+@cache
+def _metrics() -> dict[str, Column]:
     n = F.col("f_datapoints")
-    return df.withColumns({"v_int": st.v_int(n, F.col("avg_f_int"), F.col("avg_f_int_sq")), "eta_int": st.eta_int(n, F.col("avg_f_int_weight"), F.col("avg_weighted_f_int"), F.col("avg_weighted_f_int_sq"))})
+    return {"v_int": st.v_int(n, F.col("avg_f_int"), F.col("avg_f_int_sq")), "eta_int": st.eta_int(n, F.col("avg_f_int_weight"), F.col("avg_weighted_f_int"), F.col("avg_weighted_f_int_sq"))}
+
+
+def metrics(df: DataFrame) -> DataFrame:
+    return df.withColumns(_metrics())
 
 
 def _sources(edges: DataFrame, key: str, dataset: int) -> DataFrame:
     """Catalogue rows from edges that a measurement extends."""
-    rows = edges.select(F.col(key).alias("runcat"), F.lit(dataset).cast("long").alias("dataset"), (F.col("datapoints") + 1).alias("datapoints"), *(F.col(f"new_{c}").alias(c) for c in ("wm_ra", "wm_decl", "wm_uew", "wm_uns", "avg_wra", "avg_wdecl", "avg_weight_ra", "avg_weight_decl")))
-    return with_position(rows, "wm_ra", "wm_decl").withColumns({"mon_src": F.lit(False), "forcedfits_count": F.lit(0).cast("long")})
+    rows = edges.selectExpr(f"{key} AS runcat", f"{dataset}L AS dataset", "datapoints + 1 AS datapoints", *(f"new_{c} AS {c}" for c in ("wm_ra", "wm_decl", "wm_uew", "wm_uns", "avg_wra", "avg_wdecl", "avg_weight_ra", "avg_weight_decl")), "false AS mon_src", "0L AS forcedfits_count")
+    return with_position(rows, "wm_ra", "wm_decl")
+
+
+@cache
+def _weights() -> dict[str, Column]:
+    return {"__w": st.weight(F.col("uew")), "__v": st.weight(F.col("uns"))}
 
 
 def _founded(measured: DataFrame, dataset: int, mon_src: bool = False) -> DataFrame:
-    w, v = st.weight(F.col("uew")), st.weight(F.col("uns"))
-    rows = measured.select(F.col("xtrsrc").alias("runcat"), F.lit(dataset).cast("long").alias("dataset"), F.lit(1).cast("long").alias("datapoints"), F.col("ra").alias("wm_ra"), F.col("decl").alias("wm_decl"), F.col("uew").alias("wm_uew"), F.col("uns").alias("wm_uns"), (F.col("ra") * w).alias("avg_wra"), (F.col("decl") * v).alias("avg_wdecl"), w.alias("avg_weight_ra"), v.alias("avg_weight_decl"))
-    return with_position(rows, "wm_ra", "wm_decl").withColumns({"mon_src": F.lit(mon_src), "forcedfits_count": F.lit(0).cast("long")})
+    rows = measured.withColumns(_weights()).selectExpr(
+        "xtrsrc AS runcat", f"{dataset}L AS dataset", "1L AS datapoints", "ra AS wm_ra", "decl AS wm_decl", "uew AS wm_uew", "uns AS wm_uns", "ra * __w AS avg_wra", "decl * __v AS avg_wdecl", "__w AS avg_weight_ra", "__v AS avg_weight_decl", f"{mon_src} AS mon_src", "0L AS forcedfits_count"
+    )
+    return with_position(rows, "wm_ra", "wm_decl")
+
+
+@cache
+def _casts(name: str) -> tuple[str, ...]:
+    return tuple(f"CAST(`{f.name}` AS {f.dataType.simpleString()}) AS `{f.name}`" for f in schema(name))
+
 
+def _as(df: DataFrame, name: str) -> DataFrame:
+    """df as rows of the table of that name."""
+    return df.selectExpr(*_casts(name))
 
-def _as(df: DataFrame, like: DataFrame) -> DataFrame:
-    return df.select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in like.schema))
 
+def union(first: DataFrame, *more: DataFrame | None) -> DataFrame:
+    for df in more:
+        first = first if df is None else first.unionByName(df)
+    return first
 
-def distinct_founders(forks: DataFrame) -> None:
-    """A measurement can found one source only; two forks from the same one are an error in the data, not a choice."""
-    twice = forks.groupBy("xtrsrc").count().filter("count > 1").limit(1).collect()
-    if twice:
-        raise ValueError(f"measurement {twice[0][0]} would found more than one source")
+
+def fork_count(kept: DataFrame) -> int:
+    """How many edges fork. A measurement can found one source only; two forks from the same one are an error in the data, not a choice."""
+    forks, most = kept.filter("type = 2").groupBy("xtrsrc").count().agg(F.coalesce(F.sum("count"), F.lit(0)), F.max("count")).first()
+    if most and most > 1:
+        twice = kept.filter("type = 2").groupBy("xtrsrc").count().filter("count > 1").first()[0]
+        raise ValueError(f"measurement {twice} would found more than one source")
+    return forks
 
 
 def associate(state: State, measured: DataFrame, radius: float, de_ruiter: float = DE_RUITER, dataset: int = 1, across: bool = False, skyrgn: int | None = None, regions: DataFrame | None = None, limits: DataFrame | None = None) -> State:
@@ -158,43 +218,44 @@ def associate(state: State, measured: DataFrame, radius: float, de_ruiter: float
     matched is new if the most sensitive of those that cover one of its fields should have shown it.
     """
     measured = cut(measured)
-    active = state.runcat.filter(~F.col("mon_src"))
+    active = state.runcat.filter("NOT mon_src")
     edges = cut(prune(candidates(measured, active.drop("zone", "x", "y", "z"), radius, de_ruiter, across)))
-    kept = cut(metrics(flux_after(classify(edges), state.flux)))
-    forks, plain = kept.filter("type = 2"), kept.filter("type = 3")
-    distinct_founders(forks)
-    forked = forks.select("runcat").distinct()
-    named = forks.select(F.col("runcat").alias("old"), F.col("xtrsrc").alias("new"))
     fresh = unmatched(measured, edges)
+    kept, first = cut_all(metrics(flux_after(classify(edges), state.flux)), metrics(flux_of_first(fresh.selectExpr("*", "xtrsrc AS runcat"))))
+    fresh = first.select(measured.columns)
+    forks, plain = kept.filter("type = 2") if fork_count(kept) else None, kept.filter("type = 3")  # a source has one edge of type 3
+
+    runcat = union(state.runcat.join(kept.select("runcat"), "runcat", "left_anti"), _as(_sources(plain, "runcat", dataset), "runningcatalog"), _as(_founded(fresh, dataset), "runningcatalog"))
+    flux = state.flux.join(plain.select("runcat", "band", "stokes"), ["runcat", "band", "stokes"], "left_anti").select(state.flux.columns)
+    flux = union(flux, _as(plain, "runningcatalog_flux"), _as(first, "runningcatalog_flux"))
+    founders = first.selectExpr("*", "4 AS type", "0D AS distance_arcsec", "0D AS r")
+    assoc = union(state.assoc, _as(plain, "assocxtrsource"), _as(founders.withColumns({"v_int": F.lit(0.0), "eta_int": F.lit(0.0)}), "assocxtrsource"))
+    links, events = state.skyrgn, state.newsource
+    changed = ["runcat", "flux", "assoc"]
+
+    if forks is not None:
+        # forks take the history of the source with them, as type 6; bands other than this image's are not carried in flux
+        forked = forks.select("runcat").distinct()
+        named, new = forks.selectExpr("runcat AS old", "xtrsrc AS new"), forks.withColumn("runcat", F.col("xtrsrc"))
+        retired = lambda df: df.join(forked, "runcat", "left_anti")
+        renamed = lambda df: df.join(named, df["runcat"] == named["old"]).withColumn("runcat", F.col("new"))
+        runcat = union(runcat, _as(_sources(forks, "xtrsrc", dataset), "runningcatalog"))
+        flux = union(retired(flux), _as(new, "runningcatalog_flux"))
+        assoc = union(retired(assoc), _as(renamed(state.assoc).withColumn("type", F.lit(6)), "assocxtrsource"), _as(new, "assocxtrsource"))
+        links, events = union(retired(links), _as(renamed(links), "assocskyrgn")), union(retired(events), _as(renamed(events), "newsource"))
+        changed = list(TABLES)
 
-    # n measurements to one source: the nearest to the last datapoint wins no order in the catalogue, so all rows stay
-    one = plain.groupBy("runcat").agg(F.max_by(F.struct(*[c for c in plain.columns if c != "runcat"]), "xtrsrc").alias("e")).select("runcat", "e.*")
-    updated = _sources(one, "runcat", dataset)
-    runcat = state.runcat.join(forked, "runcat", "left_anti").join(updated.select("runcat"), "runcat", "left_anti")
-    runcat = runcat.unionByName(_as(updated, runcat)).unionByName(_as(_sources(forks, "xtrsrc", dataset), runcat)).unionByName(_as(_founded(fresh, dataset), runcat))
-
-    first = cut(metrics(flux_after(fresh.withColumn("runcat", F.col("xtrsrc")), state.flux.limit(0))))
-    flux = state.flux.join(forked, "runcat", "left_anti").join(one.select("runcat", "band", "stokes"), ["runcat", "band", "stokes"], "left_anti").select(state.flux.columns)
-    flux = flux.unionByName(_as(one, flux)).unionByName(_as(forks.withColumn("runcat", F.col("xtrsrc")), flux)).unionByName(_as(first, flux))
-
-    # forks take the history of the source with them, as type 6; bands other than this image's are not carried in flux
-    history = state.assoc.join(named, state.assoc["runcat"] == named["old"]).withColumns({"runcat": F.col("new"), "type": F.lit(6)})
-    assoc = state.assoc.join(forked, "runcat", "left_anti").unionByName(_as(history, state.assoc))
-    assoc = assoc.unionByName(_as(plain, assoc)).unionByName(_as(forks.withColumn("runcat", F.col("xtrsrc")), assoc))
-    assoc = assoc.unionByName(_as(first.withColumns({"type": F.lit(4), "distance_arcsec": F.lit(0.0), "r": F.lit(0.0), "v_int": F.lit(0.0), "eta_int": F.lit(0.0)}), assoc))
-
-    carried = lambda df: df.join(forked, "runcat", "left_anti").unionByName(_as(df.join(named, df["runcat"] == named["old"]).withColumn("runcat", F.col("new")), df))
-    links, events = carried(state.skyrgn), carried(state.newsource)
     if skyrgn is not None:
-        own = fresh.select(F.col("xtrsrc").alias("runcat"), F.lit(skyrgn).cast("long").alias("skyrgn"), F.lit(None).cast("double").alias("distance_deg"))
-        links = links.unionByName(_as(own, links))
+        links = union(links, _as(fresh.selectExpr("xtrsrc AS runcat", f"{skyrgn}L AS skyrgn", "CAST(NULL AS DOUBLE) AS distance_deg"), "assocskyrgn"))
+        changed += ["skyrgn"] * ("skyrgn" not in changed)
         if regions is not None:
-            links = links.unionByName(_as(memberships(fresh.select(F.col("xtrsrc").alias("runcat"), "ra", "decl"), regions.filter(F.col("skyrgn") != skyrgn)), links))
+            links = union(links, _as(memberships(fresh.selectExpr("xtrsrc AS runcat", "ra", "decl"), regions.filter(F.col("skyrgn") != skyrgn)), "assocskyrgn"))
         if limits is not None:
-            fields = cut(links.join(fresh.select(F.col("xtrsrc").alias("runcat")), "runcat", "left_semi").select(F.col("runcat").alias("xtrsrc"), "skyrgn"))
+            fields = links.join(fresh.selectExpr("xtrsrc AS runcat"), "runcat", "left_semi").selectExpr("runcat AS xtrsrc", "skyrgn")
             covered = fresh.select("xtrsrc", "f_peak").join(fields, "xtrsrc").join(limits, "skyrgn")
-            events = events.unionByName(_as(new_sources(best_limits(covered)), events))
-    return State(runcat, flux, assoc, links, events).settled()
+            events = union(events, _as(new_sources(best_limits(covered)), "newsource"))
+            changed += ["newsource"] * ("newsource" not in changed)
+    return State(runcat, flux, assoc, links, events).settled(*changed)
 
 
 def memberships(sources: DataFrame, regions: DataFrame) -> DataFrame:
@@ -230,10 +291,10 @@ def null_detections(sources: DataFrame, seen: DataFrame, links: DataFrame, skyrg
 def associate_forced(state: State, fits: DataFrame) -> State:
     """The state after forced fits (runcat, xtrsrc, band, stokes, fluxes) of null detections: type 7, fluxes only."""
     rows = cut(metrics(flux_after(fits.join(state.runcat.select("runcat"), "runcat", "left_semi"), state.flux)))
-    flux = state.flux.join(rows.select("runcat", "band", "stokes"), ["runcat", "band", "stokes"], "left_anti").select(state.flux.columns).unionByName(_as(rows, state.flux))
-    assoc = state.assoc.unionByName(_as(rows.withColumns({"type": F.lit(7), "distance_arcsec": F.lit(0.0), "r": F.lit(0.0)}), state.assoc))
-    hit = rows.select("runcat", F.lit(1).alias("__hit")).distinct()
-    runcat = state.runcat.join(hit, "runcat", "left").withColumn("forcedfits_count", F.col("forcedfits_count") + F.coalesce("__hit", F.lit(0))).select(state.runcat.columns)
+    flux = union(state.flux.join(rows.select("runcat", "band", "stokes"), ["runcat", "band", "stokes"], "left_anti").select(state.flux.columns), _as(rows, "runningcatalog_flux"))
+    assoc = union(state.assoc, _as(rows.selectExpr("*", "7 AS type", "0D AS distance_arcsec", "0D AS r"), "assocxtrsource"))
+    hit = rows.selectExpr("runcat", "1 AS __hit").distinct()
+    runcat = state.runcat.join(hit, "runcat", "left").withColumn("forcedfits_count", F.expr("forcedfits_count + COALESCE(__hit, 0)")).select(state.runcat.columns)
     return replace(state, runcat=runcat, flux=flux, assoc=assoc).settled("runcat", "flux", "assoc")
 
 
@@ -250,13 +311,17 @@ def inconsistencies(rows: DataFrame, key: str, image: str, zone: str | None = No
     return counts.select(F.explode(F.array(*(F.struct(F.lit(n).alias("problem"), F.col(n).alias("n")) for n in tests))).alias("x")).select("x.*")
 
 
-def associate_monitored(state: State, fits: DataFrame, dataset: int = 1) -> State:
-    """The state after fits (runcat or null, xtrsrc, ra, decl, ...) at monitored positions: types 8 and 9."""
+def associate_monitored(state: State, fits: DataFrame, dataset: int = 1, skyrgn: int | None = None) -> State:
+    """The state after fits (runcat or null, xtrsrc, ra, decl, ...) at monitored positions: types 8 and 9. New sources belong to the field."""
     fits = cut(fits)
-    old, fresh = fits.filter(F.col("runcat").isNotNull()), fits.filter(F.col("runcat").isNull()).withColumn("runcat", F.col("xtrsrc"))
+    old, fresh = fits.filter("runcat IS NOT NULL"), fits.filter("runcat IS NULL").withColumn("runcat", F.col("xtrsrc"))
     rows = cut(metrics(flux_after(old.withColumn("type", F.lit(9)).unionByName(fresh.withColumn("type", F.lit(8))), state.flux)))
-    flux = state.flux.join(rows.select("runcat", "band", "stokes"), ["runcat", "band", "stokes"], "left_anti").select(state.flux.columns).unionByName(_as(rows, state.flux))
-    assoc = state.assoc.unionByName(_as(rows.withColumns({"distance_arcsec": F.lit(0.0), "r": F.lit(0.0)}), state.assoc))
+    flux = union(state.flux.join(rows.select("runcat", "band", "stokes"), ["runcat", "band", "stokes"], "left_anti").select(state.flux.columns), _as(rows, "runningcatalog_flux"))
+    assoc = union(state.assoc, _as(rows.selectExpr("*", "0D AS distance_arcsec", "0D AS r"), "assocxtrsource"))
     hit = old.groupBy("runcat").agg(F.count("*").alias("__hit"))
-    runcat = state.runcat.join(hit, "runcat", "left").withColumn("datapoints", F.col("datapoints") + F.coalesce("__hit", F.lit(0))).select(state.runcat.columns)
-    return replace(state, runcat=runcat.unionByName(_as(_founded(fresh, dataset, True), runcat)), flux=flux, assoc=assoc).settled("runcat", "flux", "assoc")
+    runcat = state.runcat.join(hit, "runcat", "left").withColumn("datapoints", F.expr("datapoints + COALESCE(__hit, 0)")).select(state.runcat.columns)
+    after = replace(state, runcat=union(runcat, _as(_founded(fresh, dataset, True), "runningcatalog")), flux=flux, assoc=assoc)
+    if skyrgn is None:
+        return after.settled("runcat", "flux", "assoc")
+    own = fresh.selectExpr("runcat", f"{skyrgn}L AS skyrgn", "CAST(NULL AS DOUBLE) AS distance_deg")
+    return replace(after, skyrgn=union(state.skyrgn, _as(own, "assocskyrgn"))).settled("runcat", "flux", "assoc", "skyrgn")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -19,6 +20,14 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def cut_all(*dfs: DataFrame) -> list[DataFrame]:
+    """`cut` of tables that do not depend on each other, their jobs side by side."""
+    if len(dfs) == 1:
+        return [cut(dfs[0])]
+    with ThreadPoolExecutor(max(1, len(dfs))) as pool:
+        return list(pool.map(cut, dfs))
+
+
 def empty(spark: SparkSession, name: str) -> DataFrame:
     return spark.createDataFrame([], schema(name))
 
