@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -143,21 +145,102 @@ def j2000_to_b1950(ra: Column, decl: Column) -> tuple[Column, Column]:
     return rotated(ra, decl, transposed(TO_J2000))
 
 
-def sky_of_pixel(x: Column, y: Column, w: dict[str, Column], projection: str = "SIN") -> tuple[Column, Column]:
-    """WCS pixel (from 1) to sky by TAN or SIN, with reference pixel crpix1/2, value crval1/2, step cdelt1/2 and crota2."""
+def _angle(name: str, r: Column) -> Column:
+    """The angle from the reference position that a distance on the plane of a zenithal projection stands for, in radians."""
+    return {"SIN": lambda: F.asin(clamp(r)), "TAN": lambda: F.atan(r), "ARC": lambda: r, "STG": lambda: 2 * F.atan(r / 2), "ZEA": lambda: 2 * F.asin(clamp(r / 2))}[name]()
+
+
+def _plane(name: str, t: Column) -> Column:
+    """The distance on the plane for an angle."""
+    return {"SIN": lambda: F.sin(t), "TAN": lambda: F.tan(t), "ARC": lambda: t, "STG": lambda: 2 * F.tan(t / 2), "ZEA": lambda: 2 * F.sin(t / 2)}[name]()
+
+
+ZENITHAL = ("SIN", "TAN", "ARC", "STG", "ZEA")
+PROJECTIONS = (*ZENITHAL, "NCP")
+
+
+def _by_name(projection: str | Column, of) -> Column:
+    """of(name) for a projection's name, or for that in a column; another name is an error, not a silent choice."""
+    if isinstance(projection, str):
+        if projection not in PROJECTIONS:
+            raise ValueError(f"no projection {projection}")
+        return of(projection)
+    out = F.raise_error(F.concat(F.lit("no projection "), F.coalesce(projection, F.lit("null")))).cast("double")
+    for name in reversed(PROJECTIONS):
+        out = F.when(projection == name, of(name)).otherwise(out)
+    return out
+
+
+def _turned(x: Column, y: Column, w: dict[str, Column]) -> tuple[Column, Column]:
     dx, dy = (x - w["crpix1"]) * w["cdelt1"], (y - w["crpix2"]) * w["cdelt2"]
     r = F.radians(w["crota2"])
-    u, v = F.radians(dx * F.cos(r) - dy * F.sin(r)), F.radians(dx * F.sin(r) + dy * F.cos(r))
-    n = 1 / F.sqrt(1 + u * u + v * v) if projection == "TAN" else F.sqrt(1 - u * u - v * v)
-    l, m = (u * n, v * n) if projection == "TAN" else (u, v)
-    d0 = F.radians(w["crval2"])
-    decl = F.degrees(F.asin(clamp(m * F.cos(d0) + n * F.sin(d0))))
-    ra = w["crval1"] + F.degrees(F.atan2(l, n * F.cos(d0) - m * F.sin(d0)))
-    return F.pmod(ra, F.lit(360.0)), decl
+    return F.radians(dx * F.cos(r) - dy * F.sin(r)), F.radians(dx * F.sin(r) + dy * F.cos(r))
 
 
-def pixel_of_sky(ra: Column, decl: Column, w: dict[str, Column], projection: str = "SIN") -> tuple[Column, Column]:
+def sky_of_pixel(x: Column, y: Column, w: dict[str, Column], projection: str | Column = "SIN") -> tuple[Column, Column]:
+    """WCS pixel (from 1) to sky, with reference pixel crpix1/2, value crval1/2, step cdelt1/2 and crota2.
+
+    projection: one of PROJECTIONS, or a column of such names. Where a projection has no such position (outside its disc), NaN.
+    """
+    u, v = _turned(x, y, w)
+    d0 = F.radians(w["crval2"])
+    r = F.sqrt(u * u + v * v)
+    nan = F.lit(float("nan"))
+
+    def lmn(name: str) -> tuple[Column, Column, Column]:
+        if name == "SIN":
+            n = F.sqrt(1 - u * u - v * v)
+            return u, v, n
+        if name == "TAN":
+            n = 1 / F.sqrt(1 + u * u + v * v)
+            return u * n, v * n, n
+        t = _angle(name, r)
+        k = F.when(r == 0, 1.0).otherwise(F.sin(t) / r)
+        return u * k, v * k, F.when(r > (2.0 if name == "ZEA" else math.pi if name == "ARC" else float("inf")), nan).otherwise(F.cos(t))
+
+    def decl(name: str) -> Column:
+        if name == "NCP":
+            c = (F.cos(d0) - v * F.sin(d0)) / F.cos(F.atan2(u, F.cos(d0) - v * F.sin(d0)))
+            return F.when(F.abs(c) > 1, nan).otherwise(F.degrees(F.acos(clamp(c))) * F.signum(d0))
+        l, m, n = lmn(name)
+        return F.when(F.isnan(n), nan).otherwise(F.degrees(F.asin(clamp(m * F.cos(d0) + n * F.sin(d0)))))
+
+    def ra(name: str) -> Column:
+        if name == "NCP":
+            return F.degrees(F.atan2(u, F.cos(d0) - v * F.sin(d0)))
+        l, m, n = lmn(name)
+        return F.degrees(F.atan2(l, n * F.cos(d0) - m * F.sin(d0)))
+
+    return F.pmod(w["crval1"] + _by_name(projection, ra), F.lit(360.0)), _by_name(projection, decl)
+
+
+def pixel_of_sky(ra: Column, decl: Column, w: dict[str, Column], projection: str | Column = "SIN") -> tuple[Column, Column]:
+    """The inverse of sky_of_pixel. Positions on the far side of the sky have no pixel in SIN and TAN: NaN."""
     l, m, n = radec_to_lmn(F.radians(w["crval1"]), F.radians(w["crval2"]), F.radians(ra), F.radians(decl))
-    u, v = (F.degrees(l / n), F.degrees(m / n)) if projection == "TAN" else (F.degrees(l), F.degrees(m))
+    d0 = F.radians(w["crval2"])
+    # the angle from the reference position, from 0 to pi, and its cosine with a sign
+    c = F.sin(F.radians(decl)) * F.sin(d0) + F.cos(F.radians(decl)) * F.cos(d0) * F.cos(F.radians(ra) - F.radians(w["crval1"]))
+    s = F.sqrt(l * l + m * m)
+    t = F.atan2(s, c)
+
+    def plane(name: str, own: Column, other: bool) -> Column:
+        if name == "NCP":
+            return F.degrees(l) if not other else F.degrees((F.cos(d0) - F.cos(F.radians(decl)) * F.cos(F.radians(ra) - F.radians(w["crval1"]))) / F.sin(d0))
+        if name == "SIN":
+            return F.degrees(own)
+        if name == "TAN":
+            return F.degrees(own / n)
+        return F.degrees(own * F.when(s == 0, 1.0).otherwise(_plane(name, t) / s))
+
+    def seen(name: str, value: Column) -> Column:
+        return F.when(c < 0, F.lit(float("nan"))).otherwise(value) if name in ("SIN", "TAN") else value
+
+    u, v = (_by_name(projection, lambda name, own=own, other=other: seen(name, plane(name, own, other))) for own, other in ((l, False), (m, True)))
     r = F.radians(w["crota2"])
     return (u * F.cos(r) + v * F.sin(r)) / w["cdelt1"] + w["crpix1"], (v * F.cos(r) - u * F.sin(r)) / w["cdelt2"] + w["crpix2"]
+
+
+def bearing(ra1: Column, d1: Column, ra2: Column, d2: Column) -> Column:
+    """Degrees from north through east in which the second position lies, seen from the first."""
+    a, b, turn = F.radians(d1), F.radians(d2), F.radians(ra2 - ra1)
+    return F.degrees(F.atan2(F.sin(turn) * F.cos(b), F.cos(a) * F.sin(b) - F.sin(a) * F.cos(b) * F.cos(turn)))

@@ -6,7 +6,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-FOUND = "image long, n int, x double, y double, peak double, peak_err double, flux double, flux_err double, major double, minor double, theta double, significance double, chisq double, reduced_chisq double, fitted boolean, major_dc double, major_dc_err double, minor_dc double, minor_dc_err double, theta_dc double, failed_dc int"
+FOUND = "image long, n int, x double, y double, peak double, peak_err double, flux double, flux_err double, major double, minor double, theta double, significance double, chisq double, reduced_chisq double, fitted boolean, major_dc double, major_dc_err double, minor_dc double, minor_dc_err double, theta_dc double, failed_dc int, x_err double, y_err double, major_err double, minor_err double, theta_err double"
 NAMES = [c.split()[0] for c in FOUND.split(", ")]
 BEAM = ("beam_smaj_pix", "beam_smin_pix", "beam_pa_rad")
 
@@ -28,7 +28,7 @@ def _row(image, n, f, beam):
     own, theirs = (s.major, s.minor, float(np.degrees(s.theta))), (beam.major, beam.minor, float(np.degrees(beam.theta)))
     major, minor, angle, failed = deconvolved(*own, theirs)
     e = deconvolution_errors(*own, theirs, (s.errors["major"], s.errors["minor"], float(np.degrees(s.errors["theta"]))))
-    return (image, n, float(s.x), float(s.y), float(s.peak), float(s.errors["peak"]), float(s.flux), float(s.errors["flux"]), float(s.major), float(s.minor), float(s.theta), f.significance, f.chi, f.reduced, s.fitted, major, e[0], minor, e[1], float(np.radians(angle)), failed)
+    return (image, n, float(s.x), float(s.y), float(s.peak), float(s.errors["peak"]), float(s.flux), float(s.errors["flux"]), float(s.major), float(s.minor), float(s.theta), f.significance, f.chi, f.reduced, s.fitted, major, e[0], minor, e[1], float(np.radians(angle)), failed, *(float(s.errors[k]) for k in ("x", "y", "major", "minor", "theta")))
 
 
 def extract(images: DataFrame, beam: tuple[float, float, float] | None = None, detection: float = 8.0, analysis: float = 3.0, tile: tuple[int, int] = (32, 32), margin: int = 0, blend: bool = False, force_beam: bool = False, alpha: float | None = None) -> DataFrame:
@@ -102,6 +102,33 @@ def clipped_rms(images: DataFrame, sigma: float = 3.0, fraction: float = 4.0) ->
     return images.select("image", "nx", "ny", "pixels").mapInPandas(run, "image long, rms double")
 
 
+def noise(images: DataFrame, tile: tuple[int, int] = (32, 32), margin: int = 0, sigma: float = 3.0, fraction: float = 4.0) -> DataFrame:
+    """image, rms_qc, rms_min, rms_max: the clipped noise of the middle, and the range of the noise map over usable pixels.
+
+    Null where an image holds NaN, and where no pixel is usable.
+    """
+
+    def run(batches):
+        import pandas as pd
+
+        from skyloom.imaging import kernels
+
+        for b in batches:
+            rows = []
+            for i, p, x, y in zip(b.image, b.pixels, b.nx, b.ny, strict=True):
+                data = np.asarray(p, float).reshape(x, y)
+                if np.isnan(data).any():
+                    rows.append((i, None, None, None))
+                    continue
+                finder = kernels.Finder(data, kernels.Beam(1.0, 1.0, 0.0), tile, margin)
+                inside = finder.rms[finder.ok]
+                low, high = (float(inside.min()), float(inside.max())) if len(inside) and not finder.empty else (None, None)
+                rows.append((i, float(kernels.clipped_rms(data, sigma, fraction)), low, high))
+            yield pd.DataFrame(rows, columns=["image", "rms_qc", "rms_min", "rms_max"])
+
+    return images.select("image", "nx", "ny", "pixels").mapInPandas(run, "image long, rms_qc double, rms_min double, rms_max double")
+
+
 def combined(images: DataFrame, key: str, average: bool = True) -> DataFrame:
     """key, freq_low, freq_high, pixels: sum or mean of each key's images, pixel by pixel."""
     exploded = images.select(key, "freq_eff", F.posexplode("pixels").alias("pos", "p"))

@@ -81,6 +81,17 @@ def historical_rms(images: DataFrame, history: int, sigma: float) -> DataFrame:
     return newest.join(stats, "band").select("band", "image", ((F.col("n") >= history) & (F.abs(F.col("rms_qc") - F.col("mu")) > sigma * F.col("sd"))).alias("rejected"))
 
 
+def judged_by_history(images: DataFrame, history: int, sigma: float) -> DataFrame:
+    """images(image, band, ts, rms_qc) with `rejected`: each against mean and population deviation of its band's last `history`.
+
+    Every image is judged as it comes, from those up to it, itself and rejected ones included; fewer than `history` accept.
+    An image must lie strictly within sigma deviations of the mean, so where all are alike none does. Null where rms_qc is.
+    """
+    last = Window.partitionBy("band").orderBy("ts", "image").rowsBetween(1 - history, 0)
+    own = images.withColumns({"__n": F.count("rms_qc").over(last), "__mu": F.avg("rms_qc").over(last), "__sd": F.stddev_pop("rms_qc").over(last)})
+    return own.withColumn("rejected", (F.col("__n") >= history) & ~(F.abs(F.col("rms_qc") - F.col("__mu")) < sigma * F.col("__sd"))).drop("__n", "__mu", "__sd")
+
+
 def rms_reason(rms: Column, low: float, high: float) -> Column:
     return F.when(~((rms > low) & (rms < high)), F.lit("rms outside range"))
 
@@ -107,7 +118,7 @@ def first_reason(*reasons: Column) -> Column:
 
 
 # Bright radio sources (name, right ascension, declination in degrees, J2000).
-BRIGHT = (("CasA", 350.866417, 58.811778), ("CygA", 299.868153, 40.733916), ("VirA", 187.705930, 12.391123), ("TauA", 83.633083, 22.014500), ("HerA", 252.783433, 4.992561))
+BRIGHT = (("CasA", 350.85, 58.815), ("CygA", 299.868153, 40.733916), ("VirA", 187.705930, 12.391123), ("TauA", 83.633083, 22.014500), ("HerA", 252.783433, 4.992561))
 
 
 def bright_reason(ra: Column, decl: Column, radius: float = 10.0) -> Column:

@@ -11,25 +11,25 @@ from skyloom.functions import geometry as g
 SLACK = 1e-6
 
 
-def strips(decl: Column, radius: Column) -> Column:
-    """Every one-degree strip that a cap of this radius touches."""
-    return F.sequence(F.floor(decl - radius).cast("int"), F.floor(decl + radius).cast("int"))
+def strips(decl: Column, radius: Column, size: float = 1) -> Column:
+    """Every strip of `size` degrees that a cap of this radius touches."""
+    return F.sequence(F.floor((decl - radius) / size).cast("int"), F.floor((decl + radius) / size).cast("int"))
 
 
-def cells(strip: Column) -> Column:
-    """How many cells of right ascension a strip has: as many as its longer edge has degrees."""
-    edge = F.when(strip < 0, strip + 1).otherwise(strip)
-    return F.greatest(F.lit(1), F.ceil(360 * F.cos(F.radians(F.least(F.abs(edge), F.lit(90)))))).cast("int")
+def cells(strip: Column, size: float = 1) -> Column:
+    """How many cells of right ascension a strip has: as many as its longer edge has degrees, or sizes."""
+    edge = F.when(strip < 0, strip + 1).otherwise(strip) * size
+    return F.greatest(F.lit(1), F.ceil(360 / size * F.cos(F.radians(F.least(F.abs(edge), F.lit(90)))))).cast("int")
 
 
-def cell(strip: Column, ra: Column) -> Column:
-    n = cells(strip)
+def cell(strip: Column, ra: Column, size: float = 1) -> Column:
+    n = cells(strip, size)
     return F.pmod(F.floor(ra / 360 * n).cast("int"), n)
 
 
-def reached(strip: Column, ra: Column, decl: Column, radius: Column) -> Column:
+def reached(strip: Column, ra: Column, decl: Column, radius: Column, size: float = 1) -> Column:
     """The cells of a strip that a cap may touch, once each, over right ascension 0 if need be."""
-    n, reach = cells(strip), g.alpha_inflate(radius + SLACK, decl) + SLACK
+    n, reach = cells(strip, size), g.alpha_inflate(radius + SLACK, decl) + SLACK
     low = F.floor((ra - reach) / 360 * n).cast("int")
     high = F.least(F.floor((ra + reach) / 360 * n).cast("int"), low + n - 1)
     return F.transform(F.sequence(low, high), lambda c: F.pmod(c, n))

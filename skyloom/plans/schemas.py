@@ -13,9 +13,9 @@ DDL = {
     "config": "dataset long, section string, key string, value string, type string",
     "frequencyband": "id long, dataset long, freq_central double, freq_low double, freq_high double",
     "skyregion": "id long, dataset long, centre_ra double, centre_decl double, xtr_radius double, x double, y double, z double",
-    "image": "id long, dataset long, band long, skyrgn long, stokes int, tau_time double, freq_eff double, freq_bw double, taustart_ts timestamp, rb_smaj double, rb_smin double, rb_pa double, deltax double, deltay double, rms_qc double, rms_min double, rms_max double, detection_thresh double, analysis_thresh double, url string",
+    "image": "id long, dataset long, band long, skyrgn long, stokes int, tau_time double, freq_eff double, freq_bw double, taustart_ts timestamp, rb_smaj double, rb_smin double, rb_pa double, deltax double, deltay double, rms_qc double, rms_min double, rms_max double, detection_thresh double, analysis_thresh double, url string, reason string",
     "imagedata": "image long, fits_header string, fits_data binary",
-    "extractedsource": "xtrsrc long, image long, ff_runcat long, ff_monitor long, zone int, ra double, decl double, uew double, uns double, ra_fit_err double, decl_fit_err double, ew_sys_err double, ns_sys_err double, error_radius double, x double, y double, z double, racosdecl double, det_sigma double, semimajor double, semiminor double, pa double, f_peak double, f_peak_err double, f_int double, f_int_err double, chisq double, reduced_chisq double, extract_type int, fit_type int",
+    "extractedsource": "xtrsrc long, image long, ts timestamp, band string, stokes int, ff_runcat long, ff_monitor long, zone int, ra double, decl double, uew double, uns double, ra_fit_err double, decl_fit_err double, ew_sys_err double, ns_sys_err double, error_radius double, x double, y double, z double, racosdecl double, det_sigma double, semimajor double, semiminor double, pa double, f_peak double, f_peak_err double, f_int double, f_int_err double, chisq double, reduced_chisq double, extract_type int, fit_type int",
     "runningcatalog": "runcat long, dataset long, datapoints long, zone int, wm_ra double, wm_decl double, wm_uew double, wm_uns double, avg_wra double, avg_wdecl double, avg_weight_ra double, avg_weight_decl double, x double, y double, z double, mon_src boolean, forcedfits_count long",
     "runningcatalog_flux": f"runcat long, band string, stokes int, f_datapoints long, {_FLUX}",
     "assocxtrsource": "runcat long, xtrsrc long, type int, distance_arcsec double, r double, v_int double, eta_int double, f_datapoints long",

@@ -10,13 +10,21 @@ from pyspark.sql import DataFrame, SparkSession
 from skyloom.plans.schemas import DDL, schema
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """A reliable checkpoint in the folder that spark.checkpoint.dir names; a local one only where none is set."""
-    context = df.sparkSession.sparkContext
-    if not df.sparkSession.conf.get("spark.checkpoint.dir", None) and not context._jsc.sc().getCheckpointDir().isDefined():
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that spark.checkpoint.dir names; a local one only where none is set."""
+    context = spark.sparkContext
+    if named := spark.conf.get("spark.checkpoint.dir", None):
+        return named
+    if not context._jsc.sc().getCheckpointDir().isDefined():
         if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="skyloom-state-"))
+    return context._jsc.sc().getCheckpointDir().get()
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """A reliable checkpoint in the shared folder."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 

@@ -81,8 +81,11 @@ def kind_of(path: str, raw: bytes) -> str | None:
     return "lofarfits" if header.get("TELESCOP") == "LOFAR" and "ANTENNA" in header else "fits"
 
 
-def read_images(spark: SparkSession, path: str, plane: int = 0) -> DataFrame:
-    """A row for each FITS file that path (a folder or glob) names; anything else is an error that names the file."""
+def read_images(spark: SparkSession, path: str | list[str], plane: int = 0, pixels: bool = True) -> DataFrame:
+    """A row for each FITS file that path (a folder or glob, or a list) names; anything else is an error that names the file.
+
+    Without pixels, only headers are parsed.
+    """
 
     def run(batches):
         import pyarrow as pa
@@ -92,8 +95,12 @@ def read_images(spark: SparkSession, path: str, plane: int = 0) -> DataFrame:
             for name, raw in zip(batch.column("path").to_pylist(), batch.column("content").to_pylist(), strict=True):
                 if kind_of(name, raw) not in ("fits", "lofarfits"):
                     raise ValueError(f"no reader for {name}")
-                header, history, data = parse(raw, plane)
-                rows.append((name, list(header.items()), history, data.shape[0], data.shape[1], data.ravel()))
+                if pixels:
+                    header, history, data = parse(raw, plane)
+                    rows.append((name, list(header.items()), history, data.shape[0], data.shape[1], data.ravel()))
+                else:
+                    header, history, _ = parse_header(raw)
+                    rows.append((name, list(header.items()), history, int(header["NAXIS1"]), int(header["NAXIS2"]), None))
             kinds = [pa.string(), pa.map_(pa.string(), pa.string()), pa.string(), pa.int32(), pa.int32(), pa.list_(pa.float64())]
             columns = zip(*rows, strict=True) if rows else [()] * 6
             yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(columns, kinds, strict=True)], names=["path", "header", "history", "nx", "ny", "pixels"])
@@ -185,23 +192,37 @@ def beam_pixels(smaj: Column, smin: Column, pa: Column, dx: Column, dy: Column)
     return smaj / 2 / along, smin / 2 / across, t
 
 
-def metadata(images: DataFrame) -> DataFrame:
-    """path and the columns that every image must have; a missing one or a pixel that is not square is an error."""
+def projection(h: Column) -> Column:
+    """The projection that CTYPE1 names, SIN where there is none."""
+    named = F.regexp_extract(F.coalesce(text(h, "CTYPE1"), F.lit("")), r"-([A-Z]{3})\s*$", 1)
+    return F.when(named == "", "SIN").otherwise(named)
+
+
+def in_degrees(h: Column, key: str, axis: int) -> Column:
+    """A header's number in degrees, from radians where CUNIT says so."""
+    unit = F.lower(F.coalesce(text(h, f"CUNIT{axis}"), F.lit("deg")))
+    return F.when(unit.startswith("rad"), F.degrees(number(h, key))).otherwise(number(h, key))
+
+
+def metadata(images: DataFrame, *more: str) -> DataFrame:
+    """path and the columns that every image must have, and more of images; a missing one or a pixel that is not square is an error."""
     h = F.col("header")
     freq, width = frequency(h)
     bmaj, bmin, bpa = beam_degrees(h, F.col("history"))
-    dx, dy = number(h, "CDELT1"), number(h, "CDELT2")
+    dx, dy = in_degrees(h, "CDELT1", 1), in_degrees(h, "CDELT2", 2)
     square = F.when(F.abs(F.abs(dx) - F.abs(dy)) < 1e-7, dx).otherwise(F.raise_error(F.concat(F.lit("pixels are not square in "), F.col("path"))).cast("double"))
     smaj, smin, t = beam_pixels(bmaj, bmin, bpa, dx, dy)
     must = lambda c, name: F.coalesce(c, F.raise_error(F.concat(F.lit(f"no {name} in "), F.col("path"))).cast(c_type(name)))
     c_type = lambda name: "timestamp" if name == "start time" else "double"
-    w = {"crpix1": number(h, "CRPIX1"), "crpix2": number(h, "CRPIX2"), "crval1": number(h, "CRVAL1"), "crval2": number(h, "CRVAL2"), "cdelt1": dx, "cdelt2": dy, "crota2": F.coalesce(number(h, "CROTA2"), F.lit(0.0))}
-    ra, decl = g.sky_of_pixel(F.col("nx") / 2, F.col("ny") / 2, w)
-    return images.select(
-        "path", F.col("path").alias("url"), square.alias("deltax"), dy.alias("deltay"), must(freq, "frequency").alias("freq_eff"), width.alias("freq_bw"), must(start_time(h), "start time").alias("taustart_ts"), duration(h).alias("tau_time"),
-        smaj.alias("beam_smaj_pix"), smin.alias("beam_smin_pix"), t.alias("beam_pa_rad"), number(h, "CRVAL1").alias("crval1"), number(h, "CRVAL2").alias("crval2"), number(h, "CRPIX1").alias("crpix1"), number(h, "CRPIX2").alias("crpix2"),
-        w["crota2"].alias("crota2"), must(ra, "reference position").alias("centre_ra"), decl.alias("centre_decl"), (F.least("nx", "ny") / 2 * F.abs(dx)).alias("xtr_radius"), text(h, "TELESCOP").alias("telescope"),
+    read = images.select(
+        "path", "nx", "ny", F.col("path").alias("url"), square.alias("deltax"), dy.alias("deltay"), must(freq, "frequency").alias("freq_eff"), width.alias("freq_bw"), must(start_time(h), "start time").alias("taustart_ts"), duration(h).alias("tau_time"),
+        smaj.alias("beam_smaj_pix"), smin.alias("beam_smin_pix"), t.alias("beam_pa_rad"), must(in_degrees(h, "CRVAL1", 1), "reference position").alias("crval1"), must(in_degrees(h, "CRVAL2", 2), "reference position").alias("crval2"),
+        number(h, "CRPIX1").alias("crpix1"), number(h, "CRPIX2").alias("crpix2"), F.coalesce(number(h, "CROTA2"), F.lit(0.0)).alias("crota2"), text(h, "TELESCOP").alias("telescope"), projection(h).alias("projection"), *more,
     )
+    w = {k: F.col(v) for k, v in (("crpix1", "crpix1"), ("crpix2", "crpix2"), ("crval1", "crval1"), ("crval2", "crval2"), ("cdelt1", "deltax"), ("cdelt2", "deltay"), ("crota2", "crota2"))}
+    middle = F.transform(F.array(F.struct((F.col("nx") / 2).alias("x"), (F.col("ny") / 2).alias("y"))), lambda p: F.struct(*(c.alias(n) for c, n in zip(g.sky_of_pixel(p["x"], p["y"], w, F.col("projection")), ("ra", "decl"), strict=True))))[0]
+    rest = [c for c in read.columns if c not in ("nx", "ny")]
+    return read.withColumn("__m", middle).select(*rest, must(F.col("__m.ra"), "reference position").alias("centre_ra"), F.col("__m.decl").alias("centre_decl"), (F.least("nx", "ny") / 2 * F.abs("deltax")).alias("xtr_radius"))
 
 
 def inject(header: Column, cards: dict[str, str], overwrite: bool = False) -> Column:

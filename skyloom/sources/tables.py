@@ -131,10 +131,14 @@ def ended(datasets: DataFrame, dataset: int, ts: Column) -> DataFrame:
     return datasets.withColumn("process_end_ts", F.when(F.col("id") == dataset, ts).otherwise(F.col("process_end_ts")))
 
 
-def image_rows(meta: DataFrame, dataset: int = 1) -> DataFrame:
-    """Rows to store of images(image, band, skyrgn, metadata): beam axes from pixels to degrees, its angle from radians."""
+def image_rows(meta: DataFrame, dataset: int = 1, detection: float | None = None, analysis: float | None = None) -> DataFrame:
+    """Rows to store of images(image, band, skyrgn, metadata): beam axes from pixels to degrees, its angle from radians.
+
+    With thresholds, whole rows of the table `image`, the range of the noise and the reason to set it aside included.
+    """
     step = F.abs("deltax")
-    return meta.select(F.col("image").alias("id"), F.lit(dataset).cast("long").alias("dataset"), "band", "skyrgn", "tau_time", "freq_eff", "freq_bw", "taustart_ts", (F.col("beam_smaj_pix") * step).alias("rb_smaj"), (F.col("beam_smin_pix") * step).alias("rb_smin"), F.degrees("beam_pa_rad").alias("rb_pa"), "deltax", "deltay", "rms_qc", "url")
+    more = [] if detection is None else ["rms_min", "rms_max", F.lit(detection).alias("detection_thresh"), F.lit(analysis).alias("analysis_thresh"), F.lit(1).alias("stokes"), "reason"]
+    return meta.select(F.col("image").alias("id"), F.lit(dataset).cast("long").alias("dataset"), "band", "skyrgn", "tau_time", "freq_eff", "freq_bw", "taustart_ts", (F.col("beam_smaj_pix") * step).alias("rb_smaj"), (F.col("beam_smin_pix") * step).alias("rb_smin"), F.degrees("beam_pa_rad").alias("rb_pa"), "deltax", "deltay", "rms_qc", "url", *more)
 
 
 def monitor_rows(positions: DataFrame, dataset: int = 1, first: int = 1) -> DataFrame:

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from skyloom import cli
 from skyloom.imaging import kernels as k
 from skyloom.plans import batch
+from skyloom.plans.catalogue import Catalogue
 from skyloom.sources import fits
 
 
@@ -28,9 +29,11 @@ def test_images_become_a_catalogue(spark, folder, tmp_path):
     assert measured.count() == 6 and state.runcat.count() == 2 and {r.datapoints for r in state.runcat.collect()} == {3}
     v = sorted(r.v_int for r in batch.variability(state, measured).collect())
     assert v[0] < 0.1 < 0.25 < v[1]
-    store = batch.Snapshots(spark, str(tmp_path / "store"))
-    assert store.version() == 4 and [r.reason for r in store.read("rejected").collect()] == ["flat image"]
-    assert store.read("image").count() == 3 and store.read("varmetric").count() == 2
+    store = Catalogue(spark, str(tmp_path / "store"))
+    assert sorted(str(r.reason) for r in store.read("image").collect()) == ["None"] * 3 + ["flat image"]
+    assert store.log()["version"] == 6 and store.read("varmetric").count() == 2 and store.read("dataset").first().process_end_ts is not None
+    for r in store.read("extractedsource").collect():  # the two planted places, in degrees
+        assert abs(r.decl - 30) < 0.4 and 0 < r.error_radius < 60 and 60 < r.semimajor < 140 and r.uew > 10 / 3600
 
 
 @pytest.fixture(scope="module")
@@ -61,7 +64,7 @@ def test_time_steps_over_the_meridian(spark, fading, tmp_path):
     assert [(r.runcat, r.newsource_type) for r in events] == [(blind[0].runcat, 1)]
     types = sorted((r.runcat == watched[0].runcat, r.type) for r in state.assoc.collect())
     assert types == [*[(False, 3)] * 4, *[(False, 4)] * 3, *[(False, 7)] * 3, (True, 8), *[(True, 9)] * 3]
-    store = batch.Snapshots(spark, str(tmp_path / "store"))
+    store = Catalogue(spark, str(tmp_path / "store"))
     assert [r.runcat for r in store.read("monitor").collect()] == [watched[0].runcat]
     assert {r.tau_time for r in store.read("image").collect()} == {300.0}
     ff = {r.xtrsrc: r for r in made.filter(F.col("xtrsrc") % batch.IMAGE >= batch.NULL).collect()}
