@@ -9,7 +9,7 @@ from __future__ import annotations
 from dataclasses import dataclass, replace
 from functools import cache
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyloom.functions import geometry as g
@@ -52,7 +52,7 @@ def candidates(measured: DataFrame, catalogue: DataFrame, radius: float, de_ruit
     near = with_position(measured, "ra", "decl", "m_")
     far = with_position(catalogue, "wm_ra", "wm_decl", "c_")
     test, r, distance = _near(radius, de_ruiter, across)
-    edges = zone_join(near, far, "decl", F.lit(radius), "c_zone", test)
+    edges = zone_join(near, far, "decl", radius, "c_zone", test)
     return moved(edges.withColumns({"r": r, "distance_arcsec": distance}), across).drop("m_zone", "m_x", "m_y", "m_z", "c_zone", "c_x", "c_y", "c_z")
 
 
@@ -94,17 +94,13 @@ def _moved(across: bool) -> dict[str, Column]:
 
 def prune(edges: DataFrame) -> DataFrame:
     """edges with `kept`: among edges whose both ends have others, only a measurement's nearest ones stay."""
-    by_source, by_measurement = Window.partitionBy("runcat"), Window.partitionBy("xtrsrc")
-    many = (F.count("*").over(by_source) > 1) & (F.count("*").over(by_measurement) > 1)
-    flagged = edges.withColumn("__many", many)
-    least = F.min(F.when(F.col("__many"), F.col("r"))).over(by_measurement)
-    return flagged.withColumn("kept", ~F.col("__many") | (F.col("r") <= least)).drop("__many")
+    flagged = edges.selectExpr("*", "COUNT(*) OVER (PARTITION BY runcat) > 1 AND COUNT(*) OVER (PARTITION BY xtrsrc) > 1 AS __many")
+    return flagged.selectExpr("*", "NOT __many OR r <= MIN(CASE WHEN __many THEN r END) OVER (PARTITION BY xtrsrc) AS kept").drop("__many")
 
 
 def classify(edges: DataFrame) -> DataFrame:
     """Kept edges with their association type: 2 where the source forks over several measurements, else 3."""
-    kept = edges.filter("kept").drop("kept")
-    return kept.withColumn("type", F.when(F.count("*").over(Window.partitionBy("runcat")) > 1, 2).otherwise(3))
+    return edges.filter("kept").drop("kept").selectExpr("*", "CASE WHEN COUNT(*) OVER (PARTITION BY runcat) > 1 THEN 2 ELSE 3 END AS type")
 
 
 def unmatched(measured: DataFrame, edges: DataFrame) -> DataFrame:
@@ -152,9 +148,18 @@ def flux_after(edges: DataFrame, flux: DataFrame) -> DataFrame:
     return edges.join(old, ["runcat", "band", "stokes"], "left").withColumns(_grown()).drop("__n", *(f"__{c}" for c in MEANS))
 
 
+@cache
+def _first() -> dict[str, Column]:
+    out = {}
+    for f in FLUXES:
+        x, w = F.col(f), st.weight(F.col(f"{f}_err"))
+        out |= {f"avg_{f}": x, f"avg_{f}_sq": x * x, f"avg_{f}_weight": w, f"avg_weighted_{f}": w * x, f"avg_weighted_{f}_sq": w * x * x}
+    return out | {"f_datapoints": F.lit(1).cast("long")}
+
+
 def flux_of_first(measured: DataFrame) -> DataFrame:
     """measured(runcat, band, stokes, f_*) with the averages of one measurement."""
-    return measured.selectExpr("*", "CAST(NULL AS BIGINT) AS __n", *(f"CAST(NULL AS DOUBLE) AS __{c}" for c in MEANS)).withColumns(_grown()).drop("__n", *(f"__{c}" for c in MEANS))
+    return measured.withColumns(_first())
 
 
 @cache
@@ -258,23 +263,26 @@ def associate(state: State, measured: DataFrame, radius: float, de_ruiter: float
     return State(runcat, flux, assoc, links, events).settled(*changed)
 
 
+@cache
+def _apart() -> Column:
+    return g.chord_deg(F.col("s_x") - F.col("c_x"), F.col("s_y") - F.col("c_y"), F.col("s_z") - F.col("c_z"))
+
+
 def memberships(sources: DataFrame, regions: DataFrame) -> DataFrame:
     """runcat, skyrgn, distance_deg of sources(runcat, ra, decl) within a region's radius."""
     far = with_position(sources, "ra", "decl", "s_")
     near = with_position(regions, "centre_ra", "centre_decl", "c_")
-    d = g.chord_deg(F.col("s_x") - F.col("c_x"), F.col("s_y") - F.col("c_y"), F.col("s_z") - F.col("c_z"))
-    return zone_join(near, far, "centre_decl", F.col("xtr_radius"), "s_zone", d < F.col("xtr_radius"), ra="centre_ra", far_ra="ra").select("runcat", "skyrgn", d.alias("distance_deg"))
+    return zone_join(near, far, "centre_decl", "xtr_radius", "s_zone", _apart() < F.col("xtr_radius"), ra="centre_ra", far_ra="ra").select("runcat", "skyrgn", _apart().alias("distance_deg"))
 
 
 def new_sources(unmatched: DataFrame) -> DataFrame:
     """Events of measurements that an earlier image (image, low, high) should have shown: type 1 beyond doubt, 0 maybe."""
-    return unmatched.filter(F.col("f_peak") > F.col("low")).select(F.col("xtrsrc").alias("runcat"), F.col("xtrsrc").alias("trigger_xtrsrc"), F.col("image").alias("previous_limits_image"), F.when(F.col("f_peak") > F.col("high"), 1).otherwise(0).alias("newsource_type"))
+    return unmatched.filter("f_peak > low").selectExpr("xtrsrc AS runcat", "xtrsrc AS trigger_xtrsrc", "image AS previous_limits_image", "CASE WHEN f_peak > high THEN 1 ELSE 0 END AS newsource_type")
 
 
 def best_limits(pairs: DataFrame) -> DataFrame:
     """Of pairs (xtrsrc, image, low, high), each measurement's most sensitive earlier image."""
-    order = Window.partitionBy("xtrsrc").orderBy("low", "high", "image")
-    return pairs.withColumn("__n", F.row_number().over(order)).filter("__n = 1").drop("__n")
+    return pairs.selectExpr("*", "ROW_NUMBER() OVER (PARTITION BY xtrsrc ORDER BY low, high, image) AS __n").filter("__n = 1").drop("__n")
 
 
 def null_detections(sources: DataFrame, seen: DataFrame, links: DataFrame, skyrgn: int, expiration: int = 10, founded: DataFrame | None = None, ts=None) -> DataFrame:
@@ -285,7 +293,7 @@ def null_detections(sources: DataFrame, seen: DataFrame, links: DataFrame, skyrg
     """
     if founded is not None:
         sources = sources.join(founded.filter(F.col("ts") < F.lit(ts)).select("runcat"), "runcat", "left_semi")
-    return sources.filter((F.col("forcedfits_count") < expiration) & ~F.col("mon_src")).join(links.filter(F.col("skyrgn") == skyrgn), "runcat", "left_semi").join(seen, "runcat", "left_anti").select("runcat", "wm_ra", "wm_decl")
+    return sources.filter(f"forcedfits_count < {expiration} AND NOT mon_src").join(links.filter(f"skyrgn = {skyrgn}"), "runcat", "left_semi").join(seen, "runcat", "left_anti").select("runcat", "wm_ra", "wm_decl")
 
 
 def associate_forced(state: State, fits: DataFrame) -> State:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import cache
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -35,12 +37,20 @@ def reached(strip: Column, ra: Column, decl: Column, radius: Column, size: float
     return F.transform(F.sequence(low, high), lambda c: F.pmod(c, n))
 
 
-def zone_join(near: DataFrame, far: DataFrame, decl: str, radius: Column, zone: str, residual: Column, how: str = "inner", ra: str = "ra", far_ra: str = "wm_ra") -> DataFrame:
+@cache
+def _columns(decl: str, radius: float | str, zone: str, ra: str, far_ra: str) -> tuple[Column, Column, Column, Column]:
+    """Strips and cells that a near row touches, the cell of a far row, and equality of both; made once."""
+    reach = F.col(radius) if isinstance(radius, str) else F.lit(radius)
+    return F.explode(strips(F.col(decl), reach)), F.explode(reached(F.col("__strip"), F.col(ra), F.col(decl), reach)), cell(F.col(zone), F.col(far_ra)), (F.col("__strip") == F.col(zone)) & (F.col("__cell") == F.col("__far_cell"))
+
+
+def zone_join(near: DataFrame, far: DataFrame, decl: str, radius: float | str, zone: str, residual: Column, how: str = "inner", ra: str = "ra", far_ra: str = "wm_ra") -> DataFrame:
     """near rows with the far rows in reach. A far row lies in one cell, so a pair meets once and needs no distinct.
 
-    near is the side that is exploded over strips and cells; the residual is part of the join. Without cells Spark would
-    plan a product of both sides; with strips alone all pairs of a strip, of which there are 180, would meet.
+    near is the side that is exploded over strips and cells; the residual is part of the join. radius: degrees, or near's
+    column of them. Without cells Spark would plan a product of both sides; with strips alone all pairs of a strip, of which
+    there are 180, would meet.
     """
-    spread = near.withColumn("__strip", F.explode(strips(F.col(decl), radius))).withColumn("__cell", F.explode(reached(F.col("__strip"), F.col(ra), F.col(decl), radius)))
-    placed = far.withColumn("__far_cell", cell(F.col(zone), F.col(far_ra)))
-    return spread.join(placed, (F.col("__strip") == F.col(zone)) & (F.col("__cell") == F.col("__far_cell")) & residual, how).drop("__strip", "__cell", "__far_cell")
+    strip, cells_, own, same = _columns(decl, radius, zone, ra, far_ra)
+    spread = near.withColumn("__strip", strip).withColumn("__cell", cells_)
+    return spread.join(far.withColumn("__far_cell", own), same & residual, how).drop("__strip", "__cell", "__far_cell")

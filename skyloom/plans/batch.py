@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import logging
 import uuid
+from functools import cache
 
 from pyspark.errors import PythonException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -66,15 +67,17 @@ def _wcs() -> dict:
     return {"crpix1": F.col("crpix1") - 1, "crpix2": F.col("crpix2") - 1, "crval1": F.col("crval1"), "crval2": F.col("crval2"), "cdelt1": F.col("deltax"), "cdelt2": F.col("deltay"), "crota2": F.col("crota2")}
 
 
-def on_sky(found: DataFrame, images: DataFrame, sys_err_arcsec: float, first: int = BLIND, room: int = NULL, kind: str = "blind") -> DataFrame:
+def on_sky(found: DataFrame, images: DataFrame, sys_err_arcsec: float, first: int = BLIND, room: int = NULL, kind: str = "blind", projection: str | None = None) -> DataFrame:
     """Found sources as rows of extractedsource: the fit on the sky, with a systematic error beside its own.
 
+    projection: the images' own, where all have the same; else each has its own in a column.
+
     An image's measurements take numbers from `first` on; more than fit below `room` are an error.
     """
     band = F.col("band") if "band" in images.columns else F.format_string("%.0f", "freq_eff")
     rows = found.join(images.select("image", "taustart_ts", band.alias("band"), *WCS), "image")
-    number = F.when(F.col("n") + first < room, F.col("image") * IMAGE + F.col("n") + first).otherwise(F.raise_error(F.lit("an image has more measurements than numbers")).cast("long"))
-    sky = detections.on_sky(rows, _wcs(), F.col("projection")).select(
+    number = F.when(F.col("n") + first < room, F.col("image") * IMAGE + F.col("n") + first).otherwise(F.raise_error(F.lit("an image has more measurements than numbers")).cast("double").cast("long"))
+    sky = detections.on_sky(rows, _wcs(), projection or F.col("projection")).select(
         number.alias("xtrsrc"), "image", F.col("taustart_ts").alias("ts"), F.col("band").cast("string").alias("band"), F.lit(1).alias("stokes"), *(F.col(k) if k in rows.columns else F.lit(None).cast("long").alias(k) for k in ("ff_runcat", "ff_monitor")),
         "ra", "decl", "ra_fit_err", "decl_fit_err", "error_radius", "semimajor", "semiminor", "pa", F.lit(sys_err_arcsec).alias("ew_sys_err"), F.lit(sys_err_arcsec).alias("ns_sys_err"), F.col("significance").alias("det_sigma"),
         F.col("peak").alias("f_peak"), F.col("peak_err").alias("f_peak_err"), F.col("flux").alias("f_int"), F.col("flux_err").alias("f_int_err"), "chisq", "reduced_chisq", F.when(F.col("fitted"), 0).otherwise(1).alias("fit_type"),
@@ -82,11 +85,16 @@ def on_sky(found: DataFrame, images: DataFrame, sys_err_arcsec: float, first: in
     return tables.prepared(sky, kind).select(*(f.name for f in schema("extractedsource")))
 
 
-def requests_at(positions: DataFrame, image: DataFrame) -> DataFrame:
-    """positions(key, ra, decl) as fits to ask for: image, n, x, y, key. One image's positions, so one order numbers them."""
-    x, y = g.pixel_of_sky(F.col("ra"), F.col("decl"), _wcs(), F.col("projection"))
-    rows = positions.crossJoin(F.broadcast(image.select("image", *WCS)))  # one row
-    return rows.select("image", "key", x.alias("x"), y.alias("y")).filter(~F.isnan("x") & ~F.isnan("y")).withColumn("n", F.row_number().over(Window.orderBy("key")).cast("int"))
+@cache
+def _pixel(projection: str) -> Column:
+    x, y = g.pixel_of_sky(F.col("ra"), F.col("decl"), _wcs(), projection)
+    return F.struct(x.alias("x"), y.alias("y"))
+
+
+def requests_at(positions: DataFrame, image) -> DataFrame:
+    """positions(key, ra, decl) as fits to ask for: image, n, x, y, key. image: a row of metadata. One order numbers an image's positions."""
+    rows = positions.selectExpr("key", "ra", "decl", f"{image['image']}L AS image", *(f"{image[k]!r}D AS {k}" for k in WCS if k != "projection")).withColumn("at", _pixel(image["projection"]))
+    return rows.selectExpr("image", "key", "at.x AS x", "at.y AS y", "CAST(ROW_NUMBER() OVER (ORDER BY key) AS INT) AS n").filter("NOT isnan(x) AND NOT isnan(y)")
 
 
 class Survey:
@@ -168,16 +176,19 @@ class Survey:
         meta, regions, new_fields, new_bands = self._placed(meta)
         meta = self._history(meta)
         good = meta.filter("reason IS NULL").withColumn("across", a.crosses_meridian(F.col("centre_ra"), F.col("centre_decl"), F.col("xtr_radius")))
-        ordered = good.select("image", "band", "skyrgn", "taustart_ts", "across", "beam_smaj_pix").orderBy("image").collect()  # a short row an image
+        ordered = good.select("image", "band", "skyrgn", "taustart_ts", "across", "beam_smaj_pix", *WCS).orderBy("image").collect()  # a short row an image
         failed: dict[int, str] = {}
         cells = c.cells_of(meta, p["radius"] + 0.01)
         usable = images.join(F.broadcast(good.select("image")), "image", "left_semi")
         found = frames.extract(usable, None, p["detection"], p["analysis"], p["tile"], p["margin"], force_beam=p["force_beam"])
-        before, made = store.state(cells), on_sky(found, good, p["sys_err_arcsec"])
+        names = {r["projection"] for r in ordered}
+        projection = names.pop() if len(names) == 1 else None
+        before, made = store.state(cells), on_sky(found, good, p["sys_err_arcsec"], projection=projection)
         *state, made, monitors = cut_all(*(getattr(before, k) for k in a.TABLES), made, store.read("monitor", cells, celled=True))
         before = a.State(*state)
         linked = a.memberships(before.runcat.selectExpr("runcat", "wm_ra AS ra", "wm_decl AS decl"), new_fields.selectExpr("id AS skyrgn", "centre_ra", "centre_decl", "xtr_radius"))
         after = a.State(before.runcat, before.flux, before.assoc, cut(before.skyrgn.unionByName(linked)), before.newsource)
+        regions = regions if regions.count() > 1 else None
         first_id = min((r["image"] for r in ordered), default=0)
         times = store.read("image").selectExpr("id AS image", "taustart_ts AS ts")
         founded = before.assoc.groupBy("runcat").agg(F.min("xtrsrc").alias("x")).selectExpr("runcat", f"x DIV {IMAGE} AS image").join(times, "image").select("runcat", "ts")
@@ -196,26 +207,26 @@ class Survey:
                 continue
             seen = after.assoc.join(own.select("xtrsrc"), "xtrsrc", "left_semi").select("runcat").distinct()
             lost = a.null_detections(after.runcat, seen, after.skyrgn, one["skyrgn"], p["expiration"], founded, one["taustart_ts"])
-            ask = requests_at(lost.selectExpr("runcat AS key", "wm_ra AS ra", "wm_decl AS decl"), good.filter(F.col("image") == image)).withColumn("kind", F.lit("ff_nd"))
+            ask = requests_at(lost.selectExpr("runcat AS key", "wm_ra AS ra", "wm_decl AS decl"), one).withColumn("kind", F.lit("ff_nd"))
             if p["monitors"]:
-                watch = requests_at(monitors.selectExpr("id AS key", "ra", "decl"), good.filter(F.col("image") == image)).withColumn("kind", F.lit("ff_ms"))
+                watch = requests_at(monitors.selectExpr("id AS key", "ra", "decl"), one).withColumn("kind", F.lit("ff_ms"))
                 ask = ask.unionByName(watch.withColumn("n", F.col("n") + MONITOR))
             wanted = ask if wanted is None else wanted.unionByName(ask)
         if wanted is not None:
-            rows, after, monitors = self._forced(images, good, cut(wanted), rows, after, monitors, ordered, failed)
+            rows, after, monitors = self._forced(images, good, cut(wanted), rows, after, monitors, ordered, failed, projection)
         if failed:
             rows = rows.filter(~F.col("image").isin(list(failed)))
             meta = meta.withColumn("reason", F.coalesce("reason", F.element_at(F.create_map(*(F.lit(x) for kv in failed.items() for x in kv)), F.col("image"))))
         return self._commit(cells, before, after, rows, monitors, meta, new_fields, new_bands, first_id, note, images)
 
-    def _forced(self, images, good, wanted, rows, after, monitors, ordered, failed):
+    def _forced(self, images, good, wanted, rows, after, monitors, ordered, failed, projection):
         """All forced fits of the step in one pass over its pixels, then each image's taken into the state."""
         p = self.p
         box = p["box_in_beams"] * max((r["beam_smaj_pix"] or 1.0 for r in ordered), default=1.0)
         fitted = frames.forced(images.join(wanted.select("image").distinct(), "image", "left_semi"), wanted.select("image", "n", "x", "y"), None, box, p["tile"])
         keyed = fitted.join(wanted.select("image", "n", "key", "kind"), ["image", "n"]).withColumns({"ff_runcat": F.expr("CASE WHEN kind = 'ff_nd' THEN key END"), "ff_monitor": F.expr("CASE WHEN kind = 'ff_ms' THEN key END")})
-        nulls = on_sky(keyed.filter("kind = 'ff_nd'"), good, p["sys_err_arcsec"], NULL, MONITOR, "ff_nd")
-        watched = on_sky(keyed.filter("kind = 'ff_ms'"), good, p["sys_err_arcsec"], 0, IMAGE, "ff_ms")
+        nulls = on_sky(keyed.filter("kind = 'ff_nd'"), good, p["sys_err_arcsec"], NULL, MONITOR, "ff_nd", projection)
+        watched = on_sky(keyed.filter("kind = 'ff_ms'"), good, p["sys_err_arcsec"], 0, IMAGE, "ff_ms", projection)
         fits_ = cut(nulls.unionByName(watched))
         asked = {(r["image"], r["extract_type"]) for r in fits_.select("image", "extract_type").distinct().collect()}  # two for an image at most
         for one in ordered:

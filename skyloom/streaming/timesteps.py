@@ -20,11 +20,15 @@ MAGIC, HEAD = 0x47494A53484F4D4F, 512
 log = logging.getLogger(__name__)
 
 
-def frame(cards: str, image: np.ndarray) -> bytes:
-    text, data = cards.encode(), np.ascontiguousarray(image, "<f4").tobytes()
+def frame_bytes(cards: str, data: bytes) -> bytes:
+    text = cards.encode()
     return struct.pack("<QII", MAGIC, len(text), len(data)).ljust(HEAD, b"\0") + text + data
 
 
+def frame(cards: str, image: np.ndarray) -> bytes:
+    return frame_bytes(cards, np.ascontiguousarray(image, "<f4").tobytes())
+
+
 def read_exactly(receive: Callable[[int], bytes], n: int) -> bytes:
     parts = []
     while n:
