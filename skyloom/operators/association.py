@@ -255,12 +255,12 @@ def associate(state: State, measured: DataFrame, radius: float, de_ruiter: float
         changed += ["skyrgn"] * ("skyrgn" not in changed)
         if regions is not None:
             links = union(links, _as(memberships(fresh.selectExpr("xtrsrc AS runcat", "ra", "decl"), regions.filter(F.col("skyrgn") != skyrgn)), "assocskyrgn"))
-        if limits is not None:
-            fields = links.join(fresh.selectExpr("xtrsrc AS runcat"), "runcat", "left_semi").selectExpr("runcat AS xtrsrc", "skyrgn")
-            covered = fresh.select("xtrsrc", "f_peak").join(fields, "xtrsrc").join(limits, "skyrgn")
-            events = union(events, _as(new_sources(best_limits(covered)), "newsource"))
-            changed += ["newsource"] * ("newsource" not in changed)
-    return State(runcat, flux, assoc, links, events).settled(*changed)
+    after = State(runcat, flux, assoc, links, events).settled(*changed)
+    if skyrgn is not None and limits is not None:
+        fields = after.skyrgn.join(fresh.selectExpr("xtrsrc AS runcat"), "runcat", "left_semi").selectExpr("runcat AS xtrsrc", "skyrgn")
+        covered = fresh.select("xtrsrc", "f_peak").join(fields, "xtrsrc").join(limits, "skyrgn")
+        after = replace(after, newsource=union(after.newsource, _as(new_sources(best_limits(covered)), "newsource"))).settled("newsource")
+    return after
 
 
 @cache

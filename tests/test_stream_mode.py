@@ -124,6 +124,7 @@ def test_a_killed_stream_makes_the_tables_of_a_batch_run(spark, tmp_path, monkey
     for t in range(3):
         for b in (0, 1):
             (folder / f"{t}{b}.fits").write_bytes(fits.render(*shot(t, b)))
+    monkeypatch.undo()
     batch.run(spark, str(folder / "*.fits"), str(tmp_path / "batch"), **SETTINGS)
     assert tables(streamed) == tables(batch.Survey(spark, str(tmp_path / "batch"), **SETTINGS))
 
