@@ -2,6 +2,7 @@ import __spark_entry__ as e
 import pytest
 
 from skyloom.plans import queries as sky
+from skyloom.plans import survey_queries as surveys
 
 duckdb = pytest.importorskip("duckdb")
 SF = "/root/testdata/sf0.001"
@@ -24,8 +25,8 @@ def duck():
     return c
 
 
-#: association_loop is the same machine as the association queries, over more steps.
-NAMES = sorted(set(sky.ORACLE_SQL) - {"association_loop"})
+#: association_loop is the same machine as the association queries, over more steps; association_resumed stores them, too.
+NAMES = sorted(set(sky.ORACLE_SQL | surveys.ORACLE_SQL) - {"association_loop"})
 
 
 @pytest.mark.parametrize("name", NAMES)
