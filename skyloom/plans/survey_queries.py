@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skyloom.functions import geometry as g
+from skyloom.imaging import tiles as tiling
 from skyloom.operators import association as a
 from skyloom.operators import detections, discovery
 from skyloom.operators import images as im
@@ -167,3 +168,26 @@ def fdr_over_pixels(spark, sf_dir):
     v = fx.read(spark, sf_dir, "embeddings").filter("embedding IS NOT NULL").select((F.col("vec_id") % 10).alias("image"), F.explode("embedding").alias("e"))
     pixels: DataFrame = v.select("image", r(F.col("e").cast("double") * 10, 3).alias("snr"))
     return discovery.fdr_threshold(pixels, 0.05, 4.0).select("image", r("threshold", 3).alias("threshold"), "accepted")
+
+
+# -- islands over tiles -----------------------------------------------------------------------------------------------------
+
+
+@query("""
+WITH RECURSIVE p AS (
+  SELECT vec_id // 100 AS image, vec_id % 100 AS x, UNNEST(RANGE(64)) AS y, UNNEST(embedding) AS e FROM embeddings WHERE len(embedding) = 64),
+v AS (SELECT image, x, y, x * 64 + y AS k, ROUND(CAST(e AS DOUBLE) * 100) AS v FROM p WHERE ROUND(CAST(e AS DOUBLE) * 100) > 18),
+r AS (
+  SELECT image, k AS root, x, y FROM v
+  UNION SELECT r.image, r.root, v.x, v.y FROM r JOIN v ON v.image = r.image AND ABS(v.x - r.x) + ABS(v.y - r.y) = 1),
+i AS (SELECT image, x, y, MIN(root) AS island FROM r GROUP BY image, x, y)
+SELECT image, island, CAST(COUNT(*) AS BIGINT) AS n, SUM(v) AS total, MAX(v) AS peak FROM i JOIN v USING (image, x, y) GROUP BY image, island HAVING MAX(v) >= 25
+""")
+def islands_over_tiles(spark, sf_dir):
+    """A hundred vectors make an image of whole numbers, cut into tiles of sixteen pixels; islands go over their borders."""
+    v = fx.read(spark, sf_dir, "embeddings").filter("size(embedding) = 64")
+    row = F.transform("embedding", lambda e: F.round(e.cast("double") * 100))
+    rows = v.groupBy(F.floor(F.col("vec_id") / 100).alias("image")).agg(F.map_from_entries(F.collect_list(F.struct((F.col("vec_id") % 100).cast("int"), row))).alias("m"))  # a hundred at most
+    empty = F.array_repeat(F.lit(0.0), 64)
+    pixels = F.flatten(F.transform(F.sequence(F.lit(0), F.lit(99)), lambda x: F.coalesce(F.try_element_at("m", x), empty)))
+    return tiling.islands(rows.select("image", F.lit(100).alias("nx"), F.lit(64).alias("ny"), pixels.alias("pixels")), 25, 18, 16, grid=False)
