@@ -1,4 +1,5 @@
-"""skyloom find PATH [--detection 8 --analysis 3 | --fdr 0.01] [--out FOLDER] and skyloom batch PATH --out FOLDER."""
+"""skyloom find PATH [--detection 8 --analysis 3 | --fdr 0.01] [--out FOLDER], skyloom batch PATH --out FOLDER [--store FOLDER],
+and skyloom stream HOST:PORT ... --landing FOLDER --store FOLDER --checkpoint FOLDER."""
 
 from __future__ import annotations
 
@@ -20,6 +21,15 @@ def parser() -> argparse.ArgumentParser:
         q.add_argument("--bpa", type=float, default=0.0)
         q.add_argument("--fixed", nargs="*", metavar="X,Y", help="fit at these pixels only")
         q.add_argument("--out")
+        q.add_argument("--store", help="the folder of a catalogue to begin or go on with")
+    q = sub.add_parser("stream", help="images from endpoints into a catalogue, time step by time step")
+    q.add_argument("endpoints", nargs="+", metavar="HOST:PORT")
+    q.add_argument("--landing", required=True, help="a shared folder for images that have come")
+    q.add_argument("--store", required=True)
+    q.add_argument("--checkpoint", required=True)
+    q.add_argument("--detection", type=float, default=8.0)
+    q.add_argument("--analysis", type=float, default=3.0)
+    q.add_argument("--wait", type=float, default=60.0, help="seconds without an image after which an endpoint counts as ended")
     return p
 
 
@@ -31,6 +41,16 @@ def main(args: list[str] | None = None, spark=None) -> int:
     from skyloom.plans import batch
 
     spark = spark or SparkSession.builder.appName("skyloom").getOrCreate()
+    if a.command == "stream":
+        from skyloom.streaming import landing, steps
+
+        survey = batch.Survey(spark, a.store, detection=a.detection, analysis=a.analysis)
+        receiving = landing.receive(spark, a.endpoints, a.landing, a.wait)
+        query = steps.start(spark, a.landing, len(a.endpoints), survey, a.checkpoint)
+        receiving.join()
+        query.processAllAvailable()
+        query.stop()
+        return 0
     if a.command == "find":
         images = batch.images_of(spark, a.path)
         beam = (a.bmaj, a.bmin or a.bmaj, a.bpa) if a.bmaj else None
@@ -42,7 +62,7 @@ def main(args: list[str] | None = None, spark=None) -> int:
             out = frames.extract(images, beam, a.detection, a.analysis, force_beam=a.force_beam, alpha=a.fdr)
         out = batch.on_sky(out, images, 0.0).select("image", "ra", "decl", "f_peak", "f_int")
     else:
-        state, measured = batch.run(spark, a.path, detection=a.detection, analysis=a.analysis, force_beam=a.force_beam)
+        state, measured = batch.run(spark, a.path, a.store, detection=a.detection, analysis=a.analysis, force_beam=a.force_beam)
         out = batch.variability(state, measured)
     if a.out:
         out.write.mode("overwrite").option("header", True).csv(a.out)
