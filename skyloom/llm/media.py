@@ -11,7 +11,8 @@ what is derived from stored bytes is derived once for each digest, and only that
 
 Defined results: null HTML has no parts; a null text is the empty payload, padded to one row. A block tag, opening or
 closing, and a media tag end a part of text; other tags do not. White space in a part is collapsed, parts without any
-text are left out. What is in script, style, title and template is skipped, up to the closing tag. A caption ends at
+text are left out. What is in script, style, title and template is skipped, media and captions too, up to the closing tag
+(a title without one ends at the next block tag, a template at the page's end). A caption ends at
 </figcaption>, at </figure>, at the next figure or at the page's end, whichever comes first; it belongs to all media of
 its figure, and where there are none it is text. References without a digest or stored payload keep null columns.
 Repeated rows give repeated sequences. An empty table gives no rows.
@@ -41,7 +42,7 @@ SIGNATURE = b"\x89PNG\r\n\x1a\n"
 class Parts(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.parts, self.words, self.skip, self.caption, self.figure = [], [], 0, None, None
+        self.parts, self.words, self.skipped, self.caption, self.figure = [], [], [], None, None
 
     def add(self, kind, **fields):
         self.parts.append({"position": len(self.parts), "kind": kind} | dict.fromkeys(("text", "src", "digest", "caption", "bytes")) | fields)
@@ -63,10 +64,18 @@ class Parts(HTMLParser):
         if not self.figure and text:
             self.add("text", text=text)
 
+    def end_title(self, tag):
+        """A title holds no blocks, so one ends it if nothing did."""
+        if tag in BLOCK and self.skipped and self.skipped[-1] == "title":
+            self.skipped.pop()
+
     def handle_starttag(self, tag, attrs):
         a = dict(attrs)
+        self.end_title(tag)
         if tag in SKIPPED:
-            self.skip += 1
+            self.skipped.append(tag)
+        elif self.skipped:
+            return
         elif tag == "figcaption":
             self.end_caption()
             self.flush()
@@ -89,8 +98,12 @@ class Parts(HTMLParser):
             self.handle_starttag(tag, attrs)
 
     def handle_endtag(self, tag):
+        self.end_title(tag)
         if tag in SKIPPED:
-            self.skip = max(0, self.skip - 1)
+            if tag in self.skipped:
+                del self.skipped[len(self.skipped) - 1 - self.skipped[::-1].index(tag) :]
+        elif self.skipped:
+            return
         elif tag == "figcaption":
             self.end_caption()
         elif tag in BLOCK:
@@ -100,7 +113,7 @@ class Parts(HTMLParser):
             self.flush()
 
     def handle_data(self, data):
-        if self.skip:
+        if self.skipped:
             return
         (self.words if self.caption is None else self.caption).append(data)
 

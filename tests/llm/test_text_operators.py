@@ -505,6 +505,10 @@ def test_parts_stay_in_order():
     ("<figure><img src=a alt=A></figure><figure><figcaption>none</figcaption></figure>", ["m:A", "none"]),
     ("<figure><img src=a><figcaption>one<figure><img src=b></figure>", ["m:one", "m:None"]),
     ("<style>p{}</style><title>t</title>a<img>b<br>c<video src=v></video>", ["ab", "c", "m:None"]),
+    ('a<template><img src="x.png" alt="t"><figcaption>c</figcaption>z</template>b', ["ab"]),
+    ("<title>never closed<p>text <img src=a alt=A>", ["text", "m:A"]),
+    ("<template>open<p>all gone", []),
+    ("</template>a<title>t</title>b", ["ab"]),
     ("<p>a<p>b</p>  </p>\n<div> </div>c&nbsp;d", ["a", "b", "c d"]),
 ])
 def test_unclosed_and_lone_tags(html, want):
