@@ -128,7 +128,7 @@ class Survey:
         read = cut(read.withColumn("row", F.monotonically_increasing_id()))
         order = Window.orderBy("taustart_ts", "freq_eff", "path", "row")  # a short row an image
         meta = cut(fits.metadata(read, "row").withColumn("image", (F.row_number().over(order) + last).cast("long")))
-        images = read.select("row", "nx", "ny", "pixels").join(F.broadcast(meta), "row")  # images of a time step
+        images = read.select("row", "header", "nx", "ny", "pixels").join(F.broadcast(meta), "row")  # images of a time step
         noise = frames.noise(images, p["tile"], p["margin"])
         flags = images.select("image", (F.array_min("pixels") == F.array_max("pixels")).alias("flat"), F.exists("pixels", F.isnan).alias("nan"))
         noise, flags = cut_all(noise, flags)
@@ -189,7 +189,7 @@ class Survey:
         linked = a.memberships(before.runcat.selectExpr("runcat", "wm_ra AS ra", "wm_decl AS decl"), new_fields.selectExpr("id AS skyrgn", "centre_ra", "centre_decl", "xtr_radius"))
         after = a.State(before.runcat, before.flux, before.assoc, cut(before.skyrgn.unionByName(linked)), before.newsource)
         regions = regions if regions.count() > 1 else None
-        first_id = min((r["image"] for r in ordered), default=0)
+        first_id = min((r["image"] for r in ordered), default=1 << 40)
         times = store.read("image").selectExpr("id AS image", "taustart_ts AS ts")
         founded = before.assoc.groupBy("runcat").agg(F.min("xtrsrc").alias("x")).selectExpr("runcat", f"x DIV {IMAGE} AS image").join(times, "image").select("runcat", "ts")
         limits, founded = cut_all(self._limits(), founded)
@@ -259,7 +259,7 @@ class Survey:
         if self.p["monitors"]:
             changes["monitor"] = c.difference("monitor", store.read("monitor", cells, celled=True), monitors)
         if self.p["copy_images"]:
-            changes["imagedata"] = images.selectExpr("image", "path AS fits_header", "CAST(NULL AS BINARY) AS fits_data")
+            changes["imagedata"] = fits.blobs(images)
         return store.commit(changes, note)
 
     def ended(self) -> None:

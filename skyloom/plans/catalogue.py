@@ -6,8 +6,9 @@ renamed into place, which also holds what the caller notes with it (the number o
 note are of one step, a reader sees a version whole or not at all, and what a lost attempt left is overwritten.
 
 `read` takes the cells that it is asked for and the newest row of each key in each cell, a maximum that is combined before
-the shuffle. Every EVERY versions the newest rows are written as a new generation, so that a step costs what its cells
-hold and what changed there, and reads no more than EVERY versions of it.
+the shuffle. Every EVERY versions the newest rows of tables with keys are written as a new generation, so that a step costs
+what its cells hold and what changed there, and reads no more than EVERY versions of it. Tables that are only added to
+(measurements, images) stay in their first generation and are never written again.
 """
 
 from __future__ import annotations
@@ -58,6 +59,9 @@ class Catalogue:
         path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
         return path, path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
 
+    def _folder(self, name: str, generation: int) -> str:
+        return f"{name}/{generation if name in KEYS else 0}"
+
     def log(self) -> dict:
         """What was published last: version, generation, and the caller's note."""
         path, fs = self._path("_log")
@@ -86,13 +90,14 @@ class Catalogue:
     def read(self, name: str, cells: list[int] | None = None, celled: bool = False) -> DataFrame:
         """The newest rows of a table, of all cells or some; with their cell, if asked."""
         entry, rows = self.log(), schema(name)
-        path, fs = self._path(f"{name}/{entry['generation']}")
+        home = self._folder(name, entry["generation"])
+        path, fs = self._path(home)
         columns = [f.name for f in rows]
         if not fs.exists(path):
             found = self.spark.createDataFrame([], rows).withColumn("cell", F.lit(0))
         else:
             kept = schema(name).add("gone", "boolean").add("version", "long").add("cell", "integer")
-            found = self.spark.read.schema(kept).parquet(f"{self.root}/{name}/{entry['generation']}").filter(F.col("version") <= entry["version"])
+            found = self.spark.read.schema(kept).parquet(f"{self.root}/{home}").filter(F.col("version") <= entry["version"])
             if cells is not None and name in ON_SKY:
                 found = found.filter(F.col("cell").isin(cells))
             if name in KEYS:
@@ -106,14 +111,14 @@ class Catalogue:
     # -- writing ----------------------------------------------------------------------------------------------------
 
     def _write(self, name: str, generation: int, version: int, rows: DataFrame) -> None:
-        rows.hint("rebalance", "cell").write.mode("overwrite").partitionBy("cell").parquet(f"{self.root}/{name}/{generation}/version={version}")
+        rows.hint("rebalance", "cell").write.mode("overwrite").partitionBy("cell").parquet(f"{self.root}/{self._folder(name, generation)}/version={version}")
 
     def commit(self, changes: dict[str, DataFrame], note: dict | None = None) -> int:
         """Appends changes(columns, cell, and gone where rows are) and publishes them with the note. The version."""
         entry = self.log()
         version, generation = entry["version"] + 1, entry["generation"]
         for name in DDL:  # what an attempt that was lost left of this version
-            stale, fs = self._path(f"{name}/{generation}/version={version}")
+            stale, fs = self._path(f"{self._folder(name, generation)}/version={version}")
             fs.delete(stale, True)
         full = {n: df.withColumns({c: F.lit(v) for c, v in (("gone", False), ("cell", 0)) if c not in df.columns}) for n, df in changes.items()}
         with ThreadPoolExecutor(8) as pool:  # tables do not depend on each other
@@ -127,7 +132,7 @@ class Catalogue:
         """The newest rows as the first version of a new generation."""
         entry = self.log()
         version, generation = entry["version"] + 1, entry["generation"] + 1
-        names = [n for n in (*KEYS, "extractedsource", "image", "skyregion", "frequencyband", "config", "imagedata") if (p := self._path(f"{n}/{entry['generation']}"))[1].exists(p[0])]
+        names = [n for n in KEYS if (p := self._path(f"{n}/{entry['generation']}"))[1].exists(p[0])]
         with ThreadPoolExecutor(8) as pool:
             list(pool.map(lambda n: self._write(n, generation, version, self.read(n, celled=True).withColumn("gone", F.lit(False))), names))
         self._publish({"version": version, "generation": generation, "note": entry["note"]})

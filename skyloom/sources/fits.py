@@ -124,6 +124,21 @@ def write_images(images: DataFrame, folder: str) -> int:
     return images.sparkSession.read.parquet(folder).count()
 
 
+def blobs(images: DataFrame) -> DataFrame:
+    """images(image, header map, nx, ny, pixels) -> image, fits_header (its cards, a line each), fits_data (a FITS file)."""
+
+    def run(batches):
+        import pyarrow as pa
+
+        for b in batches:
+            for image, header, nx, ny, pixels in zip(*(b.column(c).to_pylist() for c in ("image", "header", "nx", "ny", "pixels")), strict=True):
+                cards = dict(header or [])
+                raw = render(np.array(pixels, float).reshape(nx, ny), {k: v for k, v in cards.items() if k not in ("BSCALE", "BZERO", "SIMPLE", "BITPIX", "NAXIS")})  # pixels are scaled already
+                yield pa.RecordBatch.from_arrays([pa.array([image], pa.int64()), pa.array(["\n".join(f"{k} = {v}" for k, v in cards.items())]), pa.array([raw], pa.binary())], names=["image", "fits_header", "fits_data"])
+
+    return images.select("image", "header", "nx", "ny", "pixels").mapInArrow(run, "image long, fits_header string, fits_data binary")
+
+
 # -- header columns ---------------------------------------------------------------------------------------------------
 
 

@@ -25,13 +25,15 @@ def folder(tmp_path_factory):
 
 
 def test_images_become_a_catalogue(spark, folder, tmp_path):
-    state, measured = batch.run(spark, str(folder / "*.fits"), str(tmp_path / "store"), sys_err_arcsec=10.0)
+    state, measured = batch.run(spark, str(folder / "*.fits"), str(tmp_path / "store"), sys_err_arcsec=10.0, copy_images=True, compaction=3)
     assert measured.count() == 6 and state.runcat.count() == 2 and {r.datapoints for r in state.runcat.collect()} == {3}
     v = sorted(r.v_int for r in batch.variability(state, measured).collect())
     assert v[0] < 0.1 < 0.25 < v[1]
     store = Catalogue(spark, str(tmp_path / "store"))
     assert sorted(str(r.reason) for r in store.read("image").collect()) == ["None"] * 3 + ["flat image"]
-    assert store.log()["version"] == 6 and store.read("varmetric").count() == 2 and store.read("dataset").first().process_end_ts is not None
+    assert store.log()["version"] > 6 and store.log()["generation"] >= 2 and store.read("varmetric").count() == 2 and store.read("dataset").first().process_end_ts is not None
+    copies = {r.image: fits.parse(bytes(r.fits_data)) for r in store.read("imagedata").collect()}
+    assert len(copies) == 4 and all(h["CRVAL1"] == "180.0" and data.shape == (96, 96) for h, _, data in copies.values())
     for r in store.read("extractedsource").collect():  # the two planted places, in degrees
         assert abs(r.decl - 30) < 0.4 and 0 < r.error_radius < 60 and 60 < r.semimajor < 140 and r.uew > 10 / 3600
 
