@@ -15,9 +15,10 @@ be told apart to that depth, so the blockwise construction becomes:
 Texts travel deflated and once: all four uses of them are the same exchange. No suffix travels with its text: a name takes a few bytes, and each once for each bundle of documents, so neither a
 passage that a third of all documents share nor a large group of copies gathers in one task. Whole copies of a
 document with a smaller doc_id are found first by digest and need no third step. Memory is bounded by a bundle or a
-part of fixed size.
+part of fixed size, except that rows of one doc_id, and rows without one, are one bundle however many they are.
 
-Exact but for 64-bit hash collisions. Defined results: a null text is the empty text. Texts below LENGTH bytes are kept
+Exact but for chance meetings of names, which have the bits that `repeats.narrowed` keeps, 64 at most; bytes are not
+compared. Defined results: a null text is the empty text. Texts below LENGTH bytes are kept
 whole. Rows with the same doc_id never remove each other's bytes; null doc_ids count as greater than all others and
 never remove anything. An empty table gives no rows. Other columns are not read.
 """
