@@ -30,7 +30,7 @@ from skyloom.llm.common import cut, table
 
 MODEL = "piece_bpe_32k.model"
 MARK = "▁"
-ROUNDS = 2
+ROUNDS = 3
 
 
 def vocabulary(path: str) -> list[str]:
@@ -49,7 +49,13 @@ class Pieces:
         total = math.log(sum(taken.values()) + len(names))
         self.score = {p: math.log(taken.get(p, 0) + 1) - total for p in names}
         self.unknown = min(self.score.values(), default=0.0) - 10
-        self.tails = {p[i:] for p in names for i in range(len(p))}
+        #: Pieces from their last character to their first: each node is (following nodes by character, score or None).
+        self.back: dict[str, tuple[dict, float | None]] = {}
+        for p, s in self.score.items():
+            node = self.back
+            for c in p[:0:-1]:
+                node = node.setdefault(c, ({}, None))[0]
+            node[p[0]] = (node[p[0]][0] if p[0] in node else {}, s)
 
 
 class Trie:
@@ -60,22 +66,22 @@ class Trie:
         self.best, self.count, self.start = [0.0], [0], [0]  # of each prefix of word, and where its last piece begins
 
     def tokens(self, word: str) -> int:
-        score, tails, unknown = self.pieces.score, self.pieces.tails, self.pieces.unknown
+        back, unknown = self.pieces.back, self.pieces.unknown
         shared, most = 0, min(len(word), len(self.word))
         while shared < most and word[shared] == self.word[shared]:
             shared += 1
         best, count, begin = self.best, self.count, self.start
         del best[shared + 1 :], count[shared + 1 :], begin[shared + 1 :]
         for end in range(shared + 1, len(word) + 1):
-            n = len(word[end - 1].encode("utf-8", "surrogatepass"))
+            c = word[end - 1]
+            n = 1 if c < "\x80" else len(c.encode("utf-8", "surrogatepass"))
             top, least, at = best[end - 1] + unknown * n, count[end - 1] + n, end - 1
-            for start in range(end - 1, -1, -1):
-                piece = word[start:end]
-                if piece not in tails:
-                    break
-                s = score.get(piece)
-                if s is not None and (best[start] + s > top or best[start] + s == top and count[start] + 1 < least):
-                    top, least, at = best[start] + s, count[start] + 1, start
+            node, start = back, end
+            while start and (hit := node.get(word[start - 1])) is not None:
+                start -= 1
+                node, s = hit
+                if s is not None and (t := best[start] + s) >= top and (t > top or count[start] + 1 < least):
+                    top, least, at = t, count[start] + 1, start
             best.append(top)
             count.append(least)
             begin.append(at)
@@ -91,10 +97,6 @@ class Trie:
         return out[::-1]
 
 
-def words_of(text: str | None) -> list[str]:
-    return [w.decode("utf-8", "surrogatepass") for w in (text or "").encode("utf-8", "surrogatepass").split()]
-
-
 def word_counts(docs: DataFrame, keep: int = 500_000) -> DataFrame:
     """word, n over all texts. A task hands its sums on whenever it holds `keep` words."""
 
@@ -152,14 +154,14 @@ def count_tokens(docs: DataFrame, model: str | None = None, keep: int = 500_000,
             ids, texts = batch.column(0).cast(pa.int64()), batch.column(1).to_pylist()
             words, tokens = [], []
             for at in range(0, len(texts), 256):
-                split = [words_of(t) for t in texts[at : at + 256]]
-                new = {w for doc in split for w in doc if w not in known}
+                split = [(t or "").encode("utf-8", "surrogatepass").split() for t in texts[at : at + 256]]
+                new = set().union(*split) - known.keys()
                 if len(known) + len(new) > keep:
                     known.clear()
-                    new = {w for doc in split for w in doc}
+                    new = set().union(*split)
                 trie = Trie(pieces)
-                for w in sorted(new):
-                    known[w] = trie.tokens(MARK + w)
+                for w in sorted(new):  # bytes of UTF-8 sort as their characters do
+                    known[w] = trie.tokens(MARK + w.decode("utf-8", "surrogatepass"))
                 words += [len(doc) for doc in split]
                 tokens += [sum(map(known.__getitem__, doc)) for doc in split]
             yield pa.RecordBatch.from_arrays([ids, pa.array(words, pa.int64()), pa.array(tokens, pa.int64())], names=["doc_id", "n_words", "n_tokens"])
