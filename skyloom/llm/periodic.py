@@ -12,9 +12,10 @@ No run is missed. A run of period q and length L holds a block at a multiple of
 q < B = FIRST = 8 from L >= 24 and q <= 8: 15 + 7 <= 24. Hence least >= 3 * FIRST - 2 and times >= 3 are asked for.
 
 A stretch found at a multiple of its smallest period is found at that period, too, with the same ends, and the smaller
-distance is kept. Sizes end where 3B exceeds the document. The automaton holds the blocks of SEGMENT words (or of one
+distance is kept; seeds inside a run at a multiple of its period are passed over, so a long run is extended once. Sizes end where 3B exceeds the document. The automaton holds the blocks of SEGMENT words (or of one
 block, where that is longer) at a time, so that memory grows with the words of a document by a small factor only.
-Nothing is shuffled; a document is one row's work.
+Nothing is shuffled; a document is one row's work. The automaton follows failure links at every word, so a text that is one
+run of a short period costs time that grows with the square of its words (8.5 s at 100,000; 0.3 s at 20,000).
 
 Defined results: null, empty and white texts have no words and no runs. Every row is taken by itself, so repeated rows give
 equal rows. An empty table gives no rows. Other columns are not read.
@@ -83,17 +84,22 @@ def runs(ids: np.ndarray, least: int = LEAST, times: int = TIMES, segment: int =
     if least < 3 * FIRST - 2 or times < 3:
         raise ValueError(f"least must be {3 * FIRST - 2} or more, and times 3 or more")
     n, found, size = len(ids), {}, FIRST
+    until, every = np.zeros(n, np.int64), np.ones(n, np.int64)  # of each word, where the run over it that reaches farthest ends, and its period
     while n >= least and 3 * size <= max(n, 3 * FIRST):  # at the first size, periods are shorter, too
         reached: dict[int, int] = {}  # of each distance, where the last stretch ends
         for x, d in seeds(ids, size, segment):
             if x + size + d <= reached.get(d, 0):  # inside a stretch that is known
                 continue
+            if x + size + d <= until[x] and d % every[x] == 0:  # a multiple of a known run's period: the same ends
+                continue
             right = x + size + _equal(ids[x + size :], ids[x + size + d :])
             left = x - _equal(ids[:x][::-1], ids[d : x + d][::-1])
             reached[d] = right + d
             length = right + d - left
             if length >= max(least, times * d):
                 found[left, length] = min(d, found.get((left, length), d))
+                farther = np.flatnonzero(until[left : left + length] < left + length) + left
+                until[farther], every[farther] = left + length, d
         size *= 2
     return sorted((start, length, d) for (start, length), d in found.items())
 

@@ -75,9 +75,9 @@ COLUMNS = ["doc_id", "n_runs", "start", "length", "period", "exponent_milli", "r
 
 def test_whole_documents(spark):
     rng = random.Random(2)
-    texts = [None, "", " \t\n", "one", "same " * 100, "a b c " * 40, "long " + "x y " * 30_000, "  ".join(f"w{x}" for x in planted(rng, 300, 30)), "é ü é ü " * 30]
+    texts = [None, "", " \t\n", "one", "same " * 100, "a b c " * 40, "long " + "x y " * 3_000, "  ".join(f"w{x}" for x in planted(rng, 300, 30)), "é ü é ü " * 30]
     texts += [" ".join(f"w{x}" for x in planted(rng, 150, 60)) for _ in range(150)]
-    rows = [(i * 7, t, i, "x") for i, t in enumerate(texts) if t is None or len(t) < 50_000] + [(None, "z z " * 20, 1, "x"), (7, "twice " * 30, 1, "x"), (7, "twice " * 30, 1, "x")]
+    rows = [(i * 7, t, i, "x") for i, t in enumerate(texts) if t is None or len(t) < 5_000] + [(None, "z z " * 20, 1, "x"), (7, "twice " * 30, 1, "x"), (7, "twice " * 30, 1, "x")]
     df = spark.createDataFrame(rows, "doc_id long, text string, start long, runs string")
     got = periodic.detect(df, words=periodic.folded, spans=False).select(COLUMNS).collect()
     assert sorted(map(tuple, got), key=str) == sorted((expected(i, t) for i, t, *_ in rows), key=str)
@@ -85,10 +85,10 @@ def test_whole_documents(spark):
 
 
 def test_long_text_of_few_runs(spark):
-    df = spark.createDataFrame([(1, "long " + "x y " * 200_000 + "end"), (2, " ".join(f"w{i % 70_000}" for i in range(210_000)))], "doc_id long, text string")
+    df = spark.createDataFrame([(1, "long " + "x y " * 10_000 + "end"), (2, " ".join(f"w{i % 7_000}" for i in range(21_000)))], "doc_id long, text string")
     got = {r.doc_id: r for r in periodic.detect(df).collect()}
-    assert [tuple(x) for x in got[1].runs] == [(1, 400_000, 2)] and got[1].collapsed == "long x y end"
-    assert [tuple(x) for x in got[2].runs] == [(0, 210_000, 70_000)] and got[2].exponent_milli == 3000
+    assert [tuple(x) for x in got[1].runs] == [(1, 20_000, 2)] and got[1].collapsed == "long x y end"
+    assert [tuple(x) for x in got[2].runs] == [(0, 21_000, 7_000)] and got[2].exponent_milli == 3000
 
 
 def test_query_on_real_documents(spark):
