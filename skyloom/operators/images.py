@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from skyloom.functions import clock, ephemeris
 from skyloom.functions import geometry as g
 
 
@@ -121,9 +122,13 @@ def first_reason(*reasons: Column) -> Column:
 BRIGHT = (("CasA", 350.85, 58.815), ("CygA", 299.868153, 40.733916), ("VirA", 187.705930, 12.391123), ("TauA", 83.633083, 22.014500), ("HerA", 252.783433, 4.992561))
 
 
-def bright_reason(ra: Column, decl: Column, radius: float = 10.0) -> Column:
-    """A fixed bright source within the radius. The Sun and planets are not looked up."""
-    near = [F.when(g.distance_deg(ra, decl, F.lit(a), F.lit(d)) < radius, F.lit(f"{name} near")) for name, a, d in BRIGHT]
+def bright_reason(ra: Column, decl: Column, radius: float = 10.0, ts: Column | None = None) -> Column:
+    """A fixed bright source within the radius, or the Sun or Jupiter at a time, if one is given; the first of them, or null."""
+    known = ra.isNotNull() & decl.isNotNull()
+    near = [F.when(known & (g.distance_deg(ra, decl, F.lit(a), F.lit(d)) < radius), F.lit(f"{name} near")) for name, a, d in BRIGHT]
+    for name, of in (ephemeris.BODIES if ts is not None else {}).items():
+        close = ephemeris.bound({"p": of(clock.mjd(ts))}, lambda k: g.distance_deg(ra, decl, k["p"]["ra"], k["p"]["decl"]) < radius)
+        near.append(F.when(known & ts.isNotNull() & close, F.lit(f"{name} near")))
     return F.coalesce(*near)
 
 
@@ -173,6 +178,19 @@ def noise_level(freq: Column, bandwidth: Column, tau: Column, counts: tuple[Colu
     return 1 / F.sqrt(4 * bandwidth * tau * total)
 
 
+#: Aerials of a tile, and tiles of a core, remote and international station.
+TILE, TILES = 16, (24, 48, 96)
+
+
+def high_band_noise(freq: Column, bandwidth: Column, tau: Column, antenna: Column, counts: tuple[Column, Column, Column]) -> Column:
+    """Theoretical noise in jansky of an image by high-band stations (core, remote, international); null for other aerials.
+
+    Low-band aerials need their distances (`nearest_neighbour`, `dipole_area`), which an image's header does not have.
+    """
+    areas = tuple(dipole_area(freq) * TILE * n for n in TILES)
+    return F.when(F.upper(antenna).startswith("HBA"), noise_level(freq, bandwidth, tau, counts, areas))
+
+
 def nearest_neighbour(antennas: DataFrame) -> DataFrame:
     """station, antenna, distance to its station's nearest other antenna. A station has at most a few hundred."""
     a, b = antennas.alias("a"), antennas.alias("b")

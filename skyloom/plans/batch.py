@@ -31,7 +31,7 @@ log = logging.getLogger(__name__)
 #: Defaults of a job.
 DEFAULTS = {
     "detection": 8.0, "analysis": 3.0, "tile": (32, 32), "margin": 0, "radius": 0.1, "de_ruiter": a.DE_RUITER, "sys_err_arcsec": 10.0, "rms_low": 0.0, "rms_high": 100.0, "force_beam": False, "new_source_sigma": 3.0,
-    "expiration": 10, "box_in_beams": 4.0, "bandwidth_max": 0.0, "history": 100, "history_sigma": 5.0, "bright_radius": 10.0, "monitors": (), "dataset": 1, "description": "", "copy_images": False, "compaction": c.EVERY,
+    "expiration": 10, "box_in_beams": 4.0, "bandwidth_max": 0.0, "history": 100, "history_sigma": 5.0, "bright_radius": 10.0, "noise_low": 1.0, "noise_high": 80.0, "monitors": (), "dataset": 1, "description": "", "copy_images": False, "compaction": c.EVERY,
 }
 #: Where the numbers of an image's measurements begin, by how they were made: blind, at null detections, at monitors.
 BLIND, NULL, MONITOR, IMAGE = 0, 500_000, 900_000, 1_000_000
@@ -49,16 +49,20 @@ def images_of(spark: SparkSession, path: str) -> DataFrame:
     return cut(read.select("path", "nx", "ny", "pixels").join(F.broadcast(numbered) if im._few(numbered) else numbered, "path"))
 
 
-def reason(low: float, high: float, bright_radius: float) -> Column:
-    """Why to set an image(flat, nan, rms_qc, beam_*_pix, tau_time, centre_*, telescope) aside, or null, by what its telescope is held to.
+def reason(low: float, high: float, bright_radius: float, noise_low: float = 1.0, noise_high: float = 80.0) -> Column:
+    """Why to set an image(flat, nan, rms_qc, beam_*_pix, tau_time, taustart_ts, centre_*, telescope, antenna_set, n*) aside, or null.
 
-    All: flat. AARTFAAC and unknown telescopes: NaN. LOFAR and unknown ones: noise, beam. LOFAR: integration time, bright sources.
+    All: flat. AARTFAAC and unknown telescopes: NaN. LOFAR and unknown ones: noise, beam. LOFAR: integration time, noise against
+    the theoretical one (where the header tells high-band stations), bright sources, the Sun and Jupiter at the image's time.
     """
     telescope = F.upper(F.coalesce("telescope", F.lit("")))
     lofar, other = telescope == "LOFAR", telescope != "AARTFAAC"
+    stations = tuple(F.coalesce(k, F.lit(0.0)) for k in ("ncore", "nremote", "nintl"))
+    noise = F.when(lofar & (stations[0] + stations[1] + stations[2] > 1), im.high_band_noise(F.col("freq_eff"), F.col("freq_bw"), F.col("tau_time"), F.col("antenna_set"), stations))
     return im.first_reason(
-        F.when(F.col("flat"), F.lit("flat image")), F.when(~lofar & F.col("nan"), F.lit("contains nan")), F.when(lofar & (F.col("tau_time") == 0), F.lit("tau_time is 0")), F.when(other, im.rms_reason(F.col("rms_qc"), low, high)),
-        F.when(other, im.beam_reason(F.col("beam_smaj_pix"), F.col("beam_smin_pix"))), F.when(lofar, im.bright_reason(F.col("centre_ra"), F.col("centre_decl"), bright_radius)),
+        F.when(F.col("flat"), F.lit("flat image")), F.when(~lofar & F.col("nan"), F.lit("contains nan")), F.when(lofar & (F.col("tau_time") == 0), F.lit("tau_time is 0")),
+        F.when(noise.isNotNull(), im.noise_reason(F.col("rms_qc"), noise, noise_low, noise_high)), F.when(other & noise.isNull(), im.rms_reason(F.col("rms_qc"), low, high)),
+        F.when(other, im.beam_reason(F.col("beam_smaj_pix"), F.col("beam_smin_pix"))), F.when(lofar, im.bright_reason(F.col("centre_ra"), F.col("centre_decl"), bright_radius, F.col("taustart_ts"))),
     )
 
 
@@ -132,7 +136,7 @@ class Survey:
         noise = frames.noise(images, p["tile"], p["margin"])
         flags = images.select("image", (F.array_min("pixels") == F.array_max("pixels")).alias("flat"), F.exists("pixels", F.isnan).alias("nan"))
         noise, flags = cut_all(noise, flags)
-        meta = meta.join(flags, "image").join(noise, "image").withColumn("reason", reason(p["rms_low"], p["rms_high"], p["bright_radius"]))
+        meta = meta.join(flags, "image").join(noise, "image").withColumn("reason", reason(p["rms_low"], p["rms_high"], p["bright_radius"], p["noise_low"], p["noise_high"]))
         return images, cut(meta)
 
     def _placed(self, meta: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:

@@ -7,6 +7,7 @@ import uuid
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from skyloom.functions import clock, ephemeris
 from skyloom.functions import geometry as g
 from skyloom.imaging import tiles as tiling
 from skyloom.operators import association as a
@@ -124,6 +125,51 @@ def projections(spark, sf_dir):
     return m.withColumn("p", pixels).withColumn("b", back).select("xtrsrc", r(F.col("p")[0]["x"], 3).alias("x"), r(F.col("p")[0]["y"], 3).alias("y"), r(F.col("b")[0]["ra"], 5).alias("ra"), r(F.col("b")[0]["decl"], 5).alias("decl"))
 
 
+# -- bodies that move -------------------------------------------------------------------------------------------------------
+
+
+def _orbit(name: str, e: tuple) -> str:
+    """CTEs that put a body's place on the ecliptic at t into {name}(event_id, x, y, z)."""
+    (a, da), (ecc, decc), (inc, dinc), (mean, dmean), (peri, dperi), (node, dnode) = e
+    turns = "".join(f", {name}{i} AS (SELECT *, m + e * SIN(k{i - 1}) AS k{i} FROM {name}{i - 1})" for i in range(1, ephemeris.ROUNDS + 1))
+    last = f"k{ephemeris.ROUNDS}"
+    return f"""{name}_ AS (SELECT event_id, {a} + {da} * t AS a, {ecc} + {decc} * t AS e, RADIANS({inc} + {dinc} * t) AS i,
+   RADIANS({mean} + {dmean} * t - ({peri} + {dperi} * t)) AS m, RADIANS({peri} + {dperi} * t - ({node} + {dnode} * t)) AS w, RADIANS({node} + {dnode} * t) AS o FROM d),
+ {name}0 AS (SELECT *, m AS k0 FROM {name}_){turns},
+ {name}p AS (SELECT *, a * (COS({last}) - e) AS p, a * SQRT(1 - e * e) * SIN({last}) AS q FROM {name}{ephemeris.ROUNDS}),
+ {name}r AS (SELECT *, COS(w) * p - SIN(w) * q AS l, SIN(w) * p + COS(w) * q AS c FROM {name}p),
+ {name} AS (SELECT event_id, COS(o) * l - SIN(o) * COS(i) * c AS x, SIN(o) * l + COS(o) * COS(i) * c AS y, SIN(i) * c AS z FROM {name}r)"""
+
+
+def _seen(x: str, y: str, z: str, name: str) -> str:
+    u, v = f"(COS(RADIANS(23.4392911)) * ({y}) - SIN(RADIANS(23.4392911)) * ({z}))", f"(SIN(RADIANS(23.4392911)) * ({y}) + COS(RADIANS(23.4392911)) * ({z}))"
+    ra = f"DEGREES(ATAN2({u}, {x}))"
+    return f"{ra} - 360 * FLOOR({ra} / 360) AS {name}_ra, DEGREES(ATAN2({v}, SQRT(({x}) * ({x}) + {u} * {u}))) AS {name}_decl"
+
+
+@query(f"""
+WITH d AS (SELECT event_id, ts, user_id, (EPOCH_US(ts) / 86400e6 + 40587 - 51544.5) / 36525 AS t FROM events),
+{_orbit("earth", ephemeris.EARTH)},
+{_orbit("jove", ephemeris.JUPITER)},
+n AS (
+  SELECT event_id, t, RADIANS(125.04452 - 1934.136261 * t) AS o, RADIANS(280.4665 + 36000.7698 * t) AS s, RADIANS(218.3165 + 481267.8813 * t) AS m FROM d),
+f AS (
+  SELECT *, -17.20 * SIN(o) - 1.32 * SIN(2 * s) - 0.23 * SIN(2 * m) + 0.21 * SIN(2 * o) AS psi,
+    23.4392911 - 0.0130042 * t + (9.20 * COS(o) + 0.57 * COS(2 * s) + 0.10 * COS(2 * m) - 0.09 * COS(2 * o)) / 3600 AS eps,
+    280.46061837 + 360.98564736629 * t * 36525 + 0.000387933 * t * t - t * t * t / 38710000 + 6.869837 AS mean FROM n),
+g AS (SELECT event_id, mean + psi * COS(RADIANS(eps)) / 3600 AS lst FROM f),
+b AS (
+  SELECT event_id, {_seen("-e.x", "-e.y", "-e.z", "sun")}, {_seen("j.x - e.x", "j.y - e.y", "j.z - e.z", "jupiter")} FROM earth e JOIN jove j USING (event_id))
+SELECT event_id, ROUND(sun_ra, 5) AS sun_ra, ROUND(sun_decl, 5) AS sun_decl, ROUND(jupiter_ra, 5) AS jupiter_ra, ROUND(jupiter_decl, 5) AS jupiter_decl, ROUND((lst - 360 * FLOOR(lst / 360)) * 240, 2) AS lst_seconds
+FROM b JOIN g USING (event_id)
+""")
+def sun_jupiter_sidereal(spark, sf_dir):
+    """Where the Sun and Jupiter stood at each event, and the local apparent sidereal time."""
+    day = clock.mjd(F.col("ts"))
+    e = fx.read(spark, sf_dir, "events").select("event_id", ephemeris.sun(day).alias("sun"), ephemeris.jupiter(day).alias("jupiter"), r(ephemeris.apparent_sidereal_seconds(day), 2).alias("lst_seconds"))
+    return e.select("event_id", *(r(f"{name}.{axis}", 5).alias(f"{name}_{axis}") for name in ("sun", "jupiter") for axis in ("ra", "decl")), "lst_seconds")
+
+
 # -- stored catalogues ----------------------------------------------------------------------------------------------------
 
 

@@ -195,8 +195,8 @@ def end_time(h: Column) -> Column:
 
 
 def duration(h: Column) -> Column:
-    """Seconds from start to end of the observation, both as written; 0 where one of them is not known."""
-    return F.coalesce((F.unix_micros(end_time(h)) - F.unix_micros(_written_start(h))) / 1e6, F.lit(0.0))
+    """TAU_TIME of an image that names its aerials, else seconds from start to end of the observation, both as written; 0 where one is not known."""
+    return F.coalesce(F.when(text(h, "ANTENNA").isNotNull(), number(h, "TAU_TIME")), (F.unix_micros(end_time(h)) - F.unix_micros(_written_start(h))) / 1e6, F.lit(0.0))
 
 
 def beam_pixels(smaj: Column, smin: Column, pa: Column, dx: Column, dy: Column) -> tuple[Column, Column, Column]:
@@ -219,6 +219,11 @@ def in_degrees(h: Column, key: str, axis: int) -> Column:
     return F.when(unit.startswith("rad"), F.degrees(number(h, key))).otherwise(number(h, key))
 
 
+def stations(h: Column) -> list[Column]:
+    """The aerials and the numbers of core, remote and international stations, null where the header does not tell."""
+    return [text(h, "ANTENNA").alias("antenna_set"), *(number(h, key).alias(key.lower()) for key in ("NCORE", "NREMOTE", "NINTL"))]
+
+
 def metadata(images: DataFrame, *more: str) -> DataFrame:
     """path and the columns that every image must have, and more of images; a missing one or a pixel that is not square is an error."""
     h = F.col("header")
@@ -232,7 +237,7 @@ def metadata(images: DataFrame, *more: str) -> DataFrame:
     read = images.select(
         "path", "nx", "ny", F.col("path").alias("url"), square.alias("deltax"), dy.alias("deltay"), must(freq, "frequency").alias("freq_eff"), width.alias("freq_bw"), must(start_time(h), "start time").alias("taustart_ts"), duration(h).alias("tau_time"),
         smaj.alias("beam_smaj_pix"), smin.alias("beam_smin_pix"), t.alias("beam_pa_rad"), must(in_degrees(h, "CRVAL1", 1), "reference position").alias("crval1"), must(in_degrees(h, "CRVAL2", 2), "reference position").alias("crval2"),
-        number(h, "CRPIX1").alias("crpix1"), number(h, "CRPIX2").alias("crpix2"), F.coalesce(number(h, "CROTA2"), F.lit(0.0)).alias("crota2"), text(h, "TELESCOP").alias("telescope"), projection(h).alias("projection"), *more,
+        number(h, "CRPIX1").alias("crpix1"), number(h, "CRPIX2").alias("crpix2"), F.coalesce(number(h, "CROTA2"), F.lit(0.0)).alias("crota2"), text(h, "TELESCOP").alias("telescope"), projection(h).alias("projection"), *stations(h), *more,
     )
     w = {k: F.col(v) for k, v in (("crpix1", "crpix1"), ("crpix2", "crpix2"), ("crval1", "crval1"), ("crval2", "crval2"), ("cdelt1", "deltax"), ("cdelt2", "deltay"), ("crota2", "crota2"))}
     middle = F.transform(F.array(F.struct((F.col("nx") / 2).alias("x"), (F.col("ny") / 2).alias("y"))), lambda p: F.struct(*(c.alias(n) for c, n in zip(g.sky_of_pixel(p["x"], p["y"], w, F.col("projection")), ("ra", "decl"), strict=True))))[0]
