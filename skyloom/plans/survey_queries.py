@@ -18,6 +18,8 @@ from skyloom.plans import fixtures as fx
 from skyloom.plans import queries as q
 from skyloom.plans.queries import r, rounded
 from skyloom.plans.state import cut, shared_folder
+from skyloom.sources import fits
+from skyloom.sources.fits_files import FitsImages
 
 QUERIES: dict = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -219,6 +221,16 @@ def fdr_over_pixels(spark, sf_dir):
 # -- islands over tiles -----------------------------------------------------------------------------------------------------
 
 
+def vector_images(spark, sf_dir) -> DataFrame:
+    """Images of 100 by 64 whole numbers, a hundred vectors each; vectors that are not there are zeros."""
+    v = fx.read(spark, sf_dir, "embeddings").filter("size(embedding) = 64")
+    row = F.transform("embedding", lambda e: F.round(e.cast("double") * 100))
+    rows = v.groupBy(F.floor(F.col("vec_id") / 100).alias("image")).agg(F.map_from_entries(F.collect_list(F.struct((F.col("vec_id") % 100).cast("int"), row))).alias("m"))  # a hundred at most
+    empty = F.array_repeat(F.lit(0.0), 64)
+    pixels = F.flatten(F.transform(F.sequence(F.lit(0), F.lit(99)), lambda x: F.coalesce(F.try_element_at("m", x), empty)))
+    return rows.select("image", F.lit(100).alias("nx"), F.lit(64).alias("ny"), pixels.alias("pixels"))
+
+
 @query("""
 WITH RECURSIVE p AS (
   SELECT vec_id // 100 AS image, vec_id % 100 AS x, UNNEST(RANGE(64)) AS y, UNNEST(embedding) AS e FROM embeddings WHERE len(embedding) = 64),
@@ -231,9 +243,25 @@ SELECT image, island, CAST(COUNT(*) AS BIGINT) AS n, SUM(v) AS total, MAX(v) AS
 """)
 def islands_over_tiles(spark, sf_dir):
     """A hundred vectors make an image of whole numbers, cut into tiles of sixteen pixels; islands go over their borders."""
-    v = fx.read(spark, sf_dir, "embeddings").filter("size(embedding) = 64")
-    row = F.transform("embedding", lambda e: F.round(e.cast("double") * 100))
-    rows = v.groupBy(F.floor(F.col("vec_id") / 100).alias("image")).agg(F.map_from_entries(F.collect_list(F.struct((F.col("vec_id") % 100).cast("int"), row))).alias("m"))  # a hundred at most
-    empty = F.array_repeat(F.lit(0.0), 64)
-    pixels = F.flatten(F.transform(F.sequence(F.lit(0), F.lit(99)), lambda x: F.coalesce(F.try_element_at("m", x), empty)))
-    return tiling.islands(rows.select("image", F.lit(100).alias("nx"), F.lit(64).alias("ny"), pixels.alias("pixels")), 25, 18, 16, grid=False)
+    return tiling.islands(vector_images(spark, sf_dir), 25, 18, 16, grid=False)
+
+
+# -- files ----------------------------------------------------------------------------------------------------------------------
+
+
+@query("""
+WITH p AS (SELECT vec_id // 100 AS image, vec_id % 100 AS x, UNNEST(RANGE(64)) AS y, UNNEST(embedding) AS e FROM embeddings WHERE len(embedding) = 64),
+v AS (SELECT image, x * 64 + y AS k, ROUND(CAST(e AS DOUBLE) * 100) AS v FROM p)
+SELECT image, CAST(image * 1.5 AS DOUBLE) AS weight, 'no. ' || image AS object, SUM(v) AS total, SUM(v * k) AS moment, MAX(v) AS peak FROM v GROUP BY image
+""")
+def fits_files(spark, sf_dir):
+    """Images written as FITS files and read again, each file by the source in a task."""
+    spark.dataSource.register(FitsImages)
+    folder = f"{shared_folder(spark)}/fits-{uuid.uuid4()}"
+    cards = F.create_map(F.lit("WEIGHT"), (F.col("image") * 1.5).cast("string"), F.lit("OBJECT"), F.concat(F.lit("no. "), F.col("image").cast("string")))
+    named = vector_images(spark, sf_dir).select(F.format_string("%d.fits", "image").alias("name"), cards.alias("header"), "nx", "ny", "pixels")
+    named.write.format("fits_images").mode("append").save(folder)
+    back = spark.read.format("fits_images").load(folder)
+    image = F.regexp_extract("path", r"(\d+)\.fits$", 1).cast("long")
+    sums = F.aggregate(F.transform("pixels", lambda v, k: v * k), F.lit(0.0), lambda a, v: a + v)
+    return back.select(image.alias("image"), fits.number(F.col("header"), "WEIGHT").alias("weight"), fits.text(F.col("header"), "OBJECT").alias("object"), F.aggregate("pixels", F.lit(0.0), lambda a, v: a + v).alias("total"), sums.alias("moment"), F.array_max("pixels").alias("peak"))

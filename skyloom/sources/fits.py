@@ -15,12 +15,15 @@ from skyloom.functions import geometry as g
 
 BLOCK, CARD = 2880, 80
 DTYPES = {8: ">u1", 16: ">i2", 32: ">i4", 64: ">i8", -32: ">f4", -64: ">f8"}
+TEXT = re.compile(r"\s*'((?:[^']|'')*)'")
+#: What a card holds without quotes: numbers and logical values.
+BARE = re.compile(r"[-+]?(\d+\.?\d*|\.\d+)([ED][-+]?\d+)?|[TF]", re.I)
 SCHEMA = "path string, header map<string,string>, history string, nx int, ny int, pixels array<double>"
 
 
 def parse_header(raw: bytes) -> tuple[dict[str, str], str, int]:
     """Cards as text, HISTORY joined by lines, and where the data begin."""
-    header, history, at = {}, [], 0
+    header, history, at, last = {}, [], 0, None
     while at + CARD <= len(raw):
         card = raw[at : at + CARD].decode("ascii", "replace")
         at += CARD
@@ -29,8 +32,12 @@ def parse_header(raw: bytes) -> tuple[dict[str, str], str, int]:
             break
         if name == "HISTORY":
             history.append(card[8:].strip())
+        elif name == "CONTINUE" and last and header[last].endswith("&"):
+            more = TEXT.match(card[8:])
+            header[last] = header[last][:-1] + (more[1].replace("''", "'").rstrip() if more else "")
         elif card[8:10] == "= ":
-            text = re.match(r"\s*'((?:[^']|'')*)'", card[10:])
+            text = TEXT.match(card[10:])
+            last = name
             header[name] = text[1].replace("''", "'").rstrip() if text else card[10:].split("/")[0].strip()
     else:
         raise ValueError("no END card")
@@ -52,21 +59,35 @@ def parse(raw: bytes, plane: int = 0) -> tuple[dict[str, str], str, np.ndarray]:
 
 
 def _card(name: str, value) -> bytes:
+    """A value's cards: numbers and logical values bare, also those written as text; text too long for one goes on in CONTINUE cards."""
     if isinstance(value, bool):
         text = f"{'T' if value else 'F':>20}"
     elif isinstance(value, int | float | np.number):
         text = f"{value!r:>20}" if not isinstance(value, np.number) else f"{value.item()!r:>20}"
+    elif BARE.fullmatch(str(value)) and len(str(value)) <= CARD - 10:
+        text = f"{value:>20}"
     else:
-        quoted = str(value).replace("'", "''")
-        text = f"'{quoted:<8}'"
+        quoted = str(value).encode("ascii", "replace").decode().replace("'", "''")
+        parts, head = [], f"{name:<8}= "
+        while len(quoted) > CARD - 12:
+            n = CARD - 13
+            n -= (len(quoted[:n]) - len(quoted[:n].rstrip("'"))) % 2  # a doubled quote stays in one card
+            n -= len(quoted[:n]) - len(quoted[:n].rstrip(" "))  # blanks at a card's end would be lost
+            if n <= 0:
+                raise ValueError(f"{name} has more blanks in a row than a card holds")
+            parts.append(f"{head}'{quoted[:n]}&'".ljust(CARD))
+            quoted, head = quoted[n:], f"{'CONTINUE':<10}"
+        return "".join([*parts, f"{head}'{quoted:<8}'".ljust(CARD)]).encode("ascii")
     return f"{name:<8}= {text}".ljust(CARD)[:CARD].encode("ascii")
 
 
-def render(image: np.ndarray, header: dict | None = None) -> bytes:
+def render(image: np.ndarray, header: dict | None = None, history: str | None = None) -> bytes:
     """A FITS file of 64-bit floats from an image indexed [x, y]."""
     nx, ny = image.shape
     own = {"SIMPLE": True, "BITPIX": -64, "NAXIS": 2, "NAXIS1": nx, "NAXIS2": ny}
-    cards = b"".join(_card(k, v) for k, v in {**own, **{k: v for k, v in (header or {}).items() if k not in own}}.items()) + b"END".ljust(CARD)
+    cards = b"".join(_card(k, v) for k, v in {**own, **{k: v for k, v in (header or {}).items() if k not in own}}.items())
+    told = [line[i : i + CARD - 8] for line in (history or "").splitlines() for i in range(0, max(1, len(line)), CARD - 8)]
+    cards += b"".join(f"HISTORY {line}".ljust(CARD).encode("ascii", "replace") for line in told) + b"END".ljust(CARD)
     data = np.ascontiguousarray(image.T, ">f8").tobytes()
     return cards.ljust(-(-len(cards) // BLOCK) * BLOCK) + data.ljust(-(-len(data) // BLOCK) * BLOCK, b"\0")
 
