@@ -1,4 +1,4 @@
-"""skyloom find PATH [--detection 8 --analysis 3 | --fdr 0.01] [--out FOLDER], skyloom batch PATH --out FOLDER [--store FOLDER],
+"""skyloom find PATH [--detection 8 --analysis 3 | --fdr 0.01 | --detection-image FILE] [--out FOLDER] [--maps NAMES --maps-out FOLDER], skyloom batch PATH --out FOLDER [--store FOLDER],
 and skyloom stream HOST:PORT ... --landing FOLDER --store FOLDER --checkpoint FOLDER."""
 
 from __future__ import annotations
@@ -20,6 +20,9 @@ def parser() -> argparse.ArgumentParser:
         q.add_argument("--bmin", type=float)
         q.add_argument("--bpa", type=float, default=0.0)
         q.add_argument("--fixed", nargs="*", metavar="X,Y", help="fit at these pixels only")
+        q.add_argument("--detection-image", help="an image whose islands all others are measured in")
+        q.add_argument("--maps", nargs="*", default=[], metavar="NAME", help="gaussians, residual, rms, significance: FITS files of each image")
+        q.add_argument("--maps-out", help="the folder of those")
         q.add_argument("--out")
         q.add_argument("--store", help="the folder of a catalogue to begin or go on with")
     q = sub.add_parser("stream", help="images from endpoints into a catalogue, time step by time step")
@@ -33,12 +36,32 @@ def parser() -> argparse.ArgumentParser:
     return p
 
 
+def write_maps(maps, images, folder: str) -> None:
+    """Each map as a FITS file NAME.MAP.fits in a folder, with its image's place on the sky."""
+    from pyspark.sql import functions as F
+
+    from skyloom.sources.fits_files import FitsImages
+
+    maps.sparkSession.dataSource.register(FitsImages)
+    keys = {"CRPIX1": "crpix1", "CRPIX2": "crpix2", "CRVAL1": "crval1", "CRVAL2": "crval2", "CDELT1": "deltax", "CDELT2": "deltay", "CROTA2": "crota2"}
+    axes = (F.lit("CTYPE1"), F.concat(F.lit("RA---"), F.col("projection")), F.lit("CTYPE2"), F.concat(F.lit("DEC--"), F.col("projection")))
+    header = F.map_filter(F.create_map(*axes, *(x for k, c in keys.items() for x in (F.lit(k), F.col(c).cast("string")))), lambda k, v: v.isNotNull())
+    stem = F.regexp_replace(F.element_at(F.split("path", "/"), -1), r"\.[^.]*$", "")
+    named = maps.join(images.select("image", stem.alias("stem"), header.alias("header")), "image")
+    named.select(F.concat_ws(".", "stem", "map", F.lit("fits")).alias("name"), "header", "nx", "ny", "pixels").write.format("fits_images").mode("append").save(folder)
+
+
 def main(args: list[str] | None = None, spark=None) -> int:
-    a = parser().parse_args(args)
+    p = parser()
+    a = p.parse_args(args)
+    if a.command == "find" and bool(a.maps) != bool(a.maps_out):
+        p.error("--maps and --maps-out go together")
     from pyspark.sql import SparkSession
+    from pyspark.sql import functions as F
 
     from skyloom.imaging import frames
     from skyloom.plans import batch
+    from skyloom.plans.state import cut
 
     spark = spark or SparkSession.builder.appName("skyloom").getOrCreate()
     if a.command == "stream":
@@ -58,8 +81,15 @@ def main(args: list[str] | None = None, spark=None) -> int:
             wanted = [(float(x), float(y)) for x, y in (q.split(",") for q in a.fixed)]
             requests = images.select("image").crossJoin(spark.createDataFrame([(i, x, y) for i, (x, y) in enumerate(wanted)], "n int, x double, y double"))  # a user's list
             out = frames.forced(images, requests, beam)
+        elif a.detection_image:
+            first = batch.images_of(spark, a.detection_image).withColumn("field", F.lit(1))
+            found = frames.labels(first, beam, a.detection, a.analysis)
+            out = frames.extract_in(images.withColumn("field", F.lit(1)), found, beam, a.detection, a.analysis, force_beam=a.force_beam)
         else:
             out = frames.extract(images, beam, a.detection, a.analysis, force_beam=a.force_beam, alpha=a.fdr)
+        if a.maps:
+            out = cut(out)
+            write_maps(frames.result_maps(images, out, beam, tuple(a.maps)), images, a.maps_out)
         out = batch.on_sky(out, images, 0.0).select("image", "ra", "decl", "f_peak", "f_int")
     else:
         state, measured = batch.run(spark, a.path, a.store, detection=a.detection, analysis=a.analysis, force_beam=a.force_beam)

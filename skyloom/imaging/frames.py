@@ -71,6 +71,103 @@ def forced(images: DataFrame, requests: DataFrame, beam: tuple[float, float, flo
     return images.select(*_columns(beam)).groupBy("image").cogroup(requests.groupBy("image")).applyInPandas(run, FOUND)
 
 
+def labels(detecting: DataFrame, beam: tuple[float, float, float] | None = None, detection: float = 8.0, analysis: float = 3.0, tile: tuple[int, int] = (32, 32), margin: int = 0, grid: bool = True) -> DataFrame:
+    """detecting(field, nx, ny, pixels), one image a field -> field, label_nx, label_ny, islands: array of (island, cells).
+
+    An island is known by its first cell. Without a grid, background is 0 and noise 1. Two images of one field are an error.
+    """
+    if not detecting.groupBy("field").count().filter("count > 1").isEmpty():
+        raise ValueError("a field has more than one detection image")
+
+    def run(batches):
+        import pandas as pd
+
+        from skyloom.imaging.kernels import Finder
+
+        for batch in batches:
+            rows = []
+            for r in batch.itertuples():
+                data = np.asarray(r.pixels, float).reshape(r.nx, r.ny)
+                flat = {} if grid else {"background": np.zeros_like(data), "rms": np.ones_like(data)}
+                finder = Finder(data, _beam(r, beam), tile, margin, **flat)
+                rows.append((r.field, r.nx, r.ny, [{"island": int(c[0]), "cells": c.tolist()} for c in finder.labelled(detection, analysis)]))
+            yield pd.DataFrame(rows, columns=["field", "label_nx", "label_ny", "islands"])
+
+    own = detecting.select("field", "nx", "ny", "pixels", *(BEAM if beam is None else ()))
+    return own.mapInPandas(run, f"field {own.schema['field'].dataType.simpleString()}, label_nx int, label_ny int, islands array<struct<island:int,cells:array<int>>>")
+
+
+def _labelled(images: DataFrame, found: DataFrame) -> DataFrame:
+    """Images with their field's islands. An image is one row and takes its field's labels to it, so no field is a group."""
+    same = (F.col("nx") == F.col("label_nx")) & (F.col("ny") == F.col("label_ny"))
+    joined = images.join(found, "field")
+    return joined.withColumn("islands", F.when(same, F.col("islands")).otherwise(F.raise_error(F.lit("an image and its field's detection image differ in shape")).cast(found.schema["islands"].dataType)))
+
+
+def extract_in(images: DataFrame, found: DataFrame, beam: tuple[float, float, float] | None = None, detection: float = 8.0, analysis: float = 3.0, tile: tuple[int, int] = (32, 32), margin: int = 0, blend: bool = False, force_beam: bool = False) -> DataFrame:
+    """images(image, field, nx, ny, pixels) measured in the islands that `labels` found on their field's detection image.
+
+    Columns as of `extract` and island. Images of a field without detection image give nothing, as do islands without flux.
+    """
+
+    def run(batches):
+        import pandas as pd
+
+        from skyloom.imaging.kernels import Finder
+
+        for batch in batches:
+            rows = []
+            for r in batch.itertuples():
+                finder = Finder(np.asarray(r.pixels, float).reshape(r.nx, r.ny), _beam(r, beam), tile, margin)
+                n = 0
+                for i in r.islands:
+                    for f in finder.extract_in(i["cells"], detection, analysis, blend, force_beam):
+                        rows.append((*_row(r.image, n, f, finder.beam), i["island"]))
+                        n += 1
+            yield pd.DataFrame(rows, columns=[*NAMES, "island"])
+
+    return _labelled(images.select("field", *_columns(beam)), found).select(*_columns(beam), "islands").mapInPandas(run, f"{FOUND}, island int")
+
+
+def sums_in(images: DataFrame, found: DataFrame) -> DataFrame:
+    """image, island, n, total, peak of the pixels that lie in the islands of the field's detection image; nothing is taken off them."""
+    of = lambda i: F.transform(i["cells"], lambda c: F.col("pixels")[c])
+    sums = F.transform("islands", lambda i: F.struct(i["island"].alias("island"), F.size(i["cells"]).cast("long").alias("n"), F.aggregate(of(i), F.lit(0.0), lambda a, v: a + v).alias("total"), F.array_max(of(i)).alias("peak")))
+    return _labelled(images.select("image", "field", "nx", "ny", "pixels"), found).select("image", F.inline(sums))
+
+
+#: Maps by name: found Gaussians, what is left of the image without them, noise, and flux over noise.
+MAPS = ("gaussians", "residual", "rms", "significance")
+
+
+def result_maps(images: DataFrame, found: DataFrame, beam: tuple[float, float, float] | None = None, kinds: tuple[str, ...] = MAPS, tile: tuple[int, int] = (32, 32), margin: int = 0) -> DataFrame:
+    """image, map, nx, ny, pixels: a row for each map asked for of each image, from what any mode found on it.
+
+    Significance is NaN where there is no noise.
+    """
+    if not set(kinds) <= set(MAPS):
+        raise ValueError(f"maps are {', '.join(MAPS)}")
+
+    def run(image, theirs):
+        import pandas as pd
+
+        from skyloom.imaging.kernels import Finder, Found, Shape
+
+        rows = []
+        for r in image.itertuples():
+            data = np.asarray(r.pixels, float).reshape(r.nx, r.ny)
+            finder = Finder(data, _beam(r, beam), tile, margin)
+            shapes = [Found(Shape(q.peak, q.x, q.y, q.major, q.minor, q.theta), q.significance, q.chisq, q.reduced_chisq) for q in theirs.itertuples()]
+            model = finder.maps(shapes)[0]
+            with np.errstate(divide="ignore", invalid="ignore"):
+                made = {"gaussians": model, "residual": data - model, "rms": finder.rms, "significance": np.where(finder.rms > 0, finder.flux / finder.rms, np.nan)}
+            rows += [(r.image, k, r.nx, r.ny, made[k].ravel()) for k in kinds]
+        return pd.DataFrame(rows, columns=["image", "map", "nx", "ny", "pixels"])
+
+    shapes = found.select("image", "peak", "x", "y", "major", "minor", "theta", "significance", "chisq", "reduced_chisq")
+    return images.select(*_columns(beam)).groupBy("image").cogroup(shapes.groupBy("image")).applyInPandas(run, "image long, map string, nx int, ny int, pixels array<double>")
+
+
 def flux_at(images: DataFrame, positions: DataFrame, n: int = 1) -> DataFrame:
     """image, id, flux: the largest pixel within n of each of positions(image, id, x, y), by the kernel; no background is taken off."""
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from skyloom.functions import clock, ephemeris
 from skyloom.functions import geometry as g
+from skyloom.imaging import frames
 from skyloom.imaging import tiles as tiling
 from skyloom.operators import association as a
 from skyloom.operators import detections, discovery
@@ -246,6 +247,28 @@ def islands_over_tiles(spark, sf_dir):
     return tiling.islands(vector_images(spark, sf_dir), 25, 18, 16, grid=False)
 
 
+@query("""
+WITH RECURSIVE p AS (
+  SELECT vec_id // 100 AS image, vec_id % 100 AS x, UNNEST(RANGE(64)) AS y, UNNEST(embedding) AS e FROM embeddings WHERE len(embedding) = 64),
+a AS (SELECT image, x, y, x * 64 + y AS k, ROUND(CAST(e AS DOUBLE) * 100) AS v FROM p),
+v AS (SELECT * FROM a WHERE v > 18),
+r AS (
+  SELECT image, k AS root, x, y FROM v
+  UNION SELECT r.image, r.root, v.x, v.y FROM r JOIN v ON v.image = r.image AND ABS(v.x - r.x) + ABS(v.y - r.y) = 1),
+i AS (SELECT image, x, y, MIN(root) AS island FROM r GROUP BY image, x, y),
+d AS (SELECT image, island FROM i JOIN v USING (image, x, y) GROUP BY image, island HAVING MAX(v) >= 25),
+c AS (SELECT image, island, x * 64 + y AS k FROM i JOIN d USING (image, island)),
+m AS (SELECT image, (image // 2) * 2 AS field FROM a GROUP BY image)
+SELECT m.image, CAST(island AS INTEGER) AS island, CAST(COUNT(*) AS BIGINT) AS n, CAST(SUM(COALESCE(a.v, 0)) AS BIGINT) AS total, CAST(MAX(COALESCE(a.v, 0)) AS BIGINT) AS peak
+FROM m JOIN c ON c.image = m.field LEFT JOIN a ON a.image = m.image AND a.k = c.k GROUP BY m.image, island
+""")
+def fluxes_in_detected_islands(spark, sf_dir):
+    """Each two images are a field; the first is its detection image, and both are measured in the islands found on that."""
+    images = vector_images(spark, sf_dir).withColumn("field", F.floor(F.col("image") / 2) * 2)
+    found = frames.labels(images.filter("image = field"), (1.0, 1.0, 0.0), 25, 18, grid=False)
+    return frames.sums_in(images, found).selectExpr("image", "island", "n", "CAST(total AS BIGINT) AS total", "CAST(peak AS BIGINT) AS peak")
+
+
 # -- files ----------------------------------------------------------------------------------------------------------------------
 
 
