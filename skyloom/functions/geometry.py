@@ -200,8 +200,10 @@ def sky_of_pixel(x: Column, y: Column, w: dict[str, Column], projection: str | C
 
     def decl(name: str) -> Column:
         if name == "NCP":
-            c = (F.cos(d0) - v * F.sin(d0)) / F.cos(F.atan2(u, F.cos(d0) - v * F.sin(d0)))
-            return F.when(F.abs(c) > 1, nan).otherwise(F.degrees(F.acos(clamp(c))) * F.signum(d0))
+            # the cosine of the declination is a length, sound also at a right angle from the reference
+            q = F.cos(d0) - v * F.sin(d0)
+            c = F.sqrt(u * u + q * q)
+            return F.when(c > 1, nan).otherwise(F.degrees(F.acos(clamp(c))) * F.signum(d0))
         l, m, n = lmn(name)
         return F.when(F.isnan(n), nan).otherwise(F.degrees(F.asin(clamp(m * F.cos(d0) + n * F.sin(d0)))))
 

@@ -88,3 +88,12 @@ def test_unknown_projection_is_an_error(spark):
         g.sky_of_pixel(F.lit(1.0), F.lit(1.0), w, "CAR")
     with pytest.raises(Exception, match="no projection CAR"):
         spark.range(1).select(*g.sky_of_pixel(F.lit(1.0), F.lit(1.0), w, F.lit("CAR"))).collect()
+
+
+def test_ncp_at_a_right_angle_from_its_reference_goes_back(spark):
+    w = {"crpix1": F.lit(128.0), "crpix2": F.lit(128.0), "crval1": F.lit(140.0), "crval2": F.lit(55.0), "cdelt1": F.lit(-0.5), "cdelt2": F.lit(0.5), "crota2": F.lit(20.0)}
+    at = spark.createDataFrame([(230.0, 10.004), (50.0, 10.004), (230.0, 33.0), (140.0, 20.0)], "ra double, decl double")
+    x, y = g.pixel_of_sky(F.col("ra"), F.col("decl"), w, "NCP")
+    seen = at.withColumns({"x": x, "y": y})
+    for row in seen.select("ra", "decl", *(c.alias(n) for n, c in zip(("ra2", "decl2"), g.sky_of_pixel(F.col("x"), F.col("y"), w, "NCP"), strict=True))).collect():
+        assert (row.ra2, row.decl2) == pytest.approx((row.ra, row.decl))
