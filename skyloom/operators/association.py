@@ -47,13 +47,16 @@ def candidates(measured: DataFrame, catalogue: DataFrame, radius: float, de_ruit
     """Edges between measurements(xtrsrc, ra, decl, uew, uns, ...) and catalogue(runcat, wm_*, avg_*, datapoints).
 
     Within the radius (a declination strip, a box in right ascension unless the field crosses the meridian, a cone) and
-    below the De Ruiter radius. Each edge has its distance, r and the position averages that it would lead to.
+    below the De Ruiter radius; where both sides have a dataset, within that. Each edge has its distance, r and the position
+    averages that it would lead to.
     """
     near = with_position(measured, "ra", "decl", "m_")
     far = with_position(catalogue, "wm_ra", "wm_decl", "c_")
     test, r, distance = _near(radius, de_ruiter, across)
+    if "dataset" in measured.columns and "dataset" in catalogue.columns:
+        far, test = far.withColumnRenamed("dataset", "c_dataset"), test & (F.col("dataset") == F.col("c_dataset"))
     edges = zone_join(near, far, "decl", radius, "c_zone", test)
-    return moved(edges.withColumns({"r": r, "distance_arcsec": distance}), across).drop("m_zone", "m_x", "m_y", "m_z", "c_zone", "c_x", "c_y", "c_z")
+    return moved(edges.withColumns({"r": r, "distance_arcsec": distance}), across).drop("m_zone", "m_x", "m_y", "m_z", "c_zone", "c_x", "c_y", "c_z", "c_dataset")
 
 
 @cache
@@ -172,20 +175,24 @@ def metrics(df: DataFrame) -> DataFrame:
     return df.withColumns(_metrics())
 
 
-def _sources(edges: DataFrame, key: str, dataset: int) -> DataFrame:
+def _sources(edges: DataFrame, key: str) -> DataFrame:
     """Catalogue rows from edges that a measurement extends."""
-    rows = edges.selectExpr(f"{key} AS runcat", f"{dataset}L AS dataset", "datapoints + 1 AS datapoints", *(f"new_{c} AS {c}" for c in ("wm_ra", "wm_decl", "wm_uew", "wm_uns", "avg_wra", "avg_wdecl", "avg_weight_ra", "avg_weight_decl")), "false AS mon_src", "0L AS forcedfits_count")
+    rows = edges.selectExpr(f"{key} AS runcat", "dataset", "datapoints + 1 AS datapoints", *(f"new_{c} AS {c}" for c in ("wm_ra", "wm_decl", "wm_uew", "wm_uns", "avg_wra", "avg_wdecl", "avg_weight_ra", "avg_weight_decl")), "false AS mon_src", "0L AS forcedfits_count")
     return with_position(rows, "wm_ra", "wm_decl")
 
 
+def _of_dataset(measured: DataFrame, dataset: int) -> DataFrame:
+    return measured if "dataset" in measured.columns else measured.withColumn("dataset", F.lit(dataset).cast("long"))
+
+
 @cache
 def _weights() -> dict[str, Column]:
     return {"__w": st.weight(F.col("uew")), "__v": st.weight(F.col("uns"))}
 
 
 def _founded(measured: DataFrame, dataset: int, mon_src: bool = False) -> DataFrame:
-    rows = measured.withColumns(_weights()).selectExpr(
-        "xtrsrc AS runcat", f"{dataset}L AS dataset", "1L AS datapoints", "ra AS wm_ra", "decl AS wm_decl", "uew AS wm_uew", "uns AS wm_uns", "ra * __w AS avg_wra", "decl * __v AS avg_wdecl", "__w AS avg_weight_ra", "__v AS avg_weight_decl", f"{mon_src} AS mon_src", "0L AS forcedfits_count"
+    rows = _of_dataset(measured, dataset).withColumns(_weights()).selectExpr(
+        "xtrsrc AS runcat", "dataset", "1L AS datapoints", "ra AS wm_ra", "decl AS wm_decl", "uew AS wm_uew", "uns AS wm_uns", "ra * __w AS avg_wra", "decl * __v AS avg_wdecl", "__w AS avg_weight_ra", "__v AS avg_weight_decl", f"{mon_src} AS mon_src", "0L AS forcedfits_count"
     )
     return with_position(rows, "wm_ra", "wm_decl")
 
@@ -221,8 +228,11 @@ def associate(state: State, measured: DataFrame, radius: float, de_ruiter: float
     skyrgn is the image's field; regions(skyrgn, centre_ra, centre_decl, xtr_radius) are all fields of the dataset. limits
     (image, skyrgn, low, high), if given, are earlier good images of the band with their flux limits: a source that is not
     matched is new if the most sensitive of those that cover one of its fields should have shown it.
+
+    A column dataset of measured, if there is one, stands for the argument: surveys of the same sky that are taken together
+    and never link with each other.
     """
-    measured = cut(measured)
+    measured = cut(_of_dataset(measured, dataset))
     active = state.runcat.filter("NOT mon_src")
     edges = cut(prune(candidates(measured, active.drop("zone", "x", "y", "z"), radius, de_ruiter, across)))
     fresh = unmatched(measured, edges)
@@ -230,7 +240,7 @@ def associate(state: State, measured: DataFrame, radius: float, de_ruiter: float
     fresh = first.select(measured.columns)
     forks, plain = kept.filter("type = 2") if fork_count(kept) else None, kept.filter("type = 3")  # a source has one edge of type 3
 
-    runcat = union(state.runcat.join(kept.select("runcat"), "runcat", "left_anti"), _as(_sources(plain, "runcat", dataset), "runningcatalog"), _as(_founded(fresh, dataset), "runningcatalog"))
+    runcat = union(state.runcat.join(kept.select("runcat"), "runcat", "left_anti"), _as(_sources(plain, "runcat"), "runningcatalog"), _as(_founded(fresh, dataset), "runningcatalog"))
     flux = state.flux.join(plain.select("runcat", "band", "stokes"), ["runcat", "band", "stokes"], "left_anti").select(state.flux.columns)
     flux = union(flux, _as(plain, "runningcatalog_flux"), _as(first, "runningcatalog_flux"))
     founders = first.selectExpr("*", "4 AS type", "0D AS distance_arcsec", "0D AS r")
@@ -244,7 +254,7 @@ def associate(state: State, measured: DataFrame, radius: float, de_ruiter: float
         named, new = forks.selectExpr("runcat AS old", "xtrsrc AS new"), forks.withColumn("runcat", F.col("xtrsrc"))
         retired = lambda df: df.join(forked, "runcat", "left_anti")
         renamed = lambda df: df.join(named, df["runcat"] == named["old"]).withColumn("runcat", F.col("new"))
-        runcat = union(runcat, _as(_sources(forks, "xtrsrc", dataset), "runningcatalog"))
+        runcat = union(runcat, _as(_sources(forks, "xtrsrc"), "runningcatalog"))
         flux = union(retired(flux), _as(new, "runningcatalog_flux"))
         assoc = union(retired(assoc), _as(renamed(state.assoc).withColumn("type", F.lit(6)), "assocxtrsource"), _as(new, "assocxtrsource"))
         links, events = union(retired(links), _as(renamed(links), "assocskyrgn")), union(retired(events), _as(renamed(events), "newsource"))

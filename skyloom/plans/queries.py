@@ -631,6 +631,14 @@ def association_over_zero(spark, sf_dir):
 WEEKS = f"m AS ({M}), w AS (SELECT source, DATEDIFF('day', DATE '2024-01-01', day) // 7 AS week, MIN(xtrsrc) AS xtrsrc, AVG(ra) AS ra, AVG(decl) AS decl, AVG(f_int) AS f_int FROM m GROUP BY ALL)"
 
 
+#: Places repeat after as many sources (MEASUREMENT); SQL keeps sources apart by id, so each turn of ids is a dataset.
+TURN_OF_IDS = 360
+
+
+def by_dataset(m: DataFrame) -> DataFrame:
+    return m.withColumn("dataset", F.floor(F.col("source") / TURN_OF_IDS)).drop("source")
+
+
 def _means(m: DataFrame, *by) -> DataFrame:
     """Measurements of groups, as means with fixed errors."""
     return m.groupBy(*by).agg(F.min("xtrsrc").alias("xtrsrc"), F.avg("ra").alias("ra"), F.avg("decl").alias("decl"), F.avg("f_int").alias("f_int"), F.avg("f_int").alias("f_peak")).withColumns({"band": F.lit("all"), "stokes": F.lit(1), "uew": F.lit(0.005), "uns": F.lit(0.005), "f_int_err": F.lit(2.0), "f_peak_err": F.lit(2.0)})
@@ -642,7 +650,7 @@ def association_loop(spark, sf_dir):
     m = _means(fx.measurements(spark, sf_dir), "source", F.floor(F.datediff("day", F.lit("2024-01-01").cast("date")) / 7).alias("week"))
     state = a.State.new(spark)
     for week in range(5):
-        state = a.associate(state, m.filter(F.col("week") == week).drop("week", "source"), RADIUS)
+        state = a.associate(state, by_dataset(m.filter(F.col("week") == week).drop("week")), RADIUS)
     both = state.runcat.join(state.flux.select("runcat", "f_datapoints", "avg_f_int"), "runcat")
     return rounded(both.select("runcat", "datapoints", "wm_ra", "wm_decl", "f_datapoints", "avg_f_int"), wm_ra=6, wm_decl=6, avg_f_int=6)
 

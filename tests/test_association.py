@@ -4,6 +4,7 @@ from datetime import datetime
 import numpy as np
 import pytest
 from pyspark.sql import Row
+from pyspark.sql import functions as F
 
 from skyloom.functions import statistics as st
 from skyloom.operators import association as a
@@ -47,6 +48,14 @@ def test_one_to_many_forks_with_history(spark):
     assert sorted((r.runcat, r.f_datapoints) for r in s.flux.collect()) == [(2, 2), (3, 2)]
 
 
+def test_datasets_taken_together_never_link(spark):
+    apart = lambda *rows: shots(spark, rows).withColumn("dataset", F.col("xtrsrc") % 2)
+    s = a.associate(a.State.new(spark), apart((2, 50, 10, 5.0), (3, 50, 10, 6.0)), 0.05)
+    s = a.associate(s, apart((4, 50, 10, 5.0), (5, 50, 10, 6.0), (7, 50, 10 + ARC, 6.0)), 0.05)
+    assert types(s) == [(2, 2, 4), (2, 4, 3), (5, 3, 6), (5, 5, 2), (7, 3, 6), (7, 7, 2)]
+    assert sorted((r.runcat, r.dataset) for r in s.runcat.collect()) == [(2, 0), (5, 1), (7, 1)]
+
+
 def test_many_to_one(spark):
     s = step(a.State.new(spark), spark, [(1, 50, 10 + 5 * ARC, 5.0), (2, 50, 10 - 5 * ARC, 5.0)])
     s = step(s, spark, [(3, 50, 10, 5.0)])
