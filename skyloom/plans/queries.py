@@ -663,7 +663,7 @@ def _halves(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
     m = fx.measurements(spark, sf_dir)
     one = _means(m, "source").withColumn("xtrsrc", F.col("xtrsrc") * 10)
     two = _means(m, "source", (F.col("xtrsrc") % 2).alias("odd")).withColumns({"xtrsrc": F.col("xtrsrc") * 10 + 1, "decl": F.col("decl") + F.col("odd") / 100.0})
-    return one.drop("source"), two.drop("source", "odd")
+    return by_dataset(one), by_dataset(two.drop("odd"))
 
 
 @query(f"WITH {HALVES} SELECT CASE WHEN k = 1 THEN x1 ELSE x2 END AS runcat, x1 AS xtrsrc, CASE WHEN k = 1 THEN 4 ELSE 6 END AS type FROM one JOIN two USING (source) UNION ALL SELECT CASE WHEN k = 1 THEN x1 ELSE x2 END, x2, CASE WHEN k = 1 THEN 3 ELSE 2 END FROM one JOIN two USING (source)")
