@@ -184,7 +184,7 @@ def association_resumed(spark, sf_dir):
     for week in sorted(w for (w,) in m.select("week").distinct().collect()):  # weeks of a survey
         store = c.Catalogue(spark, root, every=3)
         before = store.state().settled()
-        store.commit(c.state_changes(before, a.associate(before, m.filter(F.col("week") == week).drop("week", "source"), q.RADIUS)))
+        store.commit(c.state_changes(before, a.associate(before, q.by_dataset(m.filter(F.col("week") == week).drop("week")), q.RADIUS)))
     state = c.Catalogue(spark, root).state()
     both = state.runcat.join(state.flux.select("runcat", "f_datapoints", "avg_f_int"), "runcat")
     return rounded(both.select("runcat", "datapoints", "wm_ra", "wm_decl", "f_datapoints", "avg_f_int"), wm_ra=6, wm_decl=6, avg_f_int=6)
