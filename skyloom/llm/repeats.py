@@ -61,6 +61,12 @@ def narrowed(names: np.ndarray, total: int, spare: int = 11) -> np.ndarray:
     return names >> np.uint64(64 - bits) << np.uint64(64 - bits)
 
 
+def distinct(names: np.ndarray) -> np.ndarray:
+    """np.unique, which hashes before it sorts: on millions of names many times slower than a sort alone."""
+    names = np.sort(names)
+    return names[np.r_[True, names[1:] != names[:-1]]] if len(names) else names
+
+
 def part_of(names: np.ndarray, parts: int) -> np.ndarray:
     return (((names >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)).astype(np.int64)
 
@@ -118,7 +124,7 @@ def ask(bundles: DataFrame, names: Callable, total: int, part: int = PART, spare
         none = pa.table({"part": pa.array([], pa.int64()), "bundle": pa.array([], pa.int64()), "names": pa.array([], pa.binary())})
         if not t.num_rows:
             return none
-        got = np.unique(narrowed(names(t) if extra is None else names(t, extra), total, spare))
+        got = distinct(narrowed(names(t) if extra is None else names(t, extra), total, spare))
         owner = part_of(got, parts)
         edge = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1], True]) if len(owner) else np.zeros(1, np.int64)
         which = [int(owner[a]) for a in edge[:-1]]

@@ -540,3 +540,10 @@ def test_png_rejects_damage():
     assert media.from_png(p) == bytes(range(192)) * 3
     with pytest.raises(ValueError):
         media.from_png(p[:45] + bytes([p[45] ^ 1]) + p[46:])
+
+
+def test_distinct_names_are_sorted_and_never_hashed(monkeypatch):
+    names = np.random.default_rng(3).integers(0, 1 << 64, 5000, np.uint64) >> np.uint64(52)
+    want = np.unique(names).tolist()
+    monkeypatch.setattr(np, "unique", lambda *a, **k: pytest.fail("hashes millions of names"))
+    assert repeats.distinct(names).tolist() == want and repeats.distinct(names[:0]).tolist() == []
