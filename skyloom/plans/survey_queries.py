@@ -97,7 +97,9 @@ FROM n JOIN t USING (id)
 """)
 def detections_on_sky(spark, sf_dir):
     """Detections at many places, rotations and declinations, their errors and axes on the sky."""
-    found = fx.read(spark, sf_dir, "part").selectExpr(*(f"{v} AS {k}" for k, v in FOUND.items()))
+    # a part takes a few bytes of the file and ten projections: a split of the file is far too much for one task
+    part = fx.read(spark, sf_dir, "part").select("p_partkey", "p_size").repartition(2 * spark.sparkContext.defaultParallelism)
+    found = part.selectExpr(*(f"{v} AS {k}" for k, v in FOUND.items()))
     w = {"crpix1": F.lit(256.0), "crpix2": F.lit(256.0), "crval1": F.col("ra0"), "crval2": F.col("d0"), "cdelt1": F.lit(-0.01), "cdelt2": F.lit(0.01), "crota2": F.col("rot")}
     on = detections.on_sky(found, w)
     cos2 = F.pow(F.cos(F.radians("pa")), 2)

@@ -97,3 +97,10 @@ def test_ncp_at_a_right_angle_from_its_reference_goes_back(spark):
     seen = at.withColumns({"x": x, "y": y})
     for row in seen.select("ra", "decl", *(c.alias(n) for n, c in zip(("ra2", "decl2"), g.sky_of_pixel(F.col("x"), F.col("y"), w, "NCP"), strict=True))).collect():
         assert (row.ra2, row.decl2) == pytest.approx((row.ra, row.decl))
+
+
+def test_detections_on_sky_use_all_cores_however_few_files_there_are(spark):
+    from skyloom.plans import survey_queries
+
+    found = survey_queries.detections_on_sky(spark, "/root/testdata/sf0.001")
+    assert found.select(F.spark_partition_id()).distinct().count() >= spark.sparkContext.defaultParallelism
