@@ -129,6 +129,8 @@ def ask(bundles: DataFrame, names: Callable, total: int, part: int = PART, spare
         edge = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1], True]) if len(owner) else np.zeros(1, np.int64)
         which = [int(owner[a]) for a in edge[:-1]]
         blobs = [squeeze(got[a:b]) for a, b in zip(edge[:-1], edge[1:], strict=True)]
+        del got, owner
+        give_back()
         return pa.table({"part": pa.array(which, pa.int64()), "bundle": pa.array([t.column("bundle")[0].as_py()] * len(which), pa.int64()), "names": pa.array(blobs, pa.binary())})
 
     def answer(t):
@@ -198,6 +200,8 @@ def answered(bundles: DataFrame, answers: DataFrame, use: Callable, schema: str)
 
     def run(left, right):
         give_back()
-        return use(left, right)
+        out = use(left, right)
+        give_back()  # a worker that waits for its next task keeps what it does not give back
+        return out
 
     return bundles.groupBy("bundle").cogroup(answers.groupBy("bundle")).applyInArrow(run, schema)

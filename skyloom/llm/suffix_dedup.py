@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skyloom.llm import repeats
-from skyloom.llm.common import cut, table
+from skyloom.llm.common import cut, give_back, table
 from skyloom.llm.pretoken import mixed
 
 LENGTH = 50
@@ -123,6 +123,18 @@ def _parcels(texts: list[bytes], size: int = 2 << 20):
         yield slice(at, len(texts))
 
 
+def _slices(batch, size: int = 2 << 20):
+    """A batch of Arrow in parts of about `size` bytes of text: what is made of a part is many times its size for a moment."""
+    import pyarrow.compute as pc
+
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False))
+    at = 0
+    while at < batch.num_rows:
+        upto = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + size, "right")))
+        yield batch.slice(at, upto - at)
+        at = upto
+
+
 def copies(docs: DataFrame) -> DataFrame:
     """bundle, part (-1), bits: doc_id and digest of whole copies of documents with smaller doc_ids, in the form of answers."""
     digest = docs.filter(F.col("doc_id").isNotNull()).select("doc_id", "bundle", F.md5(F.coalesce("text", F.lit(""))).alias("digest"))
@@ -282,17 +294,23 @@ def remove(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 
     def cut_out(batches):
         import pyarrow as pa
+        import pyarrow.compute as pc
 
-        for batch in batches:
-            kept = []
-            for t, spans in zip(batch.column("text").to_pylist(), batch.column("__spans").to_pylist(), strict=True):
-                if spans:
-                    b = t.encode("utf-8", "surrogatepass")
-                    t = b"".join(b[a:z] for a, z in zip([0, *(s["end"] for s in spans)], [*(s["start"] for s in spans), len(b)], strict=True)).decode("utf-8", "ignore")
-                kept.append((t, bool(spans) and not t))
-            i = batch.schema.get_field_index("text")
-            batch = batch.set_column(i, "text", pa.array([t for t, _ in kept], pa.string()))
-            yield batch.filter(pa.array([not gone for _, gone in kept], pa.bool_())).select(columns)
+        give_back()
+        for whole in batches:
+            for batch in _slices(whole):
+                texts, spans = batch.column("text"), batch.column("__spans")
+                at = np.flatnonzero(pc.is_valid(spans).to_numpy(zero_copy_only=False))
+                if len(at):
+                    kept, some = texts.to_pylist(), spans.take(pa.array(at))
+                    for n, each in zip(at.tolist(), some.to_pylist(), strict=True):
+                        b = kept[n].encode("utf-8", "surrogatepass")
+                        kept[n] = b"".join(b[a:z] for a, z in zip([0, *(s["end"] for s in each)], [*(s["start"] for s in each), len(b)], strict=True)).decode("utf-8", "ignore")
+                    gone = np.zeros(len(kept), bool)
+                    gone[[n for n in at.tolist() if not kept[n]]] = True
+                    batch = batch.set_column(batch.schema.get_field_index("text"), "text", pa.array(kept, pa.string())).filter(pa.array(~gone))
+                yield batch.select(columns)
+        give_back()
 
     return marked.select(*columns, "__spans").mapInArrow(cut_out, docs.schema)
 

@@ -90,3 +90,28 @@ def test_stages_and_run_match_brute_force(spark, tmp_path):
     for r in corpus_pipeline.run(spark, str(tmp_path)).collect():
         got[r.doc_id] += r.length
     assert got == Counter({i: n for i, n in expect.items() if n})
+
+
+def test_cutting_holds_a_part_of_a_batch(spark, monkeypatch):
+    """What Python makes of one large batch stays below the batch's own size; rows come whole and in order."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from skyloom.llm import suffix_dedup
+
+    docs, made = spark.createDataFrame([(1, "a" * 60), (2, "a" * 60)], "doc_id long, text string"), []
+    whole = type(docs).mapInArrow
+    monkeypatch.setattr(type(docs), "mapInArrow", lambda self, f, *a, **k: (made.append(f), whole(self, f, *a, **k))[1])
+    suffix_dedup.remove(docs)
+    texts = [chr(97 + n % 26) * 8000 for n in range(3000)] + [None, "", "gone"]
+    spans = [[{"start": 10, "end": 7990}] if n % 2 else None for n in range(3000)] + [None, None, [{"start": 0, "end": 4}]]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(3003), pa.int64()), pa.array(texts), pa.array(spans)], names=["doc_id", "text", "__spans"])
+    tracemalloc.start()
+    out = []
+    for b in made[-1](iter([batch])):
+        out += [(i, t if t is None else (t[:1], len(t))) for i, t in zip(b["doc_id"].to_pylist(), b["text"].to_pylist(), strict=True)]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert out == [(n, (chr(97 + n % 26), 20 if n % 2 else 8000)) for n in range(3000)] + [(3000, None), (3001, ("", 0))]
+    assert peak < 12 << 20, peak
