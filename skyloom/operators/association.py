@@ -59,6 +59,26 @@ def candidates(measured: DataFrame, catalogue: DataFrame, radius: float, de_ruit
     return moved(edges.withColumns({"r": r, "distance_arcsec": distance}), across).drop("m_zone", "m_x", "m_y", "m_z", "c_zone", "c_x", "c_y", "c_z", "c_dataset")
 
 
+#: Rows of one place that a block holds, and pairs of a part that `unfolded` makes.
+BLOCK, PAIRS = 1024, 4 << 20
+
+
+def blocks(rows: DataFrame, key: str) -> DataFrame:
+    """Rows that agree in all but key as one for about BLOCK of them, with their keys as an array. A null agrees with nothing."""
+    by = [c for c in rows.columns if c != key]
+    sizes = rows.groupBy(*by).agg(F.count("*").alias("__n"))
+    dealt = rows.join(sizes, by).withColumn("__block", F.pmod(F.xxhash64(key), F.ceil(F.col("__n") / BLOCK)))
+    return dealt.groupBy(*by, "__block").agg(F.collect_list(key).alias(key)).drop("__block")
+
+
+def unfolded(edges: DataFrame) -> DataFrame:
+    """Edges between blocks as edges between their rows, made in parts of about PAIRS, however few the places are."""
+    edges = cut(edges)
+    total = edges.agg(F.sum(F.size("runcat").cast("long") * F.size("xtrsrc"))).first()[0] or 0
+    rows = edges.repartition(max(1, -(-total // PAIRS), min(total >> 16, edges.sparkSession.sparkContext.defaultParallelism)))
+    return rows.withColumn("xtrsrc", F.explode("xtrsrc")).withColumn("runcat", F.explode("runcat"))
+
+
 @cache
 def _near(radius: float, de_ruiter: float, across: bool) -> tuple[Column, Column, Column]:
     """Whether a pair is near enough, its De Ruiter radius, and its distance in arcseconds."""

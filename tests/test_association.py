@@ -189,3 +189,19 @@ def test_entries_of_the_same_measurements_tie_in_any_order(spark):
     m = spark.createDataFrame(rows, "source long, xtrsrc long, ra double, decl double, uew double, uns double").withColumn("day", F.lit("2024-01-02").cast("date")).coalesce(1)
     a_, b_ = fx.catalogue(m).drop("runcat").collect()
     assert a_ == b_
+
+
+def test_pairs_of_one_place_are_made_by_many_tasks(spark, tmp_path, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from skyloom.plans import queries as q
+
+    monkeypatch.setattr(a, "BLOCK", 64, raising=False)
+    i = F.col("id")
+    rows = spark.range(3150).select((i * 60).alias("event_id"), F.when(i < 150, 0).otherwise(i * 120).alias("user_id"), F.lit("view").alias("event_type"), F.when(i < 150, F.lit("2024-01-16 01:00:00")).otherwise(F.lit("2024-01-02 01:00:00")).cast("timestamp").alias("ts"), F.lit(1.0).alias("value"))
+    rows.coalesce(1).write.parquet(f"{tmp_path}/events.parquet")
+    found = q.association_over_zero(spark, str(tmp_path)).withColumn("task", F.spark_partition_id())
+    counts = [r["count"] for r in found.groupBy("task").count().collect()]
+    assert sum(counts) == 150 * 3001 and max(counts) < 0.6 * sum(counts)
+    once = found.select("runcat", "xtrsrc").distinct().count()
+    assert once == sum(counts) and [tuple(r) for r in found.select("r", "new_wm_ra").distinct().collect()] == [(0.0, 359.996)]
