@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+from functools import cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -49,6 +50,15 @@ def parts_for(total: int, each: int, least: int = 1) -> int:
     return max(least, -(-int(total) // each))
 
 
+@cache
+def _set_aside() -> None:
+    """Once in a worker: what it has imported is left out of every later collection, which else took longer than a sort."""
+    import gc
+
+    gc.collect()
+    gc.freeze()
+
+
 def give_back() -> None:
     """In a Python worker: hands freed memory back to the system, since workers outlive their tasks and stages."""
     import ctypes
@@ -56,6 +66,7 @@ def give_back() -> None:
 
     import pyarrow as pa
 
+    _set_aside()
     gc.collect()
     pa.default_memory_pool().release_unused()
     try:

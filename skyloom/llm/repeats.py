@@ -11,8 +11,8 @@ bundle, and no task holds more than a part or a bundle.
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Callable
+from functools import cache
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -26,22 +26,26 @@ PART = 16 << 20
 MOST_BOUNDS = 4096
 
 
-def squeeze(sorted_names: np.ndarray) -> bytes:
-    """Differences of sorted names that share low zero bits, as byte planes; only the top one is worth deflating."""
+@cache
+def _zstd():
+    """A worker's compressor and decompressor: to make them takes longer than most blobs do."""
     import zstandard
 
+    return zstandard.ZstdCompressor(1), zstandard.ZstdDecompressor()
+
+
+def squeeze(sorted_names: np.ndarray) -> bytes:
+    """Differences of sorted names that share low zero bits, as byte planes; only the top one is worth deflating."""
     low = np.uint64(0) if not len(sorted_names) else np.bitwise_or.reduce(sorted_names)
     shift = int(low & (~low + np.uint64(1))).bit_length() - 1 if low else 0
-    d = np.diff(sorted_names >> np.uint64(shift), prepend=np.uint64(0))
-    width = max(1, (int(d[1:].max()) if len(d) > 1 else 0).bit_length() + 7 >> 3)
-    first, d = int(d[0]) if len(d) else 0, d[1:]
+    short = sorted_names >> np.uint64(shift)
+    first, d = int(short[0]) if len(short) else 0, short[1:] - short[:-1]
+    width = max(1, (int(d.max()) if len(d) else 0).bit_length() + 7 >> 3)
     planes = np.ascontiguousarray(d.view(np.uint8).reshape(-1, 8)[:, :width].T) if len(d) else np.zeros((width, 0), np.uint8)
-    return bytes([shift, width]) + first.to_bytes(8, "little") + (len(d) + 1 if len(sorted_names) else 0).to_bytes(8, "little") + planes[:-1].tobytes() + zstandard.ZstdCompressor(1).compress(planes[-1].tobytes())
+    return bytes([shift, width]) + first.to_bytes(8, "little") + len(short).to_bytes(8, "little") + planes[:-1].tobytes() + _zstd()[0].compress(planes[-1].tobytes())
 
 
 def unsqueeze(blob: bytes) -> np.ndarray:
-    import zstandard
-
     shift, width, first, n = blob[0], blob[1], int.from_bytes(blob[2:10], "little"), int.from_bytes(blob[10:18], "little")
     if not n:
         return np.zeros(0, np.uint64)
@@ -49,7 +53,7 @@ def unsqueeze(blob: bytes) -> np.ndarray:
     bytes_ = np.zeros((n, 8), np.uint8)
     if n > 1:
         bytes_[1:, : width - 1] = np.frombuffer(blob, np.uint8, raw, 18).reshape(width - 1, n - 1).T
-        bytes_[1:, width - 1] = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob[18 + raw :], max_output_size=n), np.uint8)
+        bytes_[1:, width - 1] = np.frombuffer(_zstd()[1].decompress(blob[18 + raw :], max_output_size=n), np.uint8)
     d = bytes_.view(np.uint64).ravel()
     d[0] = first
     return np.cumsum(d, dtype=np.uint64) << np.uint64(shift)
@@ -61,6 +65,10 @@ def narrowed(names: np.ndarray, total: int, spare: int = 11) -> np.ndarray:
     return names >> np.uint64(64 - bits) << np.uint64(64 - bits)
 
 
+def packed(yes: np.ndarray) -> bytes:
+    return _zstd()[0].compress(np.packbits(yes).tobytes())
+
+
 def distinct(names: np.ndarray) -> np.ndarray:
     """np.unique, which hashes before it sorts: on millions of names many times slower than a sort alone."""
     names = np.sort(names)
@@ -137,23 +145,27 @@ def ask(bundles: DataFrame, names: Callable, total: int, part: int = PART, spare
         import pyarrow as pa
 
         give_back()
-        t = t.sort_by("bundle")
-        lists = [unsqueeze(b) for b in t.column("names").to_pylist()]
-        size = np.array([len(x) for x in lists])
+        order, blobs = np.argsort(t.column("bundle").to_numpy()), t.column("names")
+        lists = [unsqueeze(memoryview(blobs[n].as_buffer())) for n in order.tolist()]
         every = np.concatenate(lists)
-        del lists
-        order = np.argsort(every)
-        edge = np.flatnonzero(np.r_[True, every[order[1:]] != every[order[:-1]]])
-        times = np.diff(np.r_[edge, len(every)])
+        every.sort()
+        twice = every[1:][every[1:] == every[:-1]]
         del every
-        twice = np.zeros(len(order), bool)
-        if before:
-            number = np.repeat(np.arange(len(size), dtype=np.int32), size)[order]
-            twice[order] = number > np.repeat(np.minimum.reduceat(number, edge), times)
-        else:
-            twice[order] = np.repeat(times > 1, times)
-        ends = np.cumsum(size)
-        return pa.table({"bundle": t.column("bundle").cast(pa.int64()), "part": t.column("part").cast(pa.int64()), "bits": pa.array([zlib.compress(np.packbits(twice[b - n : b]).tobytes(), 1) for n, b in zip(size, ends, strict=True)], pa.binary())})
+        twice = twice[np.r_[True, twice[1:] != twice[:-1]]] if len(twice) else twice
+        met, bits = np.zeros(len(twice), bool), []
+        for names in lists:  # bundles ascend
+            if not len(twice):
+                bits.append(packed(np.zeros(len(names), bool)))
+                continue
+            at = np.searchsorted(twice, names)
+            at[at == len(twice)] = 0
+            yes = twice[at] == names
+            if before:
+                own = at[yes]
+                yes[yes] = met[own]
+                met[own] = True
+            bits.append(packed(yes))
+        return pa.table({"bundle": t.column("bundle").take(pa.array(order)).cast(pa.int64()), "part": t.column("part").cast(pa.int64()), "bits": pa.array(bits, pa.binary())})
 
     schema = "part long, bundle long, names binary"
     if beside is None:
@@ -178,9 +190,11 @@ class Answers:
         owner = part_of(short[self.edge], max(1, -(-total // part))).astype(np.int32)
         del short
         yes = np.zeros(len(self.edge), bool)
-        for p, bits in zip(table.column("part").to_pylist(), table.column("bits").to_pylist(), strict=True):
-            lo, hi = np.searchsorted(owner, p), np.searchsorted(owner, p, "right")
-            yes[lo:hi] = np.unpackbits(np.frombuffer(zlib.decompress(bits), np.uint8), count=hi - lo).astype(bool)
+        unpack = _zstd()[1].decompress
+        which = table.column("part").to_numpy().astype(np.int32)  # of owner's kind: else each search would copy owner
+        low, high = np.searchsorted(owner, which).tolist(), np.searchsorted(owner, which, "right").tolist()
+        for lo, hi, bits in zip(low, high, table.column("bits").to_pylist(), strict=True):
+            yes[lo:hi] = np.unpackbits(np.frombuffer(unpack(bits), np.uint8), count=hi - lo).astype(bool)
         self.yes = self._back(yes)
 
     def _back(self, of_group: np.ndarray) -> np.ndarray:

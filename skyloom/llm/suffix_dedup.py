@@ -41,8 +41,9 @@ PERIOD, COVER = 31, (1, 5, 11, 24, 25, 27)
 LAST = (1 << 63) - 1
 #: Bits by which suffix names exceed what their number takes; the chance of one false meeting stays below a percent.
 SPARE = 30
-#: Bytes of text for a bundle and for a part of the name space: a task may have a name for every byte of a bundle.
-BUNDLE, PART = 4 << 20, 8 << 20
+#: Bytes of text for a bundle and for a part of the name space: a task may have a name for every byte of a bundle. There is a
+#: blob for each pair of them, so that parts, which are sorted in place, are larger.
+BUNDLE, PART = 4 << 20, 16 << 20
 _K = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3)]
 
 
@@ -100,8 +101,11 @@ def _runs(at: np.ndarray) -> np.ndarray:
     """Sorted positions as rows (first, past the last)."""
     if not len(at):
         return np.zeros((0, 2), np.int64)
-    gap = np.flatnonzero(np.diff(at) > 1)
-    return np.stack([at[np.r_[0, gap + 1]], at[np.r_[gap, len(at) - 1]] + 1], 1)
+    gap = np.flatnonzero(at[1:] - at[:-1] > 1)
+    out = np.empty((len(gap) + 1, 2), np.int64)
+    out[0, 0], out[-1, 1] = at[0], at[-1] + 1
+    out[1:, 0], out[:-1, 1] = at[gap + 1], at[gap] + 1
+    return out
 
 
 def _positions(runs: np.ndarray) -> np.ndarray:

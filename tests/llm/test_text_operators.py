@@ -547,3 +547,32 @@ def test_distinct_names_are_sorted_and_never_hashed(monkeypatch):
     want = np.unique(names).tolist()
     monkeypatch.setattr(np, "unique", lambda *a, **k: pytest.fail("hashes millions of names"))
     assert repeats.distinct(names).tolist() == want and repeats.distinct(names[:0]).tolist() == []
+
+
+def test_answers_of_many_parts_take_one_search(monkeypatch):
+    """A search a part copied all of a bundle's names each time, so that time grew with the square of the text."""
+    import pyarrow as pa
+
+    rng = np.random.default_rng(4)
+    names, total, part = rng.integers(0, 1 << 64, 20_000, np.uint64, endpoint=False), 1 << 20, 1 << 12
+    short = repeats.distinct(repeats.narrowed(names, total))
+    wanted, owner = rng.random(len(short)) < 0.3, repeats.part_of(short, 256)
+    which = rng.permutation(256)
+    table_ = pa.table({"part": pa.array(which, pa.int64()), "bits": pa.array([repeats.packed(wanted[owner == p]) for p in which], pa.binary())})
+    calls, search = [], np.searchsorted
+    monkeypatch.setattr(np, "searchsorted", lambda *a, **k: calls.append(1) or search(*a, **k))
+    got = repeats.Answers(names, table_, total, part)
+    assert len(calls) < 10
+    assert (got.yes == wanted[search(short, repeats.narrowed(names, total))]).all()
+
+
+def test_a_worker_collects_only_what_is_new():
+    import gc
+
+    from skyloom.llm.common import give_back
+
+    try:
+        give_back()
+        assert gc.get_freeze_count() > 10_000
+    finally:
+        gc.unfreeze()
